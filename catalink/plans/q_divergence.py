@@ -153,3 +153,190 @@ def top_underrated(spark, d):
 @query("top_overrated", _ranked_sql("ASC"))
 def top_overrated(spark, d):
     return _ranked_list(spark, d, False)
+
+
+# --- buckets and profiles -------------------------------------------------------
+
+def _case_sql(cond_labels) -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN '{lbl}'" for c, lbl in cond_labels) + " END"
+
+
+def price_bucket_sql(x: str) -> str:
+    e, lbl = C.PRICE_EDGES, C.PRICE_LABELS
+    conds = [(f"{x} > {e[0]} AND {x} <= {e[i + 1]}", lbl[i]) for i in range(len(e) - 1)]
+    conds.append((f"{x} > {e[-1]}", lbl[-1]))
+    return _case_sql(conds)
+
+
+def volume_bucket_sql(x: str) -> str:
+    e, lbl = C.VOLUME_EDGES, C.VOLUME_LABELS
+    conds = [(f"{x} >= {e[i]} AND {x} < {e[i + 1]}", lbl[i]) for i in range(len(e) - 1)]
+    conds.append((f"{x} >= {e[-1]}", lbl[-1]))
+    return _case_sql(conds)
+
+
+def critic_label_sql(x: str) -> str:
+    e, lbl = C.CRITIC_EDGES, C.CRITIC_LABELS
+    return _case_sql([(f"{x} >= {e[0]} AND {x} <= {e[i + 1]}", lbl[i]) for i in range(len(lbl))])
+
+
+def _rank_sql(x: str, labels) -> str:
+    return "CASE " + " ".join(f"WHEN {x} = '{v}' THEN {i + 1}" for i, v in enumerate(labels)) + " END"
+
+
+def _bucket_sql(source: str, bucket_expr: str, labels, metric: str, name: str) -> str:
+    return f"""
+SELECT {name}, n_games, ROUND(mean, 6) AS mean, ROUND(median, 6) AS median,
+       CAST({_rank_sql(name, labels)} AS INTEGER) AS rank
+FROM (SELECT {name}, COUNT({metric}) AS n_games, AVG({metric}) AS mean, MEDIAN({metric}) AS median
+      FROM (SELECT {bucket_expr} AS {name}, {metric} FROM {source}) t
+      WHERE {name} IS NOT NULL GROUP BY {name}) a"""
+
+
+def _bucket_out(df):
+    return df.select(df.columns[0], "n_games", r6("mean"), r6("median"), "rank")
+
+
+@query("price_buckets", with_core() + _bucket_sql("core", price_bucket_sql("price"), C.PRICE_LABELS,
+                                                   "divergence_ratio", "price_bucket"))
+def price_buckets(spark, d):
+    from catalink.operators.bins import bucket_profile
+    out = bucket_profile(core(spark, d), X.price_bucket("price"), C.PRICE_LABELS,
+                         "divergence_ratio", "price_bucket")
+    return _bucket_out(out)
+
+
+@query("volume_buckets", S.with_ctes(S.ORDER_VOLUME_SQL) + _bucket_sql(
+    "order_volume", volume_bucket_sql("total"), C.VOLUME_LABELS, "abs_div", "total_bucket"))
+def volume_buckets(spark, d):
+    from catalink.operators.bins import bucket_profile
+    out = bucket_profile(S.order_volume(spark, d), X.volume_bucket("total"), C.VOLUME_LABELS,
+                         "abs_div", "total_bucket")
+    return _bucket_out(out)
+
+
+@query("critic_bins", with_core() + """
+SELECT bin, ROUND(mean, 6) AS mean, count, ROUND(0 + bin * 5 - 2.5, 6) AS mid
+FROM (SELECT CAST(LEAST(GREATEST(CEIL((critic_norm - 0) / 5), 1), 20) AS INTEGER) AS bin,
+             AVG(player_ratio_100) AS mean, COUNT(player_ratio_100) AS count
+      FROM core WHERE critic_norm >= 0 AND critic_norm <= 100 GROUP BY 1) t
+WHERE count >= 5""")
+def critic_bins(spark, d):
+    from catalink.operators.bins import binned_mean
+    out = binned_mean(core(spark, d), "critic_norm", "player_ratio_100", 0, 100,
+                      CFG.critic_bin_width, CFG.critic_bin_min_count)
+    return out.select("bin", r6("mean"), "count", r6("mid"))
+
+
+_CROSS_NAMES = [SL.label_column_name("n_", lbl) for lbl in C.CRITIC_LABELS]
+
+
+@query("tier_crosstab", with_core() + f"""
+SELECT review_score_description,
+       {", ".join(f"COUNT(CASE WHEN lbl = '{lbl}' THEN 1 END) AS {n}"
+                  for lbl, n in zip(C.CRITIC_LABELS, _CROSS_NAMES))},
+       CAST({_rank_sql("review_score_description", C.REVIEW_DESC_ORDER)} AS INTEGER) AS rank
+FROM (SELECT review_score_description, {critic_label_sql("critic_norm")} AS lbl FROM core) t
+WHERE review_score_description IN ({", ".join(f"'{v}'" for v in C.REVIEW_DESC_ORDER)})
+GROUP BY review_score_description""")
+def tier_crosstab(spark, d):
+    from catalink.operators.bins import crosstab
+    return crosstab(core(spark, d), "review_score_description", C.REVIEW_DESC_ORDER,
+                    X.critic_label("critic_norm"), C.CRITIC_LABELS, _CROSS_NAMES)
+
+
+@query("owners_profile", with_core() + f"""
+SELECT owners_range, COUNT(divergence_ratio) AS n_games, ROUND(AVG(divergence_ratio), 6) AS mean_div,
+       CAST({_rank_sql("owners_range", C.OWNERS_ORDER)} AS INTEGER) AS rank
+FROM core WHERE owners_range IN ({", ".join(f"'{v}'" for v in C.OWNERS_ORDER)})
+GROUP BY owners_range""")
+def owners_profile(spark, d):
+    from catalink.operators.bins import ordered_profile
+    out = ordered_profile(core(spark, d), "owners_range", C.OWNERS_ORDER, "divergence_ratio")
+    return out.select("owners_range", "n_games", r6("mean_div"), "rank")
+
+
+@query("free_vs_paid", with_core() + """
+SELECT type, COUNT(divergence_ratio) AS count, ROUND(AVG(divergence_ratio), 6) AS mean,
+       ROUND(MEDIAN(divergence_ratio), 6) AS median
+FROM (SELECT CASE WHEN is_free = 0 THEN 'Paid' WHEN is_free = 1 THEN 'Free' END AS type,
+             divergence_ratio FROM core WHERE is_free IS NOT NULL) t
+WHERE type IS NOT NULL GROUP BY type""")
+def free_vs_paid(spark, d):
+    c = core(spark, d).where(F.col("is_free").isNotNull())
+    typed = c.withColumn("type", X.code_label("is_free", {0: "Paid", 1: "Free"}))
+    return (typed.where(F.col("type").isNotNull()).groupBy("type")
+                 .agg(F.count("divergence_ratio").alias("count"),
+                      r6(F.avg("divergence_ratio"), "mean"),
+                      r6(F.median("divergence_ratio"), "median")))
+
+
+# --- signature values and both ends ---------------------------------------------
+
+_Q2, _Q3 = C.QUADRANTS[1], C.QUADRANTS[2]
+
+
+@query("signature_tags", with_core(S.TAGS_SQL) + f""",
+grp AS (SELECT app_id, quadrant FROM core WHERE quadrant IN ('{_Q2}', '{_Q3}')),
+sizes AS (SELECT COUNT(DISTINCT CASE WHEN quadrant = '{_Q2}' THEN app_id END) AS n_a,
+                 COUNT(DISTINCT CASE WHEN quadrant = '{_Q3}' THEN app_id END) AS n_b FROM grp),
+counts AS (SELECT t.tag, COUNT(CASE WHEN g.quadrant = '{_Q2}' THEN 1 END) AS c_a,
+                  COUNT(CASE WHEN g.quadrant = '{_Q3}' THEN 1 END) AS c_b
+           FROM tags_long t JOIN grp g ON t.app_id = g.app_id WHERE t.tag IS NOT NULL GROUP BY t.tag),
+pcts AS (SELECT tag, c_a / n_a * 100 AS a_pct, c_b / n_b * 100 AS b_pct, n_a, n_b FROM counts, sizes),
+scored AS (SELECT tag, a_pct, b_pct, a_pct / 100 * n_a + b_pct / 100 * n_b AS support,
+                  a_pct - b_pct AS diff FROM pcts WHERE a_pct / 100 * n_a + b_pct / 100 * n_b >= 10),
+top_ AS (SELECT *, '{_Q2}' AS side FROM scored ORDER BY diff DESC, tag LIMIT 15),
+bot_ AS (SELECT *, '{_Q3}' AS side FROM scored ORDER BY diff ASC, tag LIMIT 15)
+SELECT tag, ROUND(a_pct, 6) AS q2_pct, ROUND(b_pct, 6) AS q3_pct, ROUND(support, 6) AS support,
+       ROUND(diff, 6) AS diff, side
+FROM (SELECT * FROM top_ UNION ALL SELECT * FROM bot_) u""")
+def signature_tags(spark, d):
+    out = SL.signature_values(S.tags_long(spark, d), core(spark, d), "tag",
+                              min_support=CFG.signature_min_support, n_each=CFG.signature_n_each)
+    return out.select("tag", r6("a_pct", "q2_pct"), r6("b_pct", "q3_pct"), r6("support"),
+                      r6("diff"), "side")
+
+
+@query("rank_both_ends", with_core(S.CATEGORIES_SQL) + f""",
+s AS (SELECT category, COUNT(DISTINCT app_id) AS n_games, AVG(divergence_ratio) AS mean_div,
+             MEDIAN(divergence_ratio) AS median_div
+      FROM (SELECT l.app_id, l.category, c.divergence_ratio FROM categories_long l
+            JOIN core c ON l.app_id = c.app_id WHERE l.category IS NOT NULL) j
+      GROUP BY category HAVING COUNT(DISTINCT app_id) >= {CFG.min_games_per_category})
+SELECT category, n_games, ROUND(mean_div, 6) AS mean_div, ROUND(median_div, 6) AS median_div
+FROM (SELECT * FROM (SELECT * FROM s ORDER BY mean_div DESC, category ASC LIMIT 20)
+      UNION SELECT * FROM (SELECT * FROM s ORDER BY mean_div ASC, category DESC LIMIT 20)) u""")
+def rank_both_ends(spark, d):
+    from catalink.operators.ranking import both_ends
+    stats = SL.slice_by_long_table(S.publishers_long(spark, d), core(spark, d), "category",
+                                   CFG.min_games_per_category)
+    ends = both_ends(stats.select("category", "n_games", "mean_div", "median_div"),
+                     [("mean_div", True), ("category", False)], 20)
+    return ends.select("category", "n_games", r6("mean_div"), r6("median_div"))
+
+
+# --- membership and years -----------------------------------------------------------
+
+@query("flag_share_by_year", S.with_ctes(*S.STAR_SQL, S.GENRES_SQL, S.PROMO_SQL) + """
+SELECT year, COUNT(CASE WHEN has_flag THEN 1 END) AS count, COUNT(*) AS total,
+       ROUND(COUNT(CASE WHEN has_flag THEN 1 END) / COUNT(*) * 100, 6) AS pct
+FROM (SELECT CAST(year(g.release_date) AS INTEGER) AS year,
+             g.app_id IN (SELECT app_id FROM promo_ids) AS has_flag FROM games g) t
+WHERE year BETWEEN 1996 AND 2000 GROUP BY year""")
+def flag_share_by_year(spark, d):
+    from catalink.operators.aggregates import count_true_by_group
+    from catalink.operators.joins import existence_flag
+    g = existence_flag(S.games(spark, d), S.promo_ids(spark, d), "app_id", "has_flag")
+    g = g.withColumn("year", F.year("release_date").cast("int")).where(F.col("year").between(1996, 2000))
+    out = count_true_by_group(g, "year", "has_flag")
+    return out.select("year", "count", "total", r6("pct"))
+
+
+@query("year_counts", S.with_ctes(*S.STAR_SQL) + """
+SELECT CAST(year(release_date) AS INTEGER) AS year, COUNT(*) AS count FROM games
+WHERE release_date IS NOT NULL AND year(release_date) BETWEEN 1996 AND 2000 GROUP BY 1""")
+def year_counts(spark, d):
+    from catalink.operators.aggregates import value_counts_by_value
+    y = S.games(spark, d).select(F.year("release_date").cast("int").alias("year"))
+    return value_counts_by_value(y.where(F.col("year").between(1996, 2000)), "year")

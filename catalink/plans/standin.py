@@ -194,3 +194,39 @@ def with_ctes(*ctes: str) -> str:
 
 
 STAR_SQL = (PART_STATS_SQL, REVIEWS_SQL, GAMES_SQL)
+
+
+# --- orders as review-volume entities -----------------------------------------------
+
+def order_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: total quantity, player ratio, a critic-like score from the
+    order price, and the absolute divergence between them."""
+    li = read(spark, sf_dir, "lineitem")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    per_order = (li.groupBy("l_orderkey")
+                   .agg(F.sum("l_quantity").cast("bigint").alias("total"),
+                        F.sum(F.when(F.col("l_returnflag") != "R", F.col("l_quantity"))
+                              .otherwise(0.0)).cast("bigint").alias("positive")))
+    critic = (F.floor("o_totalprice").cast("bigint") % 101).cast("double")
+    return (per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+                     .select(F.col("l_orderkey").alias("order_id"), "total",
+                             F.abs(F.try_divide(F.col("positive").cast("double"), F.col("total")) * 100
+                                   - critic).alias("abs_div")))
+
+
+ORDER_VOLUME_SQL = """order_volume AS (
+  SELECT l.l_orderkey AS order_id, l.total,
+         abs(l.positive / l.total * 100 - CAST(CAST(FLOOR(o.o_totalprice) AS BIGINT) % 101 AS DOUBLE)) AS abs_div
+  FROM (SELECT l_orderkey, CAST(SUM(l_quantity) AS BIGINT) AS total,
+               CAST(SUM(CASE WHEN l_returnflag <> 'R' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS positive
+        FROM lineitem GROUP BY l_orderkey) l
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+)"""
+
+
+def promo_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids carrying the flagged attribute (genre PROMO): the membership set."""
+    return genres_long(spark, sf_dir).where(F.col("genre") == "PROMO").select("app_id")
+
+
+PROMO_SQL = """promo_ids AS (SELECT app_id FROM genres_long WHERE genre = 'PROMO')"""
