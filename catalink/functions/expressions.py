@@ -97,8 +97,9 @@ def cents_to_price(c: ColumnOrName) -> Column:
 def owners_bounds(c: ColumnOrName) -> Column:
     """``'1,000 .. 2,000'`` to struct<low, high, mid>; unparsable parts are 0."""
     parts = F.split(F.replace(_col(c), F.lit(","), F.lit("")), r"\.\.")
-    low = F.coalesce(safe_long(F.get(parts, 0)), F.lit(0).cast("bigint"))
-    high = F.coalesce(safe_long(F.get(parts, 1)), F.lit(0).cast("bigint"))
+    # parse as a number, fill 0, truncate to an integer
+    low = F.coalesce(safe_double(F.get(parts, 0)).try_cast("bigint"), F.lit(0).cast("bigint"))
+    high = F.coalesce(safe_double(F.get(parts, 1)).try_cast("bigint"), F.lit(0).cast("bigint"))
     mid = F.floor((low + high) / F.lit(2)).cast("bigint")
     return F.struct(low.alias("low"), high.alias("high"), mid.alias("mid"))
 
