@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 _BLANKS = r"[\s\p{Z}]+"
 
@@ -77,7 +78,7 @@ def indel_ratio(a: str | None, b: str | None) -> float | None:
     return 200.0 * lcs_length(a, b) / total
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _indel_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 

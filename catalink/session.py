@@ -31,7 +31,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
