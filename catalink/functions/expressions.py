@@ -39,7 +39,7 @@ def strip(c: ColumnOrName) -> Column:
 
 def normalize_whitespace(c: ColumnOrName) -> Column:
     """Non-breaking blank to a plain blank, then strip."""
-    return strip(F.replace(_col(c), F.lit(" "), F.lit(" ")))
+    return strip(F.replace(_col(c), F.lit("\u00a0"), F.lit(" ")))
 
 
 def missing_to_null(c: ColumnOrName, tokens: Sequence[str] = C.MISSING_TOKENS) -> Column:

@@ -312,3 +312,11 @@ def category_sales_top(spark, d):
     sums = grouped_sum(clean, "vg_platform", "vg_global_sales", "global_sales")
     return sums.orderBy(F.desc("global_sales"), "vg_platform").limit(15) \
                .select("vg_platform", r6("global_sales"))
+
+
+@query("score_bucket", MATCH_WITH + f"""
+SELECT app_id, ROUND(vg_match_score, 6) AS vg_match_score, {_bucket_case_sql("vg_match_score")} AS bucket
+FROM scored""")
+def score_bucket(spark, d):
+    s = scored(spark, d)
+    return s.select("app_id", r6("vg_match_score"), X.score_bucket("vg_match_score").alias("bucket"))

@@ -49,7 +49,7 @@ def part_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
               .agg(F.sum("l_quantity").cast("bigint").alias("total"),
                    F.sum(F.when(~returned, F.col("l_quantity")).otherwise(0.0)).cast("bigint").alias("positive"),
                    F.sum(F.when(returned, F.col("l_quantity")).otherwise(0.0)).cast("bigint").alias("negative"),
-                   F.min_by("l_shipdate", F.struct("l_orderkey", "l_linenumber"))
+                   F.min_by("l_shipdate", F.struct("l_orderkey", "l_linenumber", "l_shipdate"))
                     .cast("date").alias("release_date")))
 
 
@@ -58,7 +58,7 @@ PART_STATS_SQL = """part_stats AS (
          CAST(SUM(l_quantity) AS BIGINT) AS total,
          CAST(SUM(CASE WHEN l_returnflag <> 'R' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS positive,
          CAST(SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS negative,
-         CAST(arg_min(l_shipdate, {'o': l_orderkey, 'l': l_linenumber}) AS DATE) AS release_date
+         CAST(arg_min(l_shipdate, {'o': l_orderkey, 'l': l_linenumber, 's': l_shipdate}) AS DATE) AS release_date
   FROM lineitem GROUP BY l_partkey
 )"""
 
