@@ -1,3 +1,213 @@
-"""q_reports queries."""
+"""Sources/sinks round trip, catalogue summary, briefing, report table and
+table shapes.
+
+The briefing and the report table are compositions of other registered
+queries; their SQL twins are compositions of those queries' SQL (each used
+as a derived table).
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalink import config as C
+from catalink.functions import expressions as X
+from catalink.operators import matching as M
+from catalink.plans import standin as S
+from catalink.plans.registry import ORACLE, QUERIES, query, r6
+from catalink.sources import readers as R
+from catalink.sources import sinks as K
+
+_DOC_COLS = ["doc_id", "text", "lang", "source"]
+
+
+@query("csv_roundtrip", """
+SELECT doc_id, lang, source, CAST(length(text) AS BIGINT) AS text_len, md5(text) AS text_md5 FROM documents""")
+def csv_roundtrip(spark, d):
+    """documents -> CSV (escaped quotes, multi-line text) -> text reader with
+    required columns and keep-first -> landed as Parquet -> typed reload."""
+    docs = S.read(spark, d, "documents").select(*_DOC_COLS)
+    csv_dir = K.scratch_path(spark, "csv")
+    K.write_table(docs, csv_dir, fmt="csv")
+    back = R.read_required(spark, csv_dir, _DOC_COLS, ["doc_id", "text"])
+    typed = back.select(X.safe_long("doc_id").alias("doc_id"), "text", "lang", "source")
+    pq_dir = K.scratch_path(spark, "landed")
+    R.land_parquet(typed, pq_dir)
+    out = R.read_parquet(spark, pq_dir)
+    return out.select("doc_id", "lang", "source", F.length("text").cast("bigint").alias("text_len"),
+                      F.md5("text").alias("text_md5"))
+
+
+def _summary_spark(spark, d):
+    from catalink.operators.joins import existence_flag
+    from catalink.plans.q_cleaning import _price_fill
+    from catalink.plans.q_matching import flagged
+    g = existence_flag(_price_fill(spark, d), S.promo_ids(spark, d), "app_id", "has_flag")
+    f = flagged(spark, d)
+    n_any = f.agg(F.count(F.lit(1))).scalar()
+    n_clean = f.agg(F.count_if(~F.col("flag_any"))).scalar()
+    free = F.col("is_free") == 1
+    paid = F.col("is_free") == 0
+    items = [
+        ("Total games", F.count(F.lit(1))),
+        ("Games with release date", F.count("release_date")),
+        ("Free-to-play games", F.count_if(free)),
+        ("Paid games (price known)", F.count_if(~F.col("price_unknown") & paid)),
+        ("Paid games (price unknown)", F.count_if(F.col("price_unknown") & paid)),
+        ("Games with flagged attribute", F.count_if(F.col("has_flag"))),
+    ]
+    row = g.agg(*[e.alias(f"_c{i}") for i, (_, e) in enumerate(items)])
+    structs = [F.struct(F.lit(i + 1).alias("item"), F.lit(n).alias("metric"),
+                        F.col(f"_c{i}").cast("bigint").alias("value")) for i, (n, _) in enumerate(items)]
+    structs += [F.struct(F.lit(len(items) + 1).alias("item"), F.lit("Matched (any)").alias("metric"),
+                         n_any.cast("bigint").alias("value")),
+                F.struct(F.lit(len(items) + 2).alias("item"), F.lit("Matched (clean only)").alias("metric"),
+                         n_clean.cast("bigint").alias("value"))]
+    return row.select(F.inline(F.array(*structs)))
+
+
+def _summary_sql() -> str:
+    from catalink.plans.q_cleaning import _PRICE_FILL_SQL
+    from catalink.plans.q_matching import _MATCH_CTES
+    ctes = S.with_ctes(*_MATCH_CTES, *S.STAR_SQL, S.GENRES_SQL, S.PROMO_SQL, _PRICE_FILL_SQL,
+                       """gs AS (SELECT pf.*, g.release_date, pf.app_id IN (SELECT app_id FROM promo_ids) AS has_flag,
+                                 pf.price_filled IS NULL AS price_unknown
+                          FROM pf JOIN games g ON pf.app_id = g.app_id)""")
+    items = [
+        ("Total games", "(SELECT COUNT(*) FROM gs)"),
+        ("Games with release date", "(SELECT COUNT(release_date) FROM gs)"),
+        ("Free-to-play games", "(SELECT COUNT(CASE WHEN is_free = 1 THEN 1 END) FROM gs)"),
+        ("Paid games (price known)", "(SELECT COUNT(CASE WHEN NOT price_unknown AND is_free = 0 THEN 1 END) FROM gs)"),
+        ("Paid games (price unknown)", "(SELECT COUNT(CASE WHEN price_unknown AND is_free = 0 THEN 1 END) FROM gs)"),
+        ("Games with flagged attribute", "(SELECT COUNT(CASE WHEN has_flag THEN 1 END) FROM gs)"),
+        ("Matched (any)", "(SELECT COUNT(*) FROM flagged)"),
+        ("Matched (clean only)",
+         "(SELECT COUNT(CASE WHEN NOT (flag_version_mismatch OR flag_low_score) THEN 1 END) FROM flagged)"),
+    ]
+    return ctes + " UNION ALL ".join(
+        f"SELECT CAST({i + 1} AS INTEGER) AS item, '{n}' AS metric, CAST({v} AS BIGINT) AS value"
+        for i, (n, v) in enumerate(items))
+
+
+@query("catalogue_summary", _summary_sql())
+def catalogue_summary(spark, d):
+    return _summary_spark(spark, d)
+
+
+# --- briefing -------------------------------------------------------------------------
+
+# (section, source query, rank expr, label column, metric column, filter) -- each
+# row of the source becomes one briefing line per metric.
+_BRIEF = [
+    ("sample", "funnel", "step", "stage", ["rows"], None),
+    ("correlation", "pearson", "1", "x", ["pearson"], "x = 'player_ratio_100'"),
+    ("correlation", "spearman", "2", "x", ["spearman"], "x = 'player_ratio_100'"),
+    ("quadrants", "quadrant_summary", "rank", "quadrant", ["count", "pct"], None),
+    ("top_underrated", "top_underrated", "rank", "short_name",
+     ["player_ratio_100", "critic_norm", "divergence_ratio"], "rank <= 3"),
+    ("top_overrated", "top_overrated", "rank", "short_name",
+     ["player_ratio_100", "critic_norm", "divergence_ratio"], "rank <= 3"),
+    ("price_buckets", "price_buckets", "rank", "price_bucket", ["mean", "median", "n_games"], None),
+    ("free_vs_paid", "free_vs_paid", "1", "type", ["mean"], None),
+    ("peak_years", "extreme_years", "1", "extreme", ["release_year", "mean_div", "n_games"], None),
+    ("volume", "pearson", "1", "x", ["pearson"], "x = 'abs_div'"),
+    ("volume", "spearman", "2", "x", ["spearman"], "x = 'abs_div'"),
+]
+# top / bottom three of a ranked slice
+_BRIEF_ENDS = [("genres", "slice_by_genre", "genre"), ("publishers", "entity_publisher", "publisher")]
+
+
+def _brief_sql() -> str:
+    parts = []
+    for section, src, rank, label, metrics, where in _BRIEF:
+        w = f" WHERE {where}" if where else ""
+        for m in metrics:
+            parts.append(f"SELECT '{section}' AS section, CAST({rank} AS INTEGER) AS rank, "
+                         f"CAST({label} AS VARCHAR) AS label, '{m}' AS metric, "
+                         f"ROUND(CAST({m} AS DOUBLE), 6) AS value FROM ({ORACLE[src]}) t{w}")
+    for section, src, key in _BRIEF_ENDS:
+        for side, direction in (("top", "DESC"), ("bottom", "ASC")):
+            for m in ("mean_div", "n_games"):
+                parts.append(
+                    f"SELECT '{section}_{side}' AS section, CAST(rk AS INTEGER) AS rank, {key} AS label, "
+                    f"'{m}' AS metric, ROUND(CAST({m} AS DOUBLE), 6) AS value FROM ("
+                    f"SELECT *, ROW_NUMBER() OVER (ORDER BY mean_div {direction}, {key}) AS rk "
+                    f"FROM ({ORACLE[src]}) s) t WHERE rk <= 3")
+    parts.append(f"""SELECT 'consensus' AS section, 1 AS rank, 'Q1+Q4' AS label, 'pct' AS metric,
+       ROUND(CAST(SUM(CASE WHEN quadrant IN ('{C.QUADRANTS[0]}', '{C.QUADRANTS[3]}') THEN count ELSE 0 END) AS DOUBLE)
+             * 100 / SUM(count), 6) AS value FROM ({ORACLE['quadrant_summary']}) t""")
+    return " UNION ALL ".join(parts)
+
+
+def _brief_spark(spark, d):
+    from pyspark.sql import Window
+    out = None
+
+    def add(df):
+        nonlocal out
+        out = df if out is None else out.unionByName(df)
+
+    for section, src, rank, label, metrics, where in _BRIEF:
+        base = QUERIES[src](spark, d)
+        if where:
+            base = base.where(where)
+        for m in metrics:
+            add(base.select(F.lit(section).alias("section"), F.expr(rank).cast("int").alias("rank"),
+                            F.col(label).cast("string").alias("label"), F.lit(m).alias("metric"),
+                            r6(F.col(m), "value")))
+    for section, src, key in _BRIEF_ENDS:
+        for side, desc in (("top", True), ("bottom", False)):
+            order = [F.desc("mean_div") if desc else F.asc("mean_div"), F.asc(key)]
+            ranked = (QUERIES[src](spark, d).orderBy(*order).limit(3)
+                      .withColumn("rk", F.row_number().over(Window.orderBy(*order))))
+            for m in ("mean_div", "n_games"):
+                add(ranked.select(F.lit(f"{section}_{side}").alias("section"), F.col("rk").cast("int").alias("rank"),
+                                  F.col(key).alias("label"), F.lit(m).alias("metric"), r6(F.col(m), "value")))
+    quad = QUERIES["quadrant_summary"](spark, d)
+    agree = F.sum(F.when(F.col("quadrant").isin(C.QUADRANTS[0], C.QUADRANTS[3]), F.col("count")).otherwise(0))
+    add(quad.agg((agree.cast("double") * 100 / F.sum("count")).alias("v"))
+            .select(F.lit("consensus").alias("section"), F.lit(1).alias("rank"), F.lit("Q1+Q4").alias("label"),
+                    F.lit("pct").alias("metric"), r6(F.col("v"), "value")))
+    return out
+
+
+@query("briefing", None)
+def briefing(spark, d):
+    return _brief_spark(spark, d)
+
+
+# --- report table and shapes -------------------------------------------------------------
+
+_REPORTS = ["quality_long", "quality_reviews", "match_quality"]
+
+
+@query("report_table", None)
+def report_table(spark, d):
+    """Several report frames as one long table, written to a sink and read back."""
+    out = None
+    for name in _REPORTS:
+        part = QUERIES[name](spark, d).select(F.lit(name).alias("report"), "item", "section", "metric", "value")
+        out = part if out is None else out.unionByName(part)
+    path = K.scratch_path(spark, "report")
+    K.write_report(out, path)
+    return spark.read.parquet(path)
+
+
+_TABLE_COLS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6,
+               "lineitem": 11, "events": 6, "documents": 5, "embeddings": 3, "pages": 3,
+               "benchmark": 2, "labels": 3, "conversations": 4}
+
+
+@query("table_shapes", " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", COUNT(*) AS rows, CAST({n} AS BIGINT) AS columns FROM {t}"
+    for t, n in _TABLE_COLS.items()))
+def table_shapes(spark, d):
+    return K.table_shapes({t: S.read(spark, d, t) for t in _TABLE_COLS})
+
+
+def _late_sql():
+    """Register SQL twins that compose other queries' SQL (all modules loaded)."""
+    ORACLE["briefing"] = _brief_sql()
+    ORACLE["report_table"] = " UNION ALL ".join(
+        f"SELECT '{n}' AS report, item, section, metric, value FROM ({ORACLE[n]}) t{i}"
+        for i, n in enumerate(_REPORTS))

@@ -52,3 +52,4 @@ def load_all() -> None:
         q_reports,
         q_stats,
     )
+    q_reports._late_sql()
