@@ -17,13 +17,10 @@ from catalink import config as C
 
 ColumnOrName = Column | str
 
-# Unicode blanks: separators, ASCII whitespace and the C0/C1 blanks Python's
-# ``str.strip`` also removes.
-_BLANK = r"[\p{Z}\s\x1c-\x1f\x85]"
-_EDGE_BLANKS = rf"^{_BLANK}+|{_BLANK}+$"
-# Decimal text as pandas' ``to_numeric`` reads it (no Java suffixes like 12d).
-_NUMBER_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_INTEGER_RE = r"^[+-]?\d+$"
+# Blank characters stripped from both ends: exactly the characters Python's
+# ``str.isspace`` accepts (generated by rule, in code-point order).
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+_JAVA_SUFFIX = ("d", "D", "f", "F")
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -33,8 +30,10 @@ def _col(c: ColumnOrName) -> Column:
 # --- text -------------------------------------------------------------------
 
 def strip(c: ColumnOrName) -> Column:
-    """Strip leading/trailing Unicode blanks (plain ``trim`` keeps U+00A0)."""
-    return F.regexp_replace(_col(c), _EDGE_BLANKS, "")
+    """Strip leading/trailing Unicode blanks (plain ``trim`` keeps U+00A0).
+
+    A character-set trim, not a regex: it is on the hot path of every cleaner."""
+    return F.btrim(_col(c), F.lit(BLANKS))
 
 
 def normalize_whitespace(c: ColumnOrName) -> Column:
@@ -48,6 +47,11 @@ def missing_to_null(c: ColumnOrName, tokens: Sequence[str] = C.MISSING_TOKENS) -
     return F.when(~s.isin(*tokens), s)
 
 
+def nullable_double(c: ColumnOrName, tokens: Sequence[str] = C.MISSING_TOKENS) -> Column:
+    """Missing tokens to null, then a safe double parse (one strip)."""
+    return parse_double(missing_to_null(c, tokens))
+
+
 def is_non_ascii(c: ColumnOrName) -> Column:
     return _col(c).rlike(r"[^\x00-\x7F]")
 
@@ -68,29 +72,39 @@ def sorted_set_joined(c: ColumnOrName, sep: str = "|") -> Column:
 
 # --- numbers ----------------------------------------------------------------
 
+def parse_double(s: Column) -> Column:
+    """Stripped text to double: ``try_cast``, minus the Java-only float
+    suffixes (``12d``, ``12f``) pandas rejects; NaN reads as null."""
+    d = F.when(~F.right(s, F.lit(1)).isin(*_JAVA_SUFFIX), s.try_cast("double"))
+    return F.when(~F.isnan(d), d)
+
+
 def safe_double(c: ColumnOrName) -> Column:
     """Text to double; anything pandas would not parse becomes null."""
-    s = strip(_col(c).cast("string"))
-    return F.when(s.rlike(_NUMBER_RE), s.try_cast("double"))
+    return parse_double(strip(_col(c).cast("string")))
+
+
+def parse_long(s: Column) -> Column:
+    """Stripped text to bigint: integer text directly, else an integral number
+    (``1e3``, ``3.0``); non-integral or unparsable values become null."""
+    d = parse_double(s)
+    integral = (d == F.floor(d)) & (F.abs(d) < F.lit(9.2e18))
+    return F.coalesce(s.try_cast("bigint"), F.when(integral, d.cast("bigint")))
 
 
 def safe_long(c: ColumnOrName) -> Column:
     """Text to nullable bigint; non-integral or unparsable values become null."""
-    s = strip(_col(c).cast("string"))
-    d = safe_double(s)
-    integral = (d == F.floor(d)) & (F.abs(d) < F.lit(9.2e18))
-    return (F.when(s.rlike(_INTEGER_RE), s.try_cast("bigint"))
-             .when(integral, d.cast("bigint")))
+    return parse_long(strip(_col(c).cast("string")))
 
 
 def nullable_long(c: ColumnOrName, tokens: Sequence[str] = C.MISSING_TOKENS) -> Column:
-    """Missing tokens to null, then a safe bigint cast."""
-    return safe_long(missing_to_null(c, tokens))
+    """Missing tokens to null, then a safe bigint cast (one strip)."""
+    return parse_long(missing_to_null(c, tokens))
 
 
 def cents_to_price(c: ColumnOrName) -> Column:
     """Integer cents text to currency with two decimals (half to even)."""
-    cents = safe_double(missing_to_null(c, C.PRICE_MISSING_TOKENS))
+    cents = parse_double(missing_to_null(c, C.PRICE_MISSING_TOKENS))
     return F.bround(cents / F.lit(100.0), 2)
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+from catalink.functions.expressions import BLANKS
+
 _BLANKS = r"[\s\p{Z}]+"
 
 
@@ -24,7 +26,7 @@ def _col(c):
 
 def words(c) -> Column:
     """Blank-separated words of a text (no empty tokens)."""
-    trimmed = F.regexp_replace(_col(c), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    trimmed = F.btrim(_col(c), F.lit(BLANKS))
     return F.filter(F.split(trimmed, _BLANKS), lambda w: F.length(w) > 0)
 
 

@@ -19,8 +19,8 @@ from catalink.functions.expressions import (
     cents_to_price,
     missing_to_null,
     normalize_whitespace,
-    safe_double,
-    safe_long,
+    nullable_double,
+    nullable_long,
 )
 from catalink.operators.dedupe import distinct_pairs, keep_first
 from catalink.operators.ranking import sort_rows
@@ -51,9 +51,9 @@ def clean_wide(df: DataFrame, key: str, keep: Sequence[str] | None = None,
     exprs = []
     for c in cols:
         if c in longs:
-            exprs.append(safe_long(missing_to_null(c, tokens)).alias(c))
+            exprs.append(nullable_long(c, tokens).alias(c))
         elif c in doubles:
-            exprs.append(safe_double(missing_to_null(c, tokens)).alias(c))
+            exprs.append(nullable_double(c, tokens).alias(c))
         elif c in prices:
             exprs.append(cents_to_price(c).alias(c))
         elif c == "_seq":

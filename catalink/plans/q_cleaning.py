@@ -301,7 +301,7 @@ def clean_wide_frame(raw):
         X.nullable_long("l_orderkey").alias("l_orderkey"),
         X.nullable_long("l_linenumber").alias("l_linenumber"),
         X.nullable_long("l_quantity").alias("l_quantity"),
-        X.safe_double(X.missing_to_null("l_discount")).alias("l_discount"),
+        X.nullable_double("l_discount").alias("l_discount"),
         X.missing_to_null("l_returnflag").alias("l_returnflag"),
         X.missing_to_null("l_linestatus").alias("l_linestatus"))
     # (order, line) repeats in the data: order by the whole row so "first" is unique

@@ -16,6 +16,7 @@ from catalink.functions import expressions as X
 from catalink.functions.text import char_wb_ngrams, token_sort_ratio
 from catalink.operators import matching as M
 from catalink.operators.aggregates import quantiles
+from catalink.plans import sqlfrag as Q
 from catalink.plans import standin as S
 from catalink.plans.registry import query, r6
 
@@ -51,12 +52,11 @@ _NUM = r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
 
 
 def _safe_double_sql(x: str) -> str:
-    s = f"regexp_replace(CAST({x} AS VARCHAR), '{_EDGE}', '', 'g')"
-    return f"CASE WHEN regexp_full_match({s}, '{_NUM}') THEN TRY_CAST({s} AS DOUBLE) END"
+    return Q.safe_double(x)
 
 
 def _words_sql(x: str) -> str:
-    return (f"list_filter(string_split_regex(regexp_replace({x}, '{_EDGE}', '', 'g'), '{_BL}'), "
+    return (f"list_filter(string_split_regex({Q.strip(x)}, '{_BL}'), "
             f"lambda w: length(w) > 0)")
 
 

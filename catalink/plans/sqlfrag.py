@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from catalink import config as C
+from catalink.functions.expressions import BLANKS
 
 _BLANK = r"[\p{Z}\s\x1c-\x1f\x85]"
 _NUM = r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
@@ -17,7 +18,7 @@ def q(s: str) -> str:
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace(CAST({x} AS VARCHAR), '^{_BLANK}+|{_BLANK}+$', '', 'g')"
+    return f"trim(CAST({x} AS VARCHAR), {q(BLANKS)})"
 
 
 def normalize_ws(x: str) -> str:
