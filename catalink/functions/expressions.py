@@ -72,11 +72,29 @@ def sorted_set_joined(c: ColumnOrName, sep: str = "|") -> Column:
 
 # --- numbers ----------------------------------------------------------------
 
+def parse_double_raw(s: Column) -> Column:
+    """Stripped text to double with ``try_cast``, minus the Java-only float
+    suffixes (``12d``, ``12f``) pandas rejects.  NaN is still possible."""
+    return F.when(~F.right(s, F.lit(1)).isin(*_JAVA_SUFFIX), s.try_cast("double"))
+
+
+def nan_to_null(d: Column) -> Column:
+    return F.nanvl(d, F.lit(None).cast("double"))
+
+
 def parse_double(s: Column) -> Column:
-    """Stripped text to double: ``try_cast``, minus the Java-only float
-    suffixes (``12d``, ``12f``) pandas rejects; NaN reads as null."""
-    d = F.when(~F.right(s, F.lit(1)).isin(*_JAVA_SUFFIX), s.try_cast("double"))
-    return F.when(~F.isnan(d), d)
+    """Stripped text to double; NaN reads as null."""
+    return nan_to_null(parse_double_raw(s))
+
+
+def long_from_double(d: Column, s: Column) -> Column:
+    """Integral double -> bigint (exact below 2**53); larger integral values
+    take the exact string -> bigint cast.  Pass column references: ``d`` is
+    used several times."""
+    integral = (d == F.floor(d)) & (F.abs(d) < F.lit(9.2e18))
+    exact = F.abs(d) < F.lit(float(2 ** 53))
+    return (F.when(integral & exact, d.cast("bigint"))
+             .when(integral, F.coalesce(s.try_cast("bigint"), d.cast("bigint"))))
 
 
 def safe_double(c: ColumnOrName) -> Column:
@@ -85,11 +103,13 @@ def safe_double(c: ColumnOrName) -> Column:
 
 
 def parse_long(s: Column) -> Column:
-    """Stripped text to bigint: integer text directly, else an integral number
-    (``1e3``, ``3.0``); non-integral or unparsable values become null."""
-    d = parse_double(s)
-    integral = (d == F.floor(d)) & (F.abs(d) < F.lit(9.2e18))
-    return F.coalesce(s.try_cast("bigint"), F.when(integral, d.cast("bigint")))
+    """Stripped text to bigint; non-integral or unparsable values become null.
+
+    Parses as a double first (exact for integers below 2**53, and no failed
+    cast per row: a failing ``try_cast`` costs an exception).  For large
+    frames use ``typed_columns`` in ``operators.cleaning``, which stages the
+    parse so each intermediate is computed once."""
+    return long_from_double(parse_double(s), s)
 
 
 def safe_long(c: ColumnOrName) -> Column:

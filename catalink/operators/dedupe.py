@@ -20,17 +20,20 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     Null keys: dropped by default; otherwise rows with a null key form one
     group, as pandas' ``drop_duplicates`` treats NaN keys as equal.
     """
+    cols = df.columns
+    payload = F.struct(*[F.col(c) for c in cols])
+    ordering = F.struct(*[F.col(c) for c in order])
+    first = df.groupBy(*keys).agg(F.min_by(payload, ordering).alias("_row"))
     if drop_null_key:
+        # Filter on the aggregate's payload, not on the grouping key: a key
+        # filter would be pushed below the aggregate and re-expand the
+        # key's whole derivation (e.g. staged parsing) inside the Filter.
         cond = None
         for k in keys:
-            c = F.col(k).isNotNull()
+            c = F.col("_row")[k].isNotNull()
             cond = c if cond is None else cond & c
-        df = df.where(cond)
-    cols = df.columns
-    payload = F.struct(*[F.col(c) for c in cols])
-    ordering = F.struct(*[F.col(c) for c in order])
-    return (df.groupBy(*keys).agg(F.min_by(payload, ordering).alias("_row"))
-              .select(*[F.col("_row")[c].alias(c) for c in cols]))
+        first = first.where(cond)
+    return first.select(*[F.col("_row")[c].alias(c) for c in cols])
 
 
 def distinct_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:

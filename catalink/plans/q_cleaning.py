@@ -295,16 +295,8 @@ def clean_wide(spark, d):
 
 def clean_wide_frame(raw):
     """Wide cleaner: drop columns, tokens to null, typed numbers, keep first per key, sort."""
-    from catalink.operators.ranking import sort_rows
-    kept = raw.drop("l_tax")
-    typed = kept.select(
-        X.nullable_long("l_orderkey").alias("l_orderkey"),
-        X.nullable_long("l_linenumber").alias("l_linenumber"),
-        X.nullable_long("l_quantity").alias("l_quantity"),
-        X.nullable_double("l_discount").alias("l_discount"),
-        X.missing_to_null("l_returnflag").alias("l_returnflag"),
-        X.missing_to_null("l_linestatus").alias("l_linestatus"))
+    from catalink.operators.cleaning import clean_wide as clean
     # (order, line) repeats in the data: order by the whole row so "first" is unique
-    first = D.keep_first(typed, ["l_orderkey"], ["l_linenumber", "l_quantity", "l_discount",
-                                                 "l_returnflag", "l_linestatus"])
-    return sort_rows(first, [("l_orderkey", False)])
+    return clean(raw, "l_orderkey", drop=["l_tax"], longs=["l_orderkey", "l_linenumber", "l_quantity"],
+                 doubles=["l_discount"],
+                 order=["l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus"])
