@@ -170,8 +170,9 @@ def safe_corr(x: str, y: str) -> Column:
     """Pearson over pairwise-complete rows; null (not an error) when a side is constant."""
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     xs, ys = F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double"))
-    ok = (F.var_pop(xs) > 0) & (F.var_pop(ys) > 0)
-    return F.when(ok, F.corr(xs, ys))
+    # ``corr`` itself raises DIVIDE_BY_ZERO under ANSI on a constant column,
+    # even behind a ``when``; the moment form divides with try_divide.
+    return F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
 
 
 def pearson(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

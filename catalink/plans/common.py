@@ -3,19 +3,50 @@ stand-in star, in Spark and as SQL."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from catalink import config as C
 from catalink.operators.metrics import divergence_core
 from catalink.plans import standin as S
+from catalink.session import cut_lineage
 
 CFG = S.STANDIN_CONFIG
 
 
-def core(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Inputs shared by the parts of a composite query: built once, lineage cut
+# with a reliable checkpoint in the cluster's checkpoint folder, reused.
+_SHARED: dict[tuple[str, str], DataFrame] = {}
+
+
+@contextmanager
+def shared(spark: SparkSession, sf_dir: str, name: str, builder):
+    """Within the block, ``shared_get(name, sf_dir)`` returns one checkpointed copy."""
+    key = (name, sf_dir)
+    if key in _SHARED:  # already shared by an enclosing composite
+        yield _SHARED[key]
+        return
+    _SHARED[key] = cut_lineage(builder(spark, sf_dir))
+    try:
+        yield _SHARED[key]
+    finally:
+        _SHARED.pop(key, None)
+
+
+def shared_get(name: str, sf_dir: str) -> DataFrame | None:
+    return _SHARED.get((name, sf_dir))
+
+
+def build_core(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_core(S.reviews(spark, sf_dir), S.games(spark, sf_dir), CFG)
 
 
+def core(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cached = shared_get("core", sf_dir)
+    return cached if cached is not None else build_core(spark, sf_dir)
+
+
 def _quadrant_sql(pr: str, cn: str) -> str:
     p_ok = f"COALESCE({pr} >= {CFG.player_love_threshold}, false)"
     c_ok = f"COALESCE({cn} >= {CFG.critic_love_threshold}, false)"

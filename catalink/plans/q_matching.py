@@ -18,6 +18,7 @@ from catalink.operators import matching as M
 from catalink.operators.aggregates import quantiles
 from catalink.plans import sqlfrag as Q
 from catalink.plans import standin as S
+from catalink.plans.common import shared, shared_get
 from catalink.plans.registry import query, r6
 
 THRESHOLD = 70
@@ -32,10 +33,15 @@ def rollup(spark, d):
     return M.title_rollup(S.sales_rows(spark, d))
 
 
-def scored(spark, d):
+def build_scored(spark, d):
     return M.fuzzy_match(S.match_queries(spark, d), rollup(spark, d))
 
 
+def scored(spark, d):
+    cached = shared_get("scored", d)
+    return cached if cached is not None else build_scored(spark, d)
+
+
 def matched(spark, d):
     return M.matched_table(scored(spark, d), rollup(spark, d), THRESHOLD)
 
@@ -268,11 +274,12 @@ _SUMMARY_ITEMS = (
     for i, (sec, m, v) in enumerate(_SUMMARY_ITEMS)))
 def match_quality(spark, d):
     from catalink.operators.dedupe import keep_first
-    q = keep_first(S.match_queries(spark, d), ["name"], ["app_id"])
-    roll = rollup(spark, d)
-    out = M.match_summary(q.agg(F.count(F.lit(1))).scalar(), roll.agg(F.count(F.lit(1))).scalar(),
-                          scored(spark, d), matched(spark, d), THRESHOLD)
-    return out.select("item", "section", "metric", r6("value"))
+    with shared(spark, d, "scored", build_scored):
+        q = keep_first(S.match_queries(spark, d), ["name"], ["app_id"])
+        roll = rollup(spark, d)
+        out = M.match_summary(q.agg(F.count(F.lit(1))).scalar(), roll.agg(F.count(F.lit(1))).scalar(),
+                              scored(spark, d), matched(spark, d), THRESHOLD)
+        return out.select("item", "section", "metric", r6("value"))
 
 
 @query("match_review_queue", MATCH_WITH + f"""
@@ -286,6 +293,11 @@ SELECT 'near_miss', * FROM (SELECT app_id, name, matched_sales_name, ROUND(vg_ma
   FROM scored WHERE vg_match_score >= {THRESHOLD - C.NEAR_MISS_WIDTH} AND vg_match_score < {THRESHOLD}
   ORDER BY vg_match_score DESC, app_id LIMIT 15) c""")
 def match_review_queue(spark, d):
+    with shared(spark, d, "scored", build_scored):
+        return _review_queue(spark, d)
+
+
+def _review_queue(spark, d):
     m, s = matched(spark, d), scored(spark, d)
     low = (m.where(F.col("vg_match_score") < LOW_PASS_BELOW)
             .orderBy("vg_match_score", "app_id").limit(15)

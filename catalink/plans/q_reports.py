@@ -14,6 +14,7 @@ from catalink import config as C
 from catalink.functions import expressions as X
 from catalink.operators import matching as M
 from catalink.plans import standin as S
+from catalink.plans.common import build_core, shared
 from catalink.plans.registry import ORACLE, QUERIES, query, r6
 from catalink.sources import readers as R
 from catalink.sources import sinks as K
@@ -91,7 +92,9 @@ def _summary_sql() -> str:
 
 @query("catalogue_summary", _summary_sql())
 def catalogue_summary(spark, d):
-    return _summary_spark(spark, d)
+    from catalink.plans.q_matching import build_scored
+    with shared(spark, d, "scored", build_scored):
+        return _summary_spark(spark, d)
 
 
 # --- briefing -------------------------------------------------------------------------
@@ -173,7 +176,8 @@ def _brief_spark(spark, d):
 
 @query("briefing", None)
 def briefing(spark, d):
-    return _brief_spark(spark, d)
+    with shared(spark, d, "core", build_core):
+        return _brief_spark(spark, d)
 
 
 # --- report table and shapes -------------------------------------------------------------
@@ -184,10 +188,12 @@ _REPORTS = ["quality_long", "quality_reviews", "match_quality"]
 @query("report_table", None)
 def report_table(spark, d):
     """Several report frames as one long table, written to a sink and read back."""
+    from catalink.plans.q_matching import build_scored
     out = None
-    for name in _REPORTS:
-        part = QUERIES[name](spark, d).select(F.lit(name).alias("report"), "item", "section", "metric", "value")
-        out = part if out is None else out.unionByName(part)
+    with shared(spark, d, "scored", build_scored):
+        for name in _REPORTS:
+            part = QUERIES[name](spark, d).select(F.lit(name).alias("report"), "item", "section", "metric", "value")
+            out = part if out is None else out.unionByName(part)
     path = K.scratch_path(spark, "report")
     K.write_report(out, path)
     return spark.read.parquet(path)
