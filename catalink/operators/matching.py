@@ -119,20 +119,33 @@ def top1_cosine(query_w: DataFrame, cand_w: DataFrame, query_id: str, cand_id: s
 def fuzzy_match(queries: DataFrame, candidates: DataFrame, query_name: str = "name",
                 cand_name: str = "Name", dedupe_key: str | None = "name",
                 dedupe_order: str = "app_id", casefold: bool = False,
-                salt_rows: int = 5000) -> DataFrame:
+                salt_rows: int = 5000, materialize: bool | None = None) -> DataFrame:
     """Every query row with its nearest candidate title, cosine distance and
     token-sort score (``vg_match_score``, 0-100).
 
     ``dedupe_key``: keep the first query row per key first (as written the
     titles are deduplicated on the name); None keeps every row.
+    ``materialize``: the deduplicated queries and the candidate titles are
+    each used several times (document count, document frequency, weights,
+    final join).  True writes them once as tables under the checkpoint
+    folder, False recomputes, None (default) decides from the optimizer's
+    size estimate (``session.reuse``).
     """
+    from catalink.session import cut_lineage, reuse
+
     if dedupe_key:
         queries = keep_first(queries, [dedupe_key], [dedupe_order])
     queries = queries.where(F.col(query_name).isNotNull())
-    titles = queries.select(F.col(query_name).alias("_qt")).distinct()
     cands = candidates.select(F.col(cand_name).alias("_ct")).where(F.col("_ct").isNotNull())
+    if materialize:
+        queries, cands = cut_lineage(queries, "queries"), cut_lineage(cands, "candidates")
+    elif materialize is None:
+        queries, cands = reuse(queries, "queries"), reuse(cands, "candidates")
+    # every candidate document counts, also one without any n-gram
+    n_docs = cands.agg(F.count(F.lit(1))).scalar()
     cand_counts = ngram_counts(cands, "_ct", "_ct")
-    idf = idf_table(cand_counts, cands.agg(F.count(F.lit(1))).scalar())
+    titles = queries.select(F.col(query_name).alias("_qt")).distinct()
+    idf = idf_table(cand_counts, n_docs)
     cand_w = tfidf_weights(cand_counts, idf, "_ct")
     query_w = tfidf_weights(ngram_counts(titles, "_qt", "_qt"), idf, "_qt")
     best = top1_cosine(query_w, cand_w, "_qt", "_ct", salt_rows=salt_rows)

@@ -15,19 +15,20 @@ from catalink.session import cut_lineage
 CFG = S.STANDIN_CONFIG
 
 
-# Inputs shared by the parts of a composite query: built once, lineage cut
-# with a reliable checkpoint in the cluster's checkpoint folder, reused.
+# Inputs shared by the parts of a composite query: built once, written as a
+# table under the cluster's checkpoint folder (lineage cut), read many times.
 _SHARED: dict[tuple[str, str], DataFrame] = {}
 
 
 @contextmanager
 def shared(spark: SparkSession, sf_dir: str, name: str, builder):
-    """Within the block, ``shared_get(name, sf_dir)`` returns one checkpointed copy."""
+    """Within the block, ``shared_get(name, sf_dir)`` returns the one materialised copy."""
     key = (name, sf_dir)
     if key in _SHARED:  # already shared by an enclosing composite
         yield _SHARED[key]
         return
-    _SHARED[key] = cut_lineage(builder(spark, sf_dir))
+    # composites read the input many times: always write it once
+    _SHARED[key] = cut_lineage(builder(spark, sf_dir), name)
     try:
         yield _SHARED[key]
     finally:
