@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from catalink import config as C
 from catalink.functions.expressions import strip
+from catalink.operators.quantiles import exact_median, exact_percentiles
 
 
 def _rows_from_struct_array(row_df: DataFrame, items: Sequence[Column]) -> DataFrame:
@@ -103,13 +104,20 @@ def token_profile(df: DataFrame, columns: Sequence[str] | None = None,
     return _rows_from_struct_array(row, items)
 
 
+def _median_scalar(df: DataFrame, col: str, exact: bool = True) -> Column:
+    """Scalar subquery: exact median with bounded memory, or approximate."""
+    if exact:
+        return exact_median(df, col, name="m").select("m").scalar()
+    return df.agg(F.percentile_approx(F.col(col).cast("double"), 0.5, 10000)).scalar()
+
+
 def numeric_ranges(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """Min / median / max per numeric column, nulls skipped, one pass."""
+    """Min / median / max per numeric column, nulls skipped (min/max in one pass)."""
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
-        med = F.median(x) if exact else F.percentile_approx(x, 0.5, 10000)
-        aggs += [F.min(x).alias(f"_lo{i}"), med.alias(f"_md{i}"), F.max(x).alias(f"_hi{i}")]
+        aggs += [F.min(x).alias(f"_lo{i}"), _median_scalar(df, c, exact).alias(f"_md{i}"),
+                 F.max(x).alias(f"_hi{i}")]
     row = df.agg(*aggs)
     items = [F.struct(F.lit(c).alias("column"), F.col(f"_lo{i}").alias("min"),
                       F.col(f"_md{i}").alias("median"), F.col(f"_hi{i}").alias("max"))
@@ -143,10 +151,12 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
+        q = exact_percentiles(df, c, (0.25, 0.5, 0.75))
+        quart = q.agg(F.array(*[F.max(F.when(F.col("prob_index") == j, F.col("value")))
+                                for j in range(3)])).scalar()
         aggs += [F.count(x).alias(f"_n{i}"), F.avg(x).alias(f"_m{i}"),
                  F.stddev_samp(x).alias(f"_s{i}"), F.min(x).alias(f"_lo{i}"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"_q{i}"),
-                 F.max(x).alias(f"_hi{i}")]
+                 quart.alias(f"_q{i}"), F.max(x).alias(f"_hi{i}")]
     row = df.agg(*aggs)
     items = [F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("count"),
                       F.col(f"_m{i}").alias("mean"), F.col(f"_s{i}").alias("std"),
@@ -159,11 +169,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per probability."""
-    arr = df.agg(F.percentile(F.col(col).cast("double"),
-                              F.array(*[F.lit(float(p)) for p in probs])).alias("_q"))
-    items = [F.struct(F.lit(float(p)).alias("prob"), F.get(F.col("_q"), i).alias("value"))
-             for i, p in enumerate(probs)]
-    return _rows_from_struct_array(arr, items)
+    return exact_percentiles(df, col, probs).select("prob", "value")
 
 
 def safe_corr(x: str, y: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalink.functions.expressions import label_rank, width_bin
+from catalink.operators.quantiles import exact_median
 
 
 def binned_mean(df: DataFrame, x: str, y: str, lo: float = 0, hi: float = 100, width: float = 5,
@@ -28,14 +29,11 @@ def bucket_profile(df: DataFrame, label: Column, labels: Sequence[str], metric:
     """Count, mean (and median) of ``metric`` per bucket label, in label order.
 
     Rows whose label is null are dropped (pandas' observed groups)."""
-    aggs = [F.count(metric).alias("n_games"), F.avg(metric).alias("mean")]
+    rows = df.select(label.alias(label_name), F.col(metric)).where(F.col(label_name).isNotNull())
+    out = rows.groupBy(label_name).agg(F.count(metric).alias("n_games"), F.avg(metric).alias("mean"))
     if median:
-        aggs.append(F.median(metric).alias("median"))
-    return (df.select(label.alias(label_name), F.col(metric))
-              .where(F.col(label_name).isNotNull())
-              .groupBy(label_name).agg(*aggs)
-              .withColumn("rank", label_rank(label_name, labels))
-              .orderBy("rank"))
+        out = out.join(exact_median(rows, metric, [label_name], "median"), on=label_name, how="left")
+    return out.withColumn("rank", label_rank(label_name, labels)).orderBy("rank")
 
 
 def crosstab(df: DataFrame, row: str, row_order: Sequence[str], col: Column,

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalink.operators.quantiles import exact_percentile_columns
+
 
 def _range_scalar(df: DataFrame, x: Column) -> Column:
     """One scalar subquery holding (lo, hi); a constant column widens to +-0.5."""
@@ -53,10 +55,7 @@ def box_stats(df: DataFrame, group: str, value: str, whis: float = 1.5) -> DataF
     """Quartiles (linear), whiskers at the last point within ``whis`` IQR, outliers."""
     data = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()) \
              .select(group, F.col(value).cast("double").alias("_v"))
-    q = (data.groupBy(group)
-             .agg(F.percentile("_v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-             .select(group, F.get("_q", 0).alias("q1"), F.get("_q", 1).alias("median"),
-                     F.get("_q", 2).alias("q3")))
+    q = exact_percentile_columns(data, "_v", (0.25, 0.5, 0.75), ("q1", "median", "q3"), [group])
     fences = q.withColumn("_lo", F.col("q1") - whis * (F.col("q3") - F.col("q1"))) \
               .withColumn("_hi", F.col("q3") + whis * (F.col("q3") - F.col("q1")))
     inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalink import config as C
+from catalink.operators.quantiles import exact_median
 
 
 def label_column_name(prefix: str, label: str) -> str:
@@ -17,12 +18,16 @@ def label_column_name(prefix: str, label: str) -> str:
     return prefix + re.sub(r"[^0-9a-z]+", "_", label.lower()).strip("_")
 
 
-def _median(col: str, weight: str | None = None, exact: bool = True):
-    if not exact:
-        return F.percentile_approx(col, 0.5, 10000)
-    if weight is None:
-        return F.median(col)
-    return F.percentile(col, F.lit(0.5), F.col(weight))
+def _with_median(agg: DataFrame, rows: DataFrame, key: str, metric: str, name: str,
+                 exact: bool) -> DataFrame:
+    """Attach a per-key median of ``metric`` over ``rows`` (exact by default,
+    with bounded per-task memory; approximate on request)."""
+    if exact:
+        med = exact_median(rows, metric, [key], name)
+    else:
+        med = rows.where(F.col(key).isNotNull()).groupBy(key).agg(
+            F.percentile_approx(metric, 0.5, 10000).alias(name))
+    return agg.join(med, on=key, how="left")
 
 
 def slice_by_long_table(long_df: DataFrame, entities: DataFrame, key_col: str, min_games: int,
@@ -37,8 +42,9 @@ def slice_by_long_table(long_df: DataFrame, entities: DataFrame, key_col: str, m
 
     Two aggregation levels keep it exact when the long table repeats a pair:
     level 1 groups by (id, value) and keeps the repeat count, level 2 groups by
-    value, weighting mean and median by that count.  After a sort-merge join on
-    the id, level 1 needs no extra shuffle.
+    value, weighting the mean by that count; the median runs over the joined
+    rows with bounded per-task memory.  After a sort-merge join on the id,
+    level 1 needs no extra shuffle; a hot value is reduced map-side.
     """
     joined = (long_df.select(id_col, key_col).where(F.col(key_col).isNotNull())
               .join(entities.select(id_col, metric, label_col), on=id_col, how="inner"))
@@ -52,8 +58,8 @@ def slice_by_long_table(long_df: DataFrame, entities: DataFrame, key_col: str, m
     agg = (per_pair.groupBy(key_col)
            .agg(F.count(F.lit(1)).alias("n_games"),
                 F.try_divide(F.sum(F.col(metric) * F.col("_rows")), F.sum(weighted)).alias("mean_div"),
-                _median(metric, "_rows", exact_median).alias("median_div"),
                 *label_counts))
+    agg = _with_median(agg, joined, key_col, metric, "median_div", exact_median)
     pct_cols = [(F.col(label_column_name("_n_", lbl)) / F.col("n_games") * 100)
                 .alias(label_column_name("pct_", lbl)) for lbl in labels]
     return (agg.where(F.col("n_games") >= min_games)
@@ -66,14 +72,15 @@ def entity_stats(entities: DataFrame, col: str, min_games: int, id_col: str = "a
                  metric: str = "divergence_ratio", player: str = "player_ratio_100",
                  critic: str = "critic_norm", exact_median: bool = True) -> DataFrame:
     """Per entity value: distinct ids, mean/median metric, mean of both yardsticks."""
-    return (entities.where(F.col(col).isNotNull())
-            .groupBy(col)
-            .agg(F.count_distinct(id_col).alias("n_games"),
-                 F.avg(metric).alias("mean_div"),
-                 _median(metric, None, exact_median).alias("median_div"),
-                 F.avg(player).alias("mean_player"),
-                 F.avg(critic).alias("mean_critic"))
-            .where(F.col("n_games") >= min_games))
+    rows = entities.where(F.col(col).isNotNull())
+    agg = (rows.groupBy(col)
+               .agg(F.count_distinct(id_col).alias("n_games"),
+                    F.avg(metric).alias("mean_div"),
+                    F.avg(player).alias("mean_player"),
+                    F.avg(critic).alias("mean_critic"))
+               .where(F.col("n_games") >= min_games))
+    out = _with_median(agg, rows, col, metric, "median_div", exact_median)
+    return out.select(col, "n_games", "mean_div", "median_div", "mean_player", "mean_critic")
 
 
 def signature_values(long_df: DataFrame, entities: DataFrame, value_col: str,
