@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from catalink import config as C
 from catalink.functions.expressions import strip
-from catalink.operators.quantiles import exact_median, exact_percentiles
+from catalink.operators.quantiles import exact_median, exact_percentiles, in_memory_ok
 
 
 def _rows_from_struct_array(row_df: DataFrame, items: Sequence[Column]) -> DataFrame:
@@ -105,9 +105,12 @@ def token_profile(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def _median_scalar(df: DataFrame, col: str, exact: bool = True) -> Column:
-    """Scalar subquery: exact median with bounded memory, or approximate."""
+    """Median for a one-pass aggregate: inline for small inputs, else a scalar
+    subquery over the bounded-memory method (or approximate on request)."""
+    if exact and in_memory_ok(df):
+        return F.median(F.col(col).cast("double"))
     if exact:
-        return exact_median(df, col, name="m").select("m").scalar()
+        return exact_median(df, col, name="m", method="bracket").select("m").scalar()
     return df.agg(F.percentile_approx(F.col(col).cast("double"), 0.5, 10000)).scalar()
 
 
@@ -148,12 +151,16 @@ def integrity_checks(df: DataFrame, positive: str = "positive", negative: str =
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles (linear), max per column as rows."""
+    small = in_memory_ok(df)
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
-        q = exact_percentiles(df, c, (0.25, 0.5, 0.75))
-        quart = q.agg(F.array(*[F.max(F.when(F.col("prob_index") == j, F.col("value")))
-                                for j in range(3)])).scalar()
+        if small:
+            quart = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        else:
+            q = exact_percentiles(df, c, (0.25, 0.5, 0.75), method="bracket")
+            quart = q.agg(F.array(*[F.max(F.when(F.col("prob_index") == j, F.col("value")))
+                                    for j in range(3)])).scalar()
         aggs += [F.count(x).alias(f"_n{i}"), F.avg(x).alias(f"_m{i}"),
                  F.stddev_samp(x).alias(f"_s{i}"), F.min(x).alias(f"_lo{i}"),
                  quart.alias(f"_q{i}"), F.max(x).alias(f"_hi{i}")]
@@ -205,6 +212,8 @@ def average_rank(df: DataFrame, col: str, rank_col: str, n_buckets: int = 64) ->
     from pyspark.sql import Window
 
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    if in_memory_ok(df):  # bounded input: one bucket, no sketch job
+        n_buckets = 1
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = sorted(set(counts.approxQuantile(col, probs, 0.001))) if n_buckets > 1 else []
     bucket = (F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]),

@@ -40,7 +40,7 @@ from catalink.functions.expressions import (
 )
 from catalink.functions.text import char_wb_ngrams, token_sort_ratio
 from catalink.operators.dedupe import keep_first, top_k_per_group
-from catalink.operators.quantiles import exact_percentiles
+from catalink.operators.quantiles import exact_percentiles, in_memory_ok
 
 SIM_DIGITS = 9
 
@@ -229,9 +229,10 @@ def match_summary(queries_n: Column, cand_n: Column, scored: DataFrame, matched:
     row = scored.select(s, score_bucket(s).alias("_b")).agg(
         F.count(F.lit(1)).alias("n_scored"),
         F.min(s).alias("min"),
-        exact_percentiles(scored, "vg_match_score", (0.25, 0.5, 0.75))
-        .agg(F.array(*[F.max(F.when(F.col("prob_index") == j, F.col("value"))) for j in range(3)]))
-        .scalar().alias("_q"),
+        (F.percentile(s, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if in_memory_ok(scored) else
+         exact_percentiles(scored, "vg_match_score", (0.25, 0.5, 0.75), method="bracket")
+         .agg(F.array(*[F.max(F.when(F.col("prob_index") == j, F.col("value"))) for j in range(3)]))
+         .scalar()).alias("_q"),
         F.max(s).alias("max"),
         *[F.count_if(F.col("_b") == b).alias(f"_b{i}") for i, b in enumerate(buckets)])
     games = queries_n.cast("double")

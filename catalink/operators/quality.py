@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from catalink import config as C
 from catalink.functions.expressions import is_non_ascii, strip
-from catalink.operators.quantiles import exact_median
+from catalink.operators.aggregates import _median_scalar
 
 
 def report(base: DataFrame, items: Sequence[tuple[str, str, Column]]) -> DataFrame:
@@ -88,7 +88,7 @@ def merged_report(df: DataFrame, price: str = "price", is_free: str = "is_free",
            [F.count_if(F.col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(cols)]
     p = F.col(price).cast("double") if price in cols else None
     if p is not None:
-        aggs += [F.min(p).alias("_pmin"), exact_median(df, price, name="m").select("m").scalar().alias("_pmed"),
+        aggs += [F.min(p).alias("_pmin"), _median_scalar(df, price).alias("_pmed"),
                  F.max(p).alias("_pmax"),
                  F.count_if(F.coalesce(p, F.lit(-1.0)) > 0).alias("_ppaid"),
                  F.count_if(F.coalesce(p, F.lit(-1.0)) == 0).alias("_pfree"),
@@ -157,7 +157,7 @@ def review_report(raw: DataFrame, clean: DataFrame, numeric: Sequence[str],
     for c in numeric:
         if c in ccols:
             items += [("ranges", f"{c}_min", _scalar(clean, F.min(c))),
-                      ("ranges", f"{c}_median", exact_median(clean, c, name="m").select("m").scalar()),
+                      ("ranges", f"{c}_median", _scalar(clean, _median_scalar(clean, c))),
                       ("ranges", f"{c}_max", _scalar(clean, F.max(c)))]
     out = report(base, items)
     if description in ccols:

@@ -16,6 +16,8 @@ puts an unbounded amount of data in one executor.  Here the work is split:
 4. pick the values at the two ranks and interpolate.
 
 Three passes over the input instead of one, all parallel and spill-safe.
+Small inputs (``SMALL_INPUT_BYTES``) take Spark's one-pass percentile: no
+group of such an input can overflow a task.
 """
 
 from __future__ import annotations
@@ -28,12 +30,28 @@ from pyspark.sql import functions as F
 from catalink.operators.joins import broadcast_if_small
 
 DEFAULT_ACCURACY = 10_000
+# Inputs up to this size (bytes read by a recomputation) cannot hold a group
+# whose distinct values overflow a task, so Spark's one-pass in-memory
+# percentile is used; above it the bracket method.
+SMALL_INPUT_BYTES = 32 << 20
+
+
+def in_memory_ok(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
+    from catalink.session import input_bytes
+    size = input_bytes(df)
+    return size is not None and size <= limit
 
 
 def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
-                      groups: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                      groups: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY,
+                      method: str = "auto") -> DataFrame:
     """Long result: ``*groups, prob_index, prob, value`` (nulls skipped; a
-    group with no values gets no rows)."""
+    group with no values gets no rows).
+
+    ``method``: ``bracket`` (bounded memory), ``map`` (Spark's in-memory
+    percentile), ``auto`` (``map`` for small inputs, else ``bracket``)."""
+    if method == "map" or (method == "auto" and in_memory_ok(df)):
+        return _map_percentiles(df, value, probs, groups)
     k = len(probs)
     gcols = list(groups) or ["_g"]
     base = df.select(*[F.col(g) for g in groups], F.col(value).cast("double").alias("_v"))
@@ -93,11 +111,26 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
     return out.drop("_g") if not groups else out
 
 
+def _map_percentiles(df: DataFrame, value: str, probs: Sequence[float],
+                     groups: Sequence[str]) -> DataFrame:
+    x = F.col(value).cast("double")
+    rows = df.select(*[F.col(g) for g in groups], x.alias("_v")).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v"))
+    for g in groups:
+        rows = rows.where(F.col(g).isNotNull())
+    q = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
+    agg = rows.groupBy(*groups).agg(q, F.count(F.lit(1)).alias("_n")) if groups else \
+        rows.agg(q, F.count(F.lit(1)).alias("_n"))
+    items = F.array(*[F.struct(F.lit(i).alias("prob_index"), F.lit(float(p)).alias("prob"),
+                               F.get("_q", i).alias("value")) for i, p in enumerate(probs)])
+    return agg.where(F.col("_n") > 0).select(*groups, F.inline(items))
+
+
 def exact_percentile_columns(df: DataFrame, value: str, probs: Sequence[float],
                              names: Sequence[str], groups: Sequence[str] = (),
-                             accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                             accuracy: int = DEFAULT_ACCURACY, method: str = "auto") -> DataFrame:
     """Wide result: ``*groups`` plus one column per probability."""
-    long = exact_percentiles(df, value, probs, groups, accuracy)
+    long = exact_percentiles(df, value, probs, groups, accuracy, method)
     aggs = [F.max(F.when(F.col("prob_index") == i, F.col("value"))).alias(n) for i, n in enumerate(names)]
     if groups:
         return long.groupBy(*groups).agg(*aggs)
@@ -105,5 +138,5 @@ def exact_percentile_columns(df: DataFrame, value: str, probs: Sequence[float],
 
 
 def exact_median(df: DataFrame, value: str, groups: Sequence[str] = (), name: str = "median",
-                 accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    return exact_percentile_columns(df, value, [0.5], [name], groups, accuracy)
+                 accuracy: int = DEFAULT_ACCURACY, method: str = "auto") -> DataFrame:
+    return exact_percentile_columns(df, value, [0.5], [name], groups, accuracy, method)
