@@ -21,6 +21,7 @@ ColumnOrName = Column | str
 # ``str.isspace`` accepts (generated by rule, in code-point order).
 BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _JAVA_SUFFIX = ("d", "D", "f", "F")
+_NUMBER_START = tuple("0123456789+-.")
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -74,8 +75,12 @@ def sorted_set_joined(c: ColumnOrName, sep: str = "|") -> Column:
 
 def parse_double_raw(s: Column) -> Column:
     """Stripped text to double with ``try_cast``, minus the Java-only float
-    suffixes (``12d``, ``12f``) pandas rejects.  NaN is still possible."""
-    return F.when(~F.right(s, F.lit(1)).isin(*_JAVA_SUFFIX), s.try_cast("double"))
+    suffixes (``12d``, ``12f``) pandas rejects.  NaN is still possible.
+
+    Only text starting like a number is cast: a failing ``try_cast`` costs an
+    exception per row, which dominates on junk-heavy columns (``N/A``)."""
+    numeric_start = F.substring(s, 1, 1).isin(*_NUMBER_START)
+    return F.when(numeric_start & ~F.right(s, F.lit(1)).isin(*_JAVA_SUFFIX), s.try_cast("double"))
 
 
 def nan_to_null(d: Column) -> Column:
