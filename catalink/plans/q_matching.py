@@ -19,6 +19,7 @@ from catalink.operators.aggregates import quantiles
 from catalink.plans import sqlfrag as Q
 from catalink.plans import standin as S
 from catalink.plans.common import shared, shared_get
+from catalink.session import reuse
 from catalink.plans.registry import query, r6
 
 THRESHOLD = 70
@@ -30,20 +31,23 @@ LOW_PASS_BELOW = 75
 # --- Spark pipeline -------------------------------------------------------------
 
 def rollup(spark, d):
-    return M.title_rollup(S.sales_rows(spark, d))
+    """Per-title sales rollup; written once when recomputing it reads > 1 GiB."""
+    return reuse(M.title_rollup(S.sales_rows(spark, d)), "rollup")
 
 
-def build_scored(spark, d):
-    return M.fuzzy_match(S.match_queries(spark, d), rollup(spark, d))
+def build_scored(spark, d, roll=None):
+    roll = roll if roll is not None else rollup(spark, d)
+    return M.fuzzy_match(S.match_queries(spark, d), roll)
 
 
-def scored(spark, d):
+def scored(spark, d, roll=None):
     cached = shared_get("scored", d)
-    return cached if cached is not None else build_scored(spark, d)
+    return cached if cached is not None else build_scored(spark, d, roll)
 
 
 def matched(spark, d):
-    return M.matched_table(scored(spark, d), rollup(spark, d), THRESHOLD)
+    roll = rollup(spark, d)  # one rollup feeds both the matcher and the sales join
+    return M.matched_table(scored(spark, d, roll), roll, THRESHOLD)
 
 
 def flagged(spark, d):
