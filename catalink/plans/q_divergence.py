@@ -216,7 +216,7 @@ def volume_buckets(spark, d):
 
 
 @query("critic_bins", with_core() + """
-SELECT bin, ROUND(mean, 6) AS mean, count, ROUND(0 + bin * 5 - 2.5, 6) AS mid
+SELECT bin, ROUND(mean, 6) AS mean, count, ROUND(CAST(0 + bin * 5 AS DOUBLE) - 2.5, 6) AS mid
 FROM (SELECT CAST(LEAST(GREATEST(CEIL((critic_norm - 0) / 5), 1), 20) AS INTEGER) AS bin,
              AVG(player_ratio_100) AS mean, COUNT(player_ratio_100) AS count
       FROM core WHERE critic_norm >= 0 AND critic_norm <= 100 GROUP BY 1) t

@@ -240,7 +240,7 @@ def length_gap(spark, d):
 
 
 @query("score_quantiles", MATCH_WITH + """
-SELECT prob, ROUND(value, 6) AS value FROM (
+SELECT CAST(prob AS DOUBLE) AS prob, ROUND(value, 6) AS value FROM (
   SELECT 0.25 AS prob, quantile_cont(vg_match_score, 0.25) AS value FROM scored
   UNION ALL SELECT 0.5, quantile_cont(vg_match_score, 0.5) FROM scored
   UNION ALL SELECT 0.75, quantile_cont(vg_match_score, 0.75) FROM scored) t""")
