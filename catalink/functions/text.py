@@ -17,6 +17,16 @@ from pyspark.sql.types import DoubleType
 
 from catalink.functions.expressions import BLANKS
 
+# The LCS helper below runs inside Python workers: ship its code with the
+# task (pickle by value) so executors need no copy of this package.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: fall back to import by name
+    pass
+
 _BLANKS = r"[\s\p{Z}]+"
 
 
