@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from catalink import config as C
 from catalink.functions.expressions import is_non_ascii, strip
 from catalink.operators.aggregates import _median_scalar
+from catalink.operators.quantiles import in_memory_ok
 
 
 def report(base: DataFrame, items: Sequence[tuple[str, str, Column]]) -> DataFrame:
@@ -29,6 +30,12 @@ def _scalar(df: DataFrame, expr: Column) -> Column:
     return df.agg(expr.alias("v")).scalar()
 
 
+def one_pass(df: DataFrame, metrics: dict[str, Column]) -> Column:
+    """All ``metrics`` (aggregate expressions) of ``df`` in ONE aggregate pass,
+    as one struct-valued scalar subquery; read fields with ``getField``."""
+    return df.agg(F.struct(*[e.alias(n) for n, e in metrics.items()]).alias("v")).scalar()
+
+
 def _dup_rows(df: DataFrame, cols: Sequence[str]) -> Column:
     per = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     return _scalar(per, F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)))
@@ -42,19 +49,23 @@ def long_table_report(raw: DataFrame, clean: DataFrame, key: str, value: str,
                    F.count_distinct(value).alias("distinct_values"),
                    F.count_distinct(F.when(is_non_ascii(value), F.col(value))).alias("non_ascii"))
     per_key = raw.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(value).alias("_n"))
-    clean_rows = _scalar(clean, F.count(F.lit(1)))
+    pk = one_pass(per_key, {"mean": F.avg("_n"), "max": F.max("_n"), "min": F.min("_n")})
+    cl = one_pass(clean, {"rows": F.count(F.lit(1)), "distinct": F.count_distinct(value)})
+    clean_rows = cl.getField("rows")
+    dup_pairs = _dup_rows(raw, [key, value])
+    dup_rows = dup_pairs if sorted(raw.columns) == sorted([key, value]) else _dup_rows(raw, raw.columns)
     items = [
         ("raw", "total_rows", F.col("rows")),
         ("raw", "unique_keys", F.col("keys")),
         ("raw", "missing_values", F.col("missing")),
-        ("raw", "duplicate_rows", _dup_rows(raw, raw.columns)),
-        ("raw", "duplicate_pairs", _dup_rows(raw, [key, value])),
-        ("per_key", "mean", _scalar(per_key, F.avg("_n"))),
-        ("per_key", "max", _scalar(per_key, F.max("_n"))),
-        ("per_key", "min", _scalar(per_key, F.min("_n"))),
+        ("raw", "duplicate_rows", dup_rows),
+        ("raw", "duplicate_pairs", dup_pairs),
+        ("per_key", "mean", pk.getField("mean")),
+        ("per_key", "max", pk.getField("max")),
+        ("per_key", "min", pk.getField("min")),
         ("language", "raw_distinct", F.col("distinct_values")),
         ("language", "non_ascii_values", F.col("non_ascii")),
-        ("language", "clean_distinct", _scalar(clean, F.count_distinct(value))),
+        ("language", "clean_distinct", cl.getField("distinct")),
         ("language", "vocabulary_size", F.lit(vocab_size)),
         ("cleaning", "rows_before", F.col("rows")),
         ("cleaning", "rows_after", clean_rows),
@@ -134,8 +145,26 @@ def review_report(raw: DataFrame, clean: DataFrame, numeric: Sequence[str],
                    *[F.count_if(strip(F.col(c).cast("string")).isin(*tokens)).alias(f"_t{i}")
                      for i, c in enumerate(rcols)],
                    *[F.count_if(F.col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(rcols)])
-    clean_rows = _scalar(clean, F.count(F.lit(1)))
     ccols = clean.columns
+    # every clean-side metric in one aggregate pass (medians inline for small
+    # inputs; large inputs get the bounded-memory median as its own subquery)
+    small = in_memory_ok(clean)
+    metrics: dict[str, Column] = {"rows": F.count(F.lit(1))}
+    if {"positive", "negative", "total"}.issubset(ccols):
+        metrics["mismatch"] = F.count_if((F.col("positive") + F.col("negative")) != F.col("total"))
+    bounds = {"review_score": (0, 9), "metacritic_score": (0, 100)}
+    for c, (lo, hi) in bounds.items():
+        if c in ccols:
+            v = F.coalesce(F.col(c), F.lit(0))
+            metrics[f"{c}_oor"] = F.count_if((v < lo) | (v > hi))
+    for c in numeric:
+        if c in ccols:
+            metrics[f"{c}_min"] = F.min(c)
+            metrics[f"{c}_max"] = F.max(c)
+            if small:
+                metrics[f"{c}_median"] = F.median(F.col(c).cast("double"))
+    cm = one_pass(clean, metrics)
+    clean_rows = cm.getField("rows")
     items: list = [("raw", "total_rows", F.col("_n")), ("raw", "total_columns", F.lit(len(rcols))),
                    ("raw", "duplicate_rows", _dup_rows(raw, rcols))]
     if "app_id" in rcols:
@@ -147,18 +176,17 @@ def review_report(raw: DataFrame, clean: DataFrame, numeric: Sequence[str],
     items += [("cleaning", "columns_retained", F.lit(len(retained))),
               ("cleaning", "rows_before", F.col("_n")), ("cleaning", "rows_after", clean_rows),
               ("cleaning", "rows_removed", F.col("_n") - clean_rows)]
-    if {"positive", "negative", "total"}.issubset(ccols):
-        mismatch = (F.col("positive") + F.col("negative")) != F.col("total")
-        items.append(("integrity", "sum_mismatch", _scalar(clean, F.count_if(mismatch))))
-    for c, (lo, hi) in (("review_score", (0, 9)), ("metacritic_score", (0, 100))):
+    if "mismatch" in metrics:
+        items.append(("integrity", "sum_mismatch", cm.getField("mismatch")))
+    for c in bounds:
         if c in ccols:
-            v = F.coalesce(F.col(c), F.lit(0))
-            items.append(("integrity", f"{c}_out_of_range", _scalar(clean, F.count_if((v < lo) | (v > hi)))))
+            items.append(("integrity", f"{c}_out_of_range", cm.getField(f"{c}_oor")))
     for c in numeric:
         if c in ccols:
-            items += [("ranges", f"{c}_min", _scalar(clean, F.min(c))),
-                      ("ranges", f"{c}_median", _scalar(clean, _median_scalar(clean, c))),
-                      ("ranges", f"{c}_max", _scalar(clean, F.max(c)))]
+            med = cm.getField(f"{c}_median") if small else _median_scalar(clean, c)
+            items += [("ranges", f"{c}_min", cm.getField(f"{c}_min")),
+                      ("ranges", f"{c}_median", med),
+                      ("ranges", f"{c}_max", cm.getField(f"{c}_max"))]
     out = report(base, items)
     if description in ccols:
         top_desc = (clean.where(F.col(description).isNotNull()).groupBy(description)
