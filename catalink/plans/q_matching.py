@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from catalink import config as C
 from catalink.functions import expressions as X
-from catalink.functions.text import char_wb_ngrams, token_sort_ratio
 from catalink.operators import matching as M
 from catalink.operators.aggregates import quantiles
 from catalink.plans import sqlfrag as Q

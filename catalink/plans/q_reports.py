@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from catalink import config as C
 from catalink.functions import expressions as X
-from catalink.operators import matching as M
 from catalink.plans import standin as S
 from catalink.plans.common import build_core, shared
 from catalink.plans.registry import ORACLE, QUERIES, query, r6

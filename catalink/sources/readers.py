@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalink.functions.expressions import normalize_whitespace, strip
+from catalink.functions.expressions import strip
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -81,4 +81,4 @@ def land_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 __all__ = ["read_csv_text", "with_file_order", "read_long_csv", "read_required", "read_parquet",
-           "land_parquet", "normalize_whitespace"]
+           "land_parquet"]
