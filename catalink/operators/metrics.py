@@ -34,7 +34,7 @@ def add_divergence_metrics(core: DataFrame, cfg: DivergenceConfig, positive: str
         "critic_norm": F.col(critic).cast("double"),
     }).withColumns({
         "divergence_ratio": F.col("player_ratio_100") - F.col("critic_norm"),
-        "divergence_steam": F.col("player_norm") - F.col("critic_norm"),
+        "divergence_tier": F.col("player_norm") - F.col("critic_norm"),
         "quadrant": quadrant("player_ratio", "critic_norm", cfg.player_love_threshold,
                              cfg.critic_love_threshold),
     }))

@@ -70,7 +70,7 @@ CORE_SQL = f"""core0 AS (
 ),
 core AS (
   SELECT *, player_ratio_100 - critic_norm AS divergence_ratio,
-         player_norm - critic_norm AS divergence_steam,
+         player_norm - critic_norm AS divergence_tier,
          {_quadrant_sql('player_ratio', 'critic_norm')} AS quadrant
   FROM core0
 )"""

@@ -39,14 +39,14 @@ def core_sample(spark, d):
 @query("divergence_metrics", with_core() + """
 SELECT app_id, ROUND(player_ratio, 6) AS player_ratio, ROUND(player_ratio_100, 6) AS player_ratio_100,
        ROUND(player_norm, 6) AS player_norm, ROUND(critic_norm, 6) AS critic_norm,
-       ROUND(divergence_ratio, 6) AS divergence_ratio, ROUND(divergence_steam, 6) AS divergence_steam,
+       ROUND(divergence_ratio, 6) AS divergence_ratio, ROUND(divergence_tier, 6) AS divergence_tier,
        ROUND(abs(divergence_ratio), 6) AS abs_div,
        ROUND(CASE WHEN total > 0 THEN log10(total) END, 6) AS log_total
 FROM core""")
 def divergence_metrics(spark, d):
     c = core(spark, d)
     return c.select("app_id", r6("player_ratio"), r6("player_ratio_100"), r6("player_norm"),
-                    r6("critic_norm"), r6("divergence_ratio"), r6("divergence_steam"),
+                    r6("critic_norm"), r6("divergence_ratio"), r6("divergence_tier"),
                     r6(F.abs("divergence_ratio"), "abs_div"),
                     r6(X.safe_log10("total"), "log_total"))
 

@@ -50,7 +50,7 @@ def spearman(spark, d):
     return A.spearman_frame(c, _PAIRS).select("x", "y", r6("spearman"))
 
 
-_DESC_COLS = ["player_ratio_100", "player_norm", "critic_norm", "divergence_ratio", "divergence_steam"]
+_DESC_COLS = ["player_ratio_100", "player_norm", "critic_norm", "divergence_ratio", "divergence_tier"]
 
 
 @query("describe_metrics", with_core() + " UNION ALL ".join(f"""
