@@ -9,39 +9,41 @@ from pyspark.sql import functions as F
 from catalink.operators.quantiles import exact_percentile_columns
 
 
-def _range_scalar(df: DataFrame, x: Column) -> Column:
-    """One scalar subquery holding (lo, hi); a constant column widens to +-0.5."""
-    stats = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx"))
-    rng = stats.select(F.struct(
-        F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
-        F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"),
-        F.col("mn").isNotNull().alias("ok")))
-    return rng.scalar()
+def _range_stats(df: DataFrame, x: Column) -> DataFrame:
+    """One-row (lo, hi, n): min and max, widened by 0.5 for a constant column."""
+    stats = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(x).alias("n"))
+    same = F.col("mn") == F.col("mx")
+    return stats.select(F.when(same, F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
+                        F.when(same, F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"),
+                        "n")
 
 
 def histogram(df: DataFrame, value: Column | str, bins: int, value_name: str = "value",
               density: bool = False) -> DataFrame:
     """Equal-width histogram with ``bins`` bins between the min and max;
-    the last bin is closed.  Every bin is listed (empty bins count 0)."""
+    the last bin is closed.  Every bin is listed (empty bins count 0).
+
+    The range and the row count come from one aggregate, which serves both as
+    the scalar used to bin each row and as the one-row frame of all bins."""
     x = (F.col(value) if isinstance(value, str) else value).cast("double")
     vals = df.select(x.alias(value_name)).where(F.col(value_name).isNotNull())
-    rng = _range_scalar(vals, F.col(value_name))
+    stats = _range_stats(vals, F.col(value_name))
+    rng = stats.select(F.struct("lo", "hi").alias("r")).scalar()
     lo, hi = rng.getField("lo"), rng.getField("hi")
     idx = F.least(F.floor((F.col(value_name) - lo) * (F.lit(float(bins)) / (hi - lo))),
                   F.lit(bins - 1)).cast("int")
     counts = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
-    width = (hi - lo) / F.lit(float(bins))
-    frame = (vals.agg(F.count(F.lit(1)).alias("_n"))
-                 .where(rng.getField("ok"))
-                 .select("_n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")))
+    frame = (stats.where(F.col("n") > 0)
+                  .select("lo", "hi", "n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")))
+    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     out = (frame.join(counts, on="bin", how="left")
-                .select("bin", (lo + F.col("bin") * width).alias("lo"),
-                        (lo + (F.col("bin") + 1) * width).alias("hi"),
+                .select("bin", (F.col("lo") + F.col("bin") * width).alias("lo"),
+                        (F.col("lo") + (F.col("bin") + 1) * width).alias("hi"),
                         F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
-                        "_n"))
+                        "n", width.alias("_w")))
     if density:
-        out = out.withColumn("density", F.col("count") / (F.col("_n") * width))
-    return out.drop("_n").orderBy("bin")
+        out = out.withColumn("density", F.col("count") / (F.col("n") * F.col("_w")))
+    return out.drop("n", "_w").orderBy("bin")
 
 
 def log_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
