@@ -36,10 +36,10 @@ DEFAULT_ACCURACY = 10_000
 SMALL_INPUT_BYTES = 32 << 20
 
 
-def in_memory_ok(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
+def in_memory_ok(df: DataFrame, limit: int | None = None) -> bool:
     from catalink.session import input_bytes
     size = input_bytes(df)
-    return size is not None and size <= limit
+    return size is not None and size <= (SMALL_INPUT_BYTES if limit is None else limit)
 
 
 def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],

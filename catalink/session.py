@@ -107,11 +107,11 @@ def input_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def reuse(df: DataFrame, name: str = "table", min_bytes: int = MATERIALIZE_BYTES) -> DataFrame:
+def reuse(df: DataFrame, name: str = "table", min_bytes: int | None = None) -> DataFrame:
     """For an input used several times: materialise it (``cut_lineage``) when
     recomputing it would read more than ``min_bytes``, else return it
     unchanged so small inputs are simply recomputed / exchange-reused."""
     size = input_bytes(df)
-    if size is None or size >= min_bytes:
+    if size is None or size >= (MATERIALIZE_BYTES if min_bytes is None else min_bytes):
         return cut_lineage(df, name)
     return df
