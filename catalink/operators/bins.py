@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalink.functions.expressions import label_rank, width_bin
-from catalink.operators.quantiles import exact_median
+from catalink.operators.quantiles import exact_median, in_memory_ok
+from catalink.session import reuse
 
 
 def binned_mean(df: DataFrame, x: str, y: str, lo: float = 0, hi: float = 100, width: float = 5,
@@ -30,9 +31,12 @@ def bucket_profile(df: DataFrame, label: Column, labels: Sequence[str], metric:
 
     Rows whose label is null are dropped (pandas' observed groups)."""
     rows = df.select(label.alias(label_name), F.col(metric)).where(F.col(label_name).isNotNull())
-    out = rows.groupBy(label_name).agg(F.count(metric).alias("n_games"), F.avg(metric).alias("mean"))
-    if median:
-        out = out.join(exact_median(rows, metric, [label_name], "median"), on=label_name, how="left")
+    inline = median and in_memory_ok(rows)
+    med = [F.median(metric).alias("median")] if inline else []
+    out = rows.groupBy(label_name).agg(F.count(metric).alias("n_games"), F.avg(metric).alias("mean"), *med)
+    if median and not inline:  # bounded-memory median, input written once if large
+        med_df = exact_median(reuse(rows, "median-rows"), metric, [label_name], "median", method="bracket")
+        out = out.join(med_df, on=label_name, how="left")
     return out.withColumn("rank", label_rank(label_name, labels)).orderBy("rank")
 
 

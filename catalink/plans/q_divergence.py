@@ -265,12 +265,9 @@ WHERE type IS NOT NULL GROUP BY type""")
 def free_vs_paid(spark, d):
     c = core(spark, d).where(F.col("is_free").isNotNull())
     typed = c.withColumn("type", X.code_label("is_free", {0: "Paid", 1: "Free"}))
-    from catalink.operators.quantiles import exact_median
-    rows = typed.where(F.col("type").isNotNull())
-    agg = rows.groupBy("type").agg(F.count("divergence_ratio").alias("count"),
-                                   F.avg("divergence_ratio").alias("mean"))
-    agg = agg.join(exact_median(rows, "divergence_ratio", ["type"], "median"), "type", "left")
-    return agg.select("type", "count", r6("mean"), r6("median"))
+    from catalink.operators.bins import bucket_profile
+    out = bucket_profile(typed, F.col("type"), ["Free", "Paid"], "divergence_ratio", "type")
+    return out.select("type", F.col("n_games").alias("count"), r6("mean"), r6("median"))
 
 
 # --- signature values and both ends ---------------------------------------------
