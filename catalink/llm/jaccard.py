@@ -8,12 +8,14 @@ query's size; groups that qualify are opened and their members compared exactly.
 
 Exactness and size:
 
-* The matrix is stored sparsely, as (token, group) rows.  Two sets that link share a token
-  among the first ``n - ceil(0.8 n) + 1`` in any fixed order, so only those prefixes are
-  joined; tokens that many documents have come last in the order.  (The order needs a count
-  of tokens; it is kept by a fixed number of hash buckets.)
+* The matrix is stored sparsely, as (token, group) rows.  In any fixed order of tokens, two
+  sets that link share at least k tokens among the first ``n - ceil(0.8 n) + k`` of each, so
+  only those prefixes are joined, and a query must meet k tokens of a group.  k is a
+  twentieth of the size, which keeps documents apart that merely share a passage; tokens
+  that many documents have come last in the order.  (The order needs a count of tokens; it
+  is kept by a fixed number of hash buckets.)
 * Members of a group are compared within it, queries with the other groups they meet.
-  Groups are cut by hash to about ``GROUP_TOKENS`` tokens, so what one task opens is bounded;
+  Groups are kept to about ``GROUP_TOKENS`` tokens, so what one task opens is bounded;
   copies are one class, and near copies meet as groups, so no pairs are listed.
 * An opened pair of groups gives the edges of a spanning forest of its links; connected
   components come from alternating star contractions, written to the shared folder.
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalink.llm.common import mix64, partitions, row_key, stage, string_buffers, text_column, text_slices
@@ -38,7 +40,9 @@ from catalink.llm.common import mix64, partitions, row_key, stage, string_buffer
 WORDS = 5
 PERCENT = 80
 BANDS = 4
-GROUP_TOKENS = 50_000
+GROUP_TOKENS = 200_000
+#: A linked pair must share one in so many of its tokens within the prefixes.
+SHARE = 20
 BUCKET_BITS = 18
 SLICE = 4 << 20
 
@@ -88,8 +92,14 @@ def token_sets(texts: pa.LargeStringArray, words: int = WORDS) -> list[np.ndarra
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
-    """How many tokens of n, in a common order, cannot all be missing from a linked set."""
-    return n + (-n * percent) // 100 + 1 if n else 0
+    """Length of the prefix in which a linked set must share ``max(1, n // SHARE)`` tokens."""
+    return n + (-n * percent) // 100 + max(1, n // SHARE) if n else 0
+
+
+def least_shared(n: Column, percent: int) -> Column:
+    """Tokens that a set of size n shares at least with any linked set within the prefixes:
+    the other's size is at least ``percent`` of n."""
+    return F.greatest(F.lit(1), F.floor(F.ceil(n * percent / 100) / SHARE))
 
 
 def class_id(tokens: np.ndarray) -> bytes:
@@ -124,9 +134,11 @@ def token_weights(rows: DataFrame, words: int, bits: int) -> np.ndarray:
 
 
 def describe(rows: DataFrame, weights: np.ndarray, words: int, percent: int, bits: int) -> DataFrame:
-    """``_key, doc_id, cls, n, bands, prefix`` of each row."""
+    """``_key, doc_id, cls, h`` (the first half of ``cls``), ``n``, the minimum hashes ``b0 ..``
+    and the ``prefix`` of each row."""
     shared = rows.sparkSession.sparkContext.broadcast(weights)
-    schema = "_key long, doc_id long, cls binary, n long, bands array<long>, prefix array<long>"
+    low = [f"b{i}" for i in range(BANDS)]
+    schema = f"_key long, doc_id long, cls binary, h long, n long, {', '.join(f'{x} long' for x in low)}, prefix array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches, words):
@@ -138,40 +150,46 @@ def describe(rows: DataFrame, weights: np.ndarray, words: int, percent: int, bit
                     order = np.argsort(weight[(tokens >> np.uint64(64 - bits)).astype(np.int64)], kind="stable")
                     prefixes.append(tokens[order[: prefix_size(len(tokens), percent)]].view(np.int64))
                 else:
-                    bands.append([])
+                    bands.append([None] * BANDS)
                     prefixes.append(np.empty(0, np.int64))
+            ids = [class_id(t) for t in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_key"), batch.column("doc_id"), pa.array([class_id(t) for t in sets], pa.binary()),
-                 pa.array([len(t) for t in sets], pa.int64()), pa.array(bands, pa.list_(pa.int64())),
-                 pa.array(prefixes, pa.list_(pa.int64()))], names=["_key", "doc_id", "cls", "n", "bands", "prefix"])
+                [batch.column("_key"), batch.column("doc_id"), pa.array(ids, pa.binary()),
+                 pa.array(np.array([np.frombuffer(x[:8], np.int64)[0] for x in ids], dtype=np.int64)),
+                 pa.array([len(t) for t in sets], pa.int64()), *(pa.array(list(b), pa.int64()) for b in zip(*bands)),
+                 pa.array(prefixes, pa.list_(pa.int64()))], names=["_key", "doc_id", "cls", "h", "n", *low, "prefix"])
 
     return rows.mapInArrow(run, schema)
 
 
 def group_classes(classes: DataFrame, group_tokens: int) -> DataFrame:
-    """``cls, n, grp``: classes that share a minimum hash get a common label (the smallest
-    hash of a class in any of their buckets); labels with many tokens are cut by hash."""
-    own = classes.select("cls", "n", F.xxhash64("cls").alias("h"), "bands")
-    cells = own.select("cls", "h", F.posexplode("bands").alias("band", "low"))
-    least = cells.groupBy("band", "low").agg(F.min("h").alias("m"))
-    labels = cells.join(least, ["band", "low"]).groupBy("cls").agg(F.min("m").alias("label"))
-    labelled = stage(own.drop("bands").join(labels, "cls"), "labels")
-    parts = labelled.groupBy("label").agg(F.ceil(F.sum("n") / group_tokens).alias("parts"))
-    return labelled.join(parts, "label").select("cls", "n", F.xxhash64("label", F.pmod("h", "parts")).alias("grp"))
+    """``cls, h, n, _key, grp``: a class joins the largest set of classes with one of its minimum
+    hashes that has at most ``group_tokens`` tokens; where all are larger, the smallest of
+    them, cut by hash; where none has another class, it is a group of its own."""
+    cells = classes.select("cls", "h", "n", F.posexplode(F.array(*[f"b{i}" for i in range(BANDS)])).alias("band", "low"))
+    sets = (cells.groupBy("band", "low").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("tokens")).where("size > 1")
+            .withColumn("parts", F.ceil(F.col("tokens") / group_tokens)))
+    fits = F.col("tokens") <= group_tokens
+    best = (cells.select("cls", "band", "low").join(sets, ["band", "low"])
+            .groupBy("cls").agg(F.max(F.struct(fits.alias("fits"), F.when(fits, F.col("tokens")).otherwise(-F.col("tokens")).alias("rank"),
+                                               "band", "low", "parts")).alias("s")))
+    grp = F.when(F.col("s").isNull(), F.xxhash64("cls")).otherwise(F.xxhash64("s.band", "s.low", F.pmod("h", "s.parts")))
+    return classes.select("cls", "h", "n", "_key").join(best, "cls", "left").select("cls", "h", "n", "_key", grp.alias("grp"))
 
 
 def meetings(members: DataFrame, described: DataFrame, percent: int) -> DataFrame:
-    """``cls, grp, other``: a class and the other groups whose union has a token of its prefix
-    and which have a member of a size that could link."""
+    """``cls, grp, other``: a class and the groups (its own included) of which other members
+    of a size that could link have enough tokens of its prefix."""
     n = partitions(members.sparkSession)
-    rows = (described.select("cls", F.explode("prefix").alias("token")).join(members, "cls")
-            .select("token", "cls", "grp", "n").repartition(n, "token"))
-    matrix = (rows.groupBy("token", "grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("cls").alias("m"))
-              .select("token", F.col("grp").alias("other"), "lo", "hi"))
-    return (rows.join(matrix, "token")
-            .where((F.col("grp") != F.col("other")) & (F.col("hi") * 100 >= F.col("n") * percent)
-                   & (F.col("n") * 100 >= F.col("lo") * percent))
-            .select("cls", "grp", "other").distinct())
+    tokens = described.select("h", F.explode("prefix").alias("token")).repartition(n, "token").distinct()
+    shared = tokens.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1").select("token", "h")
+    rows = stage(shared.join(members.select("cls", "h", "n", "grp"), "h"), "jaccard-tokens")
+    matrix = (rows.groupBy("token", "grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count(F.lit(1)).alias("m"))
+              .withColumnRenamed("grp", "other"))
+    fits = (F.col("hi") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("lo") * percent)
+    return (rows.join(matrix, "token").where(fits & ((F.col("grp") != F.col("other")) | (F.col("m") > 1)))
+            .groupBy("cls", "grp", "other", "n").agg(F.count(F.lit(1)).alias("met"))
+            .where(F.col("met") >= least_shared(F.col("n"), percent)).select("cls", "grp", "other"))
 
 
 def compare(ids: list[bytes], sets: list[np.ndarray], side: np.ndarray, both: bool, percent: int) -> list[tuple[bytes, bytes]]:
@@ -212,10 +230,17 @@ def compare(ids: list[bytes], sets: list[np.ndarray], side: np.ndarray, both: bo
     return edges
 
 
-def link(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges ``u, v`` (classes) of the links within each unit (``a``, ``b``: two groups)."""
+def link(units: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """Edges ``u, v`` (classes) of the links within each unit (``a``, ``b``: two groups).  The
+    units' rows name the document (``_key``) whose text gives the tokens of a class."""
     out = pa.schema([("u", pa.binary()), ("v", pa.binary())])
 
+    def open_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, sets in _sets(batches, words):
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "cls", "side")),
+                                              pa.array([t.tobytes() for t in sets], pa.binary())],
+                                             names=["a", "b", "cls", "side", "tokens"])
+
     def verify(table: pa.Table) -> pa.Table:
         ids = table.column("cls").to_pylist()
         tokens = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table.column("tokens").combine_chunks()]
@@ -224,7 +249,11 @@ def link(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         edges = compare(ids, tokens, side, both, percent) if both or (side.any() and not side.all()) else []
         return pa.Table.from_pylist([{"u": u, "v": v} for u, v in edges], schema=out)
 
-    return units.join(sets, "cls").select("a", "b", "cls", "side", "tokens").groupBy("a", "b").applyInArrow(verify, "u binary, v binary")
+    texts = rows.select("_key", "_text").join(units, "_key").select("a", "b", "cls", "side", "_text")
+    opened = texts.mapInArrow(open_sets, "a long, b long, cls binary, side boolean, tokens binary")
+    # repeated rows of a document bring its tokens once
+    opened = opened.repartition(partitions(rows.sparkSession), "a", "b").dropDuplicates(["a", "b", "cls", "side"])
+    return opened.groupBy("a", "b").applyInArrow(verify, "u binary, v binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -255,28 +284,15 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group_toke
     weights = token_weights(rows, words, bits)
     described = stage(describe(rows, weights, words, percent, bits), "jaccard-rows")
     full = described.where("n > 0")
-    classes = full.groupBy("cls").agg(F.min("doc_id").alias("first"), F.min("_key").alias("_key"))
     # one row stands for each class; equal rows share a key
-    chosen = stage(full.join(classes.select("cls", "_key"), ["cls", "_key"])
-                   .select("cls", "_key", "n", "bands", "prefix").dropDuplicates(["cls"]), "jaccard-classes")
-    members = stage(group_classes(chosen, group_tokens), "jaccard-groups")
-    met = stage(meetings(members.select("cls", "grp", "n"), chosen, percent), "jaccard-meetings")
-
-    crowd = members.groupBy("grp").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("grp")
-    inside = members.join(crowd, "grp").select(F.col("grp").alias("a"), F.col("grp").alias("b"), "cls", F.lit(True).alias("side"))
-    across = met.select(F.least("grp", "other").alias("a"), F.greatest("grp", "other").alias("b"), "cls",
-                        (F.col("grp") < F.col("other")).alias("side"))
-    units = inside.union(across)
-    needed = chosen.select("cls", "_key").join(units.select("cls").distinct(), "cls").select("_key")
-    whole = rows.join(needed, "_key", "left_semi").dropDuplicates(["_key"])
-
-    def open_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _sets(batches, words):
-            yield pa.RecordBatch.from_arrays([pa.array([class_id(t) for t in sets], pa.binary()),
-                                              pa.array([t.tobytes() for t in sets], pa.binary())], names=["cls", "tokens"])
-
-    sets = whole.select("_text").mapInArrow(open_sets, "cls binary, tokens binary")
-    nodes = components(link(units, sets, percent))
+    classes = stage(full.groupBy("cls").agg(F.min("doc_id").alias("first"), F.min("_key").alias("_key"), F.min("h").alias("h"),
+                                            F.min("n").alias("n"), *[F.min(f"b{i}").alias(f"b{i}") for i in range(BANDS)]), "jaccard-classes")
+    members = stage(group_classes(classes, group_tokens), "jaccard-groups")
+    met = meetings(members, full, percent)
+    units = met.select(F.least("grp", "other").alias("a"), F.greatest("grp", "other").alias("b"), "cls",
+                       (F.col("grp") < F.col("other")).alias("side"))
+    units = stage(units.join(members.select("cls", "_key"), "cls"), "jaccard-units")
+    nodes = components(link(units, rows, words, percent))
     linked = nodes.join(classes.select(F.col("cls").alias("node"), "first"), "node")
     smallest = linked.groupBy("root").agg(F.min("first").alias("smallest"))
     found = linked.join(smallest, "root").select(F.col("node").alias("cls"), "smallest")
