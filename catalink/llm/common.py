@@ -48,7 +48,8 @@ def range_number(df: DataFrame, key: str, n: int) -> Column:
     below = lambda bounds: F.size(F.filter(bounds, lambda c: c < F.col(key)))
     whole = below(F.array(*[F.lit(g[-1]) for g in groups]))
     rest = F.get(F.array(*[F.array(*map(F.lit, g)) for g in groups]), whole)
-    return F.coalesce(whole * step + F.coalesce(F.when(whole < len(groups), below(rest)), F.lit(0)), F.lit(0))
+    inside = whole * step + below(rest)
+    return F.coalesce(F.when(whole < len(groups), inside).otherwise(F.lit(len(cuts))), F.lit(0))
 
 
 def row_key(*cols: str) -> Column:
@@ -85,9 +86,17 @@ def string_buffers(col: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], raw[offsets[0]: offsets[-1]]
 
 
-def word_chunks(col: pa.LargeStringArray) -> tuple[np.ndarray, pa.LargeStringArray]:
+_BYTES = np.arange(256)
+_LETTER = ((_BYTES >= 65) & (_BYTES <= 90)) | ((_BYTES >= 97) & (_BYTES <= 122))
+_MARK = (_BYTES > 0x20) & (_BYTES < 0x7F) & ~_LETTER & ~((_BYTES >= 48) & (_BYTES <= 57)) & (_BYTES != 0x27)
+#: Bytes that begin a character which is surely not white space.
+_VISIBLE = ((_BYTES > 0x20) & (_BYTES < 0x7F)) | ((_BYTES >= 0xC3) & ((_BYTES < 0xE1) | (_BYTES > 0xE3)))
+
+
+def word_chunks(col: pa.LargeStringArray, finer: bool = False) -> tuple[np.ndarray, pa.LargeStringArray]:
     """Cut each text before every blank or line feed that follows a character other than
-    white space.
+    white space; if ``finer`` also between an ASCII letter and a punctuation mark (but the
+    apostrophe), and between a line feed and a character other than white space.
 
     Returns for each text the number of its first chunk (n + 1 numbers) and all chunks.
     Joined, the chunks of a text give the text.  After characters that may be white space
@@ -104,6 +113,8 @@ def word_chunks(col: pa.LargeStringArray) -> tuple[np.ndarray, pa.LargeStringArr
         three = np.zeros(len(prev), dtype=bool)
         three[2:] = (raw[:-3] >= 0xE1) & (raw[:-3] <= 0xE3)
         cut[1:-1] = ((raw[1:] == 0x20) | (raw[1:] == 0x0A)) & ~white & ~(high & (two | three))
+        if finer:
+            cut[1:-1] |= (_MARK[raw[1:]] & _LETTER[prev]) | (_VISIBLE[raw[1:]] & (prev == 0x0A))
     cut[offsets] = True
     cut[-1] = False
     starts = np.flatnonzero(cut)

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs, ipc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,11 +36,17 @@ SEQUENCE = 2048
 #: Sequences of a record batch (a batch of 16-bit ids then has 1 MB).
 BATCH = 256
 #: Bytes of text whose distinct words are encoded together.
-SLICE = 16 << 20
+SLICE = 12 << 20
+#: Words whose ids a Python worker remembers between slices; beyond that it keeps the last slice's.
+REMEMBERED = 600_000
+#: Words that are encoded as one line.
+LINE = 1000
+PLAIN = r"^ ?[\p{L}\p{N}\p{P}\p{S}]+$"
 MANIFEST = "part long, path string, n_docs long, n_tokens long"
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 _tokenizers: dict = {}
+_remembered: dict[str, tuple[pa.LargeStringArray, np.ndarray, np.ndarray]] = {}
 
 
 def _tokenizer(path: str):
@@ -50,17 +57,58 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
+def _encode_words(tokenizer, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words and their bounds.  Words of visible characters, with a blank before them
+    at most, are encoded in lines of many words: a line feed between two such words is a
+    token of its own, at which the ids are cut again (and where the count doesn't fit, the
+    words of the line are encoded one by one, as all other words are)."""
+    feed = tokenizer.encode("\n", add_special_tokens=False).ids
+    plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False) & (len(feed) == 1)
+    index = np.flatnonzero(plain)
+    lines = [index[k: k + LINE] for k in range(0, len(index), LINE)]
+    texts = ["\n".join(words.take(pa.array(x)).to_pylist()) for x in lines]
+    parts, sizes, order, alone = [], [], [], [np.flatnonzero(~plain)]
+    for line, got in zip(lines, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        ids = np.array(got.ids, dtype=np.uint32)
+        at = np.flatnonzero(ids == feed[0])
+        if len(at) != len(line) - 1:
+            alone.append(line)
+            continue
+        parts.append(ids[ids != feed[0]])
+        sizes.append(np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1)
+        order.append(line)
+    rest = np.concatenate(alone)
+    for got in tokenizer.encode_batch_fast(words.take(pa.array(rest)).to_pylist(), add_special_tokens=False):
+        parts.append(np.array(got.ids, dtype=np.uint32))
+        sizes.append(np.array([len(got.ids)]))
+    order.append(rest)
+    bounds = np.zeros(len(words) + 1, dtype=np.int64)
+    np.cumsum(np.concatenate(sizes) if sizes else np.empty(0, np.int64), out=bounds[1:])
+    place = np.empty(len(words), dtype=np.int64)
+    place[np.concatenate(order)] = np.arange(len(words))
+    return ragged_take(np.concatenate(parts) if parts else np.empty(0, np.uint32), bounds, place)
+
+
 def encode_texts(path: str, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts and their bounds by text.  The tokenizer's pattern never joins a
-    blank to the character before it, so a text's ids are those of its chunks, and each
-    distinct chunk is encoded once."""
-    first, chunks = word_chunks(texts)
+    blank to the character before it, nor a mark to a letter, so a text's ids are those of
+    its chunks, and each distinct chunk is encoded once."""
+    tokenizer = _tokenizer(path)
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    finer = not any(pc.any(pc.match_substring(texts, x)).as_py() for x in special)  # these may hold marks
+    first, chunks = word_chunks(texts, finer)
     coded = chunks.dictionary_encode()
-    found = [x.ids for x in _tokenizer(path).encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)]
-    bounds = np.zeros(len(found) + 1, dtype=np.int64)
-    np.cumsum([len(x) for x in found], out=bounds[1:])
-    flat = np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(bounds[-1]))
-    ids, out = ragged_take(flat, bounds, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
+    words, flat, bounds = _remembered.get(path) or (pa.array([], pa.large_string()), np.empty(0, np.uint32), np.zeros(1, np.int64))
+    at = pc.index_in(coded.dictionary, value_set=words).fill_null(-1).to_numpy().astype(np.int64)
+    new = at < 0
+    fresh = coded.dictionary.filter(pa.array(new))
+    more, ends = _encode_words(tokenizer, fresh)
+    at[new] = len(words) + np.arange(len(fresh))
+    words, flat, bounds = pa.concat_arrays([words, fresh]), np.concatenate([flat, more]), np.concatenate([bounds, bounds[-1] + ends[1:]])
+    ids, out = ragged_take(flat, bounds, at[coded.indices.to_numpy(zero_copy_only=False)])
+    if len(words) > REMEMBERED:
+        words, (flat, bounds) = coded.dictionary, ragged_take(flat, bounds, at)
+    _remembered[path] = (words, flat, bounds)
     return ids, out[first]
 
 
