@@ -78,7 +78,7 @@ def _alternatives(parsed) -> list[tuple]:
             if (least, most) == (0, 1):
                 step = [(), *_alternatives(item)]
             else:
-                step = [(None, *a, None) for a in _alternatives(item)] if least else [(None,)]
+                step = [(*a, None) for a in _alternatives(item)] if least else [(None,)]
         else:
             step = [(None,)]
         out = [a + b for a in out for b in step]
