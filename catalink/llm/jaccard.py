@@ -44,7 +44,7 @@ GROUP_TOKENS = 200_000
 #: A linked pair must share one in so many of its tokens within the prefixes.
 SHARE = 20
 BUCKET_BITS = 18
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 _SEEDS = mix64(np.arange(1, 33, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 

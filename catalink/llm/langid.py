@@ -32,7 +32,7 @@ GRAMS = (1, 2, 3)
 MAX_ROWS = 20_000
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 
 @dataclass(frozen=True)

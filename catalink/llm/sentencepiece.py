@@ -44,7 +44,9 @@ NO_MERGE = np.int64(1 << 40)
 #: Cells (words times length) of a table that advances together.
 CELLS = 200_000
 #: Bytes of text whose distinct words are segmented together.
-SLICE = 16 << 20
+SLICE = 8 << 20
+#: Ids that are decoded together.
+DECODED = 500_000
 
 
 @dataclass(frozen=True)
@@ -432,10 +434,15 @@ def encode_texts(m: PieceModel, texts: pa.LargeStringArray) -> tuple[np.ndarray,
 
 def decode_ids(m: PieceModel, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
     """Texts of rows of ids: pieces and bytes joined, the dummy prefix removed."""
-    raw, ends = ragged_take(m.bytes_flat, m.bytes_bounds, ids)
-    data = raw.tobytes()
-    at = ends[bounds]
-    out = [data[a:b].decode("utf-8", errors="replace") for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+    out: list[str] = []
+    row, rows = 0, len(bounds) - 1
+    while row < rows:
+        stop = max(row + 1, int(np.searchsorted(bounds, bounds[row] + DECODED, side="right")) - 1)
+        raw, ends = ragged_take(m.bytes_flat, m.bytes_bounds, ids[bounds[row]: bounds[stop]])
+        at = ends[bounds[row: stop + 1] - bounds[row]].tolist()
+        data = raw.tobytes()
+        out += [data[a:b].decode("utf-8", errors="replace") for a, b in zip(at[:-1], at[1:])]
+        row = stop
     return [x[1:] if x.startswith(" ") else x for x in out]
 
 
