@@ -24,12 +24,13 @@ _DOC_COLS = ["doc_id", "text", "lang", "source"]
 @query("csv_roundtrip", """
 SELECT doc_id, lang, source, CAST(length(text) AS BIGINT) AS text_len, md5(text) AS text_md5 FROM documents""")
 def csv_roundtrip(spark, d):
-    """documents -> CSV (escaped quotes, multi-line text) -> text reader with
-    required columns and keep-first -> landed as Parquet -> typed reload."""
-    docs = S.read(spark, d, "documents").select(*_DOC_COLS)
+    """documents -> CSV (doubled quotes, multi-line text, columns in another order and one
+    more) -> text reader with required columns and keep-first -> landed as Parquet -> typed
+    reload."""
+    docs = S.read(spark, d, "documents").select("n_chars", *reversed(_DOC_COLS))
     csv_dir = K.scratch_path(spark, "csv")
     K.write_table(docs, csv_dir, fmt="csv")
-    back = R.read_required(spark, csv_dir, _DOC_COLS, ["doc_id", "text"])
+    back = R.read_required(spark, csv_dir, _DOC_COLS, ["doc_id", "text"], escape=R.DOUBLED)
     typed = back.select(X.safe_long("doc_id").alias("doc_id"), "text", "lang", "source")
     pq_dir = K.scratch_path(spark, "landed")
     R.land_parquet(typed, pq_dir)
@@ -38,6 +39,30 @@ def csv_roundtrip(spark, d):
                       F.md5("text").alias("text_md5"))
 
 
+@query("csv_long_scan", """
+SELECT c_custkey AS app_id, trim(c_mktsegment) AS genre FROM customer WHERE c_acctbal >= 0""")
+def csv_long_scan(spark, d):
+    """customer -> CSV with quotes, line feeds, a missing-value text and other columns first ->
+    long reader (key and stripped value; rows missing either dropped)."""
+    c = S.read(spark, d, "customer")
+    noted = F.concat(F.lit('say "'), F.col("c_name"), F.lit('", twice\n'), F.col("c_name"))
+    genre = F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("  "), F.trim("c_mktsegment"), F.lit(" "))).otherwise("NA")
+    path = K.scratch_path(spark, "long-csv")
+    K.write_table(c.select(noted.alias("note"), genre.alias("genre"), F.col("c_custkey").alias("app_id")), path, fmt="csv")
+    return R.read_long_csv(spark, path, "app_id", "genre")
+
+
+@query("csv_required", """
+SELECT CAST(s_suppkey AS VARCHAR) AS "Rank", s_name AS "Name" FROM supplier WHERE s_acctbal >= 0""")
+def csv_required(spark, d):
+    """supplier -> CSV with more columns and gaps in a required one -> required columns by name."""
+    s = S.read(spark, d, "supplier")
+    name = F.when(F.col("s_acctbal") >= 0, F.col("s_name"))
+    path = K.scratch_path(spark, "required-csv")
+    K.write_table(s.select(F.lit("x,\"y\"").alias("Other"), name.alias("Name"), F.col("s_suppkey").alias("Rank")), path, fmt="csv")
+    return R.read_required(spark, path, ["Rank", "Name"], ["Name"])
+
+
 def _summary_spark(spark, d):
     from catalink.operators.joins import existence_flag
     from catalink.plans.q_cleaning import _price_fill

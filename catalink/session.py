@@ -46,16 +46,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset.
+    """The cluster's ``spark.checkpoint.dir``, a folder that every executor can reach.
 
-    On a cluster the setting names a shared folder every executor can reach;
-    only a local test session ever gets a fresh temporary folder.
+    Where it is unset, only a local session gets a fresh temporary folder; on a cluster a
+    machine-local folder would lose data, so that is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir() if hasattr(
             spark.sparkContext, "getCheckpointDir") else None
     if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="catalink-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     # setCheckpointDir creates a fresh sub-folder on every call: only once per context

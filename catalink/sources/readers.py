@@ -1,18 +1,27 @@
 """Readers for dirty CSV sources and typed Parquet tables.
 
-CSV sources are read with an explicit schema (no inference pass), as text
-where the source is text, with the backslash escape and multi-line quoted
-fields.  Multi-line CSV cannot be split, so each file is one task: land it
-once as Parquet (``land_parquet``) and run everything else on the Parquet copy.
-
-``with_file_order`` captures the physical order of rows (file, block start,
-position) in ``_seq`` so keep-first deduplication can honour file order.
+Columns are bound by the names in the file's header, whatever their order and whatever
+other columns there are; a name that the header lacks is an error.  Everything is read as
+text.  ``escape`` says how quotes inside quoted fields are written: doubled (``DOUBLED``),
+after a backslash (``BACKSLASH``), or either way, even in one file (``EITHER``).  Spark's
+parser knows one way at a time, so ``EITHER`` parses each file with Python's csv module in
+the one task that a multi-line file takes anyhow.
+
+Multi-line CSV cannot be split, so each file is one task: land it once as Parquet
+(``land_parquet``) and run everything else on the Parquet copy.
+
+``with_file_order`` captures the physical order of rows (file, block start, position) in
+``_seq`` so keep-first deduplication can honour file order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import io
+import itertools
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,20 +29,64 @@ from pyspark.sql import types as T
 from catalink.functions.expressions import strip
 
 
+#: What the long tables' sources write for a missing value.
+LONG_MISSING = ("", "NA", "N/A", "NaN", "nan", "None", "null", "NULL", "n/a", "<NA>", "#N/A")
+DOUBLED, BACKSLASH, EITHER = '"', "\\", "either"
+
+
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str], encoding: str = "UTF-8",
-                  multiline: bool = True) -> DataFrame:
-    """Wide CSV scan, every column as text, ``\\``-escaped quotes, quoted
-    fields may span lines.  Only ``''`` is left for the cleaners to handle:
-    no value is turned into null by the reader except empty fields."""
-    return (spark.read.schema(text_schema(columns))
-                 .option("header", True).option("encoding", encoding)
-                 .option("multiLine", multiline).option("escape", "\\").option("quote", '"')
-                 .option("mode", "PERMISSIVE")
-                 .csv(path))
+def header_of(spark: SparkSession, path: str, encoding: str = "UTF-8", escape: str = DOUBLED) -> list[str]:
+    """Column names of the first file's header line (no pass over the data)."""
+    lines = (spark.read.option("encoding", encoding).option("quote", '"')
+             .option("escape", DOUBLED if escape == EITHER else escape).csv(path))
+    return [(c or "").lstrip("\ufeff").strip() for c in lines.limit(1).first() or ()]
+
+
+def _parse_either(spark: SparkSession, path: str, names: Sequence[str], encoding: str) -> DataFrame:
+    """All columns and ``_seq`` (file, block, pos) of files that escape quotes either way."""
+    seq = pa.struct([("file", pa.string()), ("block", pa.int64()), ("pos", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(1 << 30)
+        for batch in batches:
+            for file, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                text = io.TextIOWrapper(io.BytesIO(content.as_buffer()), encoding=encoding, newline="")
+                lines = csv.reader(text, doublequote=True, escapechar="\\")
+                next(lines, None)
+                pos = 0
+                while rows := [r for r in itertools.islice(lines, 10_000)]:
+                    rows = [[x or None for x in (r + [""] * len(names))[: len(names)]] for r in rows if r]
+                    place = [{"file": file, "block": 0, "pos": pos + i} for i in range(len(rows))]
+                    pos += len(rows)
+                    cols = [pa.array(list(c), pa.string()) for c in zip(*rows)] or [pa.array([], pa.string())] * len(names)
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array(place, seq)], names=[*names, "_seq"])
+
+    fields = ", ".join(f"`{n}` string" for n in names)
+    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
+    return files.mapInArrow(run, f"{fields}, _seq struct<file:string,block:long,pos:long>")
+
+
+def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None, encoding: str = "UTF-8",
+                  multiline: bool = True, escape: str = EITHER, missing: Sequence[str] = (), order: bool = False) -> DataFrame:
+    """CSV scan, every column as text; ``columns`` (all, if None) are chosen by header name.
+    Empty fields and the texts in ``missing`` are null; ``order`` adds ``_seq``."""
+    names = header_of(spark, path, encoding, escape)
+    absent = [c for c in columns or () if c not in names]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}; its header is {', '.join(names)}")
+    if escape == EITHER:
+        rows = _parse_either(spark, path, names, encoding)
+    else:
+        rows = (spark.read.schema(text_schema(names)).option("header", True).option("encoding", encoding)
+                .option("multiLine", multiline).option("escape", escape).option("quote", '"').option("mode", "PERMISSIVE").csv(path))
+        rows = with_file_order(rows) if order else rows
+    chosen = {c: F.col(f"`{c}`") for c in columns or names}
+    if missing:
+        chosen = {c: F.when(~x.isin(list(missing)), x) for c, x in chosen.items()}
+    return rows.select(*[x.alias(c) for c, x in chosen.items()], *(["_seq"] if order else []))
 
 
 def with_file_order(df: DataFrame, name: str = "_seq") -> DataFrame:
@@ -43,25 +96,24 @@ def with_file_order(df: DataFrame, name: str = "_seq") -> DataFrame:
                                         F.monotonically_increasing_id().alias("pos")))
 
 
-def read_long_csv(spark: SparkSession, path: str, key: str, value: str,
-                  encoding: str = "UTF-8") -> DataFrame:
-    """Long (key, value) table: drop rows missing either, key to bigint, value stripped."""
-    raw = read_csv_text(spark, path, [key, value], encoding, multiline=False)
+def read_long_csv(spark: SparkSession, path: str, key: str, value: str, encoding: str = "UTF-8",
+                  missing: Sequence[str] = LONG_MISSING) -> DataFrame:
+    """Long (key, value) table with doubled quotes: drop rows missing either, key to bigint,
+    value stripped."""
+    raw = read_csv_text(spark, path, [key, value], encoding, escape=DOUBLED, missing=missing)
     return (raw.where(F.col(key).isNotNull() & F.col(value).isNotNull())
-               .select(F.col(key).cast("bigint").alias(key), strip(value).alias(value)))
+               .select(F.col(key).try_cast("bigint").alias(key), strip(value).alias(value)))
 
 
 def read_required(spark: SparkSession, path: str, columns: Sequence[str],
                   required: Sequence[str], encoding: str = "UTF-8",
-                  dedupe_first: bool = True) -> DataFrame:
+                  dedupe_first: bool = True, escape: str = EITHER) -> DataFrame:
     """CSV with required columns: drop rows missing any, keep the first row
     per value of the first required column (file order)."""
     from catalink.operators.dedupe import keep_first
-    df = with_file_order(read_csv_text(spark, path, columns, encoding))
-    cond = None
+    df = read_csv_text(spark, path, columns, encoding, escape=escape, order=True)
     for c in required:
-        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
-    df = df.where(cond)
+        df = df.where(F.col(c).isNotNull())
     if dedupe_first:
         df = keep_first(df, [required[0]], ["_seq"])
     return df.drop("_seq")
@@ -80,5 +132,5 @@ def land_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-__all__ = ["read_csv_text", "with_file_order", "read_long_csv", "read_required", "read_parquet",
+__all__ = ["DOUBLED", "BACKSLASH", "EITHER", "header_of", "read_csv_text", "with_file_order", "read_long_csv", "read_required", "read_parquet",
            "land_parquet"]

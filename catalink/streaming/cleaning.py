@@ -21,12 +21,14 @@ from catalink.sources.sinks import scratch_path
 
 
 def read_text_stream(spark: SparkSession, folder: str, columns: Sequence[str],
-                     fmt: str = "csv", max_files_per_trigger: int = 100) -> DataFrame:
-    """Stream of all-text rows from files landing in ``folder``."""
+                     fmt: str = "csv", max_files_per_trigger: int = 100, escape: str = "\\") -> DataFrame:
+    """Stream of all-text rows from files landing in ``folder``.  CSV files must have the
+    columns in this order (a header that differs fails the batch); ``escape`` is what stands
+    before a quote inside a quoted field."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        reader = (reader.option("header", True).option("escape", "\\").option("quote", '"')
+        reader = (reader.option("header", True).option("enforceSchema", False).option("escape", escape).option("quote", '"')
                         .option("multiLine", True))
     return reader.format(fmt).load(folder)
 

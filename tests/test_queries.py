@@ -7,12 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalink.plans import registry
 from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+entry.queries()
+QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
 
 
 @pytest.fixture(scope="module")

@@ -4,6 +4,8 @@ required columns, keep-first in file order)."""
 import os
 import tempfile
 
+import pytest
+
 from catalink.sources import readers as R
 from catalink.sources import sinks as K
 
@@ -45,3 +47,22 @@ def test_land_and_shapes(spark):
     back = R.read_parquet(spark, path)
     shapes = K.table_shapes({"t": back}).collect()[0]
     assert (shapes.rows, shapes.columns) == (2, 2)
+
+
+def test_columns_are_bound_by_header(spark):
+    folder = tempfile.mkdtemp(prefix="catalink-src-")
+    path = write(folder, "sales.csv", "Rank,Name,Platform\n1,Zelda,NES\n2,,SNES\n")
+    for escape in (R.DOUBLED, R.BACKSLASH, R.EITHER):
+        out = [tuple(r) for r in R.read_required(spark, path, ["Platform", "Name"], ["Name"], escape=escape).collect()]
+        assert out == [("NES", "Zelda")]
+        with pytest.raises(ValueError, match="Genre"):
+            R.read_csv_text(spark, path, ["Genre"], escape=escape)
+
+
+def test_doubled_and_escaped_quotes(spark):
+    folder = tempfile.mkdtemp(prefix="catalink-src-")
+    path = write(folder, "wide.csv", 'name,n\n"a ""b"", c",2\n"x ""y""",3\n"A \\"quote\\", d",4\n"two\nlines ""q""",5\n')
+    rows = [tuple(r) for r in R.read_csv_text(spark, path, order=True).orderBy("_seq").drop("_seq").collect()]
+    assert rows == [('a "b", c', "2"), ('x "y"', "3"), ('A "quote", d', "4"), ('two\nlines "q"', "5")]
+    path = write(folder, "long.csv", 'x,genre,app_id\n1,"a ""b"", c",2\n2,NA,3\n3,null,4\n4," y ",5\n')
+    assert sorted(tuple(r) for r in R.read_long_csv(spark, path, "app_id", "genre").collect()) == [(2, 'a "b", c'), (5, "y")]
