@@ -96,10 +96,12 @@ def long_from_double(d: Column, s: Column) -> Column:
     """Integral double -> bigint (exact below 2**53); larger integral values
     take the exact string -> bigint cast.  Pass column references: ``d`` is
     used several times."""
-    integral = (d == F.floor(d)) & (F.abs(d) < F.lit(9.2e18))
+    integral = d == F.floor(d)
     exact = F.abs(d) < F.lit(float(2 ** 53))
+    inside = (d >= F.lit(-float(2 ** 63))) & (d < F.lit(float(2 ** 63)))
+    # a text of digits keeps its exact value up to the type's bounds
     return (F.when(integral & exact, d.cast("bigint"))
-             .when(integral, F.coalesce(s.try_cast("bigint"), d.cast("bigint"))))
+             .when(integral, F.coalesce(s.try_cast("bigint"), F.when(inside & ~s.rlike(r"^[+-]?[0-9]+$"), d.cast("bigint")))))
 
 
 def safe_double(c: ColumnOrName) -> Column:

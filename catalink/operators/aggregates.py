@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from catalink import config as C
 from catalink.functions.expressions import strip
-from catalink.operators.quantiles import exact_median, exact_percentiles, in_memory_ok
+from catalink.operators.quantiles import exact_percentiles, percentile_map
 
 
 def _rows_from_struct_array(row_df: DataFrame, items: Sequence[Column]) -> DataFrame:
@@ -104,26 +104,17 @@ def token_profile(df: DataFrame, columns: Sequence[str] | None = None,
     return _rows_from_struct_array(row, items)
 
 
-def _median_scalar(df: DataFrame, col: str, exact: bool = True) -> Column:
-    """Median for a one-pass aggregate: inline for small inputs, else a scalar
-    subquery over the bounded-memory method (or approximate on request)."""
-    if exact and in_memory_ok(df):
-        return F.median(F.col(col).cast("double"))
-    if exact:
-        return exact_median(df, col, name="m", method="bracket").select("m").scalar()
-    return df.agg(F.percentile_approx(F.col(col).cast("double"), 0.5, 10000)).scalar()
-
-
-def numeric_ranges(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """Min / median / max per numeric column, nulls skipped (min/max in one pass)."""
+def numeric_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Min / median / max per numeric column, nulls skipped (min/max in one pass, all
+    medians in another)."""
+    q = percentile_map(df, columns, (0.5,))
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
-        aggs += [F.min(x).alias(f"_lo{i}"), _median_scalar(df, c, exact).alias(f"_md{i}"),
-                 F.max(x).alias(f"_hi{i}")]
-    row = df.agg(*aggs)
+        aggs += [F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
+    row = df.agg(*aggs).withColumn("_q", q)
     items = [F.struct(F.lit(c).alias("column"), F.col(f"_lo{i}").alias("min"),
-                      F.col(f"_md{i}").alias("median"), F.col(f"_hi{i}").alias("max"))
+                      F.get(F.col("_q")[c], 0).alias("median"), F.col(f"_hi{i}").alias("max"))
              for i, c in enumerate(columns)]
     return _rows_from_struct_array(row, items)
 
@@ -151,24 +142,17 @@ def integrity_checks(df: DataFrame, positive: str = "positive", negative: str =
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles (linear), max per column as rows."""
-    small = in_memory_ok(df)
+    q = percentile_map(df, columns, (0.25, 0.5, 0.75))
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
-        if small:
-            quart = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        else:
-            q = exact_percentiles(df, c, (0.25, 0.5, 0.75), method="bracket")
-            quart = q.agg(F.array(*[F.max(F.when(F.col("prob_index") == j, F.col("value")))
-                                    for j in range(3)])).scalar()
         aggs += [F.count(x).alias(f"_n{i}"), F.avg(x).alias(f"_m{i}"),
-                 F.stddev_samp(x).alias(f"_s{i}"), F.min(x).alias(f"_lo{i}"),
-                 quart.alias(f"_q{i}"), F.max(x).alias(f"_hi{i}")]
-    row = df.agg(*aggs)
+                 F.stddev_samp(x).alias(f"_s{i}"), F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
+    row = df.agg(*aggs).withColumn("_q", q)
     items = [F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("count"),
                       F.col(f"_m{i}").alias("mean"), F.col(f"_s{i}").alias("std"),
-                      F.col(f"_lo{i}").alias("min"), F.get(F.col(f"_q{i}"), 0).alias("p25"),
-                      F.get(F.col(f"_q{i}"), 1).alias("p50"), F.get(F.col(f"_q{i}"), 2).alias("p75"),
+                      F.col(f"_lo{i}").alias("min"), F.get(F.col("_q")[c], 0).alias("p25"),
+                      F.get(F.col("_q")[c], 1).alias("p50"), F.get(F.col("_q")[c], 2).alias("p75"),
                       F.col(f"_hi{i}").alias("max"))
              for i, c in enumerate(columns)]
     return _rows_from_struct_array(row, items)
@@ -195,44 +179,52 @@ def pearson(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return _rows_from_struct_array(row, items)
 
 
-def average_rank(df: DataFrame, col: str, rank_col: str, n_buckets: int = 64) -> DataFrame:
+#: Distinct values that one task ranks.
+RANK_BUCKET = 100_000
+
+
+def average_rank(df: DataFrame, col: str, rank_col: str, bucket_rows: int = RANK_BUCKET) -> DataFrame:
     """Attach the average rank (ties share the mean position) of a column.
 
     Exact and without any window over all rows or all distinct values:
 
-    1. per-value counts (one row per distinct value, partial aggregation);
-    2. ``n_buckets`` value ranges from approximate quantiles of the distinct
-       values (a few scalars on the driver that shape the plan);
-    3. rows before each bucket = running total over the bucket totals
-       (``n_buckets`` rows);
-    4. inside a bucket, a window partitioned by bucket gives the rows before
+    1. per-value counts (one row per distinct value, written once);
+    2. ranges of about ``bucket_rows`` distinct values from their approximate quantiles (a
+       few scalars on the driver that shape the plan; as many as the values need);
+    3. rows before each range = running total over the ranges' totals;
+    4. inside a range, a window partitioned by range gives the rows before
        each value; ``rank = offset + before + (n + 1) / 2``;
     5. join the ranks back on the value.
     """
     from pyspark.sql import Window
 
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    if in_memory_ok(df):  # bounded input: one bucket, no sketch job
-        n_buckets = 1
+    from catalink.session import cut_lineage
+
+    counts = cut_lineage(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n")), "rank-counts")
+    n_buckets = max(1, -(-counts.count() // bucket_rows))
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = sorted(set(counts.approxQuantile(col, probs, 0.001))) if n_buckets > 1 else []
-    bucket = (F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]),
-                              lambda b: b < F.col(col))) if bounds else F.lit(0))
+    bounds = sorted(set(counts.approxQuantile(col, probs, min(0.001, 0.1 / n_buckets)))) if probs else []
+    bucket = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b < F.col(col))) if bounds else F.lit(0)
     keyed = counts.withColumn("_b", bucket.cast("int"))
-    totals = keyed.groupBy("_b").agg(F.sum("_n").alias("_bn"))
-    offsets = totals.select("_b", F.coalesce(F.sum("_bn").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     inner = Window.partitionBy("_b").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (keyed.withColumn("_before", F.coalesce(F.sum("_n").over(inner), F.lit(0)))
-                  .join(offsets, on="_b", how="inner")
-                  .select(col, (F.col("_off") + F.col("_before") + (F.col("_n") + 1) / 2.0)
-                          .alias(rank_col)))
+    placed = keyed.withColumn("_before", F.coalesce(F.sum("_n").over(inner), F.lit(0)))
+    if bounds:
+        totals = keyed.groupBy("_b").agg(F.sum("_n").alias("_bn"))
+        offsets = totals.select("_b", F.coalesce(F.sum("_bn").over(
+            Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+        placed = placed.join(offsets, on="_b", how="inner")
+    else:
+        placed = placed.withColumn("_off", F.lit(0))
+    ranks = placed.select(col, (F.col("_off") + F.col("_before") + (F.col("_n") + 1) / 2.0).alias(rank_col))
     return df.join(ranks, on=col, how="left")
 
 
 def spearman_frame(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Spearman correlation per pair: Pearson of average ranks, pairwise complete."""
+    from catalink.session import cut_lineage
+
     rows = None
+    df = cut_lineage(df.select(*dict.fromkeys(c for pair in pairs for c in pair)), "spearman")
     for a, b in pairs:
         sub = df.select(F.col(a).cast("double").alias("_x"), F.col(b).cast("double").alias("_y")) \
                 .where(F.col("_x").isNotNull() & F.col("_y").isNotNull())

@@ -61,12 +61,14 @@ def one_row_per_value(df: DataFrame, col: str, order: Sequence[str], n: int | No
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence, k: int,
-                    salt_buckets: int = 32, salt_key: str | None = None) -> DataFrame:
+                    salt_buckets: int | None = None, salt_key: str | None = None) -> DataFrame:
     """The first ``k`` rows per group by ``order`` without sending a whole hot
     group to one task: rows are first cut to ``k`` per (group, salt) and only
     the survivors (at most ``k * salt_buckets`` per group) are ranked again.
 
-    ``order`` must be a total order (end it with a unique column)."""
+    ``order`` must be a total order (end it with a unique column); there are as many
+    salts as shuffle partitions unless ``salt_buckets`` says otherwise."""
+    salt_buckets = salt_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt_src = F.col(salt_key) if salt_key else F.struct(*[F.col(c) for c in df.columns])
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_src), F.lit(salt_buckets)))
     w1 = Window.partitionBy(*group, "_salt").orderBy(*order)

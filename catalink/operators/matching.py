@@ -40,7 +40,7 @@ from catalink.functions.expressions import (
 )
 from catalink.functions.text import char_wb_ngrams, token_sort_ratio
 from catalink.operators.dedupe import keep_first, top_k_per_group
-from catalink.operators.quantiles import exact_percentiles, in_memory_ok
+from catalink.operators.quantiles import percentile_map
 
 SIM_DIGITS = 9
 
@@ -97,10 +97,10 @@ def tfidf_weights(counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
 
 
 def top1_cosine(query_w: DataFrame, cand_w: DataFrame, query_id: str, cand_id: str,
-                salt_rows: int = 5000, max_salt: int = 64) -> DataFrame:
+                salt_rows: int = 5000) -> DataFrame:
     """(query id, best candidate id, similarity) for queries sharing at least
     one n-gram with a candidate."""
-    salts = F.least(F.lit(max_salt), F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(salt_rows))))
+    salts = F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(salt_rows)))
     c = (cand_w.select(F.col(cand_id).alias("_cand"), "gram", F.col("weight").alias("_wc"), "df")
                .withColumn("_salt", F.pmod(F.xxhash64("_cand"), salts.cast("bigint")).cast("int"))
                .drop("df"))
@@ -120,7 +120,7 @@ def top1_cosine(query_w: DataFrame, cand_w: DataFrame, query_id: str, cand_id: s
 def fuzzy_match(queries: DataFrame, candidates: DataFrame, query_name: str = "name",
                 cand_name: str = "Name", dedupe_key: str | None = "name",
                 dedupe_order: str = "app_id", casefold: bool = False,
-                salt_rows: int = 5000, materialize: bool | None = None) -> DataFrame:
+                salt_rows: int = 5000, materialize: bool = True) -> DataFrame:
     """Every query row with its nearest candidate title, cosine distance and
     token-sort score (``vg_match_score``, 0-100).
 
@@ -128,11 +128,10 @@ def fuzzy_match(queries: DataFrame, candidates: DataFrame, query_name: str = "na
     titles are deduplicated on the name); None keeps every row.
     ``materialize``: the deduplicated queries and the candidate titles are
     each used several times (document count, document frequency, weights,
-    final join).  True writes them once as tables under the checkpoint
-    folder, False recomputes, None (default) decides from the optimizer's
-    size estimate (``session.reuse``).
+    final join).  True (default) writes them, and the scored pairs, once as tables
+    under the checkpoint folder, so that no score is computed twice; False recomputes.
     """
-    from catalink.session import cut_lineage, reuse
+    from catalink.session import cut_lineage
 
     if dedupe_key:
         queries = keep_first(queries, [dedupe_key], [dedupe_order])
@@ -140,8 +139,6 @@ def fuzzy_match(queries: DataFrame, candidates: DataFrame, query_name: str = "na
     cands = candidates.select(F.col(cand_name).alias("_ct")).where(F.col("_ct").isNotNull())
     if materialize:
         queries, cands = cut_lineage(queries, "queries"), cut_lineage(cands, "candidates")
-    elif materialize is None:
-        queries, cands = reuse(queries, "queries"), reuse(cands, "candidates")
     # every candidate document counts, also one without any n-gram
     n_docs = cands.agg(F.count(F.lit(1))).scalar()
     cand_counts = ngram_counts(cands, "_ct", "_ct")
@@ -154,9 +151,10 @@ def fuzzy_match(queries: DataFrame, candidates: DataFrame, query_name: str = "na
     sim = F.coalesce(F.col("similarity"), F.lit(0.0))
     score = F.when(F.col("matched_sales_name").isNull(), F.lit(0.0)).otherwise(
         token_sort_ratio(F.col(query_name), F.col("matched_sales_name"), casefold))
-    return (scored.withColumn("cosine_distance", F.lit(1.0) - sim)
-                  .withColumn("vg_match_score", score)
-                  .drop("similarity"))
+    scored = (scored.withColumn("cosine_distance", F.lit(1.0) - sim)
+                    .withColumn("vg_match_score", score)
+                    .drop("similarity"))
+    return cut_lineage(scored, "scored") if materialize else scored
 
 
 # --- acceptance and audit -------------------------------------------------------
@@ -229,12 +227,9 @@ def match_summary(queries_n: Column, cand_n: Column, scored: DataFrame, matched:
     row = scored.select(s, score_bucket(s).alias("_b")).agg(
         F.count(F.lit(1)).alias("n_scored"),
         F.min(s).alias("min"),
-        (F.percentile(s, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if in_memory_ok(scored) else
-         exact_percentiles(scored, "vg_match_score", (0.25, 0.5, 0.75), method="bracket")
-         .agg(F.array(*[F.max(F.when(F.col("prob_index") == j, F.col("value"))) for j in range(3)]))
-         .scalar()).alias("_q"),
         F.max(s).alias("max"),
         *[F.count_if(F.col("_b") == b).alias(f"_b{i}") for i, b in enumerate(buckets)])
+    row = row.withColumn("_q", percentile_map(scored, ["vg_match_score"], (0.25, 0.5, 0.75))["vg_match_score"])
     games = queries_n.cast("double")
     items = [
         ("coverage", "input_rows", games),

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from catalink import config as C
 from catalink.functions.expressions import is_non_ascii, strip
-from catalink.operators.aggregates import _median_scalar
-from catalink.operators.quantiles import in_memory_ok
+from catalink.operators.quantiles import percentile_map
 
 
 def report(base: DataFrame, items: Sequence[tuple[str, str, Column]]) -> DataFrame:
@@ -99,7 +98,7 @@ def merged_report(df: DataFrame, price: str = "price", is_free: str = "is_free",
            [F.count_if(F.col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(cols)]
     p = F.col(price).cast("double") if price in cols else None
     if p is not None:
-        aggs += [F.min(p).alias("_pmin"), _median_scalar(df, price).alias("_pmed"),
+        aggs += [F.min(p).alias("_pmin"), F.get(percentile_map(df, [price], (0.5,))[price], 0).alias("_pmed"),
                  F.max(p).alias("_pmax"),
                  F.count_if(F.coalesce(p, F.lit(-1.0)) > 0).alias("_ppaid"),
                  F.count_if(F.coalesce(p, F.lit(-1.0)) == 0).alias("_pfree"),
@@ -146,9 +145,9 @@ def review_report(raw: DataFrame, clean: DataFrame, numeric: Sequence[str],
                      for i, c in enumerate(rcols)],
                    *[F.count_if(F.col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(rcols)])
     ccols = clean.columns
-    # every clean-side metric in one aggregate pass (medians inline for small
-    # inputs; large inputs get the bounded-memory median as its own subquery)
-    small = in_memory_ok(clean)
+    # every clean-side metric in one aggregate pass, all medians in another
+    numeric = [c for c in numeric if c in ccols]
+    medians = percentile_map(clean, numeric, (0.5,)) if numeric else None
     metrics: dict[str, Column] = {"rows": F.count(F.lit(1))}
     if {"positive", "negative", "total"}.issubset(ccols):
         metrics["mismatch"] = F.count_if((F.col("positive") + F.col("negative")) != F.col("total"))
@@ -161,8 +160,6 @@ def review_report(raw: DataFrame, clean: DataFrame, numeric: Sequence[str],
         if c in ccols:
             metrics[f"{c}_min"] = F.min(c)
             metrics[f"{c}_max"] = F.max(c)
-            if small:
-                metrics[f"{c}_median"] = F.median(F.col(c).cast("double"))
     cm = one_pass(clean, metrics)
     clean_rows = cm.getField("rows")
     items: list = [("raw", "total_rows", F.col("_n")), ("raw", "total_columns", F.lit(len(rcols))),
@@ -183,9 +180,8 @@ def review_report(raw: DataFrame, clean: DataFrame, numeric: Sequence[str],
             items.append(("integrity", f"{c}_out_of_range", cm.getField(f"{c}_oor")))
     for c in numeric:
         if c in ccols:
-            med = cm.getField(f"{c}_median") if small else _median_scalar(clean, c)
             items += [("ranges", f"{c}_min", cm.getField(f"{c}_min")),
-                      ("ranges", f"{c}_median", med),
+                      ("ranges", f"{c}_median", F.get(medians[c], 0)),
                       ("ranges", f"{c}_max", cm.getField(f"{c}_max"))]
     out = report(base, items)
     if description in ccols:

@@ -15,52 +15,37 @@ puts an unbounded amount of data in one executor.  Here the work is split:
    partitioned by (group, probability);
 4. pick the values at the two ranks and interpolate.
 
-Three passes over the input instead of one, all parallel and spill-safe.
-Small inputs (``SMALL_INPUT_BYTES``) take Spark's one-pass percentile: no
-group of such an input can overflow a task.
+The narrow input (groups and value) is written once and read three times, in parallel and
+spill-safe, whatever its size.  Several columns are one call: they become (column, value)
+rows, grouped by column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalink.operators.joins import broadcast_if_small
+from catalink.session import cut_lineage
 
 DEFAULT_ACCURACY = 10_000
-# Inputs up to this size (bytes read by a recomputation) cannot hold a group
-# whose distinct values overflow a task, so Spark's one-pass in-memory
-# percentile is used; above it the bracket method.
-SMALL_INPUT_BYTES = 32 << 20
-
-
-def in_memory_ok(df: DataFrame, limit: int | None = None) -> bool:
-    from catalink.session import input_bytes
-    size = input_bytes(df)
-    return size is not None and size <= (SMALL_INPUT_BYTES if limit is None else limit)
 
 
 def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
-                      groups: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY,
-                      method: str = "auto") -> DataFrame:
+                      groups: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Long result: ``*groups, prob_index, prob, value`` (nulls skipped; a
-    group with no values gets no rows).
-
-    ``method``: ``bracket`` (bounded memory), ``map`` (Spark's in-memory
-    percentile), ``auto`` (``map`` for small inputs, else ``bracket``)."""
-    if method == "map" or (method == "auto" and in_memory_ok(df)):
-        return _map_percentiles(df, value, probs, groups)
+    group with no values gets no rows)."""
+    if not groups:
+        return column_percentiles(df, [value], probs, accuracy).drop("column")
     k = len(probs)
-    gcols = list(groups) or ["_g"]
+    gcols = list(groups)
     base = df.select(*[F.col(g) for g in groups], F.col(value).cast("double").alias("_v"))
-    if not groups:
-        base = base.withColumn("_g", F.lit(0))
     base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if groups:  # pandas-style grouping drops null keys
-        for g in groups:
-            base = base.where(F.col(g).isNotNull())
+    for g in groups:  # pandas-style grouping drops null keys
+        base = base.where(F.col(g).isNotNull())
+    base = cut_lineage(base, "percentiles")
 
     margin = 3.0 / accuracy
     qs = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
@@ -108,29 +93,29 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
     frac = F.col("_pos") - F.floor("_pos")
     out = picked.select(*gcols, F.col("_i").alias("prob_index"), "prob",
                         (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * frac).alias("value"))
-    return out.drop("_g") if not groups else out
+    return out
+
+
+def column_percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                       accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """``column, prob_index, prob, value`` of several columns in one pass."""
+    rows = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_value"))
+                                        for c in columns])))
+    return exact_percentiles(rows, "_value", probs, ["column"], accuracy)
 
 
-def _map_percentiles(df: DataFrame, value: str, probs: Sequence[float],
-                     groups: Sequence[str]) -> DataFrame:
-    x = F.col(value).cast("double")
-    rows = df.select(*[F.col(g) for g in groups], x.alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
-    for g in groups:
-        rows = rows.where(F.col(g).isNotNull())
-    q = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
-    agg = rows.groupBy(*groups).agg(q, F.count(F.lit(1)).alias("_n")) if groups else \
-        rows.agg(q, F.count(F.lit(1)).alias("_n"))
-    items = F.array(*[F.struct(F.lit(i).alias("prob_index"), F.lit(float(p)).alias("prob"),
-                               F.get("_q", i).alias("value")) for i, p in enumerate(probs)])
-    return agg.where(F.col("_n") > 0).select(*groups, F.inline(items))
+def percentile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> Column:
+    """Scalar: a map from column to the array of its percentiles (one row per column in all)."""
+    per = column_percentiles(df, columns, probs).groupBy("column").agg(
+        F.array(*[F.max(F.when(F.col("prob_index") == i, F.col("value"))) for i in range(len(probs))]).alias("q"))
+    return per.agg(F.map_from_entries(F.collect_list(F.struct("column", "q")))).scalar()
 
 
 def exact_percentile_columns(df: DataFrame, value: str, probs: Sequence[float],
                              names: Sequence[str], groups: Sequence[str] = (),
-                             accuracy: int = DEFAULT_ACCURACY, method: str = "auto") -> DataFrame:
+                             accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Wide result: ``*groups`` plus one column per probability."""
-    long = exact_percentiles(df, value, probs, groups, accuracy, method)
+    long = exact_percentiles(df, value, probs, groups, accuracy)
     aggs = [F.max(F.when(F.col("prob_index") == i, F.col("value"))).alias(n) for i, n in enumerate(names)]
     if groups:
         return long.groupBy(*groups).agg(*aggs)
@@ -138,5 +123,5 @@ def exact_percentile_columns(df: DataFrame, value: str, probs: Sequence[float],
 
 
 def exact_median(df: DataFrame, value: str, groups: Sequence[str] = (), name: str = "median",
-                 accuracy: int = DEFAULT_ACCURACY, method: str = "auto") -> DataFrame:
-    return exact_percentile_columns(df, value, [0.5], [name], groups, accuracy, method)
+                 accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    return exact_percentile_columns(df, value, [0.5], [name], groups, accuracy)

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalink import config as C
-from catalink.operators.quantiles import exact_median, in_memory_ok
-from catalink.session import reuse
+from catalink.operators.quantiles import exact_median as median_of
 
 
 def label_column_name(prefix: str, label: str) -> str:
@@ -22,10 +21,9 @@ def label_column_name(prefix: str, label: str) -> str:
 def _with_median(agg: DataFrame, rows: DataFrame, key: str, metric: str, name: str,
                  exact: bool) -> DataFrame:
     """Attach a per-key median of ``metric`` over ``rows`` (exact by default,
-    with bounded per-task memory; approximate on request).  The bounded
-    method reads ``rows`` three times, so a large input is written once."""
+    with bounded per-task memory; approximate on request)."""
     if exact:
-        med = exact_median(reuse(rows, "median-rows"), metric, [key], name, method="bracket")
+        med = median_of(rows, metric, [key], name)
     else:
         med = rows.where(F.col(key).isNotNull()).groupBy(key).agg(
             F.percentile_approx(metric, 0.5, 10000).alias(name))
@@ -43,29 +41,22 @@ def slice_by_long_table(long_df: DataFrame, entities: DataFrame, key_col: str, m
     each label.  Values with fewer than ``min_games`` entities are dropped.
 
     Two aggregation levels keep it exact when the long table repeats a pair:
-    level 1 groups by (id, value) and keeps the repeat count, level 2 groups by
-    value, weighting the mean by that count; the median runs over the joined
-    rows with bounded per-task memory.  After a sort-merge join on the id,
+    level 1 groups by (id, value) and sums and counts the metric over all joined
+    rows (entities may have several rows for an id), level 2 groups by value; the
+    median runs over the joined rows with bounded per-task memory.  After a sort-merge join on the id,
     level 1 needs no extra shuffle; a hot value is reduced map-side.
     """
     joined = (long_df.select(id_col, key_col).where(F.col(key_col).isNotNull())
               .join(entities.select(id_col, metric, label_col), on=id_col, how="inner"))
     per_pair = (joined.groupBy(id_col, key_col)
-                .agg(F.count(F.lit(1)).alias("_rows"),
-                     F.first(metric, ignorenulls=True).alias(metric),
-                     F.first(label_col, ignorenulls=True).alias(label_col)))
+                .agg(F.sum(metric).alias("_sum"), F.count(metric).alias("_rows"),
+                     F.min(label_col).alias(label_col)))
     label_counts = [F.count_if(F.col(label_col) == F.lit(lbl)).alias(label_column_name("_n_", lbl))
                     for lbl in labels]
-    weighted = F.when(F.col(metric).isNotNull(), F.col("_rows"))
-    inline = exact_median and in_memory_ok(joined)
-    # small input: the exact median (weighted by pair repeats) rides in the same aggregate
-    med = [F.percentile(metric, F.lit(0.5), F.col("_rows")).alias("median_div")] if inline else []
     agg = (per_pair.groupBy(key_col)
            .agg(F.count(F.lit(1)).alias("n_games"),
-                F.try_divide(F.sum(F.col(metric) * F.col("_rows")), F.sum(weighted)).alias("mean_div"),
-                *med, *label_counts))
-    if not inline:
-        agg = _with_median(agg, joined, key_col, metric, "median_div", exact_median)
+                F.try_divide(F.sum("_sum"), F.sum("_rows")).alias("mean_div"), *label_counts))
+    agg = _with_median(agg, joined, key_col, metric, "median_div", exact_median)
     pct_cols = [(F.col(label_column_name("_n_", lbl)) / F.col("n_games") * 100)
                 .alias(label_column_name("pct_", lbl)) for lbl in labels]
     return (agg.where(F.col("n_games") >= min_games)
@@ -79,15 +70,13 @@ def entity_stats(entities: DataFrame, col: str, min_games: int, id_col: str = "a
                  critic: str = "critic_norm", exact_median: bool = True) -> DataFrame:
     """Per entity value: distinct ids, mean/median metric, mean of both yardsticks."""
     rows = entities.where(F.col(col).isNotNull())
-    inline = exact_median and in_memory_ok(rows)
-    med = [F.median(metric).alias("median_div")] if inline else []
     agg = (rows.groupBy(col)
                .agg(F.count_distinct(id_col).alias("n_games"),
-                    F.avg(metric).alias("mean_div"), *med,
+                    F.avg(metric).alias("mean_div"),
                     F.avg(player).alias("mean_player"),
                     F.avg(critic).alias("mean_critic"))
                .where(F.col("n_games") >= min_games))
-    out = agg if inline else _with_median(agg, rows, col, metric, "median_div", exact_median)
+    out = _with_median(agg, rows, col, metric, "median_div", exact_median)
     return out.select(col, "n_games", "mean_div", "median_div", "mean_player", "mean_critic")
 
 

@@ -18,7 +18,7 @@ from catalink.operators.aggregates import quantiles
 from catalink.plans import sqlfrag as Q
 from catalink.plans import standin as S
 from catalink.plans.common import shared, shared_get
-from catalink.session import reuse
+from catalink.session import cut_lineage
 from catalink.plans.registry import query, r6
 
 THRESHOLD = 70
@@ -31,7 +31,7 @@ LOW_PASS_BELOW = 75
 
 def rollup(spark, d):
     """Per-title sales rollup; written once when recomputing it reads > 1 GiB."""
-    return reuse(M.title_rollup(S.sales_rows(spark, d)), "rollup")
+    return cut_lineage(M.title_rollup(S.sales_rows(spark, d)), "rollup")
 
 
 def build_scored(spark, d, roll=None):

@@ -14,8 +14,8 @@
 | sales rows                   | line items: title ``p_name``, platform flag+status        |
 
 Each builder has an SQL twin (``*_SQL``) used by the DuckDB oracle.  The
-line-item aggregate is one ``groupBy(l_partkey)`` shared (exchange reuse) by
-reviews and games.
+line-item aggregate is one ``groupBy(l_partkey)`` that reviews and games build on; where a
+query needs columns of both it is planned for each.
 """
 
 from __future__ import annotations
@@ -53,13 +53,13 @@ def part_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _line_order():
-    """The order (order key, line number, ship day) packed into one bigint, so
-    the first-line aggregate keeps a fixed-width buffer and stays a hash
-    aggregate (a struct-ordered ``min_by`` falls back to a sort aggregate).
-    Valid for line numbers below 16 (TPC-H: 1-7) and ship days within 2**17
-    days of 1970; the SQL twin keeps the struct order, so the oracle checks it."""
-    days = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date"))
-    return (F.col("l_orderkey") * 16 + F.col("l_linenumber")) * (1 << 17) + days
+    """The order (order key, line number, ship day) as one decimal of 36 digits: 19 for any
+    bigint, 10 for any integer, 7 for any date.  Its buffer has a fixed width, so the
+    first-line aggregate stays a hash aggregate (a struct-ordered ``min_by`` falls back to a
+    sort aggregate)."""
+    days = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")) + 1_000_000
+    line = F.col("l_linenumber").cast("decimal(10,0)")
+    return (F.col("l_orderkey").cast("decimal(19,0)") * F.expr("10000000000BD") + line) * F.expr("10000000BD") + days.cast("decimal(7,0)")
 
 
 PART_STATS_SQL = """part_stats AS (

@@ -89,34 +89,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# Above this estimated plan size, recomputing a reused input costs more than
-# writing it once (1 GiB; a few seconds of I/O on a cluster).
-MATERIALIZE_BYTES = 1 << 30
-
-
 def plan_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of a plan (no job is run)."""
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate unavailable
         return None
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Bytes a recomputation of ``df`` reads: the sum of its leaf scans' sizes
-    (join/aggregate output estimates are meaningless without CBO statistics)."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:  # noqa: BLE001 - estimate unavailable
-        return None
-
-
-def reuse(df: DataFrame, name: str = "table", min_bytes: int | None = None) -> DataFrame:
-    """For an input used several times: materialise it (``cut_lineage``) when
-    recomputing it would read more than ``min_bytes``, else return it
-    unchanged so small inputs are simply recomputed / exchange-reused."""
-    size = input_bytes(df)
-    if size is None or size >= (MATERIALIZE_BYTES if min_bytes is None else min_bytes):
-        return cut_lineage(df, name)
-    return df

@@ -17,8 +17,7 @@ def test_bracketed_percentiles_equal_spark(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
     # accuracy 500: groups above 2000 rows take the bracket path
-    got = {(r.g, r.prob_index): r.value for r in exact_percentiles(df, "v", probs, ["g"], accuracy=500,
-                                                                   method="bracket").collect()}
+    got = {(r.g, r.prob_index): r.value for r in exact_percentiles(df, "v", probs, ["g"], accuracy=500).collect()}
     want = {}
     for r in df.where("g is not null").groupBy("g").agg(
             F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q")).collect():
@@ -31,7 +30,5 @@ def test_bracketed_percentiles_equal_spark(spark):
 
 def test_global_median_and_empty(spark):
     df = spark.createDataFrame([(x,) for x in [5.0, 1.0, 3.0, None, 2.0]], "v double")
-    for method in ("bracket", "map"):
-        assert exact_percentile_columns(df, "v", [0.5], ["m"], method=method).collect()[0].m == 2.5
-        empty = df.where("v > 100")
-        assert exact_percentiles(empty, "v", [0.5], method=method).count() == 0
+    assert exact_percentile_columns(df, "v", [0.5], ["m"]).collect()[0].m == 2.5
+    assert exact_percentiles(df.where("v > 100"), "v", [0.5]).count() == 0
