@@ -339,3 +339,50 @@ def year_counts(spark, d):
     from catalink.operators.aggregates import value_counts_by_value
     y = S.games(spark, d).select(F.year("release_date").cast("int").alias("year"))
     return value_counts_by_value(y.where(F.col("year").between(1996, 2000)), "year")
+
+
+@query("tag_frequency_pair", with_core(S.TAGS_SQL) + f""",
+a AS (SELECT t.tag, COUNT(*) AS n_q2 FROM tags_long t JOIN core c ON t.app_id = c.app_id WHERE c.quadrant = '{_Q2}' GROUP BY t.tag),
+b AS (SELECT t.tag, COUNT(*) AS n_q3 FROM tags_long t JOIN core c ON t.app_id = c.app_id WHERE c.quadrant = '{_Q3}' GROUP BY t.tag)
+SELECT COALESCE(a.tag, b.tag) AS tag, COALESCE(n_q2, 0) AS n_q2, COALESCE(n_q3, 0) AS n_q3 FROM a FULL JOIN b ON a.tag = b.tag""")
+def tag_frequency_pair(spark, d):
+    """Two frequency tables side by side, gaps 0."""
+    from catalink.operators.joins import full_outer_fill
+    tagged = S.tags_long(spark, d).join(core(spark, d).select("app_id", "quadrant"), "app_id")
+    one = lambda quadrant, name: tagged.where(F.col("quadrant") == quadrant).groupBy("tag").agg(F.count("*").alias(name))
+    return full_outer_fill(one(_Q2, "n_q2"), one(_Q3, "n_q3"), "tag", {"n_q2": 0, "n_q3": 0})
+
+
+@query("quadrant_report", with_core() + """
+SELECT quadrant, COUNT(*) AS n, CAST(CAST(ROUND_EVEN(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM core WHERE quadrant IS NOT NULL), 1) AS DECIMAL(9, 1)) AS VARCHAR) || '%' AS share,
+       ROUND(AVG(divergence_ratio), 2) AS mean_div
+FROM core WHERE quadrant IS NOT NULL GROUP BY quadrant""")
+def quadrant_report(spark, d):
+    """Shares as percent text and a mean rounded for reading."""
+    rows = core(spark, d).where(F.col("quadrant").isNotNull())
+    total = rows.agg(F.count(F.lit(1)).cast("double")).scalar()
+    out = rows.groupBy("quadrant").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("divergence_ratio"), 2).alias("mean_div"))
+    return out.select("quadrant", "n", X.percent_text(F.col("n") * 100.0 / total, 1).alias("share"), "mean_div")
+
+
+def _ends_sql(col: str, min_games: int, n: int) -> str:
+    return f"""WITH s AS ({_entity_sql(col, min_games)})
+SELECT * FROM (SELECT * FROM s ORDER BY mean_div DESC, {col} ASC LIMIT {n})
+UNION SELECT * FROM (SELECT * FROM s ORDER BY mean_div ASC, {col} DESC LIMIT {n})"""
+
+
+def _ends(spark, d, col, min_games, n):
+    from catalink.operators.ranking import both_ends
+    return both_ends(_entity(spark, d, col, min_games), [("mean_div", True), (col, False)], n)
+
+
+@query("publisher_ends", _ends_sql("publisher", CFG.min_games_per_publisher, CFG.signature_n_each))
+def publisher_ends(spark, d):
+    """Publishers at both ends of the mean divergence."""
+    return _ends(spark, d, "publisher", CFG.min_games_per_publisher, CFG.signature_n_each)
+
+
+@query("developer_ends", _ends_sql("developer", CFG.min_games_per_developer, CFG.signature_n_each))
+def developer_ends(spark, d):
+    """Developers at both ends of the mean divergence."""
+    return _ends(spark, d, "developer", CFG.min_games_per_developer, CFG.signature_n_each)

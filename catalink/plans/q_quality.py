@@ -19,7 +19,8 @@ from catalink.plans.registry import query, r6
 
 _MERGE_SQL = """merged AS (
   SELECT o.o_orderkey, o.o_custkey, c.c_custkey, c.c_name AS customer_name, c.c_nationkey, c.c_mktsegment
-  FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 10 <> 0) c ON o.o_custkey = c.c_custkey
+  FROM orders o LEFT JOIN (SELECT c_name, c_nationkey, c_mktsegment,
+    CASE WHEN c_acctbal >= 0 THEN c_custkey END AS c_custkey FROM customer) c ON o.o_custkey = c.c_custkey
 )"""
 _MERGE_COLS = ["o_orderkey", "o_custkey", "c_custkey", "customer_name", "c_nationkey", "c_mktsegment"]
 
