@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from catalink import config as C
 from catalink.functions.expressions import strip
 from catalink.operators.quantiles import exact_percentiles, percentile_map
+from catalink.session import cut_lineage
 
 
 def _rows_from_struct_array(row_df: DataFrame, items: Sequence[Column]) -> DataFrame:
@@ -107,6 +108,7 @@ def token_profile(df: DataFrame, columns: Sequence[str] | None = None,
 def numeric_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Min / median / max per numeric column, nulls skipped (min/max in one pass, all
     medians in another)."""
+    df = cut_lineage(df.select(*columns), "ranges")
     q = percentile_map(df, columns, (0.5,))
     aggs = []
     for i, c in enumerate(columns):
@@ -142,6 +144,7 @@ def integrity_checks(df: DataFrame, positive: str = "positive", negative: str =
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles (linear), max per column as rows."""
+    df = cut_lineage(df.select(*columns), "describe")
     q = percentile_map(df, columns, (0.25, 0.5, 0.75))
     aggs = []
     for i, c in enumerate(columns):
@@ -198,8 +201,6 @@ def average_rank(df: DataFrame, col: str, rank_col: str, bucket_rows: int = RANK
     """
     from pyspark.sql import Window
 
-    from catalink.session import cut_lineage
-
     counts = cut_lineage(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n")), "rank-counts")
     n_buckets = max(1, -(-counts.count() // bucket_rows))
     probs = [i / n_buckets for i in range(1, n_buckets)]
@@ -221,8 +222,6 @@ def average_rank(df: DataFrame, col: str, rank_col: str, bucket_rows: int = RANK
 
 def spearman_frame(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Spearman correlation per pair: Pearson of average ranks, pairwise complete."""
-    from catalink.session import cut_lineage
-
     rows = None
     df = cut_lineage(df.select(*dict.fromkeys(c for pair in pairs for c in pair)), "spearman")
     for a, b in pairs:

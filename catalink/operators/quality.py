@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from catalink import config as C
 from catalink.functions.expressions import is_non_ascii, strip
 from catalink.operators.quantiles import percentile_map
+from catalink.session import cut_lineage
 
 
 def report(base: DataFrame, items: Sequence[tuple[str, str, Column]]) -> DataFrame:
@@ -145,6 +146,7 @@ def review_report(raw: DataFrame, clean: DataFrame, numeric: Sequence[str],
                      for i, c in enumerate(rcols)],
                    *[F.count_if(F.col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(rcols)])
     ccols = clean.columns
+    clean = cut_lineage(clean, "review-clean")
     # every clean-side metric in one aggregate pass, all medians in another
     numeric = [c for c in numeric if c in ccols]
     medians = percentile_map(clean, numeric, (0.5,)) if numeric else None

@@ -15,6 +15,7 @@ from catalink.functions import expressions as X
 from catalink.plans import standin as S
 from catalink.plans.common import build_core, shared
 from catalink.plans.registry import ORACLE, QUERIES, query, r6
+from catalink.session import cut_lineage
 from catalink.sources import readers as R
 from catalink.sources import sinks as K
 
@@ -168,29 +169,32 @@ def _brief_sql() -> str:
 
 def _brief_spark(spark, d):
     from pyspark.sql import Window
-    out = None
+    out, written = None, {}
+
+    def source(name):  # each source query runs once; its result is a small table
+        if name not in written:
+            written[name] = cut_lineage(QUERIES[name](spark, d), f"brief-{name}")
+        return written[name]
+
+    def lines(base, section, rank, label, metrics):
+        values = F.array(*[F.struct(F.lit(m).alias("metric"), r6(F.col(m), "value").alias("value")) for m in metrics])
+        return base.select(F.lit(section).alias("section"), rank.cast("int").alias("rank"),
+                           F.col(label).cast("string").alias("label"), F.inline(values))
 
     def add(df):
         nonlocal out
         out = df if out is None else out.unionByName(df)
 
     for section, src, rank, label, metrics, where in _BRIEF:
-        base = QUERIES[src](spark, d)
-        if where:
-            base = base.where(where)
-        for m in metrics:
-            add(base.select(F.lit(section).alias("section"), F.expr(rank).cast("int").alias("rank"),
-                            F.col(label).cast("string").alias("label"), F.lit(m).alias("metric"),
-                            r6(F.col(m), "value")))
+        base = source(src)
+        add(lines(base.where(where) if where else base, section, F.expr(rank), label, metrics))
     for section, src, key in _BRIEF_ENDS:
         for side, desc in (("top", True), ("bottom", False)):
             order = [F.desc("mean_div") if desc else F.asc("mean_div"), F.asc(key)]
-            ranked = (QUERIES[src](spark, d).orderBy(*order).limit(3)
+            ranked = (source(src).orderBy(*order).limit(3)
                       .withColumn("rk", F.row_number().over(Window.orderBy(*order))))
-            for m in ("mean_div", "n_games"):
-                add(ranked.select(F.lit(f"{section}_{side}").alias("section"), F.col("rk").cast("int").alias("rank"),
-                                  F.col(key).alias("label"), F.lit(m).alias("metric"), r6(F.col(m), "value")))
-    quad = QUERIES["quadrant_summary"](spark, d)
+            add(lines(ranked, f"{section}_{side}", F.col("rk"), key, ("mean_div", "n_games")))
+    quad = source("quadrant_summary")
     agree = F.sum(F.when(F.col("quadrant").isin(C.QUADRANTS[0], C.QUADRANTS[3]), F.col("count")).otherwise(0))
     add(quad.agg((agree.cast("double") * 100 / F.sum("count")).alias("v"))
             .select(F.lit("consensus").alias("section"), F.lit(1).alias("rank"), F.lit("Q1+Q4").alias("label"),
