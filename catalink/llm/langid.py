@@ -5,8 +5,9 @@ sums the counts, and the log probabilities (buckets x languages, a few MB whatev
 corpus) go to all tasks.  Scoring gathers the rows of a batch's n-grams and sums them by
 document; the best language gets its posterior probability as score.
 
-Training reads labelled rows only, at most about ``max_rows`` of them, chosen by a hash of
-the row (all rows where there are fewer).  Scores cover whole texts.
+Training reads labelled rows only, at most about ``max_rows`` different ones, chosen by a
+hash of text and label (all where there are fewer); copies count once, so a large group of
+them can't fill the sample.  Scores cover whole texts.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, and so is
 everything where no labelled row exists; ties go to the first language by name; rows are
@@ -30,6 +31,7 @@ from catalink.llm.common import string_buffers, text_column, text_slices
 BUCKET_BITS = 16
 GRAMS = (1, 2, 3)
 MAX_ROWS = 20_000
+SAMPLE_STEPS = 1 << 60
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
 SLICE = 1 << 20
@@ -67,9 +69,8 @@ def gram_buckets(texts: pa.LargeStringArray) -> tuple[list[np.ndarray], np.ndarr
 def train(df: DataFrame, text: str = "text", lang: str = "lang", max_rows: int = MAX_ROWS) -> LanguageModel | None:
     """Fit on the rows of ``df`` whose ``lang`` and ``text`` are not null; None without any."""
     rows = df.select(F.col(text).alias("_text"), F.col(lang).alias("_lang")).where("_text is not null and _lang is not null")
-    share = min(1.0, max_rows / max(1, rows.count()))
-    if share < 1:
-        rows = rows.where(F.pmod(F.xxhash64("_text", "_lang", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000))
+    below = min(SAMPLE_STEPS, SAMPLE_STEPS * max_rows // max(1, rows.count()))
+    rows = rows.where(F.pmod(F.xxhash64("_text", "_lang", F.lit(7)), F.lit(SAMPLE_STEPS)) < below).distinct()
     n = 1 << BUCKET_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

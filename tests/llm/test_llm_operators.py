@@ -359,6 +359,17 @@ def test_language_id(spark, docs, empty):
     assert {r.lang_pred for r in langid.predict(docs, None).collect()} == {"und"}
 
 
+def test_language_sample_is_bounded(spark):
+    copies = [("the same text again and again", "en")] * 400
+    others = [(f"mot numero {i} de la suite", "fr") for i in range(400)]
+    rows = spark.createDataFrame(copies + others, "text string, lang string")
+    whole = langid.train(rows)
+    assert np.allclose(np.exp(whole.prior), [1 / 401, 400 / 401])
+    some = langid.train(rows, max_rows=100)
+    assert set(some.languages) <= {"en", "fr"} and "fr" in some.languages
+    assert langid.predict(rows.where("lang = 'fr'"), some).where("lang_pred = 'fr'").count() == 400
+
+
 # --- 9 chat
 
 def test_escape_round_trip():
