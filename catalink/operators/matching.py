@@ -9,13 +9,17 @@ Top-1 retrieval is an inverted-index equi-join, never an N x M cross product:
    ``ln((1 + n) / (1 + df)) + 1`` with ``n`` a scalar subquery;
 3. weights ``tf * idf``, L2-normalised per title (query n-grams outside the
    candidate vocabulary drop out in the inner join with the idf table);
-4. join query and candidate postings on the n-gram.  A frequent n-gram would
-   put |Q_g| x |C_g| pairs in one task, so n-grams whose document frequency
-   exceeds ``salt_rows`` are split: the candidate side gets a salt from a hash
-   of the title, the query side is replicated once per salt value;
-5. sum the products per (query, candidate) (map-side partial sums) and keep
-   the best candidate per query with ``min(struct(-round(sim, 9), title))``:
-   highest similarity, then the smallest title.
+4. a lower bound of each query's best similarity: for its rarest n-grams the candidate with
+   the greatest weight is scored exactly;
+5. n-grams have one order, rarest first.  What a pair shares from an n-gram on is at most the
+   product of both titles' remaining norms, so the postings are joined only where that
+   product reaches the bound; a pair goes on only if the products summed there plus what can
+   remain behind them reach it.  The best candidate always does, by its first shared n-gram;
+6. the pairs left are scored exactly, and the best per query is
+   ``min(struct(-round(sim, 9), title))``: highest similarity, then the smallest title.
+
+A frequent n-gram would put |Q_g| x |C_g| pairs in one task, so its postings are split on
+both sides into parts of about ``salt_rows``, and each part meets each of the other side.
 
 Exact: no n-gram or candidate cap.  Queries that share no n-gram with any
 candidate get no candidate (similarity 0, distance 1).
@@ -43,6 +47,10 @@ from catalink.operators.dedupe import keep_first, top_k_per_group
 from catalink.operators.quantiles import percentile_map
 
 SIM_DIGITS = 9
+#: Rarest n-grams of a query whose best candidates give the lower bound.
+SEEDS = 4
+#: What the bound gives way for rounding to ``SIM_DIGITS`` and for sums in another order.
+SLACK = 1e-6
 
 
 # --- sales rollup -------------------------------------------------------------
@@ -96,22 +104,71 @@ def tfidf_weights(counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
     return w.select(id_col, "gram", (F.col("_w") / norm).alias("weight"), "df")
 
 
+def with_tails(weights: DataFrame, id_col: str) -> DataFrame:
+    """Weights with ``tail``, the norm of the n-gram and all behind it (rarest first), ``after``,
+    the norm without it, and ``place`` (from 1) in that order."""
+    behind = Window.partitionBy(id_col).orderBy(F.desc("df"), F.desc("gram"))
+    sq = F.col("weight") * F.col("weight")
+    rows = weights.withColumns({
+        "_sum": F.sum(sq).over(behind.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_last": F.row_number().over(behind), "_n": F.count(F.lit(1)).over(Window.partitionBy(id_col))})
+    return rows.select(id_col, "gram", "weight", "df", F.sqrt("_sum").alias("tail"),
+                       F.sqrt(F.greatest(F.lit(0.0), F.col("_sum") - sq)).alias("after"),
+                       (F.col("_n") - F.col("_last") + 1).alias("place"))
+
+
+def pair_similarity(pairs: DataFrame, q: DataFrame, c: DataFrame) -> DataFrame:
+    """(_query, _cand, _sim): exact cosine of the given pairs."""
+    return (pairs.join(q.select("_query", "gram", F.col("weight").alias("_wq")), "_query")
+                 .join(c.select("_cand", "gram", F.col("weight").alias("_wc")), ["_cand", "gram"])
+                 .groupBy("_query", "_cand").agg(F.sum(F.col("_wq") * F.col("_wc")).alias("_sim")))
+
+
+def least_best(q: DataFrame, c: DataFrame, seeds: int = SEEDS) -> DataFrame:
+    """(_query, _bound): a similarity that some candidate of the query reaches (every weighted
+    n-gram of a query has candidates, so each query gets a bound)."""
+    champion = (c.groupBy("gram").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("_cand"))).alias("_b"))
+                 .select("gram", F.col("_b._cand").alias("_cand")))
+    pairs = q.where(F.col("place") <= seeds).join(champion, "gram").select("_query", "_cand").distinct()
+    return pair_similarity(pairs, q, c).groupBy("_query").agg(F.max("_sim").alias("_bound"))
+
+
+def candidate_pairs(q: DataFrame, c: DataFrame, bounds: DataFrame, salt_rows: int = 5000) -> DataFrame:
+    """(_query, _cand): the pairs that can reach the query's bound."""
+    q = q.join(bounds, "_query").withColumn("_bound", F.col("_bound") - SLACK).where(F.col("tail") >= F.col("_bound"))
+    many = (q.groupBy("gram").agg(F.count(F.lit(1)).alias("_nq"), F.max("df").alias("_nc"))
+             .select("gram", F.ceil(F.col("_nq") / salt_rows).cast("int").alias("_pq"), F.ceil(F.col("_nc") / salt_rows).cast("int").alias("_pc"))
+             .where("_pq > 1 or _pc > 1"))  # at most one n-gram in salt_rows postings
+    one = lambda name: F.coalesce(F.col(name), F.lit(1))
+
+    def parts(rows: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        rows = rows.join(many, "gram", "left")
+        return (rows.withColumn(f"_{own}", F.pmod(F.xxhash64(key), one(f"_p{own}")))
+                    .withColumn(f"_{other}", F.explode(F.sequence(F.lit(0).cast("bigint"), one(f"_p{other}").cast("bigint") - 1)))
+                    .drop("_pq", "_pc", "df", "place"))
+
+    left = parts(q, "_query", "q", "c").withColumnsRenamed({"weight": "_wq", "tail": "_tq", "after": "_aq"})
+    right = parts(c, "_cand", "c", "q").withColumnsRenamed({"weight": "_wc", "tail": "_tc", "after": "_ac"})
+    met = left.join(right, ["gram", "_q", "_c"]).where(F.col("_tq") * F.col("_tc") >= F.col("_bound"))
+    return (met.groupBy("_query", "_cand").agg(F.sum(F.col("_wq") * F.col("_wc")).alias("_part"),
+                                               F.min(F.col("_aq") * F.col("_ac")).alias("_rest"), F.max("_bound").alias("_bound"))
+               .where(F.col("_part") + F.col("_rest") >= F.col("_bound")).select("_query", "_cand"))
+
+
 def top1_cosine(query_w: DataFrame, cand_w: DataFrame, query_id: str, cand_id: str,
-                salt_rows: int = 5000) -> DataFrame:
+                salt_rows: int = 5000, materialize: bool = True) -> DataFrame:
     """(query id, best candidate id, similarity) for queries sharing at least
     one n-gram with a candidate."""
-    salts = F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(salt_rows)))
-    c = (cand_w.select(F.col(cand_id).alias("_cand"), "gram", F.col("weight").alias("_wc"), "df")
-               .withColumn("_salt", F.pmod(F.xxhash64("_cand"), salts.cast("bigint")).cast("int"))
-               .drop("df"))
-    q = (query_w.select(F.col(query_id).alias("_query"), "gram", F.col("weight").alias("_wq"), "df")
-                .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts.cast("int") - 1)))
-                .drop("df"))
-    dots = (q.join(c, on=["gram", "_salt"], how="inner")
-             .groupBy("_query", "_cand").agg(F.sum(F.col("_wq") * F.col("_wc")).alias("_sim")))
-    best = (dots.groupBy("_query")
-                .agg(F.min(F.struct((-F.round("_sim", SIM_DIGITS)).alias("neg_sim"),
-                                    F.col("_cand"))).alias("_b")))
+    from catalink.session import cut_lineage
+
+    q = with_tails(query_w, query_id).withColumnRenamed(query_id, "_query")
+    c = with_tails(cand_w, cand_id).withColumnRenamed(cand_id, "_cand")
+    if materialize:
+        q, c = cut_lineage(q, "query-weights"), cut_lineage(c, "candidate-weights")
+    pairs = candidate_pairs(q, c, least_best(q, c), salt_rows)
+    best = (pair_similarity(pairs, q, c).groupBy("_query")
+            .agg(F.min(F.struct((-F.round("_sim", SIM_DIGITS)).alias("neg_sim"),
+                                F.col("_cand"))).alias("_b")))
     return best.select(F.col("_query").alias(query_id),
                        F.col("_b._cand").alias("matched_sales_name"),
                        (-F.col("_b.neg_sim")).alias("similarity"))
@@ -144,9 +201,11 @@ def fuzzy_match(queries: DataFrame, candidates: DataFrame, query_name: str = "na
     cand_counts = ngram_counts(cands, "_ct", "_ct")
     titles = queries.select(F.col(query_name).alias("_qt")).distinct()
     idf = idf_table(cand_counts, n_docs)
+    if materialize:  # a written idf leaves both sides of the weight join open to the skew split
+        idf = cut_lineage(idf, "idf")
     cand_w = tfidf_weights(cand_counts, idf, "_ct")
     query_w = tfidf_weights(ngram_counts(titles, "_qt", "_qt"), idf, "_qt")
-    best = top1_cosine(query_w, cand_w, "_qt", "_ct", salt_rows=salt_rows)
+    best = top1_cosine(query_w, cand_w, "_qt", "_ct", salt_rows, materialize)
     scored = queries.join(best, queries[query_name] == best["_qt"], "left").drop("_qt")
     sim = F.coalesce(F.col("similarity"), F.lit(0.0))
     score = F.when(F.col("matched_sales_name").isNull(), F.lit(0.0)).otherwise(

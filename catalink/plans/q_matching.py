@@ -175,6 +175,26 @@ def top1_cosine(spark, d):
     return scored(spark, d).select("app_id", "name", "matched_sales_name", r6("cosine_distance"))
 
 
+#: Thousands of titles on both sides: parts with their type and key, sold parts with brand and key.
+_KEYED_CTES = S.with_ctes("""mq AS (
+  SELECT p_partkey AS app_id, p_name || ' ' || p_type || ' ' || p_partkey AS name FROM part
+)""", """cands AS (
+  SELECT DISTINCT p_name || ' ' || p_brand || ' ' || l_partkey AS title FROM lineitem JOIN part ON l_partkey = p_partkey
+)""", *_MATCH_CTES[5:13])
+
+
+@query("top1_keyed_titles", _KEYED_CTES + """
+SELECT mq.app_id, mq.name, b.cid AS matched_sales_name, ROUND(1.0 - COALESCE(b.sim, 0.0), 6) AS cosine_distance
+FROM mq LEFT JOIN best b ON mq.name = b.qid""")
+def top1_keyed_titles(spark, d):
+    part = S.read(spark, d, "part")
+    titles = part.select(F.col("p_partkey").alias("app_id"), F.concat_ws(" ", "p_name", "p_type", "p_partkey").alias("name"))
+    sold = S.read(spark, d, "lineitem").select("l_partkey").distinct()
+    names = (sold.join(part, F.col("l_partkey") == F.col("p_partkey"))
+             .select(F.concat_ws(" ", "p_name", "p_brand", "l_partkey").alias("Name")).distinct())
+    return M.fuzzy_match(titles, names).select("app_id", "name", "matched_sales_name", r6("cosine_distance"))
+
+
 @query("token_sort_ratio", MATCH_WITH + """
 SELECT app_id, name, matched_sales_name, ROUND(vg_match_score, 6) AS vg_match_score FROM scored""")
 def token_sort_ratio_q(spark, d):

@@ -1,8 +1,10 @@
 """Top-1 TF-IDF retrieval against a brute-force pure-Python computation."""
 
 import math
+import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from catalink.operators import matching as M
@@ -58,6 +60,32 @@ def test_salting_does_not_change_results(spark):
     assert plain == salted
 
 
+@pytest.mark.parametrize("salt_rows", [3, 5000])
+def test_pruned_pairs_keep_the_best(spark, salt_rows):
+    """Random titles over few syllables (many ties, hot n-grams on each side) equal brute force."""
+    rnd = random.Random(17)
+    title = lambda: " ".join(rnd.choice(["aba", "abab", "baa", "Cab", "bcab", "acca", "12", "123"])
+                             for _ in range(rnd.randint(1, 5)))
+    queries = sorted({"common " + title() for _ in range(60)} | {title() for _ in range(60)} | {"zz", "", "common"})
+    cands = sorted({title() for _ in range(150)} | {"common " + title() for _ in range(3)})
+    qdf = spark.createDataFrame(list(enumerate(queries)), "app_id long, name string")
+    cdf = spark.createDataFrame([(c,) for c in cands], "Name string")
+    got = {r.name: (r.matched_sales_name, 1.0 - r.cosine_distance) for r in M.fuzzy_match(qdf, cdf, salt_rows=salt_rows).collect()}
+    want = brute_top1(queries, cands)
+    assert set(got) == set(queries)
+    for q in queries:
+        assert got[q][0] == want[q][0] and abs(got[q][1] - want[q][1]) < 1e-9, q
+
+
+def test_few_pairs_are_scored(spark):
+    """Titles that share a word: far fewer pairs are scored than there are."""
+    titles = spark.range(600).select(F.concat(F.lit("edition "), F.col("id").cast("string"), F.lit(" of "), (F.col("id") * 7919 % 6007).cast("string")).alias("t"))
+    counts = M.ngram_counts(titles, "t", "t")
+    weights = M.tfidf_weights(counts, M.idf_table(counts, F.lit(600)), "t")
+    q, c = (M.with_tails(weights, "t").withColumnRenamed("t", x) for x in ("_query", "_cand"))
+    assert M.candidate_pairs(q, c, M.least_best(q, c)).count() < 600 * 600 / 50
+
+
 def test_rollup_sums_and_platforms(spark):
     rows = [("A", "PC", "1.5", 1.0, 0.0, 0.0, 2.5), ("A", "PS4", "N/A", 2.0, 1.0, 0.0, 3.0),
             ("B", None, "2", 0.0, 0.0, 0.0, 2.0)]
