@@ -8,6 +8,9 @@ as a derived table).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from catalink import config as C
@@ -169,12 +172,12 @@ def _brief_sql() -> str:
 
 def _brief_spark(spark, d):
     from pyspark.sql import Window
-    out, written = None, {}
-
-    def source(name):  # each source query runs once; its result is a small table
-        if name not in written:
-            written[name] = cut_lineage(QUERIES[name](spark, d), f"brief-{name}")
-        return written[name]
+    out = None
+    # each source query runs once, some side by side; its result is a small table
+    names = list(dict.fromkeys([b[1] for b in _BRIEF] + [e[1] for e in _BRIEF_ENDS]))
+    write = inheritable_thread_target(spark)(lambda name: cut_lineage(QUERIES[name](spark, d), f"brief-{name}"))
+    with ThreadPoolExecutor(4) as pool:
+        written = dict(zip(names, pool.map(write, names)))
 
     def lines(base, section, rank, label, metrics):
         values = F.array(*[F.struct(F.lit(m).alias("metric"), r6(F.col(m), "value").alias("value")) for m in metrics])
@@ -186,15 +189,15 @@ def _brief_spark(spark, d):
         out = df if out is None else out.unionByName(df)
 
     for section, src, rank, label, metrics, where in _BRIEF:
-        base = source(src)
+        base = written[src]
         add(lines(base.where(where) if where else base, section, F.expr(rank), label, metrics))
     for section, src, key in _BRIEF_ENDS:
         for side, desc in (("top", True), ("bottom", False)):
             order = [F.desc("mean_div") if desc else F.asc("mean_div"), F.asc(key)]
-            ranked = (source(src).orderBy(*order).limit(3)
+            ranked = (written[src].orderBy(*order).limit(3)
                       .withColumn("rk", F.row_number().over(Window.orderBy(*order))))
             add(lines(ranked, f"{section}_{side}", F.col("rk"), key, ("mean_div", "n_games")))
-    quad = source("quadrant_summary")
+    quad = written["quadrant_summary"]
     agree = F.sum(F.when(F.col("quadrant").isin(C.QUADRANTS[0], C.QUADRANTS[3]), F.col("count")).otherwise(0))
     add(quad.agg((agree.cast("double") * 100 / F.sum("count")).alias("v"))
             .select(F.lit("consensus").alias("section"), F.lit(1).alias("rank"), F.lit("Q1+Q4").alias("label"),
