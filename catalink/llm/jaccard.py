@@ -45,6 +45,9 @@ GROUP_TOKENS = 200_000
 SHARE = 20
 BUCKET_BITS = 18
 SLICE = 2 << 20
+#: Rows of a class that meet its component in one part.
+CLASS_ROWS = 1_000
+BROADCAST_BYTES = 64 << 20
 
 _SEEDS = mix64(np.arange(1, 33, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -277,16 +280,29 @@ def components(edges: DataFrame) -> DataFrame:
             return stars.union(pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def component_rows(full: DataFrame, classes: DataFrame, of_class: DataFrame, class_rows: int = CLASS_ROWS) -> DataFrame:
+    """The rows ``cls, doc_id, n`` with the ``component_id`` of their class.  Classes of more
+    than ``class_rows`` rows (one in so many rows at most) are split into parts."""
+    parts = F.ceil(F.col("size") / class_rows).cast("bigint")
+    large = classes.where(F.col("size") > class_rows).select("cls", parts.alias("parts"))
+    if large.count() * 64 <= BROADCAST_BYTES:  # beyond that an ordinary join
+        large = F.broadcast(large)
+    rows = full.select("cls", "doc_id", "n", F.monotonically_increasing_id().alias("_at")).join(large, "cls", "left")
+    rows = rows.withColumn("part", F.pmod(F.col("_at"), F.coalesce("parts", F.lit(1).cast("bigint"))))
+    split = of_class.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+    return rows.join(split, ["cls", "part"]).select("doc_id", "n", "component_id")
+
+
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group_tokens: int = GROUP_TOKENS,
-         bits: int = BUCKET_BITS, key: str = "doc_id", text: str = "text") -> DataFrame:
+         bits: int = BUCKET_BITS, key: str = "doc_id", text: str = "text", class_rows: int = CLASS_ROWS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each row of ``docs``."""
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"), row_key(key, text).alias("_key"))
     weights = token_weights(rows, words, bits)
     described = stage(describe(rows, weights, words, percent, bits), "jaccard-rows")
     full = described.where("n > 0")
     # one row stands for each class; equal rows share a key
-    classes = stage(full.groupBy("cls").agg(F.min("doc_id").alias("first"), F.min("_key").alias("_key"), F.min("h").alias("h"),
-                                            F.min("n").alias("n"), *[F.min(f"b{i}").alias(f"b{i}") for i in range(BANDS)]), "jaccard-classes")
+    classes = stage(full.groupBy("cls").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("first"), F.min("_key").alias("_key"),
+                                            F.min("h").alias("h"), F.min("n").alias("n"), *[F.min(f"b{i}").alias(f"b{i}") for i in range(BANDS)]), "jaccard-classes")
     members = stage(group_classes(classes, group_tokens), "jaccard-groups")
     met = meetings(members, full, percent)
     units = met.select(F.least("grp", "other").alias("a"), F.greatest("grp", "other").alias("b"), "cls",
@@ -296,7 +312,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group_toke
     linked = nodes.join(classes.select(F.col("cls").alias("node"), "first"), "node")
     smallest = linked.groupBy("root").agg(F.min("first").alias("smallest"))
     found = linked.join(smallest, "root").select(F.col("node").alias("cls"), "smallest")
-    of_class = classes.join(found, "cls", "left").select("cls", F.coalesce("smallest", "first").alias("component_id"))
-    return (described.join(of_class, "cls", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+    of_class = classes.join(found, "cls", "left").select("cls", "size", F.coalesce("smallest", "first").alias("component_id"))
+    alone = described.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    rows = component_rows(full, classes, of_class, class_rows).union(alone)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")

@@ -212,8 +212,8 @@ def brute_components(rows):
     return sorted(((d, len(sets[i]), least[find(i)]) for i, (d, _) in enumerate(rows)), key=str)
 
 
-@pytest.mark.parametrize("group_tokens", [200_000, 120])
-def test_jaccard(spark, docs, empty, group_tokens):
+@pytest.mark.parametrize("group_tokens, class_rows", [(200_000, 1000), (120, 3)])
+def test_jaccard(spark, docs, empty, group_tokens, class_rows):
     rnd = random.Random(17)
     chain = [prose(rnd, 40).split()]
     for _ in range(40):  # each is similar to the one before it
@@ -221,10 +221,10 @@ def test_jaccard(spark, docs, empty, group_tokens):
         step[rnd.randrange(40)] = f"w{rnd.randrange(10**6)}"
         chain.append(step)
     family = [[w if rnd.random() > 0.03 else f"v{rnd.randrange(10**6)}" for w in chain[0]] for _ in range(60)]
-    more = [(1000 + i, " ".join(w)) for i, w in enumerate(chain + family)]
+    more = [(1000 + i, " ".join(w)) for i, w in enumerate(chain + family + 20 * chain[:1])]
     rows = [(r.doc_id, r.text) for r in docs.collect()] + more
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit("x"))
-    assert rows_of(jaccard.join(df, group_tokens=group_tokens)) == brute_components(rows)
+    assert rows_of(jaccard.join(df, group_tokens=group_tokens, class_rows=class_rows)) == brute_components(rows)
     assert jaccard.join(empty).count() == 0
 
 
