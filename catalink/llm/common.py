@@ -96,7 +96,8 @@ _VISIBLE = ((_BYTES > 0x20) & (_BYTES < 0x7F)) | ((_BYTES >= 0xC3) & ((_BYTES <
 def word_chunks(col: pa.LargeStringArray, finer: bool = False) -> tuple[np.ndarray, pa.LargeStringArray]:
     """Cut each text before every blank or line feed that follows a character other than
     white space; if ``finer`` also between an ASCII letter and a punctuation mark (but the
-    apostrophe), and between a line feed and a character other than white space.
+    apostrophe), and on both sides of a line feed before a character other than white space
+    (a run of white space gives its last character away there).
 
     Returns for each text the number of its first chunk (n + 1 numbers) and all chunks.
     Joined, the chunks of a text give the text.  After characters that may be white space
@@ -114,7 +115,11 @@ def word_chunks(col: pa.LargeStringArray, finer: bool = False) -> tuple[np.ndarr
         three[2:] = (raw[:-3] >= 0xE1) & (raw[:-3] <= 0xE3)
         cut[1:-1] = ((raw[1:] == 0x20) | (raw[1:] == 0x0A)) & ~white & ~(high & (two | three))
         if finer:
-            cut[1:-1] |= (_MARK[raw[1:]] & _LETTER[prev]) | (_VISIBLE[raw[1:]] & (prev == 0x0A))
+            head = np.zeros(len(raw) + 1, dtype=bool)
+            head[offsets] = True
+            feed = _VISIBLE[raw[1:]] & (prev == 0x0A) & ~head[1:-1]  # not at the end of a text
+            cut[1:-1] |= (_MARK[raw[1:]] & _LETTER[prev]) | feed
+            cut[:-2] |= feed
     cut[offsets] = True
     cut[-1] = False
     starts = np.flatnonzero(cut)

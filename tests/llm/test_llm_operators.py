@@ -148,6 +148,19 @@ def test_tokens_of_words_are_those_of_texts():
     assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [tok.encode(t, add_special_tokens=False).ids for t in many]
 
 
+def test_tokens_of_white_space_runs():
+    """Without the special token, which would keep the finer cuts away."""
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(vocabulary(BYTES))
+    rnd = random.Random(17)
+    runs = ["\n", "\n\n", "\n\n\n", "\n\n\n\n", " \n", " \n\n", "\t\n\n", "\r\n", "\r\n\r\n", "\n ", "\n\n  ", "\xa0\n\n", "\u3000\n", "\x85\n\n", "\x1c\n\n"]
+    many = [a + run + b for run in runs for a in ("", "a", "é", "日", ".", "1") for b in ("", "b", "é", "日", ".", "'s", "😀")]
+    many += ["".join(rnd.choice(list("ab e'st.,!_-\n\n\n\t 1é日") + ["\u3000", "\xa0", "'s", "\x1c", "\r\n", "\n\n", "\n\nThe "])
+                     for _ in range(rnd.randint(0, 60))) for _ in range(3000)]
+    ids, bounds = token_files.encode_texts(vocabulary(BYTES), pa.array(many, pa.large_string()))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [tok.encode(t, add_special_tokens=False).ids for t in many]
+
+
 # --- 3 secrets
 
 def base_spans(text):
