@@ -4,8 +4,10 @@ Columns are bound by the names in the file's header, whatever their order and wh
 other columns there are; a name that the header lacks is an error.  Everything is read as
 text.  ``escape`` says how quotes inside quoted fields are written: doubled (``DOUBLED``),
 after a backslash (``BACKSLASH``), or either way, even in one file (``EITHER``).  Spark's
-parser knows one way at a time, so ``EITHER`` parses each file with Python's csv module in
-the one task that a multi-line file takes anyhow.
+parser knows one way at a time, so ``EITHER`` brings the lines of each file into one task (as
+any multi-line file takes) and in order, and parses them with Python's csv module as they
+stream by: a line, not a file, is the largest value held.  (A quote that is never closed takes
+the rest of its file, less a line feed at the very end.)
 
 Multi-line CSV cannot be split, so each file is one task: land it once as Parquet
 (``land_parquet``) and run everything else on the Parquet copy.
@@ -45,28 +47,51 @@ def header_of(spark: SparkSession, path: str, encoding: str = "UTF-8", escape: s
     return [(c or "").lstrip("\ufeff").strip() for c in lines.limit(1).first() or ()]
 
 
+class _Joined(io.RawIOBase):
+    """Bytes of a file from runs of its lines, read one after the other."""
+
+    def __init__(self, runs: Iterator[bytes]):
+        self.runs, self.left, self.begun = runs, memoryview(b""), False
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while not len(self.left):
+            run = next(self.runs, None)
+            if run is None:
+                return 0
+            self.left, self.begun = memoryview(b"\n" + run if self.begun else run), True
+        n = min(len(buffer), len(self.left))
+        buffer[:n], self.left = self.left[:n], self.left[n:]
+        return n
+
+
 def _parse_either(spark: SparkSession, path: str, names: Sequence[str], encoding: str) -> DataFrame:
     """All columns and ``_seq`` (file, block, pos) of files that escape quotes either way."""
     seq = pa.struct([("file", pa.string()), ("block", pa.int64()), ("pos", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(1 << 30)
-        for batch in batches:
-            for file, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                text = io.TextIOWrapper(io.BytesIO(content.as_buffer()), encoding=encoding, newline="")
-                lines = csv.reader(text, doublequote=True, escapechar="\\")
-                next(lines, None)
-                pos = 0
-                while rows := [r for r in itertools.islice(lines, 10_000)]:
-                    rows = [[x or None for x in (r + [""] * len(names))[: len(names)]] for r in rows if r]
-                    place = [{"file": file, "block": 0, "pos": pos + i} for i in range(len(rows))]
-                    pos += len(rows)
-                    cols = [pa.array(list(c), pa.string()) for c in zip(*rows)] or [pa.array([], pa.string())] * len(names)
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array(place, seq)], names=[*names, "_seq"])
+        runs = ((file, b"\n".join(x for _, x in rows)) for batch in batches for file, rows in itertools.groupby(
+            zip(batch.column("file").to_pylist(), batch.column("line").to_pylist()), lambda r: r[0]))
+        for file, mine in itertools.groupby(runs, lambda r: r[0]):
+            text = io.TextIOWrapper(io.BufferedReader(_Joined(x for _, x in mine), 1 << 16), encoding=encoding, newline="")
+            lines = csv.reader(text, doublequote=True, escapechar="\\")
+            next(lines, None)
+            pos = 0
+            while rows := [r for r in itertools.islice(lines, 10_000)]:
+                rows = [[x or None for x in (r + [""] * len(names))[: len(names)]] for r in rows if r]
+                place = [{"file": file, "block": 0, "pos": pos + i} for i in range(len(rows))]
+                pos += len(rows)
+                cols = [pa.array(list(c), pa.string()) for c in zip(*rows)] or [pa.array([], pa.string())] * len(names)
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(place, seq)], names=[*names, "_seq"])
 
     fields = ", ".join(f"`{n}` string" for n in names)
-    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
-    return files.mapInArrow(run, f"{fields}, _seq struct<file:string,block:long,pos:long>")
+    # the bytes between line feeds, undecoded; splits of a file meet again in its order
+    lines = with_file_order(spark.read.option("lineSep", "\n").text(path))
+    lines = lines.select("_seq.*", F.col("value").cast("binary").alias("line")).repartition("file").sortWithinPartitions("file", "block", "pos")
+    return lines.select("file", "line").mapInArrow(run, f"{fields}, _seq struct<file:string,block:long,pos:long>")
 
 
 def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None, encoding: str = "UTF-8",

@@ -66,3 +66,38 @@ def test_doubled_and_escaped_quotes(spark):
     assert rows == [('a "b", c', "2"), ('x "y"', "3"), ('A "quote", d', "4"), ('two\nlines "q"', "5")]
     path = write(folder, "long.csv", 'x,genre,app_id\n1,"a ""b"", c",2\n2,NA,3\n3,null,4\n4," y ",5\n')
     assert sorted(tuple(r) for r in R.read_long_csv(spark, path, "app_id", "genre").collect()) == [(2, 'a "b", c'), (5, "y")]
+
+
+def test_either_streams_files_of_any_size(spark):
+    """Files above the limit of a whole-file value, in many splits, with records across them."""
+    import csv
+    import random
+    rnd = random.Random(5)
+    folder = tempfile.mkdtemp(prefix="catalink-src-")
+    want = []
+    for name in ("a.csv", "b.csv"):
+        with open(os.path.join(folder, name), "w", encoding="utf-8", newline="") as f:
+            out = csv.writer(f, lineterminator=rnd.choice(["\n", "\r\n"]))
+            out.writerow(["x", "n"])
+            for i in range(800):
+                text = "".join(rnd.choice(['"', ",", "\n", "\r\n", "\n\n", "é", "word ", "b"]) for _ in range(rnd.randint(1, 40)))
+                out.writerow([text, f"{name}{i}"])
+                want.append((text, f"{name}{i}"))
+            f.write('"A \\"quote\\", d",last')  # no line feed at the end
+            want.append(('A "quote", d', "last"))
+    limits = {"spark.sql.sources.binaryFile.maxLength": "1000", "spark.sql.files.maxPartitionBytes": "3000", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        assert spark.read.text(folder).rdd.getNumPartitions() > 4
+        got = [tuple(r) for r in R.read_csv_text(spark, folder, order=True).orderBy("_seq").drop("_seq").collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == want
+    path = os.path.join(folder, "wide16")
+    with open(path, "w", encoding="utf-16", newline="") as f:
+        f.write('x,n\n"é\n""q""",1\nż,2\n')
+    parsed = R._parse_either(spark, path, ["x", "n"], "utf-16").orderBy("_seq").drop("_seq")
+    assert [tuple(r) for r in parsed.collect()] == [('é\n"q"', "1"), ("ż", "2")]
