@@ -62,7 +62,8 @@ RULES = BASE_RULES + MORE_RULES
 
 
 def _alternatives(parsed) -> list[tuple]:
-    """Literal strings that a parsed expression requires, by alternative; None breaks a string."""
+    """Literal strings that a parsed expression requires, by alternative; None breaks a string.
+    A step that would give more than ``MOST_ALTERNATIVES`` counts as a break."""
     out: list[tuple] = [()]
     for op, arg in parsed:
         if op is sre.LITERAL:
@@ -81,9 +82,10 @@ def _alternatives(parsed) -> list[tuple]:
                 step = [(*a, None) for a in _alternatives(item)] if least else [(None,)]
         else:
             step = [(None,)]
-        out = [a + b for a in out for b in step]
-        if len(out) > MOST_ALTERNATIVES:
-            out = [(None,)]
+        more = dict.fromkeys(a + b for a in out for b in step)
+        if len(more) > MOST_ALTERNATIVES:  # what is required so far stays required
+            more = dict.fromkeys((*a, None) for a in out)
+        out = list(more)
     return out
 
 

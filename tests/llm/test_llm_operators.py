@@ -179,6 +179,13 @@ def test_trigram_queries():
     assert secrets.trigram_query("(abc)?d") is None
 
 
+def test_rules_have_trigram_queries():
+    assert [r.kind for r in secrets.RULES if secrets.trigram_query(r.pattern) is None] == ["hex"]
+    words = ("password", "passwd", "secret", "token", "api_key", "apikey")
+    assert set(secrets.trigram_query(secrets.RULES[0].pattern)) == {frozenset(w[i: i + 3] for i in range(len(w) - 2)) for w in words}
+    assert all("xyz" in grams for grams in secrets.trigram_query("[abcd][abcd][abcd][abcd]xyz"))
+
+
 def test_secrets(spark, docs, empty):
     rnd = random.Random(13)
     tricky = ["token=token: abcdefghijkl", "token==secretsecret1", "PASSWD : 'aaaaaaaaaaaa'", "éé apikey=\"0123456789abcdef0\" x",
