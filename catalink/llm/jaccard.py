@@ -293,22 +293,34 @@ def component_rows(full: DataFrame, classes: DataFrame, of_class: DataFrame, cla
     return rows.join(split, ["cls", "part"]).select("doc_id", "n", "component_id")
 
 
-def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group_tokens: int = GROUP_TOKENS,
-         bits: int = BUCKET_BITS, key: str = "doc_id", text: str = "text", class_rows: int = CLASS_ROWS) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of each row of ``docs``."""
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"), row_key(key, text).alias("_key"))
-    weights = token_weights(rows, words, bits)
-    described = stage(describe(rows, weights, words, percent, bits), "jaccard-rows")
-    full = described.where("n > 0")
-    # one row stands for each class; equal rows share a key
-    classes = stage(full.groupBy("cls").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("first"), F.min("_key").alias("_key"),
-                                            F.min("h").alias("h"), F.min("n").alias("n"), *[F.min(f"b{i}").alias(f"b{i}") for i in range(BANDS)]), "jaccard-classes")
+def _described(rows: DataFrame, words: int, percent: int, bits: int) -> DataFrame:
+    return stage(describe(rows, token_weights(rows, words, bits), words, percent, bits), "jaccard-rows")
+
+
+def _classes(full: DataFrame) -> DataFrame:
+    """One row for each class of equal sets; equal rows share a key."""
+    return stage(full.groupBy("cls").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("first"), F.min("_key").alias("_key"),
+                                         F.min("h").alias("h"), F.min("n").alias("n"), *[F.min(f"b{i}").alias(f"b{i}") for i in range(BANDS)]), "jaccard-classes")
+
+
+def _nodes(rows: DataFrame, full: DataFrame, classes: DataFrame, words: int, percent: int, group_tokens: int) -> DataFrame:
+    """``node, root``: the linked classes and the class that names their component."""
     members = stage(group_classes(classes, group_tokens), "jaccard-groups")
     met = meetings(members, full, percent)
     units = met.select(F.least("grp", "other").alias("a"), F.greatest("grp", "other").alias("b"), "cls",
                        (F.col("grp") < F.col("other")).alias("side"))
     units = stage(units.join(members.select("cls", "_key"), "cls"), "jaccard-units")
-    nodes = components(link(units, rows, words, percent))
+    return components(link(units, rows, words, percent))
+
+
+def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group_tokens: int = GROUP_TOKENS,
+         bits: int = BUCKET_BITS, key: str = "doc_id", text: str = "text", class_rows: int = CLASS_ROWS) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of each row of ``docs``."""
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"), row_key(key, text).alias("_key"))
+    described = _described(rows, words, percent, bits)
+    full = described.where("n > 0")
+    classes = _classes(full)
+    nodes = _nodes(rows, full, classes, words, percent, group_tokens)
     linked = nodes.join(classes.select(F.col("cls").alias("node"), "first"), "node")
     smallest = linked.groupBy("root").agg(F.min("first").alias("smallest"))
     found = linked.join(smallest, "root").select(F.col("node").alias("cls"), "smallest")
@@ -316,3 +328,19 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group_toke
     alone = described.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     rows = component_rows(full, classes, of_class, class_rows).union(alone)
     return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group_tokens: int = GROUP_TOKENS,
+                    bits: int = BUCKET_BITS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``_key`` (``row_key(key, text)``) of one row of each component: that with the smallest
+    key (null last), among equal ones that with the smallest ``_key``.  Components are told
+    apart by their sets, so null and repeated keys don't matter; a row without tokens stands
+    for itself and its copies."""
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"), row_key(key, text).alias("_key"))
+    described = _described(rows, words, percent, bits)
+    full = described.where("n > 0")
+    nodes = _nodes(rows, full, _classes(full), words, percent, group_tokens)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_key"))
+    least = full.groupBy("cls").agg(first.alias("s")).join(nodes, F.col("cls") == F.col("node"), "left")
+    kept = least.groupBy(F.coalesce("root", "cls").alias("root")).agg(F.min("s").alias("s")).select("s._key")
+    return kept.union(described.where("n = 0").select("_key")).distinct()

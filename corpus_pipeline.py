@@ -26,12 +26,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest ``doc_id``; repeated rows
+    """Of each group of similar documents the one with the smallest ``doc_id``.  One row stays
+    of a group whatever its ids: rows with a ``doc_id`` go before those without, and among
+    equal ids (or where all are null) the smallest hash of id and text decides; repeated rows
     count as copies."""
-    groups = jaccard.join(docs.select("doc_id", "text"))
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    kept = jaccard.representatives(docs.select("doc_id", "text"))
     rows = docs.withColumn("_key", row_key("doc_id", "text"))
-    return rows.join(kept, rows.doc_id.eqNullSafe(kept.doc_id), "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

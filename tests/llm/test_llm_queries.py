@@ -115,6 +115,24 @@ def test_pipeline_on_awkward_documents(spark):
         assert [r.doc_id for r in docs.collect()] == ([2] if some else [])
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    words = lambda x: " ".join(f"{x}{i}" for i in range(40))
+    one, two, three, four = map(words, ("a", "b", "c", "d"))
+    rows = [(None, one), (None, one + " tail"), (None, one),  # null ids only: one stays
+            (None, two), (7, two + " tail"),  # the id goes before null
+            (5, three), (5, three + " tail"), (9, three),  # two texts of one id: one stays
+            (5, four), (3, four + " tail"),  # not the one whose id is kept elsewhere
+            (None, None), (None, ""), (None, ""), (4, None), (4, "")]  # without words: each once
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], table(spark, SF, "documents").schema).repartition(3)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    by = {x: [(d, t) for d, t in got if (t or " ")[0] == x] for x in "abcd "}
+    assert len(by["a"]) == 1 and by["a"][0] in rows[:3]
+    assert by["b"] == [(7, two + " tail")]
+    assert len(by["c"]) == 1 and by["c"][0] in rows[5:7]
+    assert by["d"] == [(3, four + " tail")]
+    assert sorted(by[" "], key=str) == sorted([(None, None), (None, ""), (4, None), (4, "")], key=str)
+
+
 def test_queries_need_only_what_they_name():
     assert [n.split("_")[0] for n in Q.queries()] == [f"op{i}" for i in range(1, 11)]
     assert langid.UNKNOWN == "und"
