@@ -1,9 +1,11 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Training counts the hashed 1- to 3-grams of lower-cased text by language in numpy, Spark
-sums the counts, and the log probabilities (buckets x languages, a few MB whatever the
-corpus) go to all tasks.  Scoring gathers the rows of a batch's n-grams and sums them by
-document; the best language gets its posterior probability as score.
+sums the counts, and the model goes to all tasks as the counts that are not zero.  Scoring
+makes log probabilities of them (buckets x languages), gathers the rows of a batch's n-grams
+and sums them by document; the best language gets its posterior probability as score.  Any
+number of languages does: they are collected, and scored, so many (``AT_ONCE``) at a time.
+(Counts that are not zero are bounded by the n-grams of the sample, 11 bytes each.)
 
 Training reads labelled rows only, at most about ``max_rows`` different ones, chosen by a
 hash of text and label (all where there are fewer); copies count once, so a large group of
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,22 +29,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalink.llm.common import string_buffers, text_column, text_slices
+from catalink.llm.common import stage, string_buffers, text_column, text_slices
 
 BUCKET_BITS = 16
 GRAMS = (1, 2, 3)
 MAX_ROWS = 20_000
 SAMPLE_STEPS = 1 << 60
-MAX_LANGUAGES = 256
+#: Languages (at most 256) whose log probabilities are held at once.
+AT_ONCE = 64
 UNKNOWN = "und"
 SLICE = 1 << 20
 
 
+@dataclass(frozen=True)
+class Shard:
+    """Counts of some languages' n-grams, those that are not zero."""
+
+    size: int           # languages
+    bucket: np.ndarray  # uint16
+    lang: np.ndarray    # uint8, within the shard
+    count: np.ndarray   # int64
+
+    def log_table(self) -> np.ndarray:
+        """(buckets + 1) x languages; the last row is zero."""
+        n = 1 << BUCKET_BITS
+        whole = np.log(np.bincount(self.lang, weights=self.count, minlength=self.size) + 0.5 * n)
+        out = np.empty((n + 1, self.size), dtype=np.float32)
+        out[:n] = np.log(0.5) - whole
+        out[self.bucket, self.lang] = np.log(self.count + 0.5) - whole[self.lang]
+        out[n] = 0
+        return out
+
+    @cached_property
+    def kept_table(self) -> np.ndarray:
+        return self.log_table()
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
     prior: np.ndarray   # log share of documents
-    table: np.ndarray   # (buckets + 1) x languages; the last row is zero
+    shards: tuple[Shard, ...]  # of the languages in their order
 
 
 def gram_buckets(texts: pa.LargeStringArray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -76,55 +104,68 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", max_rows: int =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         docs: dict[str, int] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for name, mine in sums.items():
+                hit = np.flatnonzero(mine[:n])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * (len(hit) + 1)), pa.array(np.append(hit, -1)), pa.array(np.append(mine[hit], docs[name]))],
+                    names=["lang", "bucket", "n"])
+            sums.clear()
+            docs.clear()
+
         for whole in batches:
             for batch in text_slices(whole, "_text", SLICE):
                 langs = batch.column("_lang").dictionary_encode()
                 code = langs.indices.to_numpy(zero_copy_only=False)
                 grams, bounds = gram_buckets(text_column(batch, "_text"))
                 of = np.repeat(code, np.diff(bounds))
+                order = np.argsort(of, kind="stable")
+                ends = np.searchsorted(of[order], np.arange(len(langs.dictionary) + 1))
                 for i, name in enumerate(langs.dictionary.to_pylist()):
+                    if len(sums) >= AT_ONCE and name not in sums:
+                        yield from counted()
                     mine = sums.setdefault(name, np.zeros(n + 1, dtype=np.int64))
                     docs[name] = docs.get(name, 0) + int((code == i).sum())
+                    at = order[ends[i]: ends[i + 1]]
                     for g in grams:
-                        mine += np.bincount(g[of == i], minlength=n + 1)
-        for name, mine in sums.items():
-            hit = np.flatnonzero(mine[:n])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * (len(hit) + 1)), pa.array(np.append(hit, -1)), pa.array(np.append(mine[hit], docs[name]))],
-                names=["lang", "bucket", "n"])
-
-    got = (rows.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket")
-           .agg(F.sum("n").alias("n")).toPandas())  # at most (buckets + 1) x languages rows
-    if not len(got):
+                        mine += np.bincount(g[at], minlength=n + 1)
+        yield from counted()
+
+    counts = stage(rows.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "languages")
+    share = {r.lang: r.n for r in counts.where("bucket < 0").collect()}  # at most as many as sampled rows
+    if not share:
         return None
-    languages = tuple(sorted(got["lang"].unique()))
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} labels; at most {MAX_LANGUAGES} are supported")
-    number = {x: i for i, x in enumerate(languages)}
-    col = got["lang"].map(number).to_numpy()
-    bucket, counts = got["bucket"].to_numpy(), got["n"].to_numpy()
-    table = np.zeros((n + 1, len(languages)))
-    grams = bucket >= 0
-    table[bucket[grams], col[grams]] = counts[grams]
-    prior = np.zeros(len(languages))
-    prior[col[~grams]] = counts[~grams]
-    table[:n] = np.log(table[:n] + 0.5) - np.log(table[:n].sum(axis=0) + 0.5 * n)
-    table[n] = 0
-    return LanguageModel(languages, np.log(prior / prior.sum()), table.astype(np.float32))
+    languages = tuple(sorted(share))
+    shards = []
+    for k in range(0, len(languages), AT_ONCE):
+        names = languages[k: k + AT_ONCE]
+        part = counts.where(F.col("lang").between(names[0], names[-1]) & (F.col("bucket") >= 0))
+        got = part.join(F.broadcast(df.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "lang string, number int")), "lang")
+        got = got.select("bucket", "number", "n").toPandas()  # at most buckets x AT_ONCE rows
+        shards.append(Shard(len(names), got["bucket"].to_numpy(np.uint16), got["number"].to_numpy(np.uint8), got["n"].to_numpy(np.int64)))
+    prior = np.array([share[x] for x in languages], dtype=np.float64)
+    return LanguageModel(languages, np.log(prior / prior.sum()), tuple(shards))
 
 
 def score_texts(model: LanguageModel, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
     """Best language (its number) and posterior probability of each text."""
     grams, bounds = gram_buckets(texts)
-    rows = len(bounds) - 1
-    total = np.repeat(model.prior[None, :], rows, axis=0)
+    rows, at = len(bounds) - 1, 0
     full = np.flatnonzero(np.diff(bounds))
-    if len(full):
-        for g in grams:
-            total[full] += np.add.reduceat(model.table[g], bounds[full], axis=0, dtype=np.float64)
-    best = total.argmax(axis=1)
-    rest = np.exp(total - total.max(axis=1, keepdims=True))
-    return best, 1.0 / rest.sum(axis=1)
+    best, most, mass = np.zeros(rows, dtype=np.int64), np.full(rows, -np.inf), np.zeros(rows)
+    for shard in model.shards:
+        total = np.repeat(model.prior[None, at: at + shard.size], rows, axis=0)
+        if len(full):
+            table = shard.kept_table if len(model.shards) == 1 else shard.log_table()
+            for g in grams:
+                total[full] += np.add.reduceat(table[g], bounds[full], axis=0, dtype=np.float64)
+        top = total.max(axis=1)
+        best = np.where(top > most, at + total.argmax(axis=1), best)  # ties stay with the first
+        more = np.maximum(most, top)
+        mass = mass * np.exp(most - more) + np.exp(total - more[:, None]).sum(axis=1)
+        most, at = more, at + shard.size
+    return best, 1.0 / mass
 
 
 def predict(df: DataFrame, model: LanguageModel | None, text: str = "text") -> DataFrame:

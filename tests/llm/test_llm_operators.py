@@ -390,6 +390,33 @@ def test_language_sample_is_bounded(spark):
     assert langid.predict(rows.where("lang = 'fr'"), some).where("lang_pred = 'fr'").count() == 400
 
 
+def test_any_number_of_languages(spark, monkeypatch):
+    names = [f"l{i:03d}" for i in range(300)]
+    texts = {x: f"{chr(0x4E00 + 3 * i)}{chr(0x4E01 + 3 * i)} {chr(0x4E02 + 3 * i)} abc" for i, x in enumerate(names)}
+    rows = spark.createDataFrame([(texts[x] + tail, x) for x in names for tail in ("", " d")], "text string, lang string")
+    model = langid.train(rows)
+    assert model.languages == tuple(names) and [s.size for s in model.shards] == [64, 64, 64, 64, 44]
+    got = langid.predict(rows, model).collect()
+    assert all(r.lang == r.lang_pred for r in got)
+    some = rows.where("lang < 'l040'").union(spark.createDataFrame([("", "x"), ("mn", "y")], rows.schema))
+    whole = langid.train(some)  # in one shard, and in many
+    monkeypatch.setattr(langid, "AT_ONCE", 7)
+    parts = langid.train(some)
+    assert len(whole.shards) == 1 and len(parts.shards) == 6 and np.allclose(whole.prior, parts.prior)
+    odd = pa.array([*texts.values(), "", "abc d", "mn"], pa.large_string())
+    (a, x), (b, y) = langid.score_texts(whole, odd), langid.score_texts(parts, odd)
+    assert (a == b).all() and np.allclose(x, y)
+    n = 1 << langid.BUCKET_BITS
+    dense = np.zeros((n, 42))
+    for k, shard in enumerate(parts.shards):
+        dense[shard.bucket, 7 * k + shard.lang] = shard.count
+    table = np.append(np.log(dense + 0.5) - np.log(dense.sum(axis=0) + 0.5 * n), np.zeros((1, 42)), axis=0)
+    grams, bounds = langid.gram_buckets(odd)
+    for i, (p, q) in enumerate(zip(bounds[:-1], bounds[1:])):
+        total = parts.prior + sum(table[g[p:q]].sum(axis=0) for g in grams)
+        assert a[i] == total.argmax() and np.isclose(x[i], 1 / np.exp(total - total.max()).sum(), rtol=1e-3)
+
+
 # --- 9 chat
 
 def test_escape_round_trip():
