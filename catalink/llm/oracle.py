@@ -123,6 +123,34 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN p USING (rid) LEFT JOIN q USING (rid)"""
 
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+_SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS ts FROM documents),
+s AS (SELECT count(*)::BIGINT AS n_all, sum(len(ts))::BIGINT AS l FROM d WHERE len(ts) > 0),
+c AS (SELECT rid, term, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(ts) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * n_all + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM c, s GROUP BY term, n_all),
+i AS (SELECT row_number() OVER () AS item, item_id, list_distinct({_TERMS}) AS ts FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+h AS (SELECT item, rid, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(d.ts) * n_all) // l))))::BIGINT AS score
+      FROM (SELECT item, unnest(ts) AS term FROM i) JOIN c USING (term) JOIN f USING (term) JOIN d USING (rid), s GROUP BY item, rid),
+r AS (SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM h JOIN d USING (rid) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r JOIN i USING (item) WHERE rank <= 50"""
+
+_SUFFIX = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS o, hex(encode(coalesce(text, ''))) AS x FROM documents),
+g AS (SELECT rid, o, i, substr(x, 2 * i + 1, 100) AS s FROM d, unnest(range(0, len(x) // 2 - 49)) u(i)),
+m AS (SELECT s, min(o) AS least FROM g GROUP BY s HAVING min(o) <> max(o)),
+p AS (SELECT rid, i FROM g JOIN m USING (s) WHERE o > least),
+q AS (SELECT rid, i, i - coalesce(lag(i) OVER w, -51) > 50 AS starts FROM p WINDOW w AS (PARTITION BY rid ORDER BY i)),
+z AS (SELECT rid, min(i) AS a, max(i) + 50 AS b FROM (SELECT *, sum(starts::INT) OVER (PARTITION BY rid ORDER BY i) AS k FROM q) GROUP BY rid, k),
+k AS (SELECT rid, count(*) AS n_spans, sum(b - a) AS n_removed, list(a ORDER BY a) AS la, list(b ORDER BY a) AS lb FROM z GROUP BY rid)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN x ELSE
+         array_to_string(list_transform(range(0, n_spans + 1), lambda j:
+           substr(x, 2 * CASE WHEN j = 0 THEN 0 ELSE lb[j] END + 1, 2 * (CASE WHEN j = n_spans THEN len(x) // 2 ELSE la[j + 1] END - CASE WHEN j = 0 THEN 0 ELSE lb[j] END))), '') END)) AS kept_sha256
+FROM d LEFT JOIN k USING (rid)"""
+
 ORACLE = {
     "op3_secrets": _secrets(),
     "op4_jaccard_join": _JACCARD,
@@ -130,4 +158,6 @@ ORACLE = {
     "op7_warc": _WARC,
     "op9_chat_format": _chat(),
     "op10_decontaminate": _DECONTAMINATE,
+    "op12_ranked_search": _SEARCH,
+    "op13_suffix_dedup": _SUFFIX,
 }

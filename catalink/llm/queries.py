@@ -13,8 +13,11 @@ from catalink.llm import (
     fingerprints,
     jaccard,
     langid,
+    periodic,
+    search,
     secrets,
     sentencepiece,
+    suffix_dedup,
     token_files,
     urls,
     warc,
@@ -119,9 +122,50 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
 
 
+def made_periodic(doc_id: Column, text: Column) -> Column:
+    """The text of op11: in a tenth of the documents words repeat from some place on."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+
+    def again(ws: Column) -> Column:
+        n = F.size(ws)
+        a = g % n
+        p = F.floor((n - a) / (3 + g % 8)) + 1
+        return F.array_join(F.transform(ws, lambda w, i: F.when(i < a, w).otherwise(F.get(ws, (a + (i - a) % p).cast("int")))), " ")
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    made = F.transform(F.array(words), lambda ws: F.when(F.size(ws) > 0, again(ws)))[0]  # the words are split once
+    return F.when(h % 10 == 0, made).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeating words in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", made_periodic(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.find(docs)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    order = F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"], r["length"].alias("length")))
+    best = F.array_min(order)
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"), F.sha2(lines, 256).alias("runs_sha256"),
+                         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", F.col("b.start").alias("start"), F.col("b.length").alias("length"), F.col("b.period").alias("period"),
+                        F.expr("1000 * b.length div b.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 50 documents for every benchmark item."""
+    asked = search.item_terms(table(spark, sf_dir, "benchmark"))
+    return search.search(search.build(table(spark, sf_dir, "documents"), only=search.asked_terms(asked)), asked)
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 50 bytes that smaller documents have."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=("doc_id",))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_sentencepiece, op2_token_files, op3_secrets, op4_jaccard_join, op5_url_filter, op6_fingerprints, op7_warc,
-    op8_language_id, op9_chat_format, op10_decontaminate)}
+    op8_language_id, op9_chat_format, op10_decontaminate, op11_periodic_runs, op12_ranked_search, op13_suffix_dedup)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
