@@ -138,17 +138,17 @@ r AS (SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r JOIN i USING (item) WHERE rank <= 50"""
 
 _SUFFIX = """
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS o, hex(encode(coalesce(text, ''))) AS x FROM documents),
-g AS (SELECT rid, o, i, substr(x, 2 * i + 1, 100) AS s FROM d, unnest(range(0, len(x) // 2 - 49)) u(i)),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS o, encode(coalesce(text, '')) AS x FROM documents),
+g AS (SELECT rid, o, i, x[i + 1:i + 50] AS s FROM d, unnest(range(0, octet_length(x) - 49)) u(i)),
 m AS (SELECT s, min(o) AS least FROM g GROUP BY s HAVING min(o) <> max(o)),
 p AS (SELECT rid, i FROM g JOIN m USING (s) WHERE o > least),
 q AS (SELECT rid, i, i - coalesce(lag(i) OVER w, -51) > 50 AS starts FROM p WINDOW w AS (PARTITION BY rid ORDER BY i)),
 z AS (SELECT rid, min(i) AS a, max(i) + 50 AS b FROM (SELECT *, sum(starts::INT) OVER (PARTITION BY rid ORDER BY i) AS k FROM q) GROUP BY rid, k),
 k AS (SELECT rid, count(*) AS n_spans, sum(b - a) AS n_removed, list(a ORDER BY a) AS la, list(b ORDER BY a) AS lb FROM z GROUP BY rid)
-SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
-       sha256(unhex(CASE WHEN n_spans IS NULL THEN x ELSE
-         array_to_string(list_transform(range(0, n_spans + 1), lambda j:
-           substr(x, 2 * CASE WHEN j = 0 THEN 0 ELSE lb[j] END + 1, 2 * (CASE WHEN j = n_spans THEN len(x) // 2 ELSE la[j + 1] END - CASE WHEN j = 0 THEN 0 ELSE lb[j] END))), '') END)) AS kept_sha256
+SELECT doc_id, octet_length(x)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(CASE WHEN n_spans IS NULL THEN x ELSE
+         unhex(array_to_string(list_transform(range(0, n_spans + 1), lambda j: hex(
+           x[CASE WHEN j = 0 THEN 0 ELSE lb[j] END + 1:CASE WHEN j = n_spans THEN octet_length(x) ELSE la[j + 1] END])), '')) END) AS kept_sha256
 FROM d LEFT JOIN k USING (rid)"""
 
 ORACLE = {
