@@ -14,10 +14,12 @@ with a smaller id; matches never cross documents and are judged on the whole inp
 * Across shards: comparing shards of documents by pairs would be quadratic.  So each start
   that is left is filed by content: under the least hash of the 16-byte grams of its string
   (equal strings have equal least hashes; starts in a row with one least hash are one piece).
-  First only 32 bits of the hashes travel.  Pieces under hashes of one document alone are
-  done; the others' bytes are fetched and meet in content shards, in blocks of whole hashes,
-  each a suffix array of its own.  A hash with more pieces than a block holds is cut into
-  several blocks, whose sorted distinct strings are merged by binary search.
+  First only hashes travel: of pieces that are equal (96 bits and the length) all but the
+  smallest document's are marked, and pieces under hashes of one document alone are done.  The
+  bytes of what is left, the ends of shared passages, are fetched and meet in content shards,
+  in blocks of whole hashes, each a suffix array of its own.  A hash with more pieces than a
+  block holds is cut into several blocks, whose sorted distinct strings are merged by binary
+  search.
 
 Defined results: null and empty texts have nothing to remove; texts shorter than ``LENGTH``
 stay whole; rows with the same id don't remove from each other, so repeated rows have equal
@@ -27,6 +29,7 @@ inside a character.  Other columns are kept, but those named like the result.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,7 +52,7 @@ CONTENT = 24 << 20
 CARRY = 128 << 10
 MANY = 8
 LAST = np.iinfo(np.int64).max
-OWN = ("_order", "_k1", "_k2", "_text", "_spans", "n_bytes", "n_removed", "spans", "kept")
+OWN = ("_order", "_k1", "_k2", "_text", "_wanted", "_more", "n_bytes", "n_removed", "spans", "kept")
 _STEPS = np.array([1 << s for s in range(8, 64, 8)], dtype=np.uint64)
 
 
@@ -146,19 +149,46 @@ def strings(raw: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarra
     return starts, first, text[starts], words
 
 
-def least_hashes(words: np.ndarray, n: int, length: int) -> np.ndarray:
+def gram_hashes(words: np.ndarray, n: int, length: int) -> np.ndarray:
+    """Hashes of the grams that begin at each position or within a string's reach behind."""
+    n += length - GRAM + 1
+    return mix64(words[:n] ^ mix64(words[8: n + 8] + np.uint64(1)))
+
+
+def least_hashes(grams: np.ndarray, n: int, length: int) -> np.ndarray:
     """For each position the least hash of the grams of its string of ``length`` bytes."""
     span = length - GRAM + 1
-    out = mix64(words[: n + span] ^ mix64(words[8: n + span + 8] + np.uint64(1)))
+    out = grams.copy()
     width = 1
     while 2 * width <= span:
         out[:-width] = np.minimum(out[:-width], out[width:])
         width *= 2
     if span > width:
-        out[: n] = np.minimum(out[:n], out[span - width: span - width + n])
+        out[:n] = np.minimum(out[:n], out[span - width: span - width + n])
     return out[:n]
 
 
+def piece_hashes(grams: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the pieces whose strings start from ``begin`` up to ``end``: sums of their grams'
+    hashes times powers of an odd number, shifted to the piece's beginning."""
+    up, down = _powers(len(grams) + 1)
+    sums = np.zeros(len(grams) + 1, dtype=np.uint64)
+    np.cumsum(grams * up[:-1], out=sums[1:])
+    return mix64((sums[end + length - GRAM] - sums[begin]) * down[begin])
+
+
+@functools.lru_cache(maxsize=1)
+def _all_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    odd = 0x9E3779B97F4A7C15
+    return tuple(np.append(np.uint64(1), np.cumprod(np.full(n - 1, x, dtype=np.uint64), dtype=np.uint64))
+                 for x in (odd, pow(odd, -1, 1 << 64)))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    up, down = _all_powers(1 << (n - 1).bit_length())
+    return up[:n], down[:n]
+
+
 def runs_of(mask: np.ndarray, *alike: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of the runs of true values in which each of ``alike`` is constant."""
     at = np.flatnonzero(mask)
@@ -225,15 +255,16 @@ class Shards:
             seg = owner[a]
             shift = begin[seg] - bounds[seg]
             self.turn += 1
-            spans = np.stack([a + shift, b - 1 + length + shift], 1).astype("<i8").tobytes()
+            spans = np.stack([a + shift, b - 1 + length + shift], 1).astype("<i4").tobytes()
             yield (self.turn % self.n, *_docs(rows[seg], ids, k1, k2), spans, None)
 
-        hashes = mix64(least_hashes(words, len(data), length))  # least hashes are small: mixed anew they spread
+        grams = gram_hashes(words, len(data), length)
+        hashes = mix64(least_hashes(grams, len(data), length))  # least hashes are small: mixed anew they spread
         a, b = runs_of(left[:n_own], owner, hashes)
         if len(a):
             seg = owner[a]
             yield from filed((hashes[a] % np.uint64(self.n)).astype(np.int64), rows[seg], a - bounds[seg] + begin[seg], b - a,
-                             hashes[a] >> np.uint64(32), ids, k1, k2)
+                             hashes[a] >> np.uint64(32), ids, k1, k2, whole=piece_hashes(grams, a, b, length))
 
         # what many documents repeat rides along to the next shards of the task
         a, b = runs_of(often, owner)
@@ -248,69 +279,78 @@ class Shards:
 def _docs(rows: np.ndarray, ids: np.ndarray, k1: np.ndarray, k2: np.ndarray) -> tuple[bytes, bytes]:
     """The documents (id, two hashes) of some spans, and which of them each span is in."""
     used, which = np.unique(rows, return_inverse=True)
-    return np.stack([ids[used], k1[used], k2[used]], 1).astype("<i8").tobytes(), which.astype("<i4").tobytes()
+    return np.stack([ids[used], k1[used], k2[used]], 1).astype("<i8").tobytes(), _ints(which)
+
+
+def _ints(values: np.ndarray) -> bytes:
+    """Whole numbers as differences, first all lowest bytes, then the next (they pack well)."""
+    return np.ascontiguousarray(np.diff(values, prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_ints(data: bytes, at: int = 0, n: int | None = None) -> np.ndarray:
+    n = len(data) // 4 if n is None else n
+    planes = np.frombuffer(data, np.uint8, 4 * n, at).reshape(4, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i4")[:, 0], dtype=np.int64)
 
 
 def filed(shard: np.ndarray, rows: np.ndarray, place: np.ndarray, count: np.ndarray, head: np.ndarray, ids: np.ndarray,
-          k1: np.ndarray, k2: np.ndarray, data: np.ndarray | None = None, at: np.ndarray | None = None, length: int = 0) -> Iterator[tuple]:
-    """Pieces (row, first start, number of starts, hash) by content shard; with ``data`` also
-    their bytes, which begin at ``at`` there."""
+          k1: np.ndarray, k2: np.ndarray, whole: np.ndarray | None = None, data: np.ndarray | None = None,
+          at: np.ndarray | None = None, length: int = 0) -> Iterator[tuple]:
+    """Pieces (row, first start, number of starts, hash) by content shard, with the hashes of
+    the ``whole`` pieces or their bytes, which begin at ``at`` in ``data``."""
     by = np.argsort(shard, kind="stable")
     edge = np.append(np.flatnonzero(np.append(True, np.diff(shard[by]) != 0)), len(by))
     for x, y in zip(edge[:-1].tolist(), edge[1:].tolist()):
         r = by[x:y]
-        parts = [place[r].astype("<i8").tobytes(), count[r].astype("<i4").tobytes(), head[r].astype("<u4").tobytes()]
-        if data is not None:
+        parts = [_ints(place[r]), _ints(count[r]), head[r].astype("<u4").tobytes()]
+        if whole is not None:
+            parts.append(whole[r].astype("<u8").tobytes())
+        else:
             size = count[r] + length - 1
             parts.append(ragged_take(data, np.stack([at[r], at[r] + size], 1).ravel(), 2 * np.arange(len(r)))[0].tobytes())
         yield (int(shard[r[0]]), *_docs(rows[r], ids, k1, k2), None, b"".join(parts))
 
 
 PIECES = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("docs", T.BinaryType()), T.StructField("doc", T.BinaryType()),
-                       T.StructField("marks", T.BinaryType()), T.StructField("pieces", T.BinaryType()), T.StructField("size", T.LongType())])
+                       T.StructField("marks", T.BinaryType()), T.StructField("pieces", T.BinaryType())])
 KEY = [T.StructField(c, T.LongType()) for c in ("_order", "_k1", "_k2")]
-#: Per document: packed marks, and packed pieces of one shard whose bytes are wanted.
+#: Per document: packed marks (first byte and end), and packed pieces of one shard whose bytes are wanted.
 WANTED = T.StructType([*KEY, T.StructField("shard", T.IntegerType()), T.StructField("marks", T.BinaryType()), T.StructField("pieces", T.BinaryType())])
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-MARKS = T.StructType([*KEY, T.StructField("spans", SPAN)])
-PIECE = np.dtype([("place", "<i8"), ("count", "<i4"), ("head", "<u4")])
+PIECE = np.dtype([("place", "<i4"), ("count", "<i4"), ("head", "<u4")])
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    codec = pa.Codec("zstd", compression_level=3)
+    import zstandard
+
+    squeeze = zstandard.ZstdCompressor(level=3).compress
     shard, docs, doc, marks, pieces = zip(*rows)
     return pa.RecordBatch.from_arrays(
-        [pa.array(shard, pa.int32()), pa.array([codec.compress(x, asbytes=True) for x in docs]),
-         pa.array([codec.compress(x, asbytes=True) for x in doc]), pa.array(marks, pa.binary()),
-         pa.array([None if x is None else codec.compress(x, asbytes=True) for x in pieces], pa.binary()),
-         pa.array([len(x) if x is not None else len(y) // 4 for x, y in zip(pieces, doc)], pa.int64())], names=PIECES.names)
+        [pa.array(shard, pa.int32()), *(pa.array([None if x is None else squeeze(x) for x in c], pa.binary()) for c in (docs, doc, marks, pieces))],
+        names=PIECES.names)
 
 
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, list[tuple], list[tuple], list[tuple[bytes, int]]]:
-    """Documents, marks (documents, spans), pieces (document, place, count, head, blob) and blobs."""
-    codec = pa.Codec("zstd")
-    docs, marks, pieces, blobs = [np.empty((0, 3), np.int64)], [], [], []
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, list[tuple], list[tuple]]:
+    """Documents, marks (documents, spans) and pieces (documents, places, counts, heads, rest)."""
+    import zstandard
+
+    inflate = zstandard.ZstdDecompressor().decompress
+    docs, marks, pieces = [np.empty((0, 3), np.int64)], [], []
     n_docs = 0
-    for r in table.to_batches():
-        for d, doc, spans, packed, size in zip(*(r.column(c).to_pylist() for c in ("docs", "doc", "marks", "pieces", "size"))):
-            d = np.frombuffer(_inflate(d), dtype="<i8").reshape(-1, 3)
-            doc = np.frombuffer(_inflate(doc), dtype="<i4").astype(np.int64) + n_docs
+    for batch in table.to_batches():
+        for r in range(batch.num_rows):
+            d, doc, spans, packed = (batch.column(c)[r].as_py() for c in ("docs", "doc", "marks", "pieces"))
+            d = np.frombuffer(inflate(d), dtype="<i8").reshape(-1, 3)
+            doc = _from_ints(inflate(doc)) + n_docs
             docs.append(d)
             n_docs += len(d)
             if spans is not None:
-                marks.append((doc, np.frombuffer(spans, dtype="<i8").reshape(-1, 2)))
+                marks.append((doc, np.frombuffer(inflate(spans), dtype="<i4").reshape(-1, 2).astype(np.int64)))
                 continue
             k = len(doc)
-            data = codec.decompress(packed, size, asbytes=True)
-            pieces.append((doc, np.frombuffer(data, "<i8", k), np.frombuffer(data, "<i4", k, 8 * k).astype(np.int64),
-                           np.frombuffer(data, "<u4", k, 12 * k), np.full(k, len(blobs))))
-            blobs.append((packed, size))
-    return np.concatenate(docs), marks, pieces, blobs
-
-
-def _inflate(data: bytes) -> bytes:
-    import zstandard
-    return zstandard.ZstdDecompressor().decompress(data)
+            data = inflate(packed)
+            pieces.append((doc, _from_ints(data, 0, k), _from_ints(data, 4 * k, k), np.frombuffer(data, "<u4", k, 8 * k), np.frombuffer(data, np.uint8, offset=12 * k)))
+    return np.concatenate(docs), marks, pieces
 
 
 def _anchors(n_content: int, length: int, shard: int):
@@ -326,14 +366,13 @@ def _anchors(n_content: int, length: int, shard: int):
     return run
 
 
-def _of_many(order: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces under hashes that several documents have, by hash and document; their hashes' numbers."""
+def _of_many(order: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """Pieces under hashes that several documents have, by hash and document."""
     by = np.lexsort((order, head))
     head, order = head[by], order[by]
     first = np.flatnonzero(np.append(True, head[1:] != head[:-1]))
     many = np.minimum.reduceat(order, first) != np.maximum.reduceat(order, first)
-    sizes = np.diff(np.append(first, len(head)))
-    return by[np.repeat(many, sizes)], np.repeat(np.arange(len(first))[many], sizes[many])
+    return by[np.repeat(many, np.diff(np.append(first, len(head))))]
 
 
 def _by_doc(docs: np.ndarray, which: np.ndarray, *cols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -343,49 +382,63 @@ def _by_doc(docs: np.ndarray, which: np.ndarray, *cols: np.ndarray) -> tuple[np.
     return rows[first, :3], rows[:, 3:], np.append(first, len(rows))
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """A content shard's pieces under hashes of several documents, by document; marks pass."""
+def _shared(length: int):
+    return lambda table: _shared_of(table, length)
+
+
+def _shared_of(table: pa.Table, length: int) -> pa.Table:
+    """Of a content shard: marks of the pieces that a smaller document has whole, and the
+    pieces whose hash, but not all of them, other documents have; by document."""
     shard = table.column("shard")[0].as_py()
-    docs, marks, pieces, _ = _unpacked(table)
-    keys, packed = [], []
-    if marks:
-        which, spans = (np.concatenate(x) for x in zip(*marks))
-        key, rows, at = _by_doc(docs, which, spans[:, 0], spans[:, 1])
-        keys.append(key)
-        rows = np.ascontiguousarray(rows, dtype="<i8")
-        packed += [(rows[x:y].tobytes(), None) for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
+    docs, marks, pieces = _unpacked(table)
+    del table
+    wanted = np.empty((0, 4), dtype=np.int64)
     if pieces:
-        doc, place, count, head, _ = (np.concatenate(x) for x in zip(*pieces))
-        chosen, _ = _of_many(docs[doc, 0], head)
-        key, rows, at = _by_doc(docs, doc[chosen], place[chosen], count[chosen], head[chosen].astype(np.int64))
-        keys.append(key)
-        flat = np.empty(len(rows), dtype=PIECE)
-        for c, name in enumerate(PIECE.names):
-            flat[name] = rows[:, c]
-        packed += [(None, flat[x:y].tobytes()) for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
-    key = np.concatenate(keys) if keys else np.empty((0, 3), np.int64)
-    return pa.Table.from_arrays([*(pa.array(key[:, c], pa.int64()) for c in range(3)), pa.array([shard] * len(key), pa.int32()),
-                                 pa.array([m for m, _ in packed], pa.binary()), pa.array([p for _, p in packed], pa.binary())], names=WANTED.names)
+        doc, place, count, head = (np.concatenate(x) for x in list(zip(*pieces))[:4])
+        whole = np.concatenate([x[4].view("<u8") for x in pieces])
+        del pieces
+        some = _of_many(docs[doc, 0], head)
+        doc, place, count, head, whole = doc[some], place[some], count[some], head[some], whole[some]
+        by = np.lexsort((docs[doc, 0], count, whole, head))
+        doc, place, count, head, whole = doc[by], place[by], count[by], head[by], whole[by]
+        order = docs[doc, 0]
+        new = np.ones(len(by), dtype=bool)
+        new[1:] = (head[1:] != head[:-1]) | (whole[1:] != whole[:-1]) | (count[1:] != count[:-1])
+        first = np.flatnonzero(new)
+        least = np.repeat(order[first], np.diff(np.append(first, len(order)))) if len(first) else order
+        gone = order > least
+        marks.append((doc[gone], np.stack([place[gone], place[gone] + count[gone] + length - 1], 1)))
+        doc, place, count, head, order = (x[~gone] for x in (doc, place, count, head, order))
+        rest = _of_many(order, head) if len(order) else np.empty(0, np.int64)
+        wanted = np.stack([doc[rest], place[rest], count[rest], head[rest]], axis=1).astype(np.int64)
+    which, spans = (np.concatenate(x) for x in zip(*marks)) if marks else (np.empty(0, np.int64), np.empty((0, 2), np.int64))
+    out = []
+    for which, cols, kind, name in ((which, spans, np.dtype("<i4"), "marks"), (wanted[:, 0], wanted[:, 1:], PIECE, "pieces")):
+        key, rows, at = _by_doc(docs, which, *cols.T)
+        data = np.ascontiguousarray(rows.astype("<u4" if kind == PIECE else "<i4")).tobytes()
+        size = 4 * cols.shape[1]
+        packed = pa.Array.from_buffers(pa.large_binary(), len(key), [None, pa.py_buffer((at * size).astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+        none = pa.nulls(len(key), pa.binary())
+        out.append(pa.Table.from_arrays([*(pa.array(key[:, c], pa.int64()) for c in range(3)), pa.array(np.full(len(key), shard), pa.int32()),
+                                         *((packed, none) if name == "marks" else (none, packed))], names=WANTED.names))
+    return pa.concat_tables(out)
 
 
 def _fetch(length: int, limit: int):
-    """Bytes of the wanted pieces of documents, by content shard; marks pass."""
+    """Bytes of the wanted pieces of documents, by content shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, raw = string_buffers(text_column(batch, "_text"))
             ids, k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_order", "_k1", "_k2"))
             now, size = [], 0
             for row, wanted in enumerate(batch.column("_wanted").to_pylist()):
-                for w in wanted or []:
-                    if w["marks"] is not None:
-                        k = len(w["marks"]) // 16
-                        yield _packed([(w["shard"], *_docs(np.full(k, row), ids, k1, k2), w["marks"], None)])
-                        continue
-                    now.append((row, w["shard"], np.frombuffer(w["pieces"], dtype=PIECE)))
-                    size += int(now[-1][2]["count"].sum()) + length * len(now[-1][2])
-                    if size >= limit:
-                        yield _packed(_chosen(now, offsets, raw, ids, k1, k2, length))
-                        now, size = [], 0
+                for w in wanted:
+                    if w["pieces"] is not None:
+                        now.append((row, w["shard"], np.frombuffer(w["pieces"], dtype=PIECE)))
+                        size += int(now[-1][2]["count"].sum()) + length * len(now[-1][2])
+                if now and size >= limit:
+                    yield _packed(_chosen(now, offsets, raw, ids, k1, k2, length))
+                    now, size = [], 0
             if now:
                 yield _packed(_chosen(now, offsets, raw, ids, k1, k2, length))
     return run
@@ -397,7 +450,7 @@ def _chosen(now: list[tuple], offsets: np.ndarray, raw: np.ndarray, ids: np.ndar
     pieces = np.concatenate([x for _, _, x in now])
     place = pieces["place"].astype(np.int64)
     return list(filed(np.repeat([s for _, s, _ in now], sizes), rows, place, pieces["count"].astype(np.int64), pieces["head"],
-                      ids, k1, k2, raw, offsets[rows] + place, length))
+                      ids, k1, k2, data=raw, at=offsets[rows] + place, length=length))
 
 
 def _locate(table: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -456,50 +509,35 @@ def repeats(blocks: list[tuple], length: int) -> list[np.ndarray]:
     return out
 
 
-def _take_pieces(blobs: list[tuple[bytes, int]], source: np.ndarray, skip: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of pieces (by blob, offset in it and size), and their bounds."""
-    bounds = np.append(0, np.cumsum(size)).astype(np.int64)
-    out = np.empty(bounds[-1], dtype=np.uint8)
-    codec = pa.Codec("zstd")
-    by = np.argsort(source, kind="stable")
-    for rows in np.split(by, np.flatnonzero(np.diff(source[by])) + 1):
-        if len(rows):
-            packed, total = blobs[source[rows[0]]]
-            data = np.frombuffer(codec.decompress(packed, total), dtype=np.uint8)
-            got, _ = ragged_take(data, np.stack([skip[rows], skip[rows] + size[rows]], 1).ravel(), 2 * np.arange(len(rows)))
-            place = np.repeat(bounds[rows] - np.append(0, np.cumsum(size[rows])[:-1]), size[rows]) + np.arange(len(got))
-            out[place] = got
-    return out, bounds
-
-
 def _content(length: int, block: int):
     def run(table: pa.Table) -> pa.Table:
-        docs, spans, pieces, blobs = _unpacked(table)
-        if pieces:
-            doc, place, count, head, source = (np.concatenate(x) for x in zip(*pieces))
-            size = count + length - 1
-            skip = np.cumsum(size) - size
-            lead = np.flatnonzero(np.append(True, np.diff(source) != 0))
-            skip += np.repeat(16 * np.diff(np.append(lead, len(source))) - skip[lead], np.diff(np.append(lead, len(source))))
-            chosen, head = _of_many(docs[doc, 0], head)
-            order, size = docs[doc[chosen], 0], size[chosen]
-            for rows in _blocks(head, size, block):
-                cuts = np.flatnonzero(np.diff((np.cumsum(size[rows]) - 1) // block)) + 1
-                subs = []
-                for sub in (np.split(rows, cuts) if head[rows[0]] == head[rows[-1]] else [rows]):
-                    raw, bounds = _take_pieces(blobs, source[chosen[sub]], skip[chosen[sub]], size[sub])
-                    subs.append((raw, bounds, order[sub], sub))
-                for (_, bounds, _, sub), marked in zip(subs, repeats(subs, length)):
-                    a, b = runs_of(marked, np.repeat(np.arange(len(sub)), np.diff(bounds)))
-                    piece = sub[np.searchsorted(bounds, a, side="right") - 1]
-                    shift = place[chosen[piece]] - bounds[piece - sub[0]]
-                    spans.append((doc[chosen[piece]], np.stack([a + shift, b - 1 + length + shift], 1)))
-        which = np.concatenate([x for x, _ in spans]) if spans else np.empty(0, np.int64)
-        at = np.concatenate([x for _, x in spans]) if spans else np.empty((0, 2), np.int64)
-        key, rows, first = _by_doc(docs, which, at[:, 0], at[:, 1])
-        pairs = pa.StructArray.from_arrays([pa.array(rows[:, c], pa.int64()) for c in range(2)], names=["start", "end"])
-        lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pairs)
-        return pa.Table.from_arrays([*(pa.array(key[:, c], pa.int64()) for c in range(3)), lists], names=MARKS.names)
+        shard = table.column("shard")[0].as_py()
+        docs, _, pieces = _unpacked(table)
+        del table
+        doc, place, count, head = (np.concatenate(x) for x in list(zip(*pieces))[:4])
+        data = np.concatenate([x[4] for x in pieces])
+        del pieces
+        size = count + length - 1
+        at = np.append(0, np.cumsum(size)).astype(np.int64)
+        by = np.argsort(head, kind="stable")
+        order, size, head = docs[doc[by], 0], size[by], head[by]
+        spans = [(np.empty(0, np.int64), np.empty((0, 2), np.int64))]
+        for rows in _blocks(head, size, block):
+            cuts = np.flatnonzero(np.diff((np.cumsum(size[rows]) - 1) // block)) + 1
+            subs = []
+            for sub in (np.split(rows, cuts) if head[rows[0]] == head[rows[-1]] else [rows]):
+                raw, bounds = ragged_take(data, at, by[sub])
+                subs.append((raw, bounds, order[sub], sub))
+            for (_, bounds, _, sub), marked in zip(subs, repeats(subs, length)):
+                a, b = runs_of(marked, np.repeat(np.arange(len(sub)), np.diff(bounds)))
+                piece = sub[np.searchsorted(bounds, a, side="right") - 1]
+                shift = place[by[piece]] - bounds[piece - sub[0]]
+                spans.append((doc[by[piece]], np.stack([a + shift, b - 1 + length + shift], 1)))
+        which, found = (np.concatenate(x) for x in zip(*spans))
+        key, rows, first = _by_doc(docs, which, found[:, 0], found[:, 1])
+        marks = [np.ascontiguousarray(rows[x:y], dtype="<i4").tobytes() for x, y in zip(first[:-1].tolist(), first[1:].tolist())]
+        return pa.Table.from_arrays([*(pa.array(key[:, c], pa.int64()) for c in range(3)), pa.array(np.full(len(key), shard), pa.int32()),
+                                     pa.array(marks, pa.binary()), pa.nulls(len(key), pa.binary())], names=WANTED.names)
     return run
 
 
@@ -521,12 +559,10 @@ def _cut(keep: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, raw = string_buffers(text_column(batch, text))
-            col = batch.column("_spans")
-            flat = col.flatten()  # arrays of spans, then spans
-            begin, end = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(2))
             n = batch.num_rows
-            sizes = np.array([0 if x is None else x for x in pa.compute.list_value_length(col).to_pylist()], dtype=np.int64)
-            row = np.repeat(np.arange(n), sizes)
+            marks = [[w["marks"] for c in ("_wanted", "_more") for w in batch.column(c)[r].as_py() or () if w["marks"] is not None] for r in range(n)]
+            row = np.repeat(np.arange(n), [sum(map(len, m)) // 8 for m in marks])
+            begin, end = np.frombuffer(b"".join(x for m in marks for x in m), dtype="<i4").astype(np.int64).reshape(-1, 2).T
             edge = np.zeros(len(raw) + 1, dtype=np.int32)
             np.add.at(edge, begin + offsets[row], 1)
             np.add.at(edge, end + offsets[row], -1)
@@ -559,13 +595,15 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
                      F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(1), text).alias("_k2"))
     key_of = ["_order", "_k1", "_k2"]
     anchors = rows.select(*key_of, F.col(text).alias("_text")).mapInArrow(_anchors(n_content, length, shard), PIECES)
-    shared = anchors.groupBy("shard").applyInArrow(_shared, WANTED)
-    wanted = shared.groupBy(*key_of).agg(F.collect_set(F.struct("shard", "marks", "pieces")).alias("_wanted"))
-    # both joins below read one shuffle of the texts: their sides have the same columns
-    fetched = rows.join(wanted, key_of).withColumn("_text", F.col(text)).mapInArrow(_fetch(length, block), PIECES)
-    marks = fetched.groupBy("shard").applyInArrow(_content(length, block), MARKS)
-    spans = marks.groupBy(*key_of).agg(F.flatten(F.collect_set("spans")).alias("_spans"))
-    joined = rows.join(spans, key_of, "left").select(*keep, F.coalesce(text, F.lit("")).alias("_text"), "_spans")
+    shared = anchors.groupBy("shard").applyInArrow(_shared(length), WANTED)
+    by_doc = F.collect_set(F.struct("shard", "marks", "pieces"))
+    wanted = shared.groupBy(*key_of).agg(by_doc.alias("_wanted"))
+    # the joins below read one shuffle of the texts and one of the shared pieces
+    asked = wanted.where(F.exists("_wanted", lambda w: w["pieces"].isNotNull()))
+    fetched = rows.join(asked, key_of).withColumn("_text", F.col(text)).mapInArrow(_fetch(length, block), PIECES)
+    more = fetched.groupBy("shard").applyInArrow(_content(length, block), WANTED).groupBy(*key_of).agg(by_doc.alias("_more"))
+    joined = (rows.join(wanted, key_of, "left").join(more, key_of, "left")
+              .select(*keep, F.coalesce(text, F.lit("")).alias("_text"), "_wanted", "_more"))
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("spans", SPAN), T.StructField("kept", T.BinaryType())])
     return joined.mapInArrow(_cut(list(keep), "_text"), schema)
