@@ -53,7 +53,7 @@ CONTENT = 24 << 20
 CARRY = 128 << 10
 MANY = 8
 LAST = np.iinfo(np.int64).max
-OWN = ("_order", "_k1", "_k2", "_text", "_wanted", "_more", "n_bytes", "n_removed", "spans", "kept")
+OWN = ("_order", "_k1", "_k2", "_text", "_more", "marks", "pieces", "n_bytes", "n_removed", "spans", "kept")
 _STEPS = np.array([1 << s for s in range(8, 64, 8)], dtype=np.uint64)
 
 
@@ -337,11 +337,11 @@ def filed(shard: np.ndarray, rows: np.ndarray, place: np.ndarray, count: np.ndar
 
 PIECES = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("docs", T.BinaryType()), T.StructField("doc", T.BinaryType()),
                        T.StructField("marks", T.BinaryType()), T.StructField("pieces", T.BinaryType())])
-KEY = [T.StructField(c, T.LongType()) for c in ("_order", "_k1", "_k2")]
-#: Per document: packed marks (first byte and end), and packed pieces of one shard whose bytes are wanted.
-WANTED = T.StructType([*KEY, T.StructField("shard", T.IntegerType()), T.StructField("marks", T.BinaryType()), T.StructField("pieces", T.BinaryType())])
+#: A document's packed marks (first byte and end) and wanted pieces (with their content shard).
+FOUND = T.StructType([*(T.StructField(c, T.LongType()) for c in ("_order", "_k1", "_k2")),
+                      T.StructField("marks", T.BinaryType()), T.StructField("pieces", T.BinaryType())])
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-PIECE = np.dtype([("place", "<i4"), ("count", "<i4"), ("head", "<u4")])
+PIECE = np.dtype([("place", "<i4"), ("count", "<i4"), ("head", "<u4"), ("shard", "<i4")])
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
@@ -399,24 +399,91 @@ def _of_many(order: np.ndarray, head: np.ndarray) -> np.ndarray:
     return by[np.repeat(many, np.diff(np.append(first, len(head))))]
 
 
-def _by_doc(docs: np.ndarray, which: np.ndarray, *cols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct rows (document, columns), sorted; where each document begins, and the end."""
-    rows = np.unique(np.stack([*docs[which].T, *cols], axis=1), axis=0) if len(which) else np.empty((0, 3 + len(cols)), np.int64)
-    first = np.flatnonzero(np.append(True, (np.diff(rows[:, :3], axis=0) != 0).any(axis=1))) if len(rows) else np.empty(0, np.int64)
-    return rows[first, :3], rows[:, 3:], np.append(first, len(rows))
+def _numbered(docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct documents, sorted, and the number of each given one among them."""
+    by = np.lexsort(docs.T[::-1])
+    new = np.ones(len(docs), dtype=bool)
+    new[1:] = (docs[by[1:]] != docs[by[:-1]]).any(axis=1)
+    number = np.empty(len(docs), dtype=np.int64)
+    number[by] = np.cumsum(new) - 1
+    return docs[by[new]], number
 
 
-def _shared(length: int):
-    return lambda table: _shared_of(table, length)
+def _buckets(docs: np.ndarray, shard: int, n: int, marks: list[tuple], pieces: tuple | None = None) -> pa.Table:
+    """What a content shard found, packed by buckets of documents."""
+    import zstandard
+
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    docs, number = _numbered(docs)
+    bucket = (docs[:, 1].astype(np.uint64) % np.uint64(n)).astype(np.int64)
+    which, spans = (np.concatenate(x) for x in zip(*marks)) if marks else (np.empty(0, np.int64), np.empty((0, 2), np.int64))
+    tables = [(number[which], spans)]
+    if pieces is not None:
+        tables.append((number[pieces[0]], np.stack(pieces[1:], axis=1).astype(np.int64)))
+    out: dict[int, list] = {}
+    for kind, (doc, cols) in enumerate(tables):
+        by = np.lexsort((cols[:, 0], doc, bucket[doc]))
+        doc, cols = doc[by], cols[by]
+        edge = np.append(np.flatnonzero(np.append(True, np.diff(bucket[doc]) != 0)), len(doc)) if len(doc) else np.zeros(1, np.int64)
+        for x, y in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            used, at = np.unique(doc[x:y], return_inverse=True)
+            data = b"".join([_ints(at), *(_ints(c[x:y]) for c in cols.T)])
+            out.setdefault(int(bucket[doc[x]]), [None] * 4)[2 * kind: 2 * kind + 2] = squeeze(docs[used].astype("<i8").tobytes()), squeeze(data)
+    return pa.Table.from_arrays([pa.array(list(out), pa.int32()), pa.array([shard] * len(out), pa.int32()),
+                                 *(pa.array([v[k] for v in out.values()], pa.binary()) for k in range(4))], names=BUCKETS.names)
+
+
+BUCKETS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("shard", T.IntegerType()),
+                        *(T.StructField(c, T.BinaryType()) for c in ("marks_docs", "marks", "pieces_docs", "pieces"))])
+
+
+def _unite(table: pa.Table) -> pa.Table:
+    """One row for each document of a bucket."""
+    import zstandard
+
+    inflate = zstandard.ZstdDecompressor().decompress
+    docs, n_docs, found = [], 0, {"marks": [], "pieces": []}
+    for batch in table.to_batches():
+        for r in range(batch.num_rows):
+            for kind, width in (("marks", 3), ("pieces", 4)):
+                packed = batch.column(kind)[r].as_py()
+                if packed is not None:
+                    docs.append(np.frombuffer(inflate(batch.column(kind + "_docs")[r].as_py()), dtype="<i8").reshape(-1, 3))
+                    data = inflate(packed)
+                    k = len(data) // (4 * width)
+                    cols = [_from_ints(data, 4 * k * c, k) for c in range(width)]
+                    cols[0] += n_docs
+                    n_docs += len(docs[-1])
+                    if kind == "pieces":
+                        cols.append(np.full(k, batch.column("shard")[r].as_py()))
+                    found[kind].append(np.stack(cols, axis=1))
+    docs, number = _numbered(np.concatenate(docs))
+    out = []
+    for kind, width in (("marks", 3), ("pieces", 5)):
+        rows = np.concatenate(found[kind]) if found[kind] else np.empty((0, width), np.int64)
+        rows[:, 0] = number[rows[:, 0]]
+        by = np.lexsort(rows.T[::-1])
+        rows = rows[by]
+        new = np.ones(len(rows), dtype=bool)
+        new[1:] = (rows[1:] != rows[:-1]).any(axis=1)  # repeated rows of documents find the same
+        rows = rows[new]
+        data = np.ascontiguousarray(rows[:, 1:].astype("<i4"))
+        at = np.searchsorted(rows[:, 0], np.arange(len(docs) + 1)) * 4 * (width - 1)
+        out.append(pa.Array.from_buffers(pa.large_binary(), len(docs), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary()))
+    return pa.Table.from_arrays([*(pa.array(docs[:, c], pa.int64()) for c in range(3)), *out], names=FOUND.names)
+
 
+def _shared(length: int, n: int):
+    return lambda table: _shared_of(table, length, n)
 
-def _shared_of(table: pa.Table, length: int) -> pa.Table:
+
+def _shared_of(table: pa.Table, length: int, n: int) -> pa.Table:
     """Of a content shard: marks of the pieces that a smaller document has whole, and the
     pieces whose hash, but not all of them, other documents have; by document."""
     shard = table.column("shard")[0].as_py()
     docs, marks, pieces = _unpacked(table)
     del table
-    wanted = np.empty((0, 4), dtype=np.int64)
+    wanted = None
     if pieces:
         doc, place, count, head = (np.concatenate(x) for x in list(zip(*pieces))[:4])
         whole = np.concatenate([x[4].view("<u8") for x in pieces])
@@ -434,18 +501,8 @@ def _shared_of(table: pa.Table, length: int) -> pa.Table:
         marks.append((doc[gone], np.stack([place[gone], place[gone] + count[gone] + length - 1], 1)))
         doc, place, count, head, order = (x[~gone] for x in (doc, place, count, head, order))
         rest = _of_many(order, head) if len(order) else np.empty(0, np.int64)
-        wanted = np.stack([doc[rest], place[rest], count[rest], head[rest]], axis=1).astype(np.int64)
-    which, spans = (np.concatenate(x) for x in zip(*marks)) if marks else (np.empty(0, np.int64), np.empty((0, 2), np.int64))
-    out = []
-    for which, cols, kind, name in ((which, spans, np.dtype("<i4"), "marks"), (wanted[:, 0], wanted[:, 1:], PIECE, "pieces")):
-        key, rows, at = _by_doc(docs, which, *cols.T)
-        data = np.ascontiguousarray(rows.astype("<u4" if kind == PIECE else "<i4")).tobytes()
-        size = 4 * cols.shape[1]
-        packed = pa.Array.from_buffers(pa.large_binary(), len(key), [None, pa.py_buffer((at * size).astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
-        none = pa.nulls(len(key), pa.binary())
-        out.append(pa.Table.from_arrays([*(pa.array(key[:, c], pa.int64()) for c in range(3)), pa.array(np.full(len(key), shard), pa.int32()),
-                                         *((packed, none) if name == "marks" else (none, packed))], names=WANTED.names))
-    return pa.concat_tables(out)
+        wanted = (doc[rest], place[rest], count[rest], head[rest].view("<i4"))
+    return _buckets(docs, shard, n, marks, wanted)
 
 
 def _fetch(length: int, limit: int):
@@ -455,12 +512,10 @@ def _fetch(length: int, limit: int):
             offsets, raw = string_buffers(text_column(batch, "_text"))
             ids, k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_order", "_k1", "_k2"))
             now, size = [], 0
-            for row, wanted in enumerate(batch.column("_wanted").to_pylist()):
-                for w in wanted:
-                    if w["pieces"] is not None:
-                        now.append((row, w["shard"], np.frombuffer(w["pieces"], dtype=PIECE)))
-                        size += int(now[-1][2]["count"].sum()) + length * len(now[-1][2])
-                if now and size >= limit:
+            for row, wanted in enumerate(batch.column("pieces").to_pylist()):
+                now.append((row, np.frombuffer(wanted, dtype=PIECE)))
+                size += int(now[-1][1]["count"].sum()) + length * len(now[-1][1])
+                if size >= limit:
                     yield _packed(_chosen(now, offsets, raw, ids, k1, k2, length))
                     now, size = [], 0
             if now:
@@ -469,11 +524,10 @@ def _fetch(length: int, limit: int):
 
 
 def _chosen(now: list[tuple], offsets: np.ndarray, raw: np.ndarray, ids: np.ndarray, k1: np.ndarray, k2: np.ndarray, length: int) -> list[tuple]:
-    sizes = [len(x) for _, _, x in now]
-    rows = np.repeat([r for r, _, _ in now], sizes)
-    pieces = np.concatenate([x for _, _, x in now])
+    rows = np.repeat([r for r, _ in now], [len(x) for _, x in now])
+    pieces = np.concatenate([x for _, x in now])
     place = pieces["place"].astype(np.int64)
-    return list(filed(np.repeat([s for _, s, _ in now], sizes), rows, place, pieces["count"].astype(np.int64), pieces["head"],
+    return list(filed(pieces["shard"].astype(np.int64), rows, place, pieces["count"].astype(np.int64), pieces["head"],
                       ids, k1, k2, data=raw, at=offsets[rows] + place, length=length))
 
 
@@ -533,7 +587,7 @@ def repeats(blocks: list[tuple], length: int) -> list[np.ndarray]:
     return out
 
 
-def _content(length: int, block: int):
+def _content(length: int, block: int, n: int):
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         docs, _, pieces = _unpacked(table)
@@ -557,11 +611,7 @@ def _content(length: int, block: int):
                 piece = sub[np.searchsorted(bounds, a, side="right") - 1]
                 shift = place[by[piece]] - bounds[piece - sub[0]]
                 spans.append((doc[by[piece]], np.stack([a + shift, b - 1 + length + shift], 1)))
-        which, found = (np.concatenate(x) for x in zip(*spans))
-        key, rows, first = _by_doc(docs, which, found[:, 0], found[:, 1])
-        marks = [np.ascontiguousarray(rows[x:y], dtype="<i4").tobytes() for x, y in zip(first[:-1].tolist(), first[1:].tolist())]
-        return pa.Table.from_arrays([*(pa.array(key[:, c], pa.int64()) for c in range(3)), pa.array(np.full(len(key), shard), pa.int32()),
-                                     pa.array(marks, pa.binary()), pa.nulls(len(key), pa.binary())], names=WANTED.names)
+        return _buckets(docs, shard, n, spans)
     return run
 
 
@@ -585,9 +635,9 @@ def _cut(keep: list[str], text: str):
             for batch in text_slices(whole, text, SHARD):
                 offsets, raw = string_buffers(text_column(batch, text))
                 n = batch.num_rows
-                marks = [[w["marks"] for c in ("_wanted", "_more") for w in batch.column(c)[r].as_py() or () if w["marks"] is not None] for r in range(n)]
-                row = np.repeat(np.arange(n), [sum(map(len, m)) // 8 for m in marks])
-                begin, end = np.frombuffer(b"".join(x for m in marks for x in m), dtype="<i4").astype(np.int64).reshape(-1, 2).T + offsets[row]
+                marks = [(x or b"") + (y or b"") for x, y in zip(*(batch.column(c).to_pylist() for c in ("marks", "_more")))]
+                row = np.repeat(np.arange(n), [len(m) // 8 for m in marks])
+                begin, end = np.frombuffer(b"".join(marks), dtype="<i4").astype(np.int64).reshape(-1, 2).T + offsets[row]
                 by = np.lexsort((begin, row))
                 row, begin, end = row[by], begin[by], np.maximum.accumulate(end[by]) if len(by) else end
                 new = np.ones(len(row), dtype=bool)
@@ -624,15 +674,14 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
                      F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(1), text).alias("_k2"))
     key_of = ["_order", "_k1", "_k2"]
     anchors = rows.select(*key_of, F.col(text).alias("_text")).mapInArrow(_anchors(n_content, length, shard), PIECES)
-    shared = anchors.groupBy("shard").applyInArrow(_shared(length), WANTED)
-    by_doc = F.collect_set(F.struct("shard", "marks", "pieces"))
-    wanted = shared.groupBy(*key_of).agg(by_doc.alias("_wanted"))
-    # the joins below read one shuffle of the texts and one of the shared pieces
-    asked = wanted.where(F.exists("_wanted", lambda w: w["pieces"].isNotNull()))
+    found = anchors.groupBy("shard").applyInArrow(_shared(length, n_content), BUCKETS).groupBy("bucket").applyInArrow(_unite, FOUND)
+    # the joins below read one shuffle of the texts and one of what was found
+    asked = found.where(F.length("pieces") > 0)
     fetched = rows.join(asked, key_of).withColumn("_text", F.col(text)).mapInArrow(_fetch(length, block), PIECES)
-    more = fetched.groupBy("shard").applyInArrow(_content(length, block), WANTED).groupBy(*key_of).agg(by_doc.alias("_more"))
-    joined = (rows.join(wanted, key_of, "left").join(more, key_of, "left")
-              .select(*keep, F.coalesce(text, F.lit("")).alias("_text"), "_wanted", "_more"))
+    more = (fetched.groupBy("shard").applyInArrow(_content(length, block, n_content), BUCKETS)
+            .groupBy("bucket").applyInArrow(_unite, FOUND).select(*key_of, F.col("marks").alias("_more")))
+    joined = (rows.join(found.drop("pieces"), key_of, "left").join(more, key_of, "left")
+              .select(*keep, F.coalesce(text, F.lit("")).alias("_text"), "marks", "_more"))
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("spans", SPAN), T.StructField("kept", T.BinaryType())])
     return joined.mapInArrow(_cut(list(keep), "_text"), schema)
