@@ -42,11 +42,11 @@ from catalink.llm.common import list_array, mix64, ragged_take, text_column, tex
 BLANK = "▁"
 NO_MERGE = np.int64(1 << 40)
 #: Cells (words times length) of a table that advances together.
-CELLS = 200_000
+CELLS = 100_000
 #: Bytes of text whose distinct words are segmented together.
-SLICE = 8 << 20
+SLICE = 3 << 20
 #: Ids that are decoded together.
-DECODED = 500_000
+DECODED = 200_000
 
 
 @dataclass(frozen=True)
@@ -352,25 +352,38 @@ def _expand(m: PieceModel, ids: np.ndarray, cps: np.ndarray) -> tuple[np.ndarray
     return np.where(unknown[src], m.byte_first + byte, ids[src]), per
 
 
-def _merge_words(m: PieceModel, words: list[np.ndarray]) -> list[np.ndarray]:
-    """The merge loop for words whose pieces tie."""
-    pair = {divmod(int(k), m.size + 1): int(r) for k, r in zip(m.pair_keys, m.pair_rank)}
-    one = {int(m.piece_chars[i, 0]): int(i) for i in m.key_ids if m.piece_len[i] == 1}
-    by_text = {tuple(m.piece_chars[i, : m.piece_len[i]].tolist()): int(i) for i in m.key_ids}
+class _Pairs:
+    """The piece that two pieces merge to, looked up in the model's sorted tables."""
+
+    def __init__(self, m: PieceModel):
+        self.m, self.seen = m, {}
 
-    class Pairs(dict):
-        def __missing__(self, ab):
-            return None
+    def get(self, ab: tuple[int, int]) -> int | None:
+        if ab not in self.seen:
+            m, (a, b) = self.m, ab
+            hit, _ = _probe(np.array([a * (m.size + 1) + b], dtype=np.int64), m.pair_first, m.pair_keys)
+            text = np.concatenate([m.piece_chars[a, : m.piece_len[a]], m.piece_chars[b, : m.piece_len[b]]])
+            self.seen[ab] = _piece(m, text) if len(hit) else None
+        return self.seen[ab]
 
-        def get(self, ab):
-            if ab not in pair:
-                return None
-            a, b = ab
-            return by_text.get((*m.piece_chars[a, : m.piece_len[a]].tolist(), *m.piece_chars[b, : m.piece_len[b]].tolist()))
 
-    out = []
+def _piece(m: PieceModel, text: np.ndarray) -> int | None:
+    """Id of the piece with these code points."""
+    key = _hash_rows(text[None, :])[:, len(text)] + mix64(np.array([len(text)]))
+    _, at = _probe(key, m.key_first, m.keys)
+    for i in m.key_ids[at].tolist():
+        if m.piece_len[i] == len(text) and (m.piece_chars[i, : len(text)] == text).all():
+            return i
+    return None
+
+
+def _merge_words(m: PieceModel, words: list[np.ndarray]) -> list[np.ndarray]:
+    """The merge loop for words whose pieces tie."""
+    pairs, out = _Pairs(m), []
     for w in words:
-        nodes = merge_loop([one.get(int(c), m.size) for c in w], Pairs(), m.rank)
+        one = {int(c): _piece(m, np.array([c], dtype=w.dtype)) for c in np.unique(w)}
+        symbols = [m.size if one[int(c)] is None else one[int(c)] for c in w]
+        nodes = merge_loop(symbols, pairs, m.rank)
         ids = np.array([x[0] for x in nodes], dtype=np.int64)
         at = np.cumsum(m.piece_len[ids]) - m.piece_len[ids]
         out.append(_expand(m, ids, w[at])[0])
@@ -390,7 +403,7 @@ def segment(m: PieceModel, chars: np.ndarray, bounds: np.ndarray) -> tuple[np.nd
     part = np.flatnonzero(cut)
     sizes = np.diff(part)
     start = part[:-1]
-    all_ids, all_part = [], []
+    all_ids, all_part = [], []  # 32 bits each: a slice has fewer parts
     counts = np.zeros(len(start), dtype=np.int64)
     order = np.argsort(sizes, kind="stable")
     edges = np.flatnonzero(np.diff(sizes[order])) + 1
@@ -402,13 +415,13 @@ def segment(m: PieceModel, chars: np.ndarray, bounds: np.ndarray) -> tuple[np.nd
             block = chars[start[rows][:, None] + np.arange(size)]
             ids, per, slow = _advance(m, block)
             counts[rows] = per
-            all_ids.append(ids)
-            all_part.append(np.repeat(rows, per))
+            all_ids.append(ids.astype(np.int32))
+            all_part.append(np.repeat(rows.astype(np.int32), per))
             if len(slow):
                 for r, x in zip(rows[slow], _merge_words(m, [block[s] for s in slow])):
                     counts[r] = len(x)
-                    all_ids.append(x)
-                    all_part.append(np.full(len(x), r))
+                    all_ids.append(x.astype(np.int32))
+                    all_part.append(np.full(len(x), r, dtype=np.int32))
     flat, owner = np.concatenate(all_ids), np.concatenate(all_part)
     flat = flat[np.argsort(owner, kind="stable")]
     ends = np.zeros(len(start) + 1, dtype=np.int64)
@@ -428,7 +441,7 @@ def encode_texts(m: PieceModel, texts: pa.LargeStringArray) -> tuple[np.ndarray,
     bounds = np.zeros(len(sizes) + 1, dtype=np.int64)
     np.cumsum(sizes, out=bounds[1:])
     flat, ends = segment(m, chars, bounds)
-    ids, out = ragged_take(flat, ends, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
+    ids, out = ragged_take(flat.astype(np.int32), ends, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
     return ids, out[first]
 
 
@@ -446,6 +459,18 @@ def decode_ids(m: PieceModel, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
     return [x[1:] if x.startswith(" ") else x for x in out]
 
 
+def _lossless(m: PieceModel, ids: np.ndarray, bounds: np.ndarray, texts: pa.LargeStringArray) -> list[bool]:
+    """Whether the ids of each text decode to it; some rows are held decoded at a time."""
+    same: list[bool] = []
+    row = 0
+    while row < len(texts):
+        stop = max(row + 1, int(np.searchsorted(bounds, bounds[row] + DECODED, side="right")) - 1)
+        decoded = decode_ids(m, ids[bounds[row]: bounds[stop]], bounds[row: stop + 1] - bounds[row])
+        same += [a == b for a, b in zip(decoded, texts.slice(row, stop - row).to_pylist())]
+        row = stop
+    return same
+
+
 RESULT = T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()),
     T.StructField("ids_crc32", T.LongType()), T.StructField("lossless", T.BooleanType()),
@@ -466,11 +491,13 @@ def encode(df: DataFrame, model: PieceModel, keep: tuple[str, ...] = ("doc_id",)
                 ids, bounds = encode_texts(m, texts)
                 small = ids.astype("<u4")
                 crc = [zlib.crc32(small[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-                same = [a == b for a, b in zip(decode_ids(m, ids, bounds), texts.to_pylist())]
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                same = _lossless(m, ids, bounds, texts)
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(small.view("<i4")))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in keep), lists, pa.array(np.diff(bounds)), pa.array(crc, pa.int64()),
                      pa.array(same, pa.bool_())], names=[*keep, *RESULT.names])
+                del texts, ids, small, lists
+                pa.default_memory_pool().release_unused()
 
     return df.select(*keep, df[text].alias("_text")).mapInArrow(run, schema)
 
