@@ -57,14 +57,19 @@ def csv_long_scan(spark, d):
 
 
 @query("csv_required", """
-SELECT CAST(s_suppkey AS VARCHAR) AS "Rank", s_name AS "Name" FROM supplier WHERE s_acctbal >= 0""")
+SELECT CAST(doc_id AS VARCHAR) AS "Rank", md5(text) AS text_md5 FROM documents WHERE length(text) >= 20""")
 def csv_required(spark, d):
-    """supplier -> CSV with more columns and gaps in a required one -> required columns by name."""
-    s = S.read(spark, d, "supplier")
-    name = F.when(F.col("s_acctbal") >= 0, F.col("s_name"))
+    """documents -> CSV with line feeds in the texts, quotes doubled in one half and escaped in
+    the other, and gaps (short texts) in a required column -> required columns by name."""
+    docs = S.read(spark, d, "documents")
+    name = F.when(F.length("text") >= 20, F.replace("text", F.lit("\\"), F.lit("\\\\")))
+    docs = docs.select(F.lit('x,"y"').alias("Other"), name.alias("Name"), F.col("doc_id").alias("Rank"))
     path = K.scratch_path(spark, "required-csv")
-    K.write_table(s.select(F.lit("x,\"y\"").alias("Other"), name.alias("Name"), F.col("s_suppkey").alias("Rank")), path, fmt="csv")
-    return R.read_required(spark, path, ["Rank", "Name"], ["Name"])
+    plain = (F.col("Rank") % 2 == 0) & ~F.coalesce(F.contains("Name", F.lit("\\")), F.lit(False))
+    K.write_table(docs.where(~plain), f"{path}/doubled", fmt="csv")
+    K.write_table(docs.where(plain), f"{path}/escaped", fmt="csv", escape="\\")
+    back = R.read_required(spark, f"{path}/*", ["Rank", "Name"], ["Rank", "Name"])
+    return back.select("Rank", F.md5("Name").alias("text_md5"))
 
 
 def _summary_spark(spark, d):

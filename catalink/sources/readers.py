@@ -4,13 +4,13 @@ Columns are bound by the names in the file's header, whatever their order and wh
 other columns there are; a name that the header lacks is an error.  Everything is read as
 text.  ``escape`` says how quotes inside quoted fields are written: doubled (``DOUBLED``),
 after a backslash (``BACKSLASH``), or either way, even in one file (``EITHER``).  Spark's
-parser knows one way at a time, so ``EITHER`` brings the lines of each file into one task (as
-any multi-line file takes) and in order, and parses them with Python's csv module as they
-stream by: a line, not a file, is the largest value held.  (A quote that is never closed takes
-the rest of its file, less a line feed at the very end.)
+parser knows one way at a time and takes a multi-line file in one task, so ``EITHER`` has a
+parser of its own, in which every split of a file is parsed apart (``splits``); files in an
+encoding that is not based on ASCII are brought into one task each and stream by there.  (A
+quote that is never closed takes the rest of its file, less a line feed at the very end.)
 
-Multi-line CSV cannot be split, so each file is one task: land it once as Parquet
-(``land_parquet``) and run everything else on the Parquet copy.
+Rows with fewer fields than the header are filled with nulls and fields beyond it are left
+out, as Spark's parser does; ``rows="fail"`` (``EITHER`` only) makes either an error.
 
 ``with_file_order`` captures the physical order of rows (file, block start, position) in
 ``_seq`` so keep-first deduplication can honour file order.
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalink.functions.expressions import strip
+from catalink.sources import splits
 
 
 #: What the long tables' sources write for a missing value.
@@ -72,7 +73,7 @@ def _parse_either(spark: SparkSession, path: str, names: Sequence[str], encoding
     seq = pa.struct([("file", pa.string()), ("block", pa.int64()), ("pos", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        csv.field_size_limit(1 << 30)
+        csv.field_size_limit(splits.FIELD_LIMIT)
         runs = ((file, b"\n".join(x for _, x in rows)) for batch in batches for file, rows in itertools.groupby(
             zip(batch.column("file").to_pylist(), batch.column("line").to_pylist()), lambda r: r[0]))
         for file, mine in itertools.groupby(runs, lambda r: r[0]):
@@ -95,23 +96,26 @@ def _parse_either(spark: SparkSession, path: str, names: Sequence[str], encoding
 
 
 def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None, encoding: str = "UTF-8",
-                  multiline: bool = True, escape: str = EITHER, missing: Sequence[str] = (), order: bool = False) -> DataFrame:
+                  multiline: bool = True, escape: str = EITHER, missing: Sequence[str] = (), order: bool = False,
+                  rows: str = splits.PAD) -> DataFrame:
     """CSV scan, every column as text; ``columns`` (all, if None) are chosen by header name.
     Empty fields and the texts in ``missing`` are null; ``order`` adds ``_seq``."""
     names = header_of(spark, path, encoding, escape)
     absent = [c for c in columns or () if c not in names]
     if absent:
         raise ValueError(f"{path} has no column {', '.join(absent)}; its header is {', '.join(names)}")
-    if escape == EITHER:
-        rows = _parse_either(spark, path, names, encoding)
+    if escape == EITHER and splits.ascii_based(encoding):
+        parsed = splits.parse(spark, path, names, encoding, rows)
+    elif escape == EITHER:
+        parsed = _parse_either(spark, path, names, encoding)
     else:
-        rows = (spark.read.schema(text_schema(names)).option("header", True).option("encoding", encoding)
+        parsed = (spark.read.schema(text_schema(names)).option("header", True).option("encoding", encoding)
                 .option("multiLine", multiline).option("escape", escape).option("quote", '"').option("mode", "PERMISSIVE").csv(path))
-        rows = with_file_order(rows) if order else rows
+        parsed = with_file_order(parsed) if order else parsed
     chosen = {c: F.col(f"`{c}`") for c in columns or names}
     if missing:
         chosen = {c: F.when(~x.isin(list(missing)), x) for c, x in chosen.items()}
-    return rows.select(*[x.alias(c) for c, x in chosen.items()], *(["_seq"] if order else []))
+    return parsed.select(*[x.alias(c) for c, x in chosen.items()], *(["_seq"] if order else []))
 
 
 def with_file_order(df: DataFrame, name: str = "_seq") -> DataFrame:

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from catalink.session import ensure_checkpoint_dir
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Parquet by default; ``csv`` writes a header and doubles quotes inside fields."""
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", escape: str = '"') -> None:
+    """Parquet by default; ``csv`` writes a header and doubles (or escapes) quotes inside fields."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').option("quote", '"').csv(path)
+        w.option("header", True).option("escape", escape).option("quote", '"').csv(path)
     else:
         w.format(fmt).save(path)
 

@@ -101,3 +101,79 @@ def test_either_streams_files_of_any_size(spark):
         f.write('x,n\n"é\n""q""",1\nż,2\n')
     parsed = R._parse_either(spark, path, ["x", "n"], "utf-16").orderBy("_seq").drop("_seq")
     assert [tuple(r) for r in parsed.collect()] == [('é\n"q"', "1"), ("ż", "2")]
+
+
+def test_line_states_agree_with_csv():
+    """Where the csv module ends a record, line by line, on random odd lines."""
+    import csv
+    import io
+    import random
+
+    from catalink.sources import splits
+    rnd = random.Random(3)
+
+    class Lines:
+        def __init__(self, lines):
+            self.lines, self.n = lines, 0
+
+        def __iter__(self):
+            return self
+
+        def __next__(self):
+            if self.n == len(self.lines):
+                raise StopIteration
+            self.n += 1
+            return self.lines[self.n - 1]
+
+    for _ in range(3000):
+        text = "".join(rnd.choice(['"', '"', ",", "\n", "\\", "a", "\r\n", '"",', 'x"']) for _ in range(rnd.randint(2, 14))) + "\n"
+        state, mine = splits.RECORD, []
+        for line in text[:-1].split("\n"):
+            state = splits.after_line(line.encode(), state)
+            mine.append(state == splits.RECORD)
+        source, ended = Lines(list(io.StringIO(text, newline=""))), set()
+        for _ in csv.reader(source, doublequote=True, escapechar="\\"):
+            ended.add(source.n)
+        want = [i + 1 in ended for i, x in enumerate(source.lines) if x.endswith("\n")]
+        assert mine[:-1] == want[:-1], text  # the last one ends the input in any case
+
+
+def test_splits_parse_on_their_own(spark):
+    """One file, many splits, records and the header across them, both kinds of escapes; the
+    begin states by broadcast and by join."""
+    import random
+
+    from catalink.sources import splits
+    rnd = random.Random(8)
+    folder = tempfile.mkdtemp(prefix="catalink-src-")
+    path, want = os.path.join(folder, "one.csv"), []
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write('"x\n' + "long header " * 60 + '",n\n')
+        for i in range(1500):
+            text = "".join(rnd.choice(['"', ",", "\n", "\n", "é", "word "]) for _ in range(rnd.choice([3, 30, 900 if i % 200 == 0 else 5])))
+            f.write('"' + text.replace('"', rnd.choice(['""', '\\"'])) + f'",{i}\n')
+            want.append((text, str(i)))
+    limits = {"spark.sql.files.maxPartitionBytes": "400", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in limits}
+    limit = splits.BROADCAST_SPLITS
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        assert spark.read.text(path).rdd.getNumPartitions() > 20
+        for few in (limit, 0):
+            splits.BROADCAST_SPLITS = few
+            got = [tuple(r) for r in splits.parse(spark, path, ["x", "n"]).orderBy("_seq").drop("_seq").collect()]
+            assert got == want
+    finally:
+        splits.BROADCAST_SPLITS = limit
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_rows_of_other_lengths(spark):
+    folder = tempfile.mkdtemp(prefix="catalink-src-")
+    path = write(folder, "odd.csv", "a,b\n1\n2,3,4\n\n5,6\n")
+    rows = R.read_csv_text(spark, path, order=True).orderBy("_seq").drop("_seq").collect()
+    assert [tuple(r) for r in rows] == [("1", None), ("2", "3"), ("5", "6")]
+    with pytest.raises(Exception, match="fields"):
+        R.read_csv_text(spark, path, rows="fail").collect()
