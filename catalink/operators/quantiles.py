@@ -1,107 +1,123 @@
-"""Exact percentiles (linear interpolation) with bounded per-task memory.
-
-Spark's exact ``percentile``/``median`` keeps every distinct value of a group
-in one task's hash map: a hot group (or a global median over a large column)
-puts an unbounded amount of data in one executor.  Here the work is split:
-
-1. per group: ``n``, ``min``, ``max`` and a Greenwald-Khanna sketch
-   (``percentile_approx``, memory ~ accuracy) at ``p - 3/acc`` and
-   ``p + 3/acc``.  The sketch's rank error is at most ``n / acc``, so the
-   two values bracket the exact ranks ``floor((n-1)p)`` and ``ceil((n-1)p)``.
-   Groups with ``n <= 4 * acc`` use ``[min, max]`` as the bracket;
-2. one aggregate pass: rows below each bracket (partial aggregation);
-3. only the rows inside the brackets (about ``6 n / acc`` per group and
-   probability) are counted per distinct value and ranked with a window
-   partitioned by (group, probability);
-4. pick the values at the two ranks and interpolate.
-
-The narrow input (groups and value) is written once and read three times, in parallel and
-spill-safe, whatever its size.  Several columns are one call: they become (column, value)
-rows, grouped by column.
+"""Exact percentiles (linear interpolation) by distributed radix selection.
+
+Spark's exact ``percentile``/``median`` keeps every distinct value of a group in one task's
+hash map.  Here a value becomes a 64-bit number of the same order (its IEEE bits), and the
+wanted ranks of all groups and probabilities are found digit by digit, 16 bits a round:
+
+1. count the rows of each (group, digits so far, next digit): partial aggregation, at most
+   65,536 counts for each (group, digits so far) whatever the number of rows;
+2. walk those counts to the digit that holds each wanted rank; the rows before it are taken
+   off the rank, and only rows with the digits so far take part in the next round.
+
+After four rounds a rank's value is known exactly.  No task holds or ranks a group's rows; the
+largest piece of work is one group's counts.  The rounds are one plan without driver steps.
+The narrow input (groups and value) is written once and read in each round.  Several columns
+are one call: they become (column, value) rows, grouped by column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalink.operators.joins import broadcast_if_small
 from catalink.session import cut_lineage
 
-DEFAULT_ACCURACY = 10_000
-
-
-def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
-                      groups: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+#: Bits of a digit; 64 is a multiple.
+DIGIT = 16
+#: Groups whose wanted digits are broadcast (some 100 bytes each); beyond, rows meet them by
+#: a join in which each group is dealt over ``SLICES`` parts.
+BROADCAST_GROUPS = 100_000
+SLICES = 16
+
+
+def order_bits(x: Column) -> Column:
+    """A bigint with the order of the doubles (not NaN): the IEEE bits, negated below zero."""
+    size = F.abs(x)
+    guess = F.floor(F.log2(size)).cast("int")
+    part = size / F.pow(F.lit(2.0), guess)  # exact: a power of two; the guess may be off by one
+    e = F.when(part < 1, guess - 1).when(part >= 2, guess + 1).otherwise(guess)
+    fraction = (size / F.pow(F.lit(2.0), e) - 1) * F.lit(2.0 ** 52)
+    tiny = size * F.lit(2.0 ** 537) * F.lit(2.0 ** 537)
+    bits = (F.when(size == F.lit(float("inf")), F.lit(2047 << 52))
+            .when(size < F.lit(2.0 ** -1022), tiny.cast("bigint"))
+            .otherwise(F.shiftleft((e + 1023).cast("bigint"), 52) + fraction.cast("bigint")))
+    return F.when(x < 0, -bits).otherwise(bits)
+
+
+def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
     """Long result: ``*groups, prob_index, prob, value`` (nulls skipped; a
     group with no values gets no rows)."""
     if not groups:
-        return column_percentiles(df, [value], probs, accuracy).drop("column")
-    k = len(probs)
-    gcols = list(groups)
-    base = df.select(*[F.col(g) for g in groups], F.col(value).cast("double").alias("_v"))
+        return column_percentiles(df, [value], probs).drop("column")
+    g = list(groups)
+    base = df.select(*g, F.col(value).cast("double").alias("_v"))
     base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    for g in groups:  # pandas-style grouping drops null keys
-        base = base.where(F.col(g).isNotNull())
-    base = cut_lineage(base, "percentiles")
-
-    margin = 3.0 / accuracy
-    qs = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
-    stats = base.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_mn"),
-                                     F.max("_v").alias("_mx"),
-                                     F.percentile_approx("_v", qs, accuracy).alias("_a"))
-    small = F.col("_n") <= 4 * accuracy
-    bracket_cols = {}
-    for i, p in enumerate(probs):
-        lo = F.col("_mn") if p - margin <= 0 else F.get("_a", i)
-        hi = F.col("_mx") if p + margin >= 1 else F.get("_a", k + i)
-        bracket_cols[f"_lo{i}"] = F.when(small, F.col("_mn")).otherwise(lo)
-        bracket_cols[f"_hi{i}"] = F.when(small, F.col("_mx")).otherwise(hi)
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        bracket_cols[f"_pos{i}"] = pos
-    brackets = stats.withColumns(bracket_cols).drop("_a", "_mn", "_mx")
-
-    joined = base.join(broadcast_if_small(brackets), on=gcols, how="inner")
-    inside = [(F.col("_v") >= F.col(f"_lo{i}")) & (F.col("_v") <= F.col(f"_hi{i}")) for i in range(k)]
-    below = joined.groupBy(*gcols).agg(
-        *[F.count_if(F.col("_v") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in range(k)])
-
-    any_inside = inside[0]
-    for c in inside[1:]:
-        any_inside = any_inside | c
-    cand = joined.where(any_inside).select(
-        *gcols, "_v", F.inline(F.array(*[F.struct(F.lit(i).alias("_i"), inside[i].alias("_in"))
-                                          for i in range(k)])))
-    counts = (cand.where("_in").groupBy(*gcols, "_i", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*gcols, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("_cum", F.sum("_c").over(w))
-
-    meta = brackets.join(below, on=gcols, how="inner").select(
-        *gcols, F.inline(F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("prob"),
-                                            F.col(f"_pos{i}").alias("_pos"),
-                                            F.col(f"_below{i}").alias("_below"))
-                                   for i, p in enumerate(probs)])))
-    r1 = F.floor("_pos")
-    r2 = F.ceil("_pos")
-    total = F.col("_below") + F.col("_cum")  # rows with value <= _v
-    picked = (ranked.join(meta, on=[*gcols, "_i"], how="inner")
-                    .groupBy(*gcols, "_i", "prob", "_pos")
-                    .agg(F.min(F.when(total > r1, F.col("_v"))).alias("_v1"),
-                         F.min(F.when(total > r2, F.col("_v"))).alias("_v2")))
-    frac = F.col("_pos") - F.floor("_pos")
-    out = picked.select(*gcols, F.col("_i").alias("prob_index"), "prob",
-                        (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * frac).alias("value"))
-    return out
-
-
-def column_percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                       accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    for c in g:  # pandas-style grouping drops null keys
+        base = base.where(F.col(c).isNotNull())
+    base = cut_lineage(base.select(*g, "_v", order_bits(F.col("_v")).alias("_k")), "percentiles")
+    few = base.select(*g).distinct().limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+
+    def walk(counts: Column, rank: Column) -> Column:
+        """(rows before, digit, its value) of the count in which the rank falls."""
+        none = F.struct(F.lit(0).cast("bigint").alias("before"), F.lit(0).cast("bigint").alias("digit"),
+                        F.lit(None).cast("double").alias("v"), F.lit(False).alias("done"))
+
+        def step(acc: Column, c: Column) -> Column:
+            here = rank < acc["before"] + c["n"]
+            return F.when(acc["done"], acc).otherwise(F.struct(
+                (acc["before"] + F.when(here, 0).otherwise(c["n"])).alias("before"), c["digit"].alias("digit"), c["v"].alias("v"), here.alias("done")))
+
+        return F.aggregate(counts, none, step)
+
+    wanted = None  # by (group, digits so far): the ranks asked there
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        last = shift == 0
+        rows = base.select(*g, F.shiftright("_k", shift + DIGIT).alias("_so_far") if wanted is not None else F.lit(0).cast("bigint").alias("_so_far"),
+                           (F.shiftright("_k", shift) if wanted is None else F.shiftright("_k", shift).bitwiseAND(F.lit((1 << DIGIT) - 1))).alias("_digit"), "_v")
+        if wanted is None:
+            counts = rows.groupBy(*g, "_so_far", "_digit").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("v"))
+            counts = counts.withColumn("_asked", F.lit(None).cast("array<struct<i:int,side:int,rank:bigint>>"))
+        else:
+            key = [*g, "_so_far"]
+            if few:
+                rows = rows.join(F.broadcast(wanted), key)
+            else:
+                dealt = wanted.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+                rows = rows.withColumn("_slice", F.pmod(F.xxhash64("_v", "_digit", F.monotonically_increasing_id()), F.lit(SLICES)).cast("int"))
+                rows = rows.join(dealt, [*key, "_slice"])
+            counts = rows.groupBy(*g, "_so_far", "_digit").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("v"), F.first("_asked").alias("_asked"))
+        table = counts.groupBy(*g, "_so_far").agg(
+            F.array_sort(F.collect_list(F.struct(F.col("_digit").alias("digit"), "n", "v"))).alias("_counts"),
+            F.first("_asked").alias("_asked"))
+        if wanted is None:  # ranks from the number of rows
+            n = F.aggregate("_counts", F.lit(0).cast("bigint"), lambda acc, c: acc + c["n"])
+            at = lambda p: (F.col("_n") - 1) * F.lit(float(p))
+            table = table.withColumn("_n", n).withColumn("_asked", F.array(*[
+                F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), f(at(p)).cast("bigint").alias("rank"))
+                for i, p in enumerate(probs) for side, f in enumerate((F.floor, F.ceil))]))
+            table = table.withColumn("_asked", F.transform("_asked", lambda a: F.struct(a["i"].alias("i"), a["side"].alias("side"), a["rank"].alias("rank"), F.col("_n").alias("n"))))
+        found = table.select(*g, "_so_far", F.transform("_asked", lambda a: F.struct(a.alias("a"), walk(F.col("_counts"), a["rank"]).alias("f"))).alias("_found"))
+        found = found.select(*g, "_so_far", F.explode("_found").alias("_f"))
+        if not last:
+            so_far = F.col("_f.f.digit") if wanted is None else F.shiftleft("_so_far", DIGIT) + F.col("_f.f.digit")
+            one = F.struct(F.col("_f.a.i").alias("i"), F.col("_f.a.side").alias("side"), (F.col("_f.a.rank") - F.col("_f.f.before")).alias("rank"), F.col("_f.a.n").alias("n"))
+            wanted = found.select(*g, so_far.alias("_so_far"), one.alias("_one")).groupBy(*g, "_so_far").agg(F.collect_list("_one").alias("_asked"))
+
+    picked = found.groupBy(*g, F.col("_f.a.i").alias("prob_index"), F.col("_f.a.n").alias("_n")).agg(
+        F.max(F.when(F.col("_f.a.side") == 0, F.col("_f.f.v"))).alias("_v1"), F.max(F.when(F.col("_f.a.side") == 1, F.col("_f.f.v"))).alias("_v2"))
+    prob = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("prob_index"))
+    position = (F.col("_n") - 1) * prob
+    between = F.col("_v1") + (F.col("_v2") - F.col("_v1")) * (position - F.floor(position))
+    return picked.select(*g, "prob_index", prob.alias("prob"), F.when(F.col("_v1") == F.col("_v2"), F.col("_v1")).otherwise(between).alias("value"))
+
+
+def column_percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """``column, prob_index, prob, value`` of several columns in one pass."""
     rows = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_value"))
                                         for c in columns])))
-    return exact_percentiles(rows, "_value", probs, ["column"], accuracy)
+    return exact_percentiles(rows, "_value", probs, ["column"])
 
 
 def percentile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> Column:
@@ -112,16 +128,14 @@ def percentile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 
 
 def exact_percentile_columns(df: DataFrame, value: str, probs: Sequence[float],
-                             names: Sequence[str], groups: Sequence[str] = (),
-                             accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                             names: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
     """Wide result: ``*groups`` plus one column per probability."""
-    long = exact_percentiles(df, value, probs, groups, accuracy)
+    long = exact_percentiles(df, value, probs, groups)
     aggs = [F.max(F.when(F.col("prob_index") == i, F.col("value"))).alias(n) for i, n in enumerate(names)]
     if groups:
         return long.groupBy(*groups).agg(*aggs)
     return long.agg(*aggs)
 
 
-def exact_median(df: DataFrame, value: str, groups: Sequence[str] = (), name: str = "median",
-                 accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    return exact_percentile_columns(df, value, [0.5], [name], groups, accuracy)
+def exact_median(df: DataFrame, value: str, groups: Sequence[str] = (), name: str = "median") -> DataFrame:
+    return exact_percentile_columns(df, value, [0.5], [name], groups)
