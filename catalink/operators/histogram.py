@@ -21,7 +21,8 @@ def _range_stats(df: DataFrame, x: Column) -> DataFrame:
 def histogram(df: DataFrame, value: Column | str, bins: int, value_name: str = "value",
               density: bool = False) -> DataFrame:
     """Equal-width histogram with ``bins`` bins between the min and max;
-    the last bin is closed.  Every bin is listed (empty bins count 0).
+    a value on an edge is counted in the bin that the edge begins, and the
+    last bin is closed.  Every bin is listed (empty bins count 0).
 
     The range and the row count come from one aggregate, which serves both as
     the scalar used to bin each row and as the one-row frame of all bins."""
@@ -30,8 +31,13 @@ def histogram(df: DataFrame, value: Column | str, bins: int, value_name: str = "
     stats = _range_stats(vals, F.col(value_name))
     rng = stats.select(F.struct("lo", "hi").alias("r")).scalar()
     lo, hi = rng.getField("lo"), rng.getField("hi")
-    idx = F.least(F.floor((F.col(value_name) - lo) * (F.lit(float(bins)) / (hi - lo))),
-                  F.lit(bins - 1)).cast("int")
+    width = (hi - lo) / F.lit(float(bins))
+    near = F.least(F.floor((F.col(value_name) - lo) * (F.lit(float(bins)) / (hi - lo))), F.lit(bins - 1)).cast("int")
+    # rounding may put a value beside its bin: the edges that are reported decide
+    x, at = F.col("_x"), F.col("_near")
+    idx = (F.when(x < F.col("_lo") + at * F.col("_w"), at - 1)
+           .when((at < bins - 1) & (x >= F.col("_lo") + (at + 1) * F.col("_w")), at + 1).otherwise(at))
+    vals = vals.select(F.col(value_name).alias("_x"), near.alias("_near"), lo.alias("_lo"), width.alias("_w"))
     counts = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     frame = (stats.where(F.col("n") > 0)
                   .select("lo", "hi", "n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")))

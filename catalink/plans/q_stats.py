@@ -107,10 +107,11 @@ def _hist_sql(values_sql: str, bins: int, density: bool = False, group: str | No
 r AS (SELECT {g}CASE WHEN MIN(value) = MAX(value) THEN MIN(value) - 0.5 ELSE MIN(value) END AS lo,
              CASE WHEN MIN(value) = MAX(value) THEN MAX(value) + 0.5 ELSE MAX(value) END AS hi,
              COUNT(*) AS n FROM v {gby}),
-c AS (SELECT {"v." + group + ", " if group else ""}CAST(LEAST(FLOOR((v.value - r.lo) * ({float(bins)} / (r.hi - r.lo))), {bins - 1}) AS INTEGER) AS bin,
-             COUNT(*) AS cnt
-      FROM v JOIN r ON {"v." + group + " = r." + group if group else "true"} GROUP BY ALL),
-b AS (SELECT CAST(unnest(range(0, {bins})) AS INTEGER) AS bin)
+b AS (SELECT CAST(unnest(range(0, {bins})) AS INTEGER) AS bin),
+e AS (SELECT {gsel}b.bin, r.lo + b.bin * ((r.hi - r.lo) / {float(bins)}) AS at, r.lo + (b.bin + 1) * ((r.hi - r.lo) / {float(bins)}) AS below
+      FROM r CROSS JOIN b),
+c AS (SELECT {"e." + group + ", " if group else ""}e.bin, COUNT(*) AS cnt
+      FROM v JOIN e ON v.value >= e.at AND (v.value < e.below OR e.bin = {bins - 1}){" AND v." + group + " = e." + group if group else ""} GROUP BY ALL)
 SELECT {gsel}b.bin, ROUND(r.lo + b.bin * ((r.hi - r.lo) / {float(bins)}), 6) AS lo,
        ROUND(r.lo + (b.bin + 1) * ((r.hi - r.lo) / {float(bins)}), 6) AS hi,
        COALESCE(c.cnt, 0) AS count{dens}

@@ -42,6 +42,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
@@ -67,6 +68,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which may run where it is not installed (once
+    per context; Spark's driver serves the archive, executors share no folder with it)."""
+    import zipfile
+
+    context = spark.sparkContext
+    if getattr(context, "_catalink_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="catalink-code-"), "catalink.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.join("catalink", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    context._catalink_shipped = True
+
+
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Materialise ``df`` as a Parquet table under the shared checkpoint folder
     and return a DataFrame reading it.
@@ -88,10 +109,3 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
-
-def plan_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (no job is run)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable
-        return None

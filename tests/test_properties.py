@@ -76,3 +76,20 @@ def test_year_trend_single_row_sem_null(spark):
     df = spark.createDataFrame([(2001, 1.0), (2002, 1.0), (2002, 3.0)], "y int, m double")
     out = {r.y: r for r in A.year_trend(df, "y", "m", min_n=1).collect()}
     assert out[2001].sem is None and out[2002].sem == pytest.approx(1.0)
+
+
+def test_histogram_counts_by_its_edges(spark):
+    """Values on, just below and just above every reported edge, against numpy's counts by
+    those edges."""
+    import numpy as np
+
+    from catalink.operators.histogram import histogram
+    for lo, hi, bins in ((0.0, 0.7, 7), (0.1, 1.3, 12), (-3.0, 5.0, 9), (1995.0, 2001.0, 7)):
+        width = (hi - lo) / bins
+        edges = [lo + i * width for i in range(bins + 1)]
+        values = [x for e in edges for x in (e, np.nextafter(e, -9), np.nextafter(e, 9e9)) if lo <= x <= hi] + [lo, hi]
+        rows = histogram(spark.createDataFrame([(float(x),) for x in values], "x double"), "x", bins).collect()
+        assert [r.lo for r in rows] == edges[:-1]
+        want = [sum(1 for x in values if x >= edges[i] and (x < edges[i + 1] or i == bins - 1)) for i in range(bins)]
+        assert [r["count"] for r in rows] == want
+        assert want[:-1] == np.histogram(values, edges[:-1] + [max(hi, edges[-1])])[0].tolist()[:-1]
