@@ -265,6 +265,13 @@ def width_bin(c: ColumnOrName, lo: float, hi: float, width: float) -> Column:
                           F.lit(k)).cast("int"))
 
 
+def presented(c: ColumnOrName, digits: int = 1) -> Column:
+    """Rounded for reading to ``digits`` decimals, halves to the even digit; whole numbers
+    (bigint) for 0 digits."""
+    x = F.rint(_col(c) * F.lit(10.0 ** digits))
+    return x.cast("bigint") if digits == 0 else x / F.lit(10.0 ** digits)
+
+
 # --- matching predicates ----------------------------------------------------
 
 def keyword_regex(keywords: Iterable[str]) -> str:

@@ -132,7 +132,10 @@ def _ranked_list(spark, d, descending: bool):
     return out.select("rank", "app_id", "name", "developer", "publisher", "release_year", "price",
                       "owners_range", "total", r6("player_ratio_100"), r6("critic_norm"),
                       r6("divergence_ratio"), "quadrant",
-                      X.truncate("name", 40).alias("short_name"))
+                      X.truncate("name", 40).alias("short_name"),
+                      X.presented(r6("player_ratio_100"), 1).alias("player_shown"),
+                      X.presented(r6("critic_norm"), 0).alias("critic_shown"),
+                      X.presented(r6("divergence_ratio"), 1).alias("divergence_shown"))
 
 
 def _ranked_sql(direction: str) -> str:
@@ -140,7 +143,10 @@ def _ranked_sql(direction: str) -> str:
 SELECT CAST(ROW_NUMBER() OVER (ORDER BY divergence_ratio {direction}, app_id) AS INTEGER) AS rank,
        app_id, name, developer, publisher, release_year, price, owners_range, total,
        ROUND(player_ratio_100, 6) AS player_ratio_100, ROUND(critic_norm, 6) AS critic_norm,
-       ROUND(divergence_ratio, 6) AS divergence_ratio, quadrant, substr(name, 1, 40) AS short_name
+       ROUND(divergence_ratio, 6) AS divergence_ratio, quadrant, substr(name, 1, 40) AS short_name,
+       round_even(ROUND(player_ratio_100, 6) * 10, 0) / 10 AS player_shown,
+       CAST(round_even(ROUND(critic_norm, 6), 0) AS BIGINT) AS critic_shown,
+       round_even(ROUND(divergence_ratio, 6) * 10, 0) / 10 AS divergence_shown
 FROM core WHERE total >= {CFG.ranked_min_total}
 ORDER BY divergence_ratio {direction}, app_id LIMIT {CFG.top_n}"""
 

@@ -220,7 +220,9 @@ def edition_mismatch(spark, d):
                                     "flag_low_score", "flag_any")
 
 
-_KW_RE = X.keyword_regex(C.RISK_KEYWORDS)
+#: The stand-in's edition words: part types, which only the query's titles carry.
+EDITION_WORDS = ("Promo", "Standard", "Economy")
+_KW_RE = X.keyword_regex(EDITION_WORDS)
 
 
 @query("edition_mismatch_words", MATCH_WITH + f"""
@@ -228,7 +230,7 @@ SELECT app_id, name, vg_name, ROUND(vg_match_score, 6) AS vg_match_score FROM ma
 WHERE COALESCE(regexp_matches(name, '{_KW_RE}'), false) <> COALESCE(regexp_matches(vg_name, '{_KW_RE}'), false)
 ORDER BY vg_match_score DESC, name, app_id LIMIT 15""")
 def edition_mismatch_words(spark, d):
-    return M.keyword_mismatches(matched(spark, d)).select("app_id", "name", "vg_name",
+    return M.keyword_mismatches(matched(spark, d), keywords=EDITION_WORDS).select("app_id", "name", "vg_name",
                                                           r6("vg_match_score"))
 
 

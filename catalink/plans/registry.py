@@ -38,10 +38,6 @@ def r6(c: Column | str, alias: str | None = None) -> Column:
     return out.alias(name) if name else out
 
 
-def rounded(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c).cast("double"), DIGITS) for c in cols})
-
-
 def load_all() -> None:
     """Import every plan module so their queries register."""
     from catalink.plans import (  # noqa: F401

@@ -101,3 +101,11 @@ def test_safe_log10(spark):
     out = col_values(spark, [100.0, 0.0, -1.0], X.safe_log10, "v double")
     assert out[0] == pytest.approx(2.0) and out[1] is None and out[2] is None
     assert not any(isinstance(v, float) and math.isnan(v) for v in out if v is not None)
+
+
+def test_presented_rounds_halves_to_even(spark):
+    from catalink.functions.expressions import presented
+    values = [0.25, 0.35, 2.5, 3.5, -0.25, 66.66, None]
+    rows = spark.createDataFrame([(x,) for x in values], "x double").select(presented("x").alias("one"), presented("x", 0).alias("none")).collect()
+    assert [r.one for r in rows] == [0.2, 0.4, 2.5, 3.5, -0.2, 66.7, None]
+    assert [r.none for r in rows] == [0, 0, 2, 4, 0, 67, None]
