@@ -134,5 +134,5 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
 
 
 def test_queries_need_only_what_they_name():
-    assert [n.split("_")[0] for n in Q.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in Q.queries()] == [f"op{i}" for i in range(1, 14)]
     assert langid.UNKNOWN == "und"
