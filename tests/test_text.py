@@ -3,7 +3,7 @@
 import itertools
 import random
 
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -39,15 +39,34 @@ def test_ngrams_match_rule(spark):
     assert " ab " in got[1] and len(got[1]) == 3     # 2 trigrams + the padded word
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="abcde xyz", max_size=40), st.text(alphabet="abcde xyz", max_size=40))
-def test_lcs_bit_parallel_equals_dp(a, b):
-    assert lcs_length(a, b) == lcs_dp(a, b)
+def test_lcs_equals_dynamic_program(spark):
+    rng = random.Random(3)
+    sizes = [0, 1, 2, 5, 20, 61, 62, 63, 64, 123, 124, 125, 130, 200, 300]
+    rows = [("".join(rng.choices(letters, k=n)), "".join(rng.choices(letters, k=m)))
+            for letters in ("ab", "abcde xyz", "aé😀中 ") for n, m in itertools.product(sizes, repeat=2)]
+    df = spark.createDataFrame(rows, "a string, b string").repartition(4)
+    for r in df.select("a", "b", lcs_length("a", "b").alias("n")).collect():
+        assert r.n == lcs_dp(r.a, r.b), (r.a, r.b)
 
 
-def test_indel_ratio_cases():
-    assert indel_ratio("", "") == 100.0
-    assert abs(indel_ratio("2 Half Life", "2 Episode Half-Life") - 66.6666666) < 1e-5
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.text(alphabet="abcde xyz", max_size=140), st.text(alphabet="abcde xyz", max_size=140)),
+                min_size=1, max_size=10))
+def test_lcs_of_any_texts(spark, rows):
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert [r[0] for r in df.select(lcs_length("a", "b")).collect()] == [lcs_dp(a, b) for a, b in rows]
+
+
+def test_indel_ratio_cases(spark):
+    rows = [("", ""), ("2 Half Life", "2 Episode Half-Life"), (None, "a"), ("a", None), ("", "a")]
+    got = [r[0] for r in spark.createDataFrame(rows, "a string, b string").select(indel_ratio("a", "b")).collect()]
+    assert got[0] == 100.0 and abs(got[1] - 66.6666666) < 1e-5
+    assert got[2] is None and got[3] is None and got[4] == 0.0
+
+
+def test_token_sort_ratio_stays_in_the_jvm(spark):
+    df = spark.createDataFrame([("a b", "b a")], "a string, b string").select(token_sort_ratio("a", "b"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_token_sort_ratio(spark):
