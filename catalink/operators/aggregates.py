@@ -182,58 +182,6 @@ def pearson(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return _rows_from_struct_array(row, items)
 
 
-#: Distinct values that one task ranks.
-RANK_BUCKET = 100_000
-
-
-def average_rank(df: DataFrame, col: str, rank_col: str, bucket_rows: int = RANK_BUCKET) -> DataFrame:
-    """Attach the average rank (ties share the mean position) of a column.
-
-    Exact and without any window over all rows or all distinct values:
-
-    1. per-value counts (one row per distinct value, written once);
-    2. ranges of about ``bucket_rows`` distinct values from their approximate quantiles (a
-       few scalars on the driver that shape the plan; as many as the values need);
-    3. rows before each range = running total over the ranges' totals;
-    4. inside a range, a window partitioned by range gives the rows before
-       each value; ``rank = offset + before + (n + 1) / 2``;
-    5. join the ranks back on the value.
-    """
-    from pyspark.sql import Window
-
-    counts = cut_lineage(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n")), "rank-counts")
-    n_buckets = max(1, -(-counts.count() // bucket_rows))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = sorted(set(counts.approxQuantile(col, probs, min(0.001, 0.1 / n_buckets)))) if probs else []
-    bucket = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b < F.col(col))) if bounds else F.lit(0)
-    keyed = counts.withColumn("_b", bucket.cast("int"))
-    inner = Window.partitionBy("_b").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-    placed = keyed.withColumn("_before", F.coalesce(F.sum("_n").over(inner), F.lit(0)))
-    if bounds:
-        totals = keyed.groupBy("_b").agg(F.sum("_n").alias("_bn"))
-        offsets = totals.select("_b", F.coalesce(F.sum("_bn").over(
-            Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-        placed = placed.join(offsets, on="_b", how="inner")
-    else:
-        placed = placed.withColumn("_off", F.lit(0))
-    ranks = placed.select(col, (F.col("_off") + F.col("_before") + (F.col("_n") + 1) / 2.0).alias(rank_col))
-    return df.join(ranks, on=col, how="left")
-
-
-def spearman_frame(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Spearman correlation per pair: Pearson of average ranks, pairwise complete."""
-    rows = None
-    df = cut_lineage(df.select(*dict.fromkeys(c for pair in pairs for c in pair)), "spearman")
-    for a, b in pairs:
-        sub = df.select(F.col(a).cast("double").alias("_x"), F.col(b).cast("double").alias("_y")) \
-                .where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-        ranked = average_rank(average_rank(sub, "_x", "_ra"), "_y", "_rb")
-        one = ranked.agg(safe_corr("_ra", "_rb").alias("spearman")) \
-                    .select(F.lit(a).alias("x"), F.lit(b).alias("y"), "spearman")
-        rows = one if rows is None else rows.unionByName(one)
-    return rows
-
-
 def year_trend(df: DataFrame, year_col: str, metric: str, min_n: int = 5,
                z: float = C.CI_Z) -> DataFrame:
     """Per year: n, mean, standard error (null for n = 1), CI band; years with n >= min_n."""

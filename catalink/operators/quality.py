@@ -43,14 +43,29 @@ def _dup_rows(df: DataFrame, cols: Sequence[str]) -> Column:
 
 def long_table_report(raw: DataFrame, clean: DataFrame, key: str, value: str,
                       vocab_size: int | None, unmapped: DataFrame | None) -> DataFrame:
-    """Raw stats, values per key, language check, cleaning result, unmapped count."""
-    base = raw.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"),
-                   F.count_if(F.col(value).isNull()).alias("missing"),
-                   F.count_distinct(value).alias("distinct_values"),
-                   F.count_distinct(F.when(is_non_ascii(value), F.col(value))).alias("non_ascii"))
-    per_key = raw.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(value).alias("_n"))
-    pk = one_pass(per_key, {"mean": F.avg("_n"), "max": F.max("_n"), "min": F.min("_n")})
-    cl = one_pass(clean, {"rows": F.count(F.lit(1)), "distinct": F.count_distinct(value)})
+    """Raw stats, values per key, language check, cleaning result, unmapped count.
+
+    The raw table is read once for its counts: each row gives a (key) and a (value) row, equal
+    ones are counted with map-side combine, and all distinct counts and the values per key are
+    counts over those groups; non-ASCII texts are looked for among distinct values only.
+    """
+    side = lambda which, k, v, has: F.struct(F.lit(which).alias("side"), k.alias("k"), v.alias("v"), has.alias("has"))
+    types = {f.name: f.dataType for f in raw.schema.fields}
+    has = F.col(value).isNotNull().cast("bigint")
+    groups = (raw.select(F.inline(F.array(side("key", F.col(key), F.lit(None).cast(types[value]), has),
+                                          side("value", F.lit(None).cast(types[key]), F.col(value), has))))
+                 .groupBy("side", "k", "v").agg(F.count(F.lit(1)).alias("n"), F.sum("has").alias("has")))
+    of_key, of_value = F.col("side") == "key", F.col("side") == "value"
+    a_key, a_value = of_key & F.col("k").isNotNull(), of_value & F.col("v").isNotNull()
+    per_key = F.when(a_key, F.col("has"))
+    base = groups.agg(F.coalesce(F.sum(F.when(of_key, F.col("n"))), F.lit(0)).alias("rows"),
+                      F.count_if(a_key).alias("keys"),
+                      F.coalesce(F.sum(F.when(of_value & F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
+                      F.count_if(a_value).alias("distinct_values"),
+                      F.count_if(a_value & is_non_ascii(F.col("v"))).alias("non_ascii"),
+                      F.avg(per_key).alias("mean"), F.max(per_key).alias("max"), F.min(per_key).alias("min"))
+    cl = one_pass(clean.groupBy(value).agg(F.count(F.lit(1)).alias("n")),
+                  {"rows": F.coalesce(F.sum("n"), F.lit(0)), "distinct": F.count(value)})
     clean_rows = cl.getField("rows")
     dup_pairs = _dup_rows(raw, [key, value])
     dup_rows = dup_pairs if sorted(raw.columns) == sorted([key, value]) else _dup_rows(raw, raw.columns)
@@ -60,9 +75,9 @@ def long_table_report(raw: DataFrame, clean: DataFrame, key: str, value: str,
         ("raw", "missing_values", F.col("missing")),
         ("raw", "duplicate_rows", dup_rows),
         ("raw", "duplicate_pairs", dup_pairs),
-        ("per_key", "mean", pk.getField("mean")),
-        ("per_key", "max", pk.getField("max")),
-        ("per_key", "min", pk.getField("min")),
+        ("per_key", "mean", F.col("mean")),
+        ("per_key", "max", F.col("max")),
+        ("per_key", "min", F.col("min")),
         ("language", "raw_distinct", F.col("distinct_values")),
         ("language", "non_ascii_values", F.col("non_ascii")),
         ("language", "clean_distinct", cl.getField("distinct")),

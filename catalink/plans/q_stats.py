@@ -9,6 +9,7 @@ from catalink import config as C
 from catalink.functions import expressions as X
 from catalink.operators import aggregates as A
 from catalink.operators import histogram as H
+from catalink.operators import ranks as R
 from catalink.operators.metrics import stage_counts
 from catalink.plans import standin as S
 from catalink.plans.common import CFG, core, with_core
@@ -47,7 +48,7 @@ FROM (SELECT RANK() OVER (ORDER BY {x}) + (COUNT(*) OVER (PARTITION BY {x}) - 1)
       FROM corev WHERE {x} IS NOT NULL AND {y} IS NOT NULL) t"""))
 def spearman(spark, d):
     c = _with_volume(core(spark, d))
-    return A.spearman_frame(c, _PAIRS).select("x", "y", r6("spearman"))
+    return R.spearman_frame(c, _PAIRS).select("x", "y", r6("spearman"))
 
 
 _DESC_COLS = ["player_ratio_100", "player_norm", "critic_norm", "divergence_ratio", "divergence_tier"]

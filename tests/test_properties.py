@@ -7,6 +7,7 @@ from catalink import config as C
 from catalink.operators import aggregates as A
 from catalink.operators import dedupe as D
 from catalink.operators import histogram as H
+from catalink.operators import ranks as R
 from catalink.operators import vocab as V
 from catalink.plans import standin as S
 from catalink.plans.common import core
@@ -52,13 +53,13 @@ def test_mapping_idempotent(spark):
 def test_spearman_invariant_under_monotone_map(spark):
     c = core(spark, SF_CHECK).select("player_ratio_100", "critic_norm") \
         .withColumn("cube", F.pow("player_ratio_100", 3))
-    out = A.spearman_frame(c, [("player_ratio_100", "critic_norm"), ("cube", "critic_norm")]).collect()
+    out = R.spearman_frame(c, [("player_ratio_100", "critic_norm"), ("cube", "critic_norm")]).collect()
     assert out[0].spearman == pytest.approx(out[1].spearman, abs=1e-12)
 
 
 def test_spearman_ties_equals_pearson_of_average_ranks(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (2.0, 3.0), (3.0, 1.0), (3.0, 5.0)], "x double, y double")
-    got = A.spearman_frame(df, [("x", "y")]).collect()[0].spearman
+    got = R.spearman_frame(df, [("x", "y")]).collect()[0].spearman
     rx, ry = [1.5, 1.5, 3, 4.5, 4.5], [2, 3.5, 3.5, 1, 5]
     mx, my = sum(rx) / 5, sum(ry) / 5
     cov = sum((a - mx) * (b - my) for a, b in zip(rx, ry))
@@ -69,7 +70,7 @@ def test_spearman_ties_equals_pearson_of_average_ranks(spark):
 def test_constant_column_correlation_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double")
     assert A.pearson(df, [("x", "y")]).collect()[0].pearson is None
-    assert A.spearman_frame(df, [("x", "y")]).collect()[0].spearman is None
+    assert R.spearman_frame(df, [("x", "y")]).collect()[0].spearman is None
 
 
 def test_year_trend_single_row_sem_null(spark):
