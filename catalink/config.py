@@ -96,6 +96,9 @@ LOW_SCORE_FLAG = 87
 SWEEP_THRESHOLDS = (83, 87, 90, 95)
 LOW_PASS_BELOW = 88
 NEAR_MISS_WIDTH = 8
+LOW_PASS_ROWS = 15
+HIGH_PASS_ROWS = 10
+NEAR_MISS_ROWS = 15
 
 # Year-trend confidence factor.
 CI_Z = 1.96

@@ -45,6 +45,7 @@ from catalink.functions.expressions import (
 from catalink.functions.text import char_wb_ngrams, token_sort_ratio
 from catalink.operators.dedupe import keep_first, top_k_per_group
 from catalink.operators.quantiles import percentile_map
+from catalink.operators.ranking import top_n
 
 SIM_DIGITS = 9
 #: Rarest n-grams of a query whose best candidates give the lower bound.
@@ -305,3 +306,50 @@ def match_summary(queries_n: Column, cand_n: Column, scored: DataFrame, matched:
                         F.lit(m).alias("metric"), v.cast("double").alias("value"))
                for i, (sec, m, v) in enumerate(items)]
     return row.select(F.inline(F.array(*structs)))
+
+
+def review_queue(scored: DataFrame, matched: DataFrame, threshold: float = C.SIMILARITY_THRESHOLD,
+                 low_below: float = C.LOW_PASS_BELOW, name: str = "name") -> DataFrame:
+    """(queue, rank, app_id, name, candidate, score): the lowest accepted scores, the highest, and
+    the best of those that just missed the threshold."""
+    s = F.col("vg_match_score")
+    lists = [("low_pass", matched.where(s < low_below), "vg_name", False, C.LOW_PASS_ROWS),
+             ("high_pass", matched, "vg_name", True, C.HIGH_PASS_ROWS),
+             ("near_miss", scored.where((s >= threshold - C.NEAR_MISS_WIDTH) & (s < threshold)), "matched_sales_name", True, C.NEAR_MISS_ROWS)]
+    out = None
+    for queue, rows, candidate, descending, n in lists:
+        part = (top_n(rows, [("vg_match_score", descending), ("app_id", False)], n)
+                .select(F.lit(queue).alias("queue"), "rank", "app_id", name, F.col(candidate).alias("candidate"), s.alias("score")))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def match_report(queries_n: Column, cand_n: Column, scored: DataFrame, matched: DataFrame,
+                 threshold: float = C.SIMILARITY_THRESHOLD, low_below: float = C.LOW_PASS_BELOW,
+                 keywords: Sequence[str] = C.RISK_KEYWORDS, name: str = "name") -> DataFrame:
+    """The whole match audit as one frame (item, section, metric, value): coverage, scores and
+    buckets, then the review queue and the risk signals, one row per listed match.  A listed
+    row's metric names its titles (``|`` between); its value is the score, the hits or the
+    difference of lengths.  Give ``scored`` and ``matched`` as written tables: each is read by
+    several lists."""
+    out = match_summary(queries_n, cand_n, scored, matched, threshold)
+
+    def listed(section: str, rows: DataFrame, texts: Sequence[str], value: str) -> DataFrame:
+        return rows.select(F.lit(section).alias("section"), "rank",
+                           F.concat_ws(" | ", *[F.coalesce(F.col(t).cast("string"), F.lit("")) for t in texts]).alias("metric"),
+                           F.col(value).cast("double").alias("value"))
+
+    queue = review_queue(scored, matched, threshold, low_below, name)
+    hits = multi_hits(matched, name)
+    gaps = length_gaps(matched, name)
+    words = keyword_mismatches(matched, name, keywords=keywords)
+    ranked = lambda rows, *order: rows.withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # noqa: E731 - at most 15 rows
+    lists = [listed(q, queue.where(F.col("queue") == q), ("app_id", name, "candidate"), "score") for q in ("low_pass", "high_pass", "near_miss")]
+    lists += [listed("multi_hits", ranked(hits, F.desc("hits"), F.asc("vg_name")), ("vg_name", "sample"), "hits"),
+              listed("length_gap", ranked(gaps, F.desc("len_diff"), F.asc("app_id")), ("app_id", name, "vg_name"), "len_diff"),
+              listed("keyword_mismatch", ranked(words, F.desc_nulls_last("vg_match_score"), F.asc_nulls_last(name), F.asc("app_id")),
+                     ("app_id", name, "vg_name"), "vg_match_score")]
+    for i, rows in enumerate(lists):
+        # items go on behind the summary's, a hundred numbers for each list
+        out = out.unionByName(rows.select((F.lit(100 * (i + 1)) + F.col("rank")).alias("item"), "section", "metric", "value"))
+    return out

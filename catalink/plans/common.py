@@ -21,14 +21,16 @@ _SHARED: dict[tuple[str, str], DataFrame] = {}
 
 
 @contextmanager
-def shared(spark: SparkSession, sf_dir: str, name: str, builder):
-    """Within the block, ``shared_get(name, sf_dir)`` returns the one materialised copy."""
+def shared(spark: SparkSession, sf_dir: str, name: str, builder, written: bool = False):
+    """Within the block, ``shared_get(name, sf_dir)`` returns the one materialised copy
+    (``written``: what ``builder`` returns is a written table already)."""
     key = (name, sf_dir)
     if key in _SHARED:  # already shared by an enclosing composite
         yield _SHARED[key]
         return
     # composites read the input many times: always write it once
-    _SHARED[key] = cut_lineage(builder(spark, sf_dir), name)
+    built = builder(spark, sf_dir)
+    _SHARED[key] = built if written else cut_lineage(built, name)
     try:
         yield _SHARED[key]
     finally:

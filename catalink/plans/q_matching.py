@@ -9,6 +9,8 @@ defaults remain the fixed values in ``catalink.config``.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from catalink import config as C
@@ -29,14 +31,18 @@ LOW_PASS_BELOW = 75
 
 # --- Spark pipeline -------------------------------------------------------------
 
+def build_rollup(spark, d):
+    return M.title_rollup(S.sales_rows(spark, d))
+
+
 def rollup(spark, d):
-    """Per-title sales rollup; written once when recomputing it reads > 1 GiB."""
-    return cut_lineage(M.title_rollup(S.sales_rows(spark, d)), "rollup")
+    """Per-title sales rollup, written once: the matcher and the sales join both read it."""
+    cached = shared_get("rollup", d)
+    return cached if cached is not None else cut_lineage(build_rollup(spark, d), "rollup")
 
 
 def build_scored(spark, d, roll=None):
-    roll = roll if roll is not None else rollup(spark, d)
-    return M.fuzzy_match(S.match_queries(spark, d), roll)
+    return M.fuzzy_match(S.match_queries(spark, d), roll if roll is not None else rollup(spark, d))
 
 
 def scored(spark, d, roll=None):
@@ -44,11 +50,23 @@ def scored(spark, d, roll=None):
     return cached if cached is not None else build_scored(spark, d, roll)
 
 
-def matched(spark, d):
+@contextmanager
+def one_match(spark, d):
+    """Within the block, all queries share one rollup and one match."""
+    with shared(spark, d, "rollup", build_rollup), shared(spark, d, "scored", build_scored, written=True):
+        yield
+
+
+def build_matched(spark, d):
     roll = rollup(spark, d)  # one rollup feeds both the matcher and the sales join
     return M.matched_table(scored(spark, d, roll), roll, THRESHOLD)
 
 
+def matched(spark, d):
+    cached = shared_get("matched", d)
+    return cached if cached is not None else build_matched(spark, d)
+
+
 def flagged(spark, d):
     return M.flag_matches(matched(spark, d), LOW_FLAG)
 
@@ -293,50 +311,58 @@ _SUMMARY_ITEMS = (
        for b in _BUCKETS])
 
 
+_QUEUES_SQL = f"""SELECT 'low_pass' AS queue, * FROM (
+  SELECT app_id, name, vg_name AS candidate, ROUND(vg_match_score, 6) AS score,
+         ROW_NUMBER() OVER (ORDER BY vg_match_score, app_id) AS rank
+  FROM matched WHERE vg_match_score < {LOW_PASS_BELOW}) a WHERE rank <= 15
+UNION ALL
+SELECT 'high_pass', * FROM (SELECT app_id, name, vg_name, ROUND(vg_match_score, 6),
+  ROW_NUMBER() OVER (ORDER BY vg_match_score DESC, app_id) AS rank FROM matched) b WHERE rank <= 10
+UNION ALL
+SELECT 'near_miss', * FROM (SELECT app_id, name, matched_sales_name, ROUND(vg_match_score, 6),
+  ROW_NUMBER() OVER (ORDER BY vg_match_score DESC, app_id) AS rank
+  FROM scored WHERE vg_match_score >= {THRESHOLD - C.NEAR_MISS_WIDTH} AND vg_match_score < {THRESHOLD}) c WHERE rank <= 15"""
+
+_LISTED_SQL = f"""
+SELECT CAST(CASE queue WHEN 'low_pass' THEN 100 WHEN 'high_pass' THEN 200 ELSE 300 END + rank AS INTEGER) AS item,
+       queue AS section, CAST(app_id AS VARCHAR) || ' | ' || name || ' | ' || COALESCE(candidate, '') AS metric, score AS value
+FROM ({_QUEUES_SQL}) q
+UNION ALL
+SELECT CAST(400 + rank AS INTEGER), 'multi_hits', vg_name || ' | ' || sample, CAST(hits AS DOUBLE) FROM (
+  SELECT vg_name, COUNT(*) AS hits, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, vg_name) AS rank,
+         array_to_string(list_slice(list(name ORDER BY vg_match_score DESC, name, app_id), 1, 5), '; ') AS sample
+  FROM matched GROUP BY vg_name HAVING COUNT(*) > 1) m WHERE rank <= 15
+UNION ALL
+SELECT CAST(500 + rank AS INTEGER), 'length_gap', CAST(app_id AS VARCHAR) || ' | ' || name || ' | ' || vg_name,
+       CAST(abs(length(name) - length(vg_name)) AS DOUBLE) FROM (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY abs(length(name) - length(vg_name)) DESC, app_id) AS rank FROM matched) g WHERE rank <= 10
+UNION ALL
+SELECT CAST(600 + rank AS INTEGER), 'keyword_mismatch', CAST(app_id AS VARCHAR) || ' | ' || name || ' | ' || vg_name,
+       ROUND(vg_match_score, 6) FROM (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY vg_match_score DESC, name, app_id) AS rank FROM matched
+  WHERE COALESCE(regexp_matches(name, '{_KW_RE}'), false) <> COALESCE(regexp_matches(vg_name, '{_KW_RE}'), false)) k
+WHERE rank <= 15"""
+
+
 @query("match_quality", MATCH_WITH + " UNION ALL ".join(
     f"SELECT CAST({i + 1} AS INTEGER) AS item, '{sec}' AS section, '{m}' AS metric, "
     f"ROUND(CAST({v} AS DOUBLE), 6) AS value"
-    for i, (sec, m, v) in enumerate(_SUMMARY_ITEMS)))
+    for i, (sec, m, v) in enumerate(_SUMMARY_ITEMS)) + " UNION ALL " + _LISTED_SQL)
 def match_quality(spark, d):
+    """All six sections of the match audit, from one rollup and one match."""
     from catalink.operators.dedupe import keep_first
-    with shared(spark, d, "scored", build_scored):
+    with one_match(spark, d), shared(spark, d, "matched", build_matched):
         q = keep_first(S.match_queries(spark, d), ["name"], ["app_id"])
-        roll = rollup(spark, d)
-        out = M.match_summary(q.agg(F.count(F.lit(1))).scalar(), roll.agg(F.count(F.lit(1))).scalar(),
-                              scored(spark, d), matched(spark, d), THRESHOLD)
+        out = M.match_report(q.agg(F.count(F.lit(1))).scalar(), rollup(spark, d).agg(F.count(F.lit(1))).scalar(),
+                             scored(spark, d), matched(spark, d), THRESHOLD, LOW_PASS_BELOW, EDITION_WORDS)
         return out.select("item", "section", "metric", r6("value"))
 
 
-@query("match_review_queue", MATCH_WITH + f"""
-SELECT 'low_pass' AS queue, * FROM (SELECT app_id, name, vg_name AS candidate, ROUND(vg_match_score, 6) AS score
-  FROM matched WHERE vg_match_score < {LOW_PASS_BELOW} ORDER BY vg_match_score, app_id LIMIT 15) a
-UNION ALL
-SELECT 'high_pass', * FROM (SELECT app_id, name, vg_name, ROUND(vg_match_score, 6)
-  FROM matched ORDER BY vg_match_score DESC, app_id LIMIT 10) b
-UNION ALL
-SELECT 'near_miss', * FROM (SELECT app_id, name, matched_sales_name, ROUND(vg_match_score, 6)
-  FROM scored WHERE vg_match_score >= {THRESHOLD - C.NEAR_MISS_WIDTH} AND vg_match_score < {THRESHOLD}
-  ORDER BY vg_match_score DESC, app_id LIMIT 15) c""")
+@query("match_review_queue", MATCH_WITH + f"SELECT queue, app_id, name, candidate, score FROM ({_QUEUES_SQL}) q")
 def match_review_queue(spark, d):
-    with shared(spark, d, "scored", build_scored):
-        return _review_queue(spark, d)
-
-
-def _review_queue(spark, d):
-    m, s = matched(spark, d), scored(spark, d)
-    low = (m.where(F.col("vg_match_score") < LOW_PASS_BELOW)
-            .orderBy("vg_match_score", "app_id").limit(15)
-            .select(F.lit("low_pass").alias("queue"), "app_id", "name",
-                    F.col("vg_name").alias("candidate"), r6("vg_match_score", "score")))
-    high = (m.orderBy(F.desc("vg_match_score"), "app_id").limit(10)
-             .select(F.lit("high_pass").alias("queue"), "app_id", "name",
-                     F.col("vg_name").alias("candidate"), r6("vg_match_score", "score")))
-    near = (s.where((F.col("vg_match_score") >= THRESHOLD - C.NEAR_MISS_WIDTH)
-                    & (F.col("vg_match_score") < THRESHOLD))
-             .orderBy(F.desc("vg_match_score"), "app_id").limit(15)
-             .select(F.lit("near_miss").alias("queue"), "app_id", "name",
-                     F.col("matched_sales_name").alias("candidate"), r6("vg_match_score", "score")))
-    return low.unionByName(high).unionByName(near)
+    with one_match(spark, d), shared(spark, d, "matched", build_matched):
+        queue = M.review_queue(scored(spark, d), matched(spark, d), THRESHOLD, LOW_PASS_BELOW)
+        return queue.select("queue", "app_id", "name", "candidate", r6("score"))
 
 
 @query("category_sales_top", MATCH_WITH + """

@@ -18,7 +18,7 @@ from catalink.functions import expressions as X
 from catalink.plans import standin as S
 from catalink.plans.common import build_core, shared
 from catalink.plans.registry import ORACLE, QUERIES, query, r6
-from catalink.session import cut_lineage
+from catalink.session import cut_lineage, table_path
 from catalink.sources import readers as R
 from catalink.sources import sinks as K
 
@@ -74,12 +74,12 @@ def csv_required(spark, d):
 
 def _summary_spark(spark, d):
     from catalink.operators.joins import existence_flag
+    from catalink.operators.quality import one_pass
     from catalink.plans.q_cleaning import _price_fill
     from catalink.plans.q_matching import flagged
     g = existence_flag(_price_fill(spark, d), S.promo_ids(spark, d), "app_id", "has_flag")
     f = flagged(spark, d)
-    n_any = f.agg(F.count(F.lit(1))).scalar()
-    n_clean = f.agg(F.count_if(~F.col("flag_any"))).scalar()
+    matches = one_pass(f, {"any": F.count(F.lit(1)), "clean": F.count_if(~F.col("flag_any"))})
     free = F.col("is_free") == 1
     paid = F.col("is_free") == 0
     items = [
@@ -94,9 +94,9 @@ def _summary_spark(spark, d):
     structs = [F.struct(F.lit(i + 1).alias("item"), F.lit(n).alias("metric"),
                         F.col(f"_c{i}").cast("bigint").alias("value")) for i, (n, _) in enumerate(items)]
     structs += [F.struct(F.lit(len(items) + 1).alias("item"), F.lit("Matched (any)").alias("metric"),
-                         n_any.cast("bigint").alias("value")),
+                         matches.getField("any").cast("bigint").alias("value")),
                 F.struct(F.lit(len(items) + 2).alias("item"), F.lit("Matched (clean only)").alias("metric"),
-                         n_clean.cast("bigint").alias("value"))]
+                         matches.getField("clean").cast("bigint").alias("value"))]
     return row.select(F.inline(F.array(*structs)))
 
 
@@ -125,8 +125,8 @@ def _summary_sql() -> str:
 
 @query("catalogue_summary", _summary_sql())
 def catalogue_summary(spark, d):
-    from catalink.plans.q_matching import build_scored
-    with shared(spark, d, "scored", build_scored):
+    from catalink.plans.q_matching import one_match
+    with one_match(spark, d):
         return _summary_spark(spark, d)
 
 
@@ -224,9 +224,9 @@ _REPORTS = ["quality_long", "quality_reviews", "match_quality"]
 @query("report_table", None)
 def report_table(spark, d):
     """Several report frames as one long table, written to a sink and read back."""
-    from catalink.plans.q_matching import build_scored
+    from catalink.plans.q_matching import one_match
     out = None
-    with shared(spark, d, "scored", build_scored):
+    with one_match(spark, d):
         for name in _REPORTS:
             part = QUERIES[name](spark, d).select(F.lit(name).alias("report"), "item", "section", "metric", "value")
             out = part if out is None else out.unionByName(part)
@@ -244,7 +244,31 @@ _TABLE_COLS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6
     f"SELECT '{t}' AS \"table\", COUNT(*) AS rows, CAST({n} AS BIGINT) AS columns FROM {t}"
     for t, n in _TABLE_COLS.items()))
 def table_shapes(spark, d):
-    return K.table_shapes({t: S.read(spark, d, t) for t in _TABLE_COLS})
+    return K.file_shapes(spark, {t: table_path(d, t) for t in _TABLE_COLS})
+
+
+_EXTREME_COLS = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"]
+
+
+@query("footer_extremes", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT(*) AS rows, ROUND(CAST(MIN({c}) AS DOUBLE), 6) AS min, "
+    f"ROUND(CAST(MAX({c}) AS DOUBLE), 6) AS max FROM lineitem" for c in _EXTREME_COLS))
+def footer_extremes(spark, d):
+    out = K.column_extremes(spark, table_path(d, "lineitem"), _EXTREME_COLS)
+    return out.select("column", "rows", r6("min"), r6("max"))
+
+
+@query("sorted_table", """
+SELECT quantity, l_orderkey, l_linenumber,
+       ROW_NUMBER() OVER (ORDER BY quantity DESC NULLS LAST, l_orderkey, l_linenumber) AS position
+FROM (SELECT CASE WHEN l_linenumber <> 2 THEN l_quantity END AS quantity, l_orderkey, l_linenumber FROM lineitem) t""")
+def sorted_table(spark, d):
+    """Line items written in a mixed order with nulls last and read back by file order."""
+    rows = S.read(spark, d, "lineitem").select(F.when(F.col("l_linenumber") != 2, F.col("l_quantity")).alias("quantity"),
+                                               "l_orderkey", "l_linenumber")
+    path = K.scratch_path(spark, "sorted")
+    K.write_sorted(rows, path, [("quantity", True), ("l_orderkey", False), ("l_linenumber", False)])
+    return K.read_sorted(spark, path)
 
 
 def _late_sql():
