@@ -91,10 +91,10 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written to WARC archives and read back."""
+    """Pages written to WARC archives and read back, every payload compared with its digest."""
     folder = shared_folder(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), folder)
-    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read(spark, folder, payload=False, verify=True).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,15 @@ reports them; the commit on the driver lists them in one small manifest file, so
 lost or repeated attempts aren't part of the archive.  A member's gzip header has an extra
 field with the member's length.
 
-Reading: one partition for each listed file.  Equality predicates on the record type and on
+Reading: one partition for each listed file; a folder without a manifest is an ordinary
+archive, read by all its ``.warc`` and ``.warc.gz`` files.  Members without the length, files
+that are one member and files that aren't compressed are read as a stream of records, in
+blocks.  Headers that a record lacks give null columns (``payload_bytes`` is then the length of
+a payload that is read).  The payload of an HTTP message is what follows its headers (transfer
+and content encodings are left as they are), that of any other record its whole block;
+revisits have none.  ``verify`` compares every payload with its digest and length.
+
+Equality predicates on the record type and on
 headers are pushed into the source; a record's headers are inflated first, and where the
 predicates fail or no payload is wanted, the rest of the member is skipped by its length
 instead of being inflated.
@@ -51,6 +59,8 @@ DATE = "2024-01-01T00:00:00Z"
 ROLL_BYTES = 32 << 20
 LEVEL = 4
 HEAD_BYTES = 4096
+#: A record's headers are at most so long.
+MOST_HEADERS = 1 << 24
 SCHEMA = ("record_type string, page_id long, url string, payload_digest string, payload_bytes long, "
           "refers_to long, payload binary")
 #: Header that holds each column.
@@ -97,33 +107,105 @@ def member(data: bytes) -> bytes:
     return head + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of Spark's default file system where it has none, so that
+    executors don't take it for one of their own folders."""
+    if "://" in path:
+        return path
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and "://" not in whole else whole
+
+
 def _filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-class Members:
-    """The gzip members of a file, read ahead in blocks."""
+def header_fields(lines: bytes) -> dict[str, str]:
+    """Named fields under lower-case names; folded lines belong to the field before."""
+    out: dict[str, str] = {}
+    last = None
+    for line in lines.decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and last:
+            out[last] += " " + line.strip()
+        elif line:
+            name, _, value = line.partition(":")
+            last = name.strip().lower()
+            out[last] = value.strip()
+    return out
+
+
+def payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    http = headers.get("content-type", "").lower().startswith("application/http")
+    return block.partition(b"\r\n\r\n")[2] if http else block
+
+
+class Buffered:
+    """A file read ahead in blocks; the bytes from ``at`` on are still to come."""
 
     def __init__(self, source, block: int = 1 << 20):
         self.source, self.block, self.data, self.at = source, block, b"", 0
 
     def need(self, n: int) -> bool:
         """Have n bytes from the current position on."""
-        while len(self.data) - self.at < n:
-            more = self.source.read(max(self.block, n))
+        if len(self.data) - self.at >= n:
+            return True
+        parts, have = [self.data[self.at:]], len(self.data) - self.at
+        while have < n:
+            more = self.source.read(max(self.block, n - have))
             if not more:
-                return False
-            self.data, self.at = self.data[self.at:] + more, 0
-        return True
+                break
+            parts.append(more)
+            have += len(more)
+        self.data, self.at = b"".join(parts), 0
+        return have >= n
+
+    def read(self, n: int) -> bytes:
+        """At most n bytes; none at the end."""
+        self.need(1)
+        out = self.data[self.at: self.at + n]
+        self.at += len(out)
+        return out
+
+
+class Gunzip:
+    """The bytes of gzip members that follow one another."""
+
+    def __init__(self, source: Buffered):
+        self.source, self.inflate, self.held = source, None, b""
+
+    def read(self, n: int) -> bytes:
+        while True:
+            if self.inflate is None or self.inflate.eof:
+                self.held = self.inflate.unused_data if self.inflate else b""
+                self.held = self.held or self.source.read(self.source.block)
+                if not self.held:
+                    return b""
+                self.inflate = zlib.decompressobj(31)
+            data = self.held or self.source.read(self.source.block)
+            out = self.inflate.decompress(data, n)
+            self.held = self.inflate.unconsumed_tail
+            if out:
+                return out
+            if not data and not self.inflate.eof:
+                raise EOFError("the last member is cut off")
+
+
+class Members:
+    """The records of a file whose gzip members carry their lengths."""
+
+    def __init__(self, source: Buffered):
+        self.source = source
 
     def __iter__(self) -> Iterator[tuple[dict[str, str], "Body"]]:
-        while self.need(24):
-            if self.data[self.at: self.at + 4] != b"\x1f\x8b\x08\x04" or self.data[self.at + 12: self.at + 14] != b"sl":
+        source = self.source
+        while source.need(24):
+            if not own_member(source):
                 raise ValueError("not a member with its length in the header")
-            size, = struct.unpack_from("<I", self.data, self.at + 16)
-            if not self.need(size):
+            size, = struct.unpack_from("<I", source.data, source.at + 16)
+            if not source.need(size):
                 raise EOFError("the last member is cut off")
-            raw = memoryview(self.data)[self.at + 24: self.at + size - 8]
+            raw = memoryview(source.data)[source.at + 24: source.at + size - 8]
             inflate = zlib.decompressobj(-15)
             head, tail = b"", raw
             while b"\r\n\r\n" not in head:
@@ -132,31 +214,90 @@ class Members:
                 head += inflate.decompress(tail, HEAD_BYTES)
                 tail = inflate.unconsumed_tail
             lines, _, rest = head.partition(b"\r\n\r\n")
-            pairs = [x.split(": ", 1) for x in lines.decode().split("\r\n")[1:]]
-            headers = {p[0]: p[1] if len(p) > 1 else "" for p in pairs}
-            yield headers, Body(inflate, rest, tail, int(headers["Content-Length"]))
-            self.at += size
+            headers = header_fields(lines)
+            yield headers, Body(headers, inflate, rest, tail, int(headers["content-length"]))
+            source.at += size
 
 
 @dataclass
 class Body:
     """A record's block, inflated only when asked for."""
 
+    headers: dict[str, str]
     inflate: object
     rest: bytes
     tail: object
     size: int
 
     def payload(self) -> bytes:
-        block = (self.rest + self.inflate.decompress(self.tail) + self.inflate.flush())[: self.size]
-        return block.partition(b"\r\n\r\n")[2]
+        return payload_of(self.headers, (self.rest + self.inflate.decompress(self.tail) + self.inflate.flush())[: self.size])
+
+
+class Stream:
+    """The records of plain bytes, one behind the other."""
+
+    def __init__(self, source: Buffered):
+        self.source, self.left, self.headers = source, 0, {}
+
+    def __iter__(self) -> Iterator[tuple[dict[str, str], "Stream"]]:
+        source = self.source
+        while True:
+            while source.need(1) and source.data[source.at] in b"\r\n":
+                source.at += 1
+            if not source.need(1):
+                return
+            n = 0
+            while (end := source.data.find(b"\r\n\r\n", source.at)) < 0:
+                n = max(2 * n, HEAD_BYTES)
+                if n > MOST_HEADERS or not source.need(min(n, len(source.data) - source.at + 1)):
+                    raise ValueError("a record without the end of its headers")
+            lines = source.data[source.at: end]
+            if not lines.startswith(b"WARC/"):
+                raise ValueError("not a WARC record")
+            self.headers = header_fields(lines)
+            self.left, source.at = int(self.headers["content-length"]), end + 4
+            yield self.headers, self
+            while self.left:  # what was not asked for goes by in blocks
+                got = source.read(min(self.left, source.block))
+                if not got:
+                    raise EOFError("the last record is cut off")
+                self.left -= len(got)
+
+    def payload(self) -> bytes:
+        if not self.source.need(self.left):
+            raise EOFError("the last record is cut off")
+        block = self.source.data[self.source.at: self.source.at + self.left]
+        self.source.at += self.left
+        self.left = 0
+        return payload_of(self.headers, block)
+
+
+def own_member(source: Buffered) -> bool:
+    return source.data[source.at: source.at + 4] == b"\x1f\x8b\x08\x04" and source.data[source.at + 12: source.at + 14] == b"sl"
+
+
+def records(file) -> Members | Stream:
+    """(headers, body) of each record of a file of any of the three forms."""
+    source = Buffered(file)
+    source.need(24)
+    if own_member(source):
+        return Members(source)
+    return Stream(Buffered(Gunzip(source)) if source.data[:2] == b"\x1f\x8b" else source)
 
 
 def columns_of(headers: dict[str, str]) -> dict:
     number = lambda x: int(x) if x else None
-    return {"record_type": headers["WARC-Type"], "page_id": number(headers["X-Page-ID"]), "url": headers["WARC-Target-URI"],
-            "payload_digest": headers["WARC-Payload-Digest"].removeprefix("sha1:"),
-            "payload_bytes": number(headers["X-Payload-Length"]), "refers_to": number(headers.get("X-Refers-To-Page", ""))}
+    found = {name: headers.get(header.lower()) for name, header in HEADERS.items()}
+    hash_ = found["payload_digest"]
+    return found | {name: number(found[name]) for name in ("page_id", "payload_bytes", "refers_to")} | {
+        "payload_digest": hash_.removeprefix("sha1:") if hash_ else None}
+
+
+def verified(row: dict, headers: dict[str, str]) -> None:
+    """Raise where a payload isn't what its record says of it."""
+    said, payload = headers.get("warc-payload-digest", ""), row["payload"]
+    if (said.startswith("sha1:") and said[5:] != digest(payload)) or row["payload_bytes"] != len(payload):
+        raise ValueError(f"payload of {headers.get('warc-record-id')} differs from its digest or length")
 
 
 class WarcWriter(DataSourceArrowWriter):
@@ -204,8 +345,8 @@ class FilePart(InputPartition):
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, folder: str, payload: bool):
-        self.folder, self.payload, self.wanted = folder, payload, []
+    def __init__(self, folder: str, payload: bool, verify: bool):
+        self.folder, self.payload, self.verify, self.wanted = folder, payload, verify, []
 
     def pushFilters(self, filters: list[Filter]):
         for f in filters:
@@ -217,6 +358,10 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[FilePart]:
         system, base = _filesystem(self.folder)
+        if system.get_file_info(f"{base}/{MANIFEST}").type == fs.FileType.NotFound:
+            found = system.get_file_info(fs.FileSelector(base, recursive=True))
+            names = sorted(f.path for f in found if f.type == fs.FileType.File and f.path.endswith((".warc", ".warc.gz")))
+            return [FilePart(n[len(base):].lstrip("/")) for n in names]
         with system.open_input_stream(f"{base}/{MANIFEST}") as f:
             return [FilePart(n) for n in json.loads(f.read())]
 
@@ -229,11 +374,18 @@ class WarcReader(DataSourceReader):
         system, base = _filesystem(self.folder)
         rows, held = [], 0
         with system.open_input_stream(f"{base}/{partition.path}", compression=None) as f:
-            for headers, body in Members(f):
+            for headers, body in records(f):
                 row = columns_of(headers)
                 if any(row[name] not in values for name, values in self.wanted):
                     continue  # the payload stays compressed
-                row["payload"] = body.payload() if self.payload and row["record_type"] == "response" else None
+                full = (self.payload or self.verify) and row["record_type"] != "revisit"
+                row["payload"] = body.payload() if full else None
+                if full and row["payload_bytes"] is None:
+                    row["payload_bytes"] = len(row["payload"])
+                if full and self.verify:
+                    verified(row, headers)
+                if not self.payload:
+                    row["payload"] = None
                 rows.append(row)
                 held += len(row["payload"] or b"") + 200
                 if held > 4 << 20:
@@ -244,7 +396,8 @@ class WarcReader(DataSourceReader):
 
 
 class WarcDataSource(DataSource):
-    """Format ``warc``; option ``payload`` (true, false): whether to read payloads."""
+    """Format ``warc``; options ``payload`` (default true): whether to return payloads;
+    ``verify`` (default false): whether to compare them with their digests."""
 
     @classmethod
     def name(cls) -> str:
@@ -254,7 +407,8 @@ class WarcDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(self.options["path"], self.options.get("payload", "true").lower() != "false")
+        return WarcReader(self.options["path"], self.options.get("payload", "true").lower() != "false",
+                          self.options.get("verify", "false").lower() == "true")
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
         return WarcWriter(self.options["path"])
@@ -281,10 +435,12 @@ def deduplicate(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> None:
-    register(pages.sparkSession)
-    deduplicate(pages, min_bytes).write.format("warc").mode("append").save(folder)
+    spark = pages.sparkSession
+    register(spark)
+    deduplicate(pages, min_bytes).write.format("warc").mode("append").save(qualified(spark, folder))
 
 
-def read(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
+def read(spark: SparkSession, folder: str, payload: bool = True, verify: bool = False) -> DataFrame:
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(folder)
+    options = {"payload": str(payload).lower(), "verify": str(verify).lower()}
+    return spark.read.format("warc").options(**options).load(qualified(spark, folder))

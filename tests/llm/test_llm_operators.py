@@ -1,6 +1,7 @@
 """Each operator on small awkward tables: nulls, empty and long texts, ties, repeated rows,
 extra columns with clashing names and empty tables, against brute force."""
 
+import gzip
 import hashlib
 import math
 import random
@@ -353,13 +354,63 @@ def test_warc(spark):
 
 
 def test_warc_members_are_gzip():
-    import gzip
     data = warc.record(1, "http://x", b"payload", None, False)
     assert gzip.decompress(warc.member(data) + warc.member(data)) == data * 2
 
 
 # --- 8 language ID
 
+def test_ordinary_archives(spark, tmp_path):
+    """Hand-written files without manifest, length field or own headers: plain, a member a
+    record, one member for all."""
+    def entry(kind, block, more="", kind_of="application/http;msgtype=response"):
+        return (f"WARC/1.0\r\nwarc-type:{kind}\r\nWARC-Record-ID: <urn:uuid:{kind}>\r\nContent-Type: {kind_of}\r\n{more}"
+                f"CONTENT-LENGTH: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+    big = bytes(range(256)) * 20_000  # over a read-ahead block, with line ends inside
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+    entries = [entry("warcinfo", b"software: x\r\n", kind_of="application/warc-fields"),
+               entry("request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", "WARC-Target-URI: http://x/\r\n"),
+               entry("response", http + big, f"WARC-Target-URI: http://x/\r\n  folded\r\nWARC-Payload-Digest: sha1:{warc.digest(big)}\r\n"),
+               entry("response", http, "WARC-Target-URI: http://y/\r\n"),
+               entry("resource", "naïve".encode(), "WARC-Target-URI: ftp://z\r\n", "text/plain")]
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "a.warc").write_bytes(b"".join(entries))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, entries)))
+    (tmp_path / "deep" / "c.warc.gz").write_bytes(gzip.compress(b"".join(entries)))
+    (tmp_path / "empty.warc").write_bytes(b"")
+    (tmp_path / "other.txt").write_bytes(b"not read")
+    folder = f"file://{tmp_path}"
+    want = [("warcinfo", None, None, b"software: x\r\n"), ("request", "http://x/", None, b""),
+            ("response", "http://x/ folded", warc.digest(big), big), ("response", "http://y/", None, b""),
+            ("resource", "ftp://z", None, "naïve".encode())]
+    for path in (folder, str(tmp_path)):
+        got = warc.read(spark, path, verify=True).collect()
+        assert sorted(((r.record_type, r.url, r.payload_digest, bytes(r.payload)) for r in got), key=str) == sorted(want * 3, key=str)
+        assert all(r.page_id is None and r.refers_to is None and r.payload_bytes == len(r.payload) for r in got)
+    some = warc.read(spark, folder).where("record_type = 'response' and url = 'http://y/'")
+    assert [r.payload_bytes for r in some.collect()] == [0, 0, 0]
+    heads = warc.read(spark, folder, payload=False).collect()
+    assert len(heads) == 15 and all(r.payload is None and r.payload_bytes is None for r in heads)
+
+
+@pytest.mark.parametrize("form", [bytes, gzip.compress, warc.member])
+def test_damaged_archives(form):
+    import io
+
+    data = warc.record(1, "http://x", b"payload" * 1000, None, False)
+    whole = list(warc.records(io.BytesIO(form(data) * 2)))
+    assert len(whole) == 2
+    with pytest.raises((EOFError, ValueError)):
+        for _, body in warc.records(io.BytesIO(form(data) + form(data)[:-30])):
+            body.payload()
+    wrong = form(data.replace(b"payloadpayload", b"payloadPayload"))
+    for headers, body in warc.records(io.BytesIO(wrong)):
+        row = warc.columns_of(headers) | {"payload": body.payload()}
+        with pytest.raises(ValueError):
+            warc.verified(row, headers)
+
+
 def test_language_id(spark, docs, empty):
     rnd = random.Random(29)
     sounds = {"xx": ["ka", "ro", "ti", "mu"], "yy": ["sch", "ein", "und", "ber"], "zz": ["oui", "eau", "ça", "é"]}
