@@ -2,19 +2,22 @@
 force; the pipeline stage by stage."""
 
 import hashlib
+import math
 import os
+import re
 import sys
 import zlib
 
 import duckdb
 import numpy as np
 import pytest
+import sentencepiece as spm
 
 SF = "/root/testdata/sf0.001"
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline  # noqa: E402
-from catalink.llm import langid, queries as Q  # noqa: E402
+from catalink.llm import langid, queries as Q, secrets  # noqa: E402
 from catalink.llm.common import stage, table  # noqa: E402
 
 
@@ -85,23 +88,125 @@ def test_op8(spark):
     assert sum(r.lang_pred == langs[r.doc_id] for r in held) >= 0.9 * len(held)
 
 
+def buckets(text):
+    """Hash buckets of a text's 1- to 3-grams, one by one."""
+    low, out, mask = text.lower(), [], 0xFFFFFFFF
+    for n in (1, 2, 3):
+        for i in range(len(low) - n + 1):
+            h = 0x9E3779B1 * n & mask
+            for c in low[i: i + n]:
+                h = (h ^ ord(c)) * 0x85EBCA6B & mask
+                h ^= h >> 15
+            out.append((h * 0xC2B2AE35 & mask) >> 16)
+    return out
+
+
+def test_op8_against_a_dense_model(spark):
+    rows = [(r.doc_id, r.text, r.lang) for r in table(spark, SF, "documents").collect()]
+    sample = {(t, lang) for d, t, lang in rows if lang is not None and t is not None and zlib.crc32(str(d).encode()) % 3 != 1}
+    langs, size = sorted({lang for _, lang in sample}), 1 << 16
+    counts = {lang: np.zeros(size) for lang in langs}
+    for t, lang in sample:
+        counts[lang] += np.bincount(buckets(t), minlength=size)
+    logs = {lang: np.log((c + 0.5) / (c.sum() + 0.5 * size)) for lang, c in counts.items()}
+    prior = {lang: math.log(sum(x == lang for _, x in sample) / len(sample)) for lang in langs}
+    want = {}
+    for d, t, _ in rows:
+        if not any(c.isalpha() for c in t or ""):
+            want[d] = (langid.UNKNOWN, 0.0)
+            continue
+        total = np.array([prior[lang] + logs[lang][buckets(t)].sum() for lang in langs])
+        want[d] = (langs[int(total.argmax())], 1 / np.exp(total - total.max()).sum())
+    got = {r.doc_id: (r.lang_pred, r.score) for r in Q.op8_language_id(spark, SF).collect()}
+    assert set(got) == set(want)
+    assert all(got[d][0] == want[d][0] and abs(got[d][1] - want[d][1]) < 1e-3 for d in want)
+
+
+def lower(text):
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+
+
+def one_of_each_group(texts):
+    """Ids that stay when of each component of similar texts the smallest does."""
+    def shingles(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+        return {tuple(w[i: i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = {d: shingles(t) for d, t in texts.items()}
+    least = {d: d for d in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            if least[a] != least[b]:
+                least[a] = least[b] = min(least[a], least[b])
+                changed = True
+    return {d for d in sets if least[d] == d}
+
+
+def not_contaminated(texts, items):
+    """Ids of texts of which less than a twentieth of the words lie in items' windows."""
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+    windows = set()
+    for w in map(words, items):
+        n = min(13, len(w))
+        windows |= {tuple(w[i: i + n]) for i in range(len(w) - n + 1 if n else 0)}
+    sizes = {len(w) for w in windows}
+    out = set()
+    for d, t in texts.items():
+        w, hit = words(t), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i: i + n]) in windows:
+                    hit |= set(range(i, i + n))
+        if not hit or 20 * len(hit) < len(w):
+            out.add(d)
+    return out
+
+
+def redacted(text):
+    """The text with the spans of all rules, found by Python's expressions, marked."""
+    spans = []
+    for rule in secrets.RULES:
+        flags = re.A | (re.I if rule.any_case else 0)
+        spans += [(m.start(), m.end()) for m in re.finditer(rule.pattern, text, flags) if len(m[rule.group]) >= rule.least]
+    at, out = 0, ""
+    for start, end in sorted(spans):
+        if start >= at:
+            out += text[at:start] + "[SECRET]"
+        at = max(at, end)
+    return out + text[at:]
+
+
 def test_pipeline(spark):
+    """Each stage against brute force on what the one before kept."""
     docs = table(spark, SF, "documents")
+    bench = [r.text for r in table(spark, SF, "benchmark").collect()]
     before = docs
     for name, function in corpus_pipeline.STAGES[:-1]:
         after = stage(function(spark, before, SF), "test")
         assert after.columns == docs.columns and after.schema == docs.schema
-        texts = {r.doc_id: r.text for r in before.collect()}
-        kept = {r.doc_id: r.text for r in after.collect()}
+        rows, kept = ({r.doc_id: r for r in df.collect()} for df in (before, after))
+        texts = {d: r.text for d, r in rows.items()}
         if function is corpus_pipeline.language:
-            assert set(kept) == {d for d, t in texts.items() if any(c.isalpha() for c in t or "")}
-        elif function is corpus_pipeline.without_secrets:
-            assert set(kept) == set(texts) and any(kept[d] != texts[d] for d in kept)
+            stays = {d for d, t in texts.items() if any(c.isalpha() for c in t or "")}
+        elif function is corpus_pipeline.near_duplicates:
+            stays = one_of_each_group(texts)
+        elif function is corpus_pipeline.decontaminated:
+            stays = not_contaminated(texts, bench)
         else:
-            assert kept.items() <= texts.items() and len(kept) < len(texts)
+            stays, texts = set(texts), {d: redacted(t) for d, t in texts.items()}
+            assert any(texts[d] != rows[d].text for d in rows)
+        assert set(kept) == stays and {d: r.text for d, r in kept.items()} == {d: texts[d] for d in stays}, name
+        assert function in (corpus_pipeline.language, corpus_pipeline.without_secrets) or len(stays) < len(texts)
+        assert all((r.lang, r.source) == (rows[d].lang, rows[d].source) for d, r in kept.items())
         before = after
-    last = corpus_pipeline.encoded(spark, before, SF)
-    assert {r.doc_id for r in last.collect()} == {r.doc_id for r in before.collect()}
+    last = {r.doc_id: r for r in corpus_pipeline.encoded(spark, before, SF).collect()}
+    library = spm.SentencePieceProcessor(model_file=Q.vocabulary(Q.PIECES))
+    assert set(last) == {r.doc_id for r in before.collect()}
+    for r in before.collect():
+        assert list(last[r.doc_id]["ids"]) == library.encode(r.text)
 
 
 def test_pipeline_on_awkward_documents(spark):
