@@ -44,10 +44,6 @@ def left_join_keys(left: DataFrame, right: DataFrame, left_key: str, right_key:
     return left.join(right, left[left_key] == right[right_key], "left")
 
 
-def inner_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return left.join(right, on=on, how="inner")
-
-
 def semi_join(df: DataFrame, ids: DataFrame, key: str, ids_key: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``ids`` (no duplication, no ids columns)."""
     ids_key = ids_key or key
@@ -64,13 +60,6 @@ def existence_flag(df: DataFrame, ids: DataFrame, key: str, flag: str,
               .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 
-def anti_values(df: DataFrame, col: str, allowed: DataFrame, allowed_col: str = "value") -> DataFrame:
-    """Distinct non-null values of ``col`` missing from the allowed set."""
-    vals = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull())
-    return (vals.join(allowed.select(F.col(allowed_col).alias("value")), "value", "left_anti")
-                .distinct())
-
-
 def full_outer_fill(a: DataFrame, b: DataFrame, key: str, fill: dict) -> DataFrame:
     """Full outer join of two keyed tables with gaps filled."""
     return a.join(b, on=key, how="full").na.fill(fill)
