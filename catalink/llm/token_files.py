@@ -30,7 +30,7 @@ from pyarrow import fs, ipc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from catalink.llm.common import partitions, ragged_take, range_number, stage, text_column, text_slices, word_chunks
+from catalink.llm.common import partitions, qualified, ragged_take, range_number, stage, text_column, text_slices, word_chunks
 
 SEQUENCE = 2048
 #: Sequences of a record batch (a batch of 16-bit ids then has 1 MB).
@@ -113,13 +113,17 @@ def encode_texts(path: str, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.
 
 
 def encode(df: DataFrame, path: str, end_id: int, width: str = "<u2") -> DataFrame:
-    """``doc_id``, ``ids`` (binary, little-endian ids of ``width``, the end id last)."""
+    """``doc_id``, ``ids`` (binary, little-endian ids of ``width``, the end id last).  Ids that
+    don't fit the width are an error."""
+    most = np.iinfo(np.dtype(width)).max
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in text_slices(whole, "text", SLICE):
                 ids, bounds = encode_texts(path, text_column(batch, "text"))
                 rows = len(bounds) - 1
+                if max(end_id, int(ids.max(initial=0))) > most:
+                    raise ValueError(f"an id is larger than {most}: choose a wider type than {width}")
                 out = np.empty(len(ids) + rows, dtype=width)
                 ends = bounds[1:] + np.arange(rows)
                 keep = np.ones(len(out), dtype=bool)
@@ -227,6 +231,7 @@ def write(encoded: DataFrame, folder: str, length: int = SEQUENCE, batch: int =
     ordered = (encoded.withColumn("part", range_number(ids if ids is not None else encoded, "doc_id", n).cast("int"))
                .repartitionById(n, F.col("part")).sortWithinPartitions("doc_id", "ids"))
     kind = pa.from_numpy_dtype(np.dtype(width))
+    folder = qualified(encoded.sparkSession, folder)
     listing = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
     manifest = pa.schema([("part", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 

@@ -53,6 +53,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from catalink.llm.common import qualified
+
 MANIFEST = "manifest.json"
 DATE = "2024-01-01T00:00:00Z"
 #: An archive file is closed at this size; a file is the unit of reading.
@@ -107,16 +109,6 @@ def member(data: bytes) -> bytes:
     return head + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path with the scheme of Spark's default file system where it has none, so that
-    executors don't take it for one of their own folders."""
-    if "://" in path:
-        return path
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    whole = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
-    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and "://" not in whole else whole
-
-
 def _filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 

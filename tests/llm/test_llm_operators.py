@@ -139,6 +139,18 @@ def test_token_files(spark, docs, empty):
     assert len(whole) == first.n_tokens and (whole == data.tokens(0, first.n_tokens)).all()
 
 
+def test_ids_that_do_not_fit_are_an_error(spark, docs):
+    with pytest.raises(Exception, match="choose a wider type"):
+        token_files.encode(docs, vocabulary(BYTES), 0, "<u1").count()
+    with pytest.raises(Exception, match="choose a wider type"):
+        token_files.encode(docs, vocabulary(BYTES), 70_000).count()
+
+
+def test_token_files_by_a_path_without_scheme(spark, docs, tmp_path):
+    got = token_files.read(token_files.write_documents(spark, docs, str(tmp_path / "t"), vocabulary(BYTES)))
+    assert got.count() == docs.count() and list(tmp_path.glob("t/*"))
+
+
 def test_tokens_of_words_are_those_of_texts():
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(vocabulary(BYTES))
