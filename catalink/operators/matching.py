@@ -18,8 +18,10 @@ Top-1 retrieval is an inverted-index equi-join, never an N x M cross product:
 6. the pairs left are scored exactly, and the best per query is
    ``min(struct(-round(sim, 9), title))``: highest similarity, then the smallest title.
 
-A frequent n-gram would put |Q_g| x |C_g| pairs in one task, so its postings are split on
-both sides into parts of about ``salt_rows``, and each part meets each of the other side.
+The candidates' side is an index of bucketed tables (``title_index``), which further matches
+join without a shuffle.  A frequent n-gram would put |Q_g| x |C_g| pairs in one task, so its
+postings are split on both sides into parts of about ``salt_rows``, and each part meets each
+of the other side.
 
 Exact: no n-gram or candidate cap.  Queries that share no n-gram with any
 candidate get no candidate (similarity 0, distance 1).
@@ -27,7 +29,9 @@ candidate get no candidate (similarity 0, distance 1).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,6 +51,9 @@ from catalink.operators.dedupe import keep_first, top_k_per_group
 from catalink.operators.quantiles import percentile_map
 from catalink.operators.ranking import top_n
 
+if TYPE_CHECKING:
+    from catalink.operators.title_index import TitleIndex
+
 SIM_DIGITS = 9
 #: Rarest n-grams of a query whose best candidates give the lower bound.
 SEEDS = 4
@@ -98,14 +105,15 @@ def idf_table(cand_counts: DataFrame, n_docs: Column) -> DataFrame:
                                    + F.lit(1.0)))
 
 
-def tfidf_weights(counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
-    """(id, gram, weight, df): L2-normalised tf-idf; out-of-vocabulary grams drop out."""
+def tfidf_weights(counts: DataFrame, idf: DataFrame, id_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """(id, gram, weight, df): L2-normalised tf-idf; out-of-vocabulary grams drop out.  ``keep``:
+    more columns of ``idf``."""
     w = counts.join(idf, on="gram", how="inner").withColumn("_w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "gram", (F.col("_w") / norm).alias("weight"), "df")
+    return w.select(id_col, "gram", (F.col("_w") / norm).alias("weight"), "df", *keep)
 
 
-def with_tails(weights: DataFrame, id_col: str) -> DataFrame:
+def with_tails(weights: DataFrame, id_col: str, keep: Sequence[str] = ()) -> DataFrame:
     """Weights with ``tail``, the norm of the n-gram and all behind it (rarest first), ``after``,
     the norm without it, and ``place`` (from 1) in that order."""
     behind = Window.partitionBy(id_col).orderBy(F.desc("df"), F.desc("gram"))
@@ -115,98 +123,36 @@ def with_tails(weights: DataFrame, id_col: str) -> DataFrame:
         "_last": F.row_number().over(behind), "_n": F.count(F.lit(1)).over(Window.partitionBy(id_col))})
     return rows.select(id_col, "gram", "weight", "df", F.sqrt("_sum").alias("tail"),
                        F.sqrt(F.greatest(F.lit(0.0), F.col("_sum") - sq)).alias("after"),
-                       (F.col("_n") - F.col("_last") + 1).alias("place"))
-
-
-def pair_similarity(pairs: DataFrame, q: DataFrame, c: DataFrame) -> DataFrame:
-    """(_query, _cand, _sim): exact cosine of the given pairs."""
-    return (pairs.join(q.select("_query", "gram", F.col("weight").alias("_wq")), "_query")
-                 .join(c.select("_cand", "gram", F.col("weight").alias("_wc")), ["_cand", "gram"])
-                 .groupBy("_query", "_cand").agg(F.sum(F.col("_wq") * F.col("_wc")).alias("_sim")))
-
-
-def least_best(q: DataFrame, c: DataFrame, seeds: int = SEEDS) -> DataFrame:
-    """(_query, _bound): a similarity that some candidate of the query reaches (every weighted
-    n-gram of a query has candidates, so each query gets a bound)."""
-    champion = (c.groupBy("gram").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("_cand"))).alias("_b"))
-                 .select("gram", F.col("_b._cand").alias("_cand")))
-    pairs = q.where(F.col("place") <= seeds).join(champion, "gram").select("_query", "_cand").distinct()
-    return pair_similarity(pairs, q, c).groupBy("_query").agg(F.max("_sim").alias("_bound"))
-
-
-def candidate_pairs(q: DataFrame, c: DataFrame, bounds: DataFrame, salt_rows: int = 5000) -> DataFrame:
-    """(_query, _cand): the pairs that can reach the query's bound."""
-    q = q.join(bounds, "_query").withColumn("_bound", F.col("_bound") - SLACK).where(F.col("tail") >= F.col("_bound"))
-    many = (q.groupBy("gram").agg(F.count(F.lit(1)).alias("_nq"), F.max("df").alias("_nc"))
-             .select("gram", F.ceil(F.col("_nq") / salt_rows).cast("int").alias("_pq"), F.ceil(F.col("_nc") / salt_rows).cast("int").alias("_pc"))
-             .where("_pq > 1 or _pc > 1"))  # at most one n-gram in salt_rows postings
-    one = lambda name: F.coalesce(F.col(name), F.lit(1))
-
-    def parts(rows: DataFrame, key: str, own: str, other: str) -> DataFrame:
-        rows = rows.join(many, "gram", "left")
-        return (rows.withColumn(f"_{own}", F.pmod(F.xxhash64(key), one(f"_p{own}")))
-                    .withColumn(f"_{other}", F.explode(F.sequence(F.lit(0).cast("bigint"), one(f"_p{other}").cast("bigint") - 1)))
-                    .drop("_pq", "_pc", "df", "place"))
-
-    left = parts(q, "_query", "q", "c").withColumnsRenamed({"weight": "_wq", "tail": "_tq", "after": "_aq"})
-    right = parts(c, "_cand", "c", "q").withColumnsRenamed({"weight": "_wc", "tail": "_tc", "after": "_ac"})
-    met = left.join(right, ["gram", "_q", "_c"]).where(F.col("_tq") * F.col("_tc") >= F.col("_bound"))
-    return (met.groupBy("_query", "_cand").agg(F.sum(F.col("_wq") * F.col("_wc")).alias("_part"),
-                                               F.min(F.col("_aq") * F.col("_ac")).alias("_rest"), F.max("_bound").alias("_bound"))
-               .where(F.col("_part") + F.col("_rest") >= F.col("_bound")).select("_query", "_cand"))
-
-
-def top1_cosine(query_w: DataFrame, cand_w: DataFrame, query_id: str, cand_id: str,
-                salt_rows: int = 5000, materialize: bool = True) -> DataFrame:
-    """(query id, best candidate id, similarity) for queries sharing at least
-    one n-gram with a candidate."""
-    from catalink.session import cut_lineage
-
-    q = with_tails(query_w, query_id).withColumnRenamed(query_id, "_query")
-    c = with_tails(cand_w, cand_id).withColumnRenamed(cand_id, "_cand")
-    if materialize:
-        q, c = cut_lineage(q, "query-weights"), cut_lineage(c, "candidate-weights")
-    pairs = candidate_pairs(q, c, least_best(q, c), salt_rows)
-    best = (pair_similarity(pairs, q, c).groupBy("_query")
-            .agg(F.min(F.struct((-F.round("_sim", SIM_DIGITS)).alias("neg_sim"),
-                                F.col("_cand"))).alias("_b")))
-    return best.select(F.col("_query").alias(query_id),
-                       F.col("_b._cand").alias("matched_sales_name"),
-                       (-F.col("_b.neg_sim")).alias("similarity"))
-
-
-def fuzzy_match(queries: DataFrame, candidates: DataFrame, query_name: str = "name",
+                       (F.col("_n") - F.col("_last") + 1).alias("place"), *keep)
+
+
+def fuzzy_match(queries: DataFrame, candidates: DataFrame | TitleIndex, query_name: str = "name",
                 cand_name: str = "Name", dedupe_key: str | None = "name",
                 dedupe_order: str = "app_id", casefold: bool = False,
-                salt_rows: int = 5000, materialize: bool = True) -> DataFrame:
+                salt_rows: int = 5000) -> DataFrame:
     """Every query row with its nearest candidate title, cosine distance and
     token-sort score (``vg_match_score``, 0-100).
 
+    ``candidates``: a table, of which an index is built under the checkpoint folder, or an
+    index (``title_index.build_index``, ``open_index``), with which nothing is built.
     ``dedupe_key``: keep the first query row per key first (as written the
     titles are deduplicated on the name); None keeps every row.
-    ``materialize``: the deduplicated queries and the candidate titles are
-    each used several times (document count, document frequency, weights,
-    final join).  True (default) writes them, and the scored pairs, once as tables
-    under the checkpoint folder, so that no score is computed twice; False recomputes.
+    The deduplicated queries and the scored rows are written once as tables under the
+    checkpoint folder, so that no score is computed twice.
     """
-    from catalink.session import cut_lineage
-
+    from catalink.operators import title_index
+    from catalink.session import cut_lineage, ensure_checkpoint_dir
+
+    if isinstance(candidates, title_index.TitleIndex):
+        index = candidates
+    else:
+        folder = f"{ensure_checkpoint_dir(candidates.sparkSession).rstrip('/')}/catalink-titles-{uuid.uuid4().hex}"
+        index = title_index.build_index(candidates, folder, cand_name, salt_rows)
     if dedupe_key:
         queries = keep_first(queries, [dedupe_key], [dedupe_order])
-    queries = queries.where(F.col(query_name).isNotNull())
-    cands = candidates.select(F.col(cand_name).alias("_ct")).where(F.col("_ct").isNotNull())
-    if materialize:
-        queries, cands = cut_lineage(queries, "queries"), cut_lineage(cands, "candidates")
-    # every candidate document counts, also one without any n-gram
-    n_docs = cands.agg(F.count(F.lit(1))).scalar()
-    cand_counts = ngram_counts(cands, "_ct", "_ct")
+    queries = cut_lineage(queries.where(F.col(query_name).isNotNull()), "queries")
     titles = queries.select(F.col(query_name).alias("_qt")).distinct()
-    idf = idf_table(cand_counts, n_docs)
-    if materialize:  # a written idf leaves both sides of the weight join open to the skew split
-        idf = cut_lineage(idf, "idf")
-    cand_w = tfidf_weights(cand_counts, idf, "_ct")
-    query_w = tfidf_weights(ngram_counts(titles, "_qt", "_qt"), idf, "_qt")
-    best = top1_cosine(query_w, cand_w, "_qt", "_ct", salt_rows, materialize)
+    best = title_index.top1(titles, index, "_qt")
     scored = queries.join(best, queries[query_name] == best["_qt"], "left").drop("_qt")
     sim = F.coalesce(F.col("similarity"), F.lit(0.0))
     score = F.when(F.col("matched_sales_name").isNull(), F.lit(0.0)).otherwise(
@@ -214,7 +160,7 @@ def fuzzy_match(queries: DataFrame, candidates: DataFrame, query_name: str = "na
     scored = (scored.withColumn("cosine_distance", F.lit(1.0) - sim)
                     .withColumn("vg_match_score", score)
                     .drop("similarity"))
-    return cut_lineage(scored, "scored") if materialize else scored
+    return cut_lineage(scored, "scored")
 
 
 # --- acceptance and audit -------------------------------------------------------

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalink.operators import matching as M
+from catalink.operators import title_index as TI
 from catalink.plans import standin as S
 from tests.conftest import SF_SMALL
 from tests.test_text import py_char_wb
@@ -77,13 +78,73 @@ def test_pruned_pairs_keep_the_best(spark, salt_rows):
         assert got[q][0] == want[q][0] and abs(got[q][1] - want[q][1]) < 1e-9, q
 
 
-def test_few_pairs_are_scored(spark):
+def test_few_pairs_are_scored(spark, tmp_path):
     """Titles that share a word: far fewer pairs are scored than there are."""
     titles = spark.range(600).select(F.concat(F.lit("edition "), F.col("id").cast("string"), F.lit(" of "), (F.col("id") * 7919 % 6007).cast("string")).alias("t"))
-    counts = M.ngram_counts(titles, "t", "t")
-    weights = M.tfidf_weights(counts, M.idf_table(counts, F.lit(600)), "t")
-    q, c = (M.with_tails(weights, "t").withColumnRenamed("t", x) for x in ("_query", "_cand"))
-    assert M.candidate_pairs(q, c, M.least_best(q, c)).count() < 600 * 600 / 50
+    index = TI.build_index(titles, str(tmp_path / "index"), "t")
+    q = TI.query_weights(titles, index, "t")
+    seeds = q.where(F.col("place") <= M.SEEDS).select("_query", F.col("best").alias("_cand")).distinct()
+    arrays = q.groupBy("_query").agg(F.collect_list(F.struct("gram", "weight")).alias("_qw"))
+    bounds = TI.similarities(seeds, arrays, index).groupBy("_query").agg(F.max("_sim").alias("_bound"))
+    assert TI.reaching_pairs(q, bounds, index).count() < 600 * 600 / 50
+
+
+def _answers(spark, queries, candidates):
+    qdf = spark.createDataFrame(list(enumerate(queries)), "app_id long, name string")
+    return {r.name: (r.matched_sales_name, round(1.0 - r.cosine_distance, 9)) for r in M.fuzzy_match(qdf, candidates).collect()}
+
+
+def _random_titles(seed, n):
+    rnd = random.Random(seed)
+    return sorted({" ".join(rnd.choice(["alpha", "Beta", "gam", "dell", "x1", "omega"]) + str(rnd.randint(0, 30)) for _ in range(rnd.randint(1, 4))) for _ in range(n)})
+
+
+def test_an_opened_index_builds_nothing(spark, tmp_path, monkeypatch):
+    cands, queries = _random_titles(1, 150), _random_titles(2, 80) + ["zz"]
+    cdf = spark.createDataFrame([(c,) for c in [*cands, cands[0], None]], "Name string")
+    TI.build_index(cdf, str(tmp_path / "index"), salt_rows=7)
+    monkeypatch.setattr(TI, "_write_version", None)  # nothing may be built from here on
+    opened = TI.open_index(spark, str(tmp_path / "index"))
+    got, want = _answers(spark, queries, opened), brute_top1(queries, cands)
+    assert {q: got[q][0] for q in queries} == {q: want[q][0] for q in queries}
+    assert all(abs(got[q][1] - want[q][1]) < 1e-8 for q in queries)
+
+
+def test_candidates_are_not_shuffled(spark, tmp_path):
+    """The side of the bucketed tables goes into the joins as it is read."""
+    cdf = spark.createDataFrame([(c,) for c in _random_titles(3, 100)], "Name string")
+    index = TI.build_index(cdf, str(tmp_path / "index"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for name, keys in (("postings", ["gram", "part"]), ("titles", ["_cand"])):
+            left = index.table(name).select(*keys).withColumn("x", F.rand()).repartition(5).where("x >= 0")
+            plan = left.join(index.table(name), keys)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1, plan  # the left's
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_extended_index_equals_one_built_at_once(spark, tmp_path):
+    cands, queries = _random_titles(4, 160), _random_titles(5, 60)
+    frame = lambda rows: spark.createDataFrame([(c,) for c in rows], "Name string")
+    first = TI.build_index(frame(cands[:100]), str(tmp_path / "a"))
+    second = TI.extend(first, frame(cands[90:] + [None]))  # ten are known
+    whole = TI.build_index(frame(cands), str(tmp_path / "b"))
+    assert (second.version, second.n_docs, whole.n_docs) == (2, len(cands), len(cands))
+    assert _answers(spark, queries, second) == _answers(spark, queries, whole)
+    assert TI.open_index(spark, str(tmp_path / "a")).version == 2
+    old = _answers(spark, queries, TI.open_index(spark, str(tmp_path / "a"), version=1))  # still there
+    assert {q: v[0] for q, v in old.items()} == {q: v[0] for q, v in brute_top1(queries, cands[:100]).items()}
+    with pytest.raises(ValueError):
+        TI.open_index(spark, str(tmp_path / "a"), version=3)
+
+
+def test_index_without_titles(spark, tmp_path):
+    index = TI.build_index(spark.createDataFrame([], "Name string"), str(tmp_path / "index"))
+    assert _answers(spark, ["abc"], index) == {"abc": (None, 0.0)}
+    grown = TI.extend(index, spark.createDataFrame([("abc",), ("abd",)], "Name string"))
+    assert _answers(spark, ["abc"], grown) == {"abc": ("abc", 1.0)}
 
 
 def test_rollup_sums_and_platforms(spark):
