@@ -153,6 +153,7 @@ def fuzzy_match(queries: DataFrame, candidates: DataFrame | TitleIndex, query_na
     queries = cut_lineage(queries.where(F.col(query_name).isNotNull()), "queries")
     titles = queries.select(F.col(query_name).alias("_qt")).distinct()
     best = title_index.top1(titles, index, "_qt")
+    queries = queries.repartition(index.buckets, query_name)  # scores take time, not bytes
     scored = queries.join(best, queries[query_name] == best["_qt"], "left").drop("_qt")
     sim = F.coalesce(F.col("similarity"), F.lit(0.0))
     score = F.when(F.col("matched_sales_name").isNull(), F.lit(0.0)).otherwise(

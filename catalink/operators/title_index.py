@@ -102,7 +102,9 @@ def _titles(df: DataFrame, name: str) -> DataFrame:
 
 
 def _add_counts(titles: DataFrame, index: TitleIndex) -> None:
-    M.ngram_counts(titles, "_cand", "_cand", index.n_min, index.n_max).write.mode("overwrite").parquet(
+    # short titles give many n-grams: spread them by title first (their counts then need no shuffle)
+    spread = titles.repartition(index.buckets, "_cand")
+    M.ngram_counts(spread, "_cand", "_cand", index.n_min, index.n_max).write.mode("overwrite").parquet(
         f"{index.folder}/counts/version={index.version}")
 
 
@@ -170,6 +172,7 @@ def similarities(pairs: DataFrame, arrays: DataFrame, index: TitleIndex) -> Data
 
 def query_weights(titles: DataFrame, index: TitleIndex, name: str) -> DataFrame:
     """(_query, gram, weight, tail, after, place, parts, best) of distinct titles."""
+    titles = titles.repartition(index.buckets, name)  # few bytes, but many n-grams
     counts = M.ngram_counts(titles, name, name, index.n_min, index.n_max).withColumnRenamed(name, "_query")
     weights = M.with_tails(M.tfidf_weights(counts, index.grams, "_query", ("parts", "best")), "_query", ("parts", "best"))
     return cut_lineage(weights, "query-weights")
