@@ -6,10 +6,14 @@ cell has the number of its digests, their exclusive or, and the exclusive or of
 hash.  Two sketches subtract cell by cell, so that what both texts have vanishes; cells with
 one digest left give it away, it is taken out of its other cells, and so on (peeling), until
 the digests that only one text has are recovered.  Where that fails, the difference being too
-large for the cells, it is tried again with four times the cells, and at the last size
-(``SIZES``) digests are compared as sets, so the result is always exact.  The likeness is
-the Jaccard similarity of the sets of digests.  Everything is DataFrame expressions; the
-larger sizes are evaluated for the rows that need them only.
+large for the cells, it is tried again with twice the cells until it succeeds, so the result
+is always exact.  The number of cells to begin with follows an estimate of the difference,
+from the smallest digests of both texts.  The likeness is the Jaccard similarity of the sets
+of digests.  Everything is DataFrame expressions.
+
+A sketch is kept as the list of its cells that aren't empty, in order.  Each digest is placed
+once: the entries of all digests are sorted by cell and every run of one cell is folded, so
+the cost grows with the digests and not with the cells.
 
 Defined results: null texts are empty; a text without paragraphs has an empty sketch, and
 two such texts have likeness 1; a line repeated within a text counts once; equal texts have
@@ -19,91 +23,126 @@ null ids come last; a single document is next to itself.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalink.llm.common import partitions, range_number
 
-#: Numbers of cells to try, each divisible by three.
-SIZES = (36, 144, 576, 2304)
-ROUNDS = 16
+#: Cells of a fingerprint, divisible by three; the first size tried for small differences.
+CELLS = 36
+#: Rounds of peeling at one size, doublings of the size (far more than digests can need).
+ROUNDS = 24
+DOUBLINGS = 40
+#: Smallest digests by which the difference is estimated.
+LEAST = 64
+_ENTRIES = "array<struct<at:bigint,n:bigint,k:bigint,c:bigint>>"
+_DIFFERING = "array<struct<n:bigint,k:bigint>>"
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def digests(text: Column) -> Column:
+    """The distinct digests of a text, ascending."""
     lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: F.trim(x) != "")
-    return F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x)))
+    return F.sort_array(F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x))))
 
 
 def _check(key: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("check"), key), F.lit(1 << 32))
 
 
-def _placed(key: Column, n: Column, cells: int) -> Column:
-    """A digest with its check and its cell in each table."""
-    third = cells // 3
-    spots = [(F.pmod(F.xxhash64(F.lit(i), key), F.lit(third)) + i * third).cast("int").alias(f"i{i}") for i in range(3)]
-    return F.struct(n.alias("n"), key.alias("k"), _check(key).alias("c"), *spots)
+def _cell(at: Column, n: Column, k: Column, c: Column) -> Column:
+    return F.struct(at.cast("bigint").alias("at"), n.cast("bigint").alias("n"), k.alias("k"), c.alias("c"))
+
+
+def _entries(signed: Column, cells: Column) -> Column:
+    """Three entries, one in each table, of every (n, k)."""
+    third = F.floor(cells / 3)
+    spot = lambda p, i: _cell(F.pmod(F.xxhash64(F.lit(i), p["k"]), third) + third * i, p["n"], p["k"], p["c"])
+    checked = F.transform(signed, lambda p: F.struct(p["n"].alias("n"), p["k"].alias("k"), _check(p["k"]).alias("c")))
+    return F.flatten(F.transform(checked, lambda p: F.array(*[spot(p, i) for i in range(3)])))
 
 
-def _here(p: Column, at: Column) -> Column:
-    return (p["i0"] == at) | (p["i1"] == at) | (p["i2"] == at)
+def _folded(entries: Column) -> Column:
+    """Cells from entries in any order: runs of one cell are added up, empty cells go."""
+    def fold(es: Column) -> Column:
+        at = lambda i: F.get(es, i)["at"]
+        starts = F.filter(F.sequence(F.lit(0), F.size(es) - 1), lambda i: (i == 0) | (at(i) != at(i - 1)))
 
+        def runs(begins: Column) -> Column:
+            def run(b: Column, i: Column) -> Column:
+                end = F.coalesce(F.get(begins, i + 1), F.size(es))
+                zero = F.lit(0).cast("bigint")
+                return F.aggregate(F.slice(es, b + 1, end - b), _cell(at(b), zero, zero, zero),
+                                   lambda a, e: _cell(a["at"], a["n"] + e["n"], a["k"].bitwiseXOR(e["k"]), a["c"].bitwiseXOR(e["c"])))
+            return F.transform(begins, run)
 
-def _cell(n: Column, k: Column, c: Column) -> Column:
-    return F.struct(n.cast("bigint").alias("n"), k.alias("k"), c.alias("c"))
+        return F.filter(_let(starts, runs), lambda c: (c["n"] != 0) | (c["k"] != 0) | (c["c"] != 0))
 
+    none = F.array().cast(_ENTRIES)
+    return _let(F.sort_array(entries), lambda es: F.when(F.size(es) > 0, fold(es)).otherwise(none))
 
-def sketch(keys: Column, cells: int) -> Column:
-    """Sketch of an array of distinct digests."""
-    placed = F.transform(keys, lambda k: _placed(k, F.lit(1).cast("bigint"), cells))
-    zero = F.lit(0).cast("bigint")
-    whole = F.struct(placed.alias("p"))
 
-    def fill(at: Column, ps: Column) -> Column:
-        return F.aggregate(F.filter(ps, lambda p: _here(p, at)), _cell(zero, zero, zero),
-                           lambda a, p: _cell(a["n"] + 1, a["k"].bitwiseXOR(p["k"]), a["c"].bitwiseXOR(p["c"])))
+def _signed(keys: Column, sign: int) -> Column:
+    return F.transform(keys, lambda k: F.struct(F.lit(sign).cast("bigint").alias("n"), k.alias("k")))
 
-    # the placed digests are bound once, not once a cell
-    return F.get(F.transform(F.array(whole), lambda w: F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), lambda at: fill(at, w["p"]))), 0)
+
+def sketch(keys: Column, cells: int | Column) -> Column:
+    """Sketch of an array of distinct digests: its cells that aren't empty."""
+    return _folded(_entries(_signed(keys, 1), cells if isinstance(cells, Column) else F.lit(cells)))
 
 
 def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: _cell(x["n"] - y["n"], x["k"].bitwiseXOR(y["k"]), x["c"].bitwiseXOR(y["c"])))
+    return _folded(F.concat(a, F.transform(b, lambda c: _cell(c["at"], -c["n"], c["k"], c["c"]))))
 
 
-def peel(difference: Column, cells: int) -> Column:
+def peel(difference: Column, cells: int | Column) -> Column:
     """Digests of a difference with their signs (1: first text only, -1: second), as an
     array of structs (n, k); null where cells are left that can't be peeled."""
-    none = F.array().cast("array<struct<n:bigint,k:bigint>>")
+    cells = cells if isinstance(cells, Column) else F.lit(cells)
+
+    def remove(acc: Column, found: Column) -> Column:
+        gone = _entries(F.transform(found, lambda p: F.struct((-p["n"]).alias("n"), p["k"].alias("k"))), cells)
+        return F.struct(_folded(F.concat(acc["cells"], gone)).alias("cells"), F.concat(acc["got"], found).alias("got"),
+                        (F.size(found) > 0).alias("more"))
 
     def step(acc: Column, _: Column) -> Column:
         pure = F.filter(acc["cells"], lambda c: (F.abs(c["n"]) == 1) & (_check(c["k"]) == c["c"]))
-        found = F.array_distinct(F.transform(pure, lambda c: _placed(c["k"], c["n"], cells)))
+        found = F.array_distinct(F.transform(pure, lambda c: F.struct(c["n"].alias("n"), c["k"].alias("k"))))
+        return F.when(acc["more"] & (F.size(acc["cells"]) > 0), _let(found, lambda ps: remove(acc, ps))).otherwise(acc)
+
+    start = F.struct(difference.alias("cells"), F.array().cast(_DIFFERING).alias("got"), F.lit(True).alias("more"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda a: F.when(F.size(a["cells"]) == 0, a["got"]))
 
-        def remove(ps: Column) -> Column:
-            left = F.transform(acc["cells"], lambda c, at: F.aggregate(
-                F.filter(ps, lambda p: _here(p, at)), c,
-                lambda a, p: _cell(a["n"] - p["n"], a["k"].bitwiseXOR(p["k"]), a["c"].bitwiseXOR(p["c"]))))
-            got = F.concat(acc["got"], F.transform(ps, lambda p: F.struct(p["n"].alias("n"), p["k"].alias("k"))))
-            return F.struct(left.alias("cells"), got.alias("got"), (F.size(ps) > 0).alias("more"))
 
-        once = F.get(F.transform(F.array(F.struct(found.alias("p"))), lambda w: remove(w["p"])), 0)
-        return F.when(acc["more"], once).otherwise(acc)
+def first_size(a: Column, b: Column, cells: int) -> Column:
+    """Cells to begin with: ``cells`` where the smallest digests tell of a small difference,
+    else one and a half times the estimate and ``cells`` more."""
+    least = lambda keys: F.slice(keys, 1, LEAST)
+    union = F.slice(F.sort_array(F.array_union(least(a), least(b))), 1, LEAST)
+    shared = F.size(F.array_intersect(union, F.array_intersect(least(a), least(b))))
+    alike = shared / F.greatest(F.size(union), F.lit(1))
+    estimate = (F.size(a) + F.size(b)) * (1 - alike) / (1 + alike)
+    return F.when(estimate * 2 <= cells, F.lit(cells)).otherwise(F.ceil(estimate / 2).cast("int") * 3 + cells)
 
-    start = F.struct(difference.alias("cells"), none.alias("got"), F.lit(True).alias("more"))
-    empty = lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["c"] == 0)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step,
-                       lambda a: F.when(F.forall(a["cells"], empty), a["got"]))
 
+def recovered(a: Column, b: Column, first: Column, cells: int = CELLS) -> Column:
+    """Differing digests of two ascending arrays of digests, peeled from ``first`` (the
+    difference of their sketches of ``cells``) or from larger ones."""
+    start = F.struct(first_size(a, b, cells).cast("bigint").alias("cells"), F.lit(None).cast(_DIFFERING).alias("got"))
 
-def recovered(a: Column, b: Column, first: Column, sizes: tuple[int, ...] = SIZES) -> Column:
-    """Differing digests of two arrays of digests: peeled from ``first`` (the difference of
-    their sketches of the first size), then from larger ones, at last compared as sets."""
-    tries = [peel(first, sizes[0])]
-    tries += [peel(subtract(sketch(a, n), sketch(b, n)), n) for n in sizes[1:]]
-    sign = lambda s: lambda k: F.struct(F.lit(s).cast("bigint").alias("n"), k.alias("k"))
-    plain = F.concat(F.transform(F.array_except(a, b), sign(1)), F.transform(F.array_except(b, a), sign(-1)))
-    return F.coalesce(*tries, plain)
+    def attempt(acc: Column, _: Column) -> Column:
+        difference = F.when(acc["cells"] == cells, first).otherwise(subtract(sketch(a, acc["cells"]), sketch(b, acc["cells"])))
+        return F.when(acc["got"].isNotNull(), acc).otherwise(
+            F.struct((acc["cells"] * 2).alias("cells"), peel(difference, acc["cells"]).alias("got")))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(DOUBLINGS)), start, attempt,
+                       lambda acc: F.coalesce(acc["got"], F.raise_error(F.lit("digests can't be told apart")).cast(_DIFFERING)))
 
 
 def likeness(n_a: Column, differing: Column) -> Column:
@@ -113,10 +152,13 @@ def likeness(n_a: Column, differing: Column) -> Column:
     return F.when(n_a + new == 0, 1.0).otherwise((n_a - gone) / (n_a + new))
 
 
-def text_form(cells: Column) -> Column:
-    """A sketch as text: number.keys.checks of each cell, the last two in hex."""
-    return F.array_join(F.transform(cells, lambda c: F.when(c["n"] == 0, "").otherwise(
-        F.concat_ws(".", c["n"], F.lower(F.hex(c["k"])), F.lower(F.hex(c["c"]))))), ",")
+def text_form(cells: Column, size: int = CELLS) -> Column:
+    """A sketch of ``size`` cells as text: number.keys.checks of each cell, the last two in hex."""
+    def form(at: Column) -> Column:
+        c = F.get(F.filter(cells, lambda c: c["at"] == at), F.lit(0))
+        return F.coalesce(F.when(c["n"] != 0, F.concat_ws(".", c["n"], F.lower(F.hex(c["k"])), F.lower(F.hex(c["c"])))), F.lit(""))
+
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), form), ",")
 
 
 def next_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -137,15 +179,15 @@ def next_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             .select(key, "text", F.coalesce("next", "_first").alias("next")))
 
 
-def compare(rows: DataFrame, other: str, name: str, sizes: tuple[int, ...] = SIZES) -> DataFrame:
+def compare(rows: DataFrame, other: str, name: str, cells: int = CELLS) -> DataFrame:
     """Add ``name``: the likeness of the columns ``text`` and ``other``; needs their digests
     (``_d_*``) and sketches (``_s_*``)."""
     first = subtract(F.col("_s_text"), F.col(f"_s_{other}"))
-    differing = recovered(F.col("_d_text"), F.col(f"_d_{other}"), first, sizes)
-    return rows.withColumn("_diff", differing).withColumn(name, likeness(F.size("_d_text"), F.col("_diff"))).drop("_diff")
+    differing = recovered(F.col("_d_text"), F.col(f"_d_{other}"), first, cells)
+    return rows.withColumn(name, _let(differing, lambda found: likeness(F.size("_d_text"), found)))
 
 
-def fingerprint(rows: DataFrame, texts: tuple[str, ...], sizes: tuple[int, ...] = SIZES) -> DataFrame:
+def fingerprint(rows: DataFrame, texts: tuple[str, ...], cells: int = CELLS) -> DataFrame:
     """Add to each text column its digests (``_d_<name>``) and sketch (``_s_<name>``)."""
     rows = rows.withColumns({f"_d_{t}": digests(F.col(t)) for t in texts})
-    return rows.withColumns({f"_s_{t}": sketch(F.col(f"_d_{t}"), sizes[0]) for t in texts})
+    return rows.withColumns({f"_s_{t}": sketch(F.col(f"_d_{t}"), cells) for t in texts})

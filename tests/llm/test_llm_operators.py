@@ -320,8 +320,8 @@ def test_fingerprints(spark, docs, empty):
     pairs = [(i, "\n".join(rnd.sample(lines, rnd.randint(0, 300))), "\n".join(rnd.sample(lines, rnd.randint(0, 300)))) for i in range(25)]
     pairs += [(100 + i, "\n".join(lines[:300]), "\n".join(lines[i:300])) for i in (0, 1, 5, 40)] + [(200, "", "\n \n"), (201, "a\na", "a")]
     df = spark.createDataFrame(pairs, "doc_id long, text string, other string")
-    for sizes in (fingerprints.SIZES, (9, 18)):
-        got = fingerprints.compare(fingerprints.fingerprint(df, ("text", "other"), sizes), "other", "near", sizes)
+    for cells in (fingerprints.CELLS, 9):
+        got = fingerprints.compare(fingerprints.fingerprint(df, ("text", "other"), cells), "other", "near", cells)
         for r in got.collect():
             a, b = ({x for x in t.split("\n") if x.strip(" ")} for t in (r.text, r.other))
             assert math.isclose(r.near, len(a & b) / len(a | b) if a | b else 1.0)
@@ -334,6 +334,22 @@ def test_sketches_peel(spark):
     assert sorted(r.n for r in df.select(F.inline(diff)).collect()) == [-1] * 5 + [1] * 8
 
 
+def test_sketches_grow_until_they_peel(spark):
+    """Wholly different long texts, and a first size far too small for a difference that the
+    smallest digests don't show: all differing digests come out of a sketch."""
+    keys = lambda lo, hi: F.sort_array(F.transform(F.sequence(F.lit(lo), F.lit(hi)), lambda i: F.xxhash64(i)))
+    for a, b in (((1, 6000), (6001, 13000)), ((1, 6000), (1, 6000)), ((1, 5000), (1, 5100))):
+        df = spark.range(1).select(keys(*a).alias("a"), keys(*b).alias("b"))
+        first = fingerprints.subtract(fingerprints.sketch(F.col("a"), 36), fingerprints.sketch(F.col("b"), 36))
+        got = df.select(F.inline(fingerprints.recovered(F.col("a"), F.col("b"), first))).collect()
+        row = df.first()
+        assert sorted((r.n, r.k) for r in got) == sorted([(1, k) for k in set(row.a) - set(row.b)] + [(-1, k) for k in set(row.b) - set(row.a)])
+    # one size for both tables fails at 9 cells and is doubled until 60 digests come out
+    df = spark.range(1).select(keys(1, 60).alias("a"), keys(1, 1).alias("b"))
+    small = fingerprints.peel(fingerprints.subtract(fingerprints.sketch(F.col("a"), 9), fingerprints.sketch(F.col("b"), 9)), 9)
+    assert df.select(small.alias("x")).first().x is None
+
+
 # --- 7 WARC
 
 def test_warc(spark):
