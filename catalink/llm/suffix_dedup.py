@@ -52,6 +52,8 @@ CONTENT = 24 << 20
 #: Bytes of much repeated text that ride along from shard to shard of a task.
 CARRY = 128 << 10
 MANY = 8
+#: Numbers that are hashed together: few enough to stay in a core's cache between the steps.
+STRETCH = 1 << 15
 LAST = np.iinfo(np.int64).max
 OWN = ("_order", "_k1", "_k2", "_text", "_more", "marks", "pieces", "n_bytes", "n_removed", "spans", "kept")
 _STEPS = np.array([1 << s for s in range(8, 64, 8)], dtype=np.uint64)
@@ -63,11 +65,10 @@ def words8(raw: np.ndarray) -> np.ndarray:
     n = len(raw)
     padded = np.zeros(n + 8 + 2 * LENGTH + 64, dtype=np.uint8)
     padded[:n] = raw
-    out = np.zeros(n + 2 * LENGTH + 64, dtype=np.uint64)
-    for j in range(8):
-        out <<= np.uint64(8)
-        out |= padded[j: j + len(out)]
-    return out
+    out = padded.astype(np.uint64)
+    for width in (1, 2, 4):
+        out = (out[:-width] << np.uint64(8 * width)) | out[width:]
+    return out[: n + 2 * LENGTH + 64]
 
 
 def _ordered(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,33 +93,38 @@ def suffix_array(raw: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, i
     code = np.cumsum(used).astype(np.uint64)  # few bits a byte: more bytes in the first key; 0 is the end
     bits = max(int(used.sum()), 1).bit_length()
     h = max(1, min((64 - room) // bits, 8))
-    letters = np.append(code[raw], np.zeros(h, dtype=np.uint64))
-    key = letters[:n].copy()
-    for j in range(1, h):
-        key <<= np.uint64(bits)
-        key |= letters[j: j + n]
-    sa, key = _ordered(key, bits * h)
-    rank = np.zeros(n + 1, dtype=np.int64)  # of the group, 1 at least; 0 behind the end
-
-    def groups(places: np.ndarray, sorted_key: np.ndarray) -> np.ndarray:
-        """Rank the groups of equal keys at the places; places still tied."""
-        head = np.ones(len(places), dtype=bool)
-        head[1:] = sorted_key[1:] != sorted_key[:-1]
-        first = np.flatnonzero(head)
-        size = np.diff(np.append(first, len(places)))
-        rank[sa[places]] = np.repeat(places[first], size) + 1
-        return places[np.repeat(size > 1, size)]
-
-    tied = groups(np.arange(n), key)
+    letters = np.zeros(n + h, dtype=np.uint64)
+    letters[:n] = code[raw]
+    key, width = letters, 1
+    while 2 * width <= h:
+        key = (key[:-width] << np.uint64(bits * width)) | key[width:]
+        width *= 2
+    while width < h:
+        key = (key[:n + h - width] << np.uint64(bits)) | letters[width: n + h]
+        width += 1
+    sa, key = _ordered(key[:n], bits * h)
+    # of the group, 1 at least; 0 behind the end
+    rank = np.zeros(n + depth + 8, dtype=np.int32 if n < (1 << 31) - 1 else np.int64)
+
+    def groups(places: np.ndarray, at: np.ndarray, sorted_key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rank the groups of equal keys at the places; places still tied, what is there and its rank."""
+        head = np.ones(len(places) + 1, dtype=bool)
+        np.not_equal(sorted_key[1:], sorted_key[:-1], out=head[1:-1])
+        ranks = np.maximum.accumulate((places + 1) * head[:-1])
+        rank[at] = ranks
+        some = np.flatnonzero(~(head[:-1] & head[1:]))
+        return places[some], at[some], ranks[some]
+
+    tied, at, ranks = groups(np.arange(n), sa, key)
     alike = np.zeros(n, dtype=bool)
     while True:
         if 2 * h >= depth and len(tied):
-            alike[tied[1:]] = rank[sa[tied[1:]]] == rank[sa[tied[:-1]]]
+            alike[tied[1:]] = ranks[1:] == ranks[:-1]
         if len(tied):
-            at = sa[tied]
-            order, key = _ordered(rank[at] * (n + 2) + rank[np.minimum(at + h, n)], 2 * room)
-            sa[tied] = at[order]
-            tied = groups(tied, key)
+            order, key = _ordered((ranks << room) | rank[at + h], 2 * room)
+            at = at[order]
+            sa[tied] = at
+            tied, at, ranks = groups(tied, at, key)
         if 2 * h >= depth:
             return sa, alike, h
         h *= 2
@@ -131,17 +137,19 @@ def common_prefixes(words: np.ndarray, sa: np.ndarray, alike: np.ndarray, shared
     the text that advance together; a value that reached the cap says nothing about order
     beyond it, so there the count starts anew."""
     n = len(sa)
-    before = np.full(n, -1, dtype=np.int64)
     places = np.flatnonzero(alike)
-    before[sa[places]] = sa[places - 1]
     steps = max(1, min(256, n // 1024))
-    heads = np.arange(0, n, steps)
-    have = np.zeros(len(heads), dtype=np.int64)
-    common = np.zeros(n, dtype=np.int64)
+    lanes = -(-n // steps)
+    step, at = sa[places] % steps, sa[places] // steps
+    order = _ordered(step * lanes + at, max(steps * lanes, 1).bit_length())[0]  # a step of all lanes after the other
+    places, at = places[order], at[order]
+    edge = np.append(0, np.cumsum(np.bincount(step, minlength=steps)))
+    have = np.zeros(lanes, dtype=np.int64)
+    out = np.zeros(n, dtype=np.int64)
     for s in range(steps):
-        lane = np.flatnonzero(before[s::steps] >= 0)
-        i = heads[lane] + s
-        j = before[i]
+        now = slice(edge[s], edge[s + 1])
+        lane = at[now]
+        i, j = sa[places[now]], sa[places[now] - 1]
         h = have[lane]
         h = np.where(h >= cap, shared, np.maximum(h - 1, shared))
         live = np.arange(len(lane))
@@ -154,8 +162,8 @@ def common_prefixes(words: np.ndarray, sa: np.ndarray, alike: np.ndarray, shared
             live = live[h[live] < cap]
         have[:] = 0
         have[lane] = h
-        common[i] = np.minimum(h, cap)
-    return np.where(alike, common[sa], 0)
+        out[places[now]] = np.minimum(h, cap)
+    return out
 
 
 def strings(raw: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -164,32 +172,45 @@ def strings(raw: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarra
     words = words8(raw)
     n = len(raw)
     sa, alike, shared = suffix_array(raw, length)
-    string = np.cumsum(common_prefixes(words, sa, alike, shared, length) < length)
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    inside = np.arange(n) + length <= bounds[1:][text]
-    good = inside[sa]
-    starts, string = sa[good], string[good]
+    new = common_prefixes(words, sa, alike, shared, length) < length
+    text = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
+    ends = np.repeat(bounds[1:], np.minimum(np.diff(bounds), length - 1))
+    inside = np.ones(n, dtype=bool)
+    inside[ends - 1 - runs_count(np.minimum(np.diff(bounds), length - 1))] = False
+    good = np.flatnonzero(inside[sa])
+    starts = sa[good]
+    string = np.cumsum(new, dtype=np.int32 if n < 1 << 31 else np.int64)[good]
     first = np.flatnonzero(np.append(True, string[1:] != string[:-1])) if len(starts) else np.empty(0, np.int64)
     return starts, first, text[starts], words
 
 
+def runs_count(sizes: np.ndarray) -> np.ndarray:
+    """Numbers from 0 within each of the runs of these sizes."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 def gram_hashes(words: np.ndarray, n: int, length: int) -> np.ndarray:
     """Hashes of the grams that begin at each position or within a string's reach behind."""
     n += length - GRAM + 1
-    return mix64(words[:n] ^ mix64(words[8: n + 8] + np.uint64(1)) ^ (words[GRAM - 8: n + GRAM - 8] * np.uint64(0x9E3779B97F4A7C15)))
+    out = np.empty(n, dtype=np.uint64)
+    for a in range(0, n, STRETCH):
+        b = min(a + STRETCH, n)
+        out[a:b] = mix64(words[a:b] ^ mix64(words[a + 8: b + 8] + np.uint64(1)) ^ (words[a + GRAM - 8: b + GRAM - 8] * np.uint64(0x9E3779B97F4A7C15)))
+    return out
 
 
 def least_hashes(grams: np.ndarray, n: int, length: int) -> np.ndarray:
     """For each position the least hash of the grams of its string of ``length`` bytes."""
     span = length - GRAM + 1
-    out = grams.copy()
-    width = 1
-    while 2 * width <= span:
-        out[:-width] = np.minimum(out[:-width], out[width:])
-        width *= 2
-    if span > width:
-        out[:n] = np.minimum(out[:n], out[span - width: span - width + n])
-    return out[:n]
+    out = np.empty(n, dtype=grams.dtype)
+    for a in range(0, n, STRETCH):
+        b = min(a + STRETCH, n)
+        part, width = grams[a: b + span], 1
+        while 2 * width <= span:
+            part = np.minimum(part[:-width], part[width:])
+            width *= 2
+        np.minimum(part[:b - a], part[span - width: span - width + b - a], out=out[a:b])
+    return out
 
 
 def piece_hashes(grams: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
@@ -262,16 +283,12 @@ class Shards:
         if not len(starts):
             return
         count = np.diff(np.append(first, len(starts)))
-        least = np.repeat(np.minimum.reduceat(order[text], first), count)
-        gone = order[text] > least
-        size_of = np.repeat(count, count)
+        order_of = order[text]
+        gone = order_of > np.repeat(np.minimum.reduceat(order_of, first), count)
         n_own = bounds[own]
-        left = np.zeros(len(data), dtype=bool)
-        left[starts[~gone]] = True
-        often = np.zeros(len(data), dtype=bool)
-        often[starts[~gone & (size_of >= MANY)]] = True
-        marked = np.zeros(n_own, dtype=bool)
-        marked[starts[gone & (text < own)]] = True
+        state = np.zeros(len(data), dtype=np.uint8)  # of the strings: 1 gone, 2 left, 3 left of many
+        state[starts] = np.where(gone, np.uint8(1), np.repeat((2 + (count >= MANY)).astype(np.uint8), count))
+        marked, left, often = state[:n_own] == 1, state[:n_own] >= 2, state == 3  # own texts come first
         owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
 
         a, b = runs_of(marked, owner)
@@ -283,12 +300,13 @@ class Shards:
             yield (self.turn % self.n, *_docs(rows[seg], ids, k1, k2), spans, None)
 
         grams = gram_hashes(words, len(data), length)
-        hashes = mix64(least_hashes(grams, len(data), length))  # least hashes are small: mixed anew they spread
-        a, b = runs_of(left[:n_own], owner, hashes)
+        least = least_hashes(grams, n_own, length)
+        a, b = runs_of(left, owner, least)
         if len(a):
             seg = owner[a]
-            yield from filed((hashes[a] % np.uint64(self.n)).astype(np.int64), rows[seg], a - bounds[seg] + begin[seg], b - a,
-                             hashes[a] >> np.uint64(32), ids, k1, k2, whole=piece_hashes(grams, a, b, length))
+            hashes = mix64(least[a])  # least hashes are small: mixed anew they spread
+            yield from filed((hashes % np.uint64(self.n)).astype(np.int64), rows[seg], a - bounds[seg] + begin[seg], b - a,
+                             hashes >> np.uint64(32), ids, k1, k2, whole=piece_hashes(grams, a, b, length))
 
         # what many documents repeat rides along to the next shards of the task
         a, b = runs_of(often, owner)

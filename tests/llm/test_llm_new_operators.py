@@ -204,6 +204,21 @@ def test_repeats_against_all_strings(spark, sizes):
     assert suffix_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_a_shard_hashes_each_byte_once(monkeypatch):
+    """The grams (two steps) of each place, and of least hashes only those that begin a piece."""
+    rnd = random.Random(6)
+    texts = [" ".join(f"w{rnd.randint(0, 900)}" for _ in range(2000)) for _ in range(8)]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.append(0, np.cumsum([len(t) for t in texts]))
+    ids = np.arange(8)
+    hashed, mix = [], suffix_dedup.mix64
+    monkeypatch.setattr(suffix_dedup, "mix64", lambda x: hashed.append(len(x)) or mix(x))
+    cutter = suffix_dedup.Shards(3, 50, suffix_dedup.SHARD)
+    rows = [r for part in cutter.segments(offsets) for r in cutter.emit(offsets, raw, ids, ids, ids, part)]
+    n_pieces = sum(len(suffix_dedup._from_ints(r[2])) for r in rows if r[4] is not None)
+    assert n_pieces and sum(hashed) <= 2 * (len(raw) + 50) + 2 * n_pieces
+
+
 def test_hot_hashes_are_merged_by_binary_search():
     """Pieces of one hash in several blocks."""
     rnd = random.Random(5)
