@@ -57,7 +57,8 @@ if TYPE_CHECKING:
 SIM_DIGITS = 9
 #: Rarest n-grams of a query whose best candidates give the lower bound.
 SEEDS = 4
-#: What the bound gives way for rounding to ``SIM_DIGITS`` and for sums in another order.
+#: What the bound gives way for rounding to ``SIM_DIGITS``, for sums in another order and for
+#: the single precision of the index's postings (6e-8 of a factor; no sum is above 1).
 SLACK = 1e-6
 
 
@@ -138,30 +139,32 @@ def fuzzy_match(queries: DataFrame, candidates: DataFrame | TitleIndex, query_na
     ``dedupe_key``: keep the first query row per key first (as written the
     titles are deduplicated on the name); None keeps every row.
     The deduplicated queries and the scored rows are written once as tables under the
-    checkpoint folder, so that no score is computed twice.
+    checkpoint folder, so that no score is computed twice; the shuffle files of each step go when
+    its table is written.
     """
     from catalink.operators import title_index
-    from catalink.session import cut_lineage, ensure_checkpoint_dir
-
-    if isinstance(candidates, title_index.TitleIndex):
-        index = candidates
-    else:
-        folder = f"{ensure_checkpoint_dir(candidates.sparkSession).rstrip('/')}/catalink-titles-{uuid.uuid4().hex}"
-        index = title_index.build_index(candidates, folder, cand_name, salt_rows)
-    if dedupe_key:
-        queries = keep_first(queries, [dedupe_key], [dedupe_order])
-    queries = cut_lineage(queries.where(F.col(query_name).isNotNull()), "queries")
-    titles = queries.select(F.col(query_name).alias("_qt")).distinct()
-    best = title_index.top1(titles, index, "_qt")
-    queries = queries.repartition(index.buckets, query_name)  # scores take time, not bytes
-    scored = queries.join(best, queries[query_name] == best["_qt"], "left").drop("_qt")
-    sim = F.coalesce(F.col("similarity"), F.lit(0.0))
-    score = F.when(F.col("matched_sales_name").isNull(), F.lit(0.0)).otherwise(
-        token_sort_ratio(F.col(query_name), F.col("matched_sales_name"), casefold))
-    scored = (scored.withColumn("cosine_distance", F.lit(1.0) - sim)
-                    .withColumn("vg_match_score", score)
-                    .drop("similarity"))
-    return cut_lineage(scored, "scored")
+    from catalink.session import cut_lineage, ensure_checkpoint_dir, shuffles_dropped
+
+    with shuffles_dropped(queries.sparkSession):
+        if isinstance(candidates, title_index.TitleIndex):
+            index = candidates
+        else:
+            folder = f"{ensure_checkpoint_dir(candidates.sparkSession).rstrip('/')}/catalink-titles-{uuid.uuid4().hex}"
+            index = title_index.build_index(candidates, folder, cand_name, salt_rows)
+        if dedupe_key:
+            queries = keep_first(queries, [dedupe_key], [dedupe_order])
+        queries = cut_lineage(queries.where(F.col(query_name).isNotNull()), "queries")
+        titles = queries.select(F.col(query_name).alias("_qt")).distinct()
+        best = title_index.top1(titles, index, "_qt")
+        queries = queries.repartition(index.buckets, query_name)  # scores take time, not bytes
+        scored = queries.join(best, queries[query_name] == best["_qt"], "left").drop("_qt")
+        sim = F.coalesce(F.col("similarity"), F.lit(0.0))
+        score = F.when(F.col("matched_sales_name").isNull(), F.lit(0.0)).otherwise(
+            token_sort_ratio(F.col(query_name), F.col("matched_sales_name"), casefold))
+        scored = (scored.withColumn("cosine_distance", F.lit(1.0) - sim)
+                        .withColumn("vg_match_score", score)
+                        .drop("similarity"))
+        return cut_lineage(scored, "scored")
 
 
 # --- acceptance and audit -------------------------------------------------------

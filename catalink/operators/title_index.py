@@ -2,12 +2,15 @@
 
 A version of an index is a set of tables below one folder, written once and never changed:
 
-* ``titles``: each title with its weights as a map, bucketed by title;
+* ``titles``: each title with its weights and document frequencies as a map, bucketed by title;
 * ``postings``: (gram, title) weights with the norms behind the n-gram, bucketed by n-gram and
-  ``part``; the postings of a frequent n-gram are split into parts of about ``salt_rows``;
+  ``part``; the postings of a frequent n-gram are split into parts of about ``salt_rows``.  They
+  only decide which pairs are scored, so they are of single precision;
 * ``grams``: document frequency, idf, number of parts and the title with the greatest weight.
 
 A match joins queries with the buckets, so that no candidate is shuffled, and builds nothing.
+A posting's place among its title's and the norms come from ``titles`` as it is bucketed, so that
+n-grams with titles and weights are shuffled only to the table that they are written to.
 Raw term counts are kept beside the versions.  ``extend`` writes the counts of the new titles
 only, and from all counts the tables of the next version: idf and norms depend on every title,
 so weights are written anew and the new version equals one built at once from all titles.  The
@@ -22,15 +25,15 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalink.operators import matching as M
 from catalink.session import cut_lineage
 
 _SCHEMAS = {
-    "titles": ("_cand string, _cw map<string,double>", ("_cand",)),
-    "postings": ("_cand string, gram string, _wc double, _tc double, _ac double, part bigint", ("gram", "part")),
+    "titles": ("_cand string, _cw map<string,struct<weight:double,df:bigint>>", ("_cand",)),
+    "postings": ("_cand string, gram string, _wc float, _ac float, part bigint", ("gram", "part")),
 }
 
 
@@ -56,8 +59,9 @@ class TitleIndex:
         if not self.spark.catalog.tableExists(entry):
             schema, keys = _SCHEMAS[name]
             where = self.path(name).replace("'", "\\'")
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {entry} ({schema}) USING parquet "
-                           f"CLUSTERED BY ({', '.join(keys)}) INTO {self.buckets} BUCKETS LOCATION '{where}'")
+            order = dict.fromkeys((*keys, "_cand"))
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {entry} ({schema}) USING parquet OPTIONS (compression 'zstd') "
+                           f"CLUSTERED BY ({', '.join(keys)}) SORTED BY ({', '.join(order)}) INTO {self.buckets} BUCKETS LOCATION '{where}'")
         return self.spark.table(entry)
 
     @property
@@ -82,13 +86,14 @@ def _write_version(index: TitleIndex) -> TitleIndex:
     spark = index.spark
     counts = spark.read.parquet(f"{index.folder}/counts").where(F.col("version") <= index.version).select("_cand", "gram", "tf")
     idf = cut_lineage(M.idf_table(counts, F.lit(float(index.n_docs))), "idf")  # open to the skew split in the next join
-    weights = M.with_tails(M.tfidf_weights(counts, idf, "_cand"), "_cand")
+    weights = M.tfidf_weights(counts, idf, "_cand").groupBy("_cand").agg(  # a title's own n-grams
+        F.map_from_entries(F.collect_list(F.struct("gram", F.struct("weight", "df")))).alias("_cw"))
+    titles = _write_bucketed(index, "titles", weights)
+    rows = M.with_tails(titles.select("_cand", F.explode("_cw").alias("gram", "_v")).select("_cand", "gram", "_v.*"), "_cand")
     parts = F.ceil(F.col("df") / index.salt_rows).cast("bigint")
-    postings = _write_bucketed(index, "postings", weights.select(
-        "_cand", "gram", F.col("weight").alias("_wc"), F.col("tail").alias("_tc"), F.col("after").alias("_ac"),
+    postings = _write_bucketed(index, "postings", rows.select(
+        "_cand", "gram", F.col("weight").cast("float").alias("_wc"), F.col("after").cast("float").alias("_ac"),
         F.pmod(F.xxhash64("_cand"), parts).alias("part")))
-    _write_bucketed(index, "titles", postings.groupBy("_cand").agg(
-        F.map_from_entries(F.collect_list(F.struct("gram", "_wc"))).alias("_cw")))  # a title's own n-grams
     best = postings.groupBy("gram").agg(F.min(F.struct((-F.col("_wc")).alias("w"), F.col("_cand"))).alias("_b"))
     (idf.join(best, "gram").select("gram", "df", "idf", parts.alias("parts"), F.col("_b._cand").alias("best"))
         .write.mode("overwrite").parquet(index.path("grams")))
@@ -146,13 +151,15 @@ def extend(index: TitleIndex, candidates: DataFrame, name: str = "Name") -> Titl
 
 # --- matching ---------------------------------------------------------------------
 
-def _meet(left: DataFrame, right: DataFrame, keys: list[str], most: int, spread: str) -> DataFrame:
-    """Inner join of written rows with a bucketed table.  Keys with more than ``most`` rows on
-    the left would fill one bucket's task, so they leave the buckets: their rows are cut into
-    parts by ``spread`` and the few rows of the right are repeated for each."""
+def _meet(left: DataFrame, right: DataFrame, keys: list[str], most: int, spread: str, more: DataFrame | None = None) -> DataFrame:
+    """Inner join of written rows, and of the columns that ``more`` has for ``spread``, with a
+    bucketed table.  Keys with more than ``most`` rows on the left would fill one bucket's task,
+    so they leave the buckets: their rows are cut into parts by ``spread`` and the few rows of
+    the right are repeated for each."""
     many = (left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
                 .select(*keys, F.ceil(F.col("_n") / most).cast("bigint").alias("_parts")))
     many = cut_lineage(many, "hot-keys")  # at most one row for `most` rows of the left
+    left = left if more is None else left.join(more, spread)
     if many.isEmpty():
         return left.join(right, keys)
     light = left.join(many, keys, "left_anti").join(right, keys)
@@ -164,39 +171,80 @@ def _meet(left: DataFrame, right: DataFrame, keys: list[str], most: int, spread:
 def similarities(pairs: DataFrame, arrays: DataFrame, index: TitleIndex) -> DataFrame:
     """(_query, _cand, _sim): exact cosine of distinct pairs; one join on the title, the products
     are looked up in its map."""
-    rows = cut_lineage(pairs.join(arrays, "_query"), "pairs")
-    met = _meet(rows, index.table("titles"), ["_cand"], index.salt_rows, "_query")
-    dot = F.aggregate("_qw", F.lit(0.0), lambda acc, e: acc + e["weight"] * F.coalesce(F.element_at(F.col("_cw"), e["gram"]), F.lit(0.0)))
+    maps = arrays.select("_query", F.map_from_entries("_qw").alias("_qw"))  # fewer bytes a row than structs
+    met = _meet(cut_lineage(pairs, "pairs"), index.table("titles"), ["_cand"], index.salt_rows, "_query", maps)
+    dot = F.aggregate(F.map_entries("_qw"), F.lit(0.0), lambda acc, e: acc + e["value"] * F.coalesce(F.element_at(F.col("_cw"), e["key"])["weight"], F.lit(0.0)))
     return met.select("_query", "_cand", dot.alias("_sim"))
 
 
+def query_arrays(titles: DataFrame, index: TitleIndex, name: str) -> DataFrame:
+    """(_query, _grams): a written row for each distinct title, with its n-grams."""
+    # few bytes, but many n-grams: written first, for a shuffle of few bytes would be one task
+    titles = cut_lineage(titles.select(name), "titles").repartition(index.buckets, name)
+    counts = M.ngram_counts(titles, name, name, index.n_min, index.n_max).withColumnRenamed(name, "_query")
+    weights = M.with_tails(M.tfidf_weights(counts, index.grams.select("gram", "df", "idf"), "_query"), "_query")
+    return cut_lineage(weights.groupBy("_query").agg(F.collect_list(F.struct(
+        "gram", "weight", F.col("after").cast("float").alias("after"), F.col("place").cast("int").alias("place"), "df")).alias("_grams")), "query-weights")
+
+
+def _each_gram(rows: DataFrame, index: TitleIndex, *more: str) -> DataFrame:
+    rows = rows.select("_query", *more, F.inline("_grams"))
+    return rows.select("_query", "gram", "weight", _norm("weight", "after").alias("tail"), F.col("after").cast("double").alias("after"), "place",
+                       F.ceil(F.col("df") / index.salt_rows).cast("bigint").alias("parts"), *more)
+
+
+def _norm(weight: str, after: str) -> Column:
+    """The norm of an n-gram and all behind it."""
+    w, a = F.col(weight).cast("double"), F.col(after).cast("double")
+    return F.sqrt(w * w + a * a)
+
+
+def _with_best(grams: DataFrame, index: TitleIndex) -> DataFrame:
+    return grams.join(index.grams.select("gram", "best"), "gram")
+
+
 def query_weights(titles: DataFrame, index: TitleIndex, name: str) -> DataFrame:
     """(_query, gram, weight, tail, after, place, parts, best) of distinct titles."""
-    titles = titles.repartition(index.buckets, name)  # few bytes, but many n-grams
-    counts = M.ngram_counts(titles, name, name, index.n_min, index.n_max).withColumnRenamed(name, "_query")
-    weights = M.with_tails(M.tfidf_weights(counts, index.grams, "_query", ("parts", "best")), "_query", ("parts", "best"))
-    return cut_lineage(weights, "query-weights")
+    return _with_best(_each_gram(query_arrays(titles, index, name), index), index)
 
 
 def reaching_pairs(q: DataFrame, bounds: DataFrame, index: TitleIndex) -> DataFrame:
     """(_query, _cand): the pairs that can reach the query's bound."""
-    rows = (q.join(bounds, "_query").withColumn("_bound", F.col("_bound") - M.SLACK).where(F.col("tail") >= F.col("_bound"))
+    return _reaching(q.join(bounds, "_query"), index).select("_query", "_cand")
+
+
+def _reaching(q: DataFrame, index: TitleIndex) -> DataFrame:
+    """(_query, _cand, _part, _rest): those pairs with the products summed, which is a lower bound
+    of their similarity, and what can remain."""
+    rows = (q.withColumn("_bound", F.col("_bound") - M.SLACK).where(F.col("tail") >= F.col("_bound"))
              .select("_query", "gram", F.col("weight").alias("_wq"), F.col("tail").alias("_tq"), F.col("after").alias("_aq"),
                      "_bound", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")))
     met = _meet(cut_lineage(rows, "query-postings"), index.table("postings"), ["gram", "part"], index.salt_rows, "_query")
-    return (met.where(F.col("_tq") * F.col("_tc") >= F.col("_bound"))
+    return (met.where(F.col("_tq") * _norm("_wc", "_ac") >= F.col("_bound"))
                .groupBy("_query", "_cand").agg(F.sum(F.col("_wq") * F.col("_wc")).alias("_part"),
                                                F.min(F.col("_aq") * F.col("_ac")).alias("_rest"), F.max("_bound").alias("_bound"))
-               .where(F.col("_part") + F.col("_rest") >= F.col("_bound")).select("_query", "_cand"))
+               .where(F.col("_part") + F.col("_rest") >= F.col("_bound")).select("_query", "_cand", "_part", "_rest"))
+
+
+def nearer_pairs(met: DataFrame, nearest: DataFrame) -> DataFrame:
+    """(_query, _cand): of the pairs that reach a query's first bound those that can also reach the
+    exact similarity of its ``nearest`` (_query, _cand, _sim) candidate, without that candidate."""
+    least = nearest.select("_query", F.col("_cand").alias("_top"), (F.col("_sim") - M.SLACK).alias("_least"))
+    return (met.join(least, "_query").where((F.col("_part") + F.col("_rest") >= F.col("_least")) & (F.col("_cand") != F.col("_top")))
+               .select("_query", "_cand"))
 
 
 def top1(titles: DataFrame, index: TitleIndex, name: str) -> DataFrame:
     """(``name``, matched_sales_name, similarity) for the distinct titles that share an n-gram
     with a title of the index: the greatest similarity, then the smallest title."""
-    q = query_weights(titles, index, name)
-    arrays = q.groupBy("_query").agg(F.collect_list(F.struct("gram", "weight")).alias("_qw"))
-    seeds = q.where(F.col("place") <= M.SEEDS).select("_query", F.col("best").alias("_cand")).distinct()
-    bounds = similarities(seeds, arrays, index).groupBy("_query").agg(F.max("_sim").alias("_bound"))
-    scored = similarities(reaching_pairs(q, bounds, index), arrays, index)
+    rows = query_arrays(titles, index, name)
+    arrays = rows.select("_query", F.transform("_grams", lambda g: F.struct(g["gram"].alias("gram"), g["weight"].alias("weight"))).alias("_qw"))
+    seeds = _with_best(_each_gram(rows, index).where(F.col("place") <= M.SEEDS), index).select("_query", F.col("best").alias("_cand")).distinct()
+    bounds = cut_lineage(similarities(seeds, arrays, index).groupBy("_query").agg(F.max("_sim").alias("_bound")), "bounds")
+    met = cut_lineage(_reaching(_each_gram(rows.join(bounds, "_query"), index, "_bound"), index), "reaching")
+    # a query's array goes with each pair that is scored: first one pair a query, then what can be better
+    first = met.groupBy("_query").agg(F.max(F.struct("_part", "_cand")).alias("_t")).select("_query", F.col("_t._cand").alias("_cand"))
+    nearest = cut_lineage(similarities(first, arrays, index), "nearest")
+    scored = nearest.unionByName(similarities(nearer_pairs(met, nearest), arrays, index))
     best = scored.groupBy("_query").agg(F.min(F.struct((-F.round("_sim", M.SIM_DIGITS)).alias("neg_sim"), F.col("_cand"))).alias("_b"))
     return best.select(F.col("_query").alias(name), F.col("_b._cand").alias("matched_sales_name"), (-F.col("_b.neg_sim")).alias("similarity"))

@@ -8,8 +8,10 @@ only fills in settings that are unset.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -106,6 +108,23 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of jobs started inside are removed when the job is done, not when the driver
+    collects garbage: for steps that write their results (``cut_lineage``), each of which would
+    leave its shuffles on the disk beside those of the next."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    if before == "true":  # of a caller, who puts it back
+        yield
+        return
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

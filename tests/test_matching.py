@@ -89,6 +89,31 @@ def test_few_pairs_are_scored(spark, tmp_path):
     assert TI.reaching_pairs(q, bounds, index).count() < 600 * 600 / 50
 
 
+def test_pairs_below_the_nearest_candidate_are_not_scored(spark, monkeypatch):
+    """One pair a query is scored first; of the others those that can be better, ties included."""
+    met = spark.createDataFrame([("q", "a", 0.5, 0.3), ("q", "b", 0.6, 0.1), ("q", "c", 0.4, 0.2), ("q", "d", 0.6, 0.15), ("r", "a", 0.1, 0.1)],
+                                "_query string, _cand string, _part double, _rest double")
+    nearest = spark.createDataFrame([("q", "d", 0.7), ("r", "a", 0.2)], "_query string, _cand string, _sim double")
+    assert sorted(tuple(r) for r in TI.nearer_pairs(met, nearest).collect()) == [("q", "a"), ("q", "b")]
+
+    asked, scored = [], TI.similarities
+    monkeypatch.setattr(TI, "similarities", lambda pairs, *a: asked.append(pairs.count()) or scored(pairs, *a))
+    cands, queries = [f"edition {i * 7919 % 6007} of {i}" for i in range(300)], [f"{i * 7919 % 6007} of {i} x" for i in range(0, 300, 3)]
+    got = _answers(spark, queries, spark.createDataFrame([(c,) for c in cands], "Name string"))
+    assert {q: got[q][0] for q in queries} == {q: v[0] for q, v in brute_top1(queries, cands).items()}
+    assert asked[1] == len(queries) and len(asked) == 3
+
+
+def test_postings_are_narrow_and_shuffle_files_go(spark, tmp_path, monkeypatch):
+    index = TI.build_index(spark.createDataFrame([("alpha 1",), ("beta 12",)], "Name string"), str(tmp_path / "index"))
+    assert dict(index.table("postings").dtypes) == {"_cand": "string", "gram": "string", "_wc": "float", "_ac": "float", "part": "bigint"}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, during, top1 = spark.conf.get(name, None), [], TI.top1
+    monkeypatch.setattr(TI, "top1", lambda *a: during.append(spark.conf.get(name, None)) or top1(*a))
+    assert _answers(spark, ["alpha 12"], index)["alpha 12"][0] == "alpha 1"
+    assert during == ["true"] and spark.conf.get(name, None) == before
+
+
 def _answers(spark, queries, candidates):
     qdf = spark.createDataFrame(list(enumerate(queries)), "app_id long, name string")
     return {r.name: (r.matched_sales_name, round(1.0 - r.cosine_distance, 9)) for r in M.fuzzy_match(qdf, candidates).collect()}
