@@ -35,8 +35,9 @@ def char_wb_ngrams(c, n_min: int = 3, n_max: int = 5) -> Column:
     up to the padded length (at most ``n_max``) contributes all its windows,
     so a padded word shorter than ``n_max`` also yields itself once.
     """
-    def grams_of_word(w):
-        p = F.concat(F.lit(" "), w, F.lit(" "))
+    padded = F.transform(words(F.lower(_col(c))), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))  # once a word, not once a gram
+
+    def grams_of_word(p):
         plen = F.length(p)
         top = F.least(plen, F.lit(n_max))
         ns = F.sequence(F.lit(n_min), F.greatest(top, F.lit(n_min)))
@@ -44,7 +45,22 @@ def char_wb_ngrams(c, n_min: int = 3, n_max: int = 5) -> Column:
             ns, lambda n: F.transform(F.sequence(F.lit(1), plen - n + 1),
                                       lambda i: F.substring(p, i, n))))
 
-    return F.flatten(F.transform(words(F.lower(_col(c))), grams_of_word))
+    return F.flatten(F.transform(padded, grams_of_word))
+
+
+def counted(values) -> Column:
+    """An array's distinct values with their counts, as structs (gram, tf)."""
+    def runs(s: Column, begins: Column) -> Column:
+        end = lambda i: F.coalesce(F.get(begins, i + 1), F.size(s))
+        return F.transform(begins, lambda b, i: F.struct(F.get(s, b).alias("gram"), (end(i) - b).cast("bigint").alias("tf")))
+
+    def of(g: Column) -> Column:
+        once = F.transform(F.array_distinct(g), lambda x: F.struct(x.alias("gram"), F.lit(1).cast("bigint").alias("tf")))
+        begins = lambda s: F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return (F.when(F.size(F.array_distinct(g)) == F.size(g), once)
+                 .otherwise(_let(F.sort_array(g), lambda s: _let(begins(s), lambda b: runs(s, b)))))
+
+    return _let(_col(values), of)
 
 
 def token_sort_key(c) -> Column:

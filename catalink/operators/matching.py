@@ -9,12 +9,13 @@ Top-1 retrieval is an inverted-index equi-join, never an N x M cross product:
    ``ln((1 + n) / (1 + df)) + 1`` with ``n`` a scalar subquery;
 3. weights ``tf * idf``, L2-normalised per title (query n-grams outside the
    candidate vocabulary drop out in the inner join with the idf table);
-4. a lower bound of each query's best similarity: for its rarest n-grams the candidate with
-   the greatest weight is scored exactly;
+4. a lower bound of each query's best similarity: the shortest candidate that has its rarest
+   shared word, or one of its rarest n-grams where these are rarer, is scored exactly;
 5. n-grams have one order, rarest first.  What a pair shares from an n-gram on is at most the
    product of both titles' remaining norms, so the postings are joined only where that
    product reaches the bound; a pair goes on only if the products summed there plus what can
-   remain behind them reach it.  The best candidate always does, by its first shared n-gram;
+   remain behind them reach it, and if the products of the titles' norms within blocks of
+   n-grams do.  The best candidate always does, by its first shared n-gram;
 6. the pairs left are scored exactly, and the best per query is
    ``min(struct(-round(sim, 9), title))``: highest similarity, then the smallest title.
 
@@ -46,7 +47,7 @@ from catalink.functions.expressions import (
     score_bucket,
     sorted_set_joined,
 )
-from catalink.functions.text import char_wb_ngrams, token_sort_ratio
+from catalink.functions.text import char_wb_ngrams, counted, token_sort_ratio
 from catalink.operators.dedupe import keep_first, top_k_per_group
 from catalink.operators.quantiles import percentile_map
 from catalink.operators.ranking import top_n
@@ -91,8 +92,11 @@ def title_rollup(sales: DataFrame, name: str = "Name", platform: str = "Platform
 # --- TF-IDF ---------------------------------------------------------------------
 
 def ngram_counts(docs: DataFrame, id_col: str, text_col: str, n_min: int = 3,
-                 n_max: int = 5) -> DataFrame:
-    """(id, gram, tf): raw term counts of word-bounded char n-grams."""
+                 n_max: int = 5, distinct: bool = False) -> DataFrame:
+    """(id, gram, tf): raw term counts of word-bounded char n-grams.  ``distinct``: no id comes
+    twice, so that each row's n-grams are counted where they are made."""
+    if distinct:
+        return docs.where(F.col(text_col).isNotNull()).select(id_col, F.inline(counted(char_wb_ngrams(text_col, n_min, n_max))))
     grams = docs.where(F.col(text_col).isNotNull()) \
                 .select(id_col, F.explode(char_wb_ngrams(text_col, n_min, n_max)).alias("gram"))
     return grams.groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("tf"))
@@ -114,19 +118,6 @@ def tfidf_weights(counts: DataFrame, idf: DataFrame, id_col: str, keep: Sequence
     return w.select(id_col, "gram", (F.col("_w") / norm).alias("weight"), "df", *keep)
 
 
-def with_tails(weights: DataFrame, id_col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Weights with ``tail``, the norm of the n-gram and all behind it (rarest first), ``after``,
-    the norm without it, and ``place`` (from 1) in that order."""
-    behind = Window.partitionBy(id_col).orderBy(F.desc("df"), F.desc("gram"))
-    sq = F.col("weight") * F.col("weight")
-    rows = weights.withColumns({
-        "_sum": F.sum(sq).over(behind.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "_last": F.row_number().over(behind), "_n": F.count(F.lit(1)).over(Window.partitionBy(id_col))})
-    return rows.select(id_col, "gram", "weight", "df", F.sqrt("_sum").alias("tail"),
-                       F.sqrt(F.greatest(F.lit(0.0), F.col("_sum") - sq)).alias("after"),
-                       (F.col("_n") - F.col("_last") + 1).alias("place"), *keep)
-
-
 def fuzzy_match(queries: DataFrame, candidates: DataFrame | TitleIndex, query_name: str = "name",
                 cand_name: str = "Name", dedupe_key: str | None = "name",
                 dedupe_order: str = "app_id", casefold: bool = False,
@@ -150,7 +141,7 @@ def fuzzy_match(queries: DataFrame, candidates: DataFrame | TitleIndex, query_na
             index = candidates
         else:
             folder = f"{ensure_checkpoint_dir(candidates.sparkSession).rstrip('/')}/catalink-titles-{uuid.uuid4().hex}"
-            index = title_index.build_index(candidates, folder, cand_name, salt_rows)
+            index = title_index.build_index(candidates, folder, cand_name, salt_rows, whole=False)
         if dedupe_key:
             queries = keep_first(queries, [dedupe_key], [dedupe_order])
         queries = cut_lineage(queries.where(F.col(query_name).isNotNull()), "queries")

@@ -90,7 +90,7 @@ def ship_code(spark: SparkSession) -> None:
     context._catalink_shipped = True
 
 
-def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "table", compression: str | None = None) -> DataFrame:
     """Materialise ``df`` as a Parquet table under the shared checkpoint folder
     and return a DataFrame reading it.
 
@@ -104,7 +104,7 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/catalink-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.parquet(path)
 
 

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from catalink.functions.text import counted
 from catalink.operators import matching as M
 from catalink.operators import title_index as TI
 from catalink.plans import standin as S
@@ -114,6 +115,49 @@ def test_postings_are_narrow_and_shuffle_files_go(spark, tmp_path, monkeypatch):
     assert during == ["true"] and spark.conf.get(name, None) == before
 
 
+def test_one_match_writes_by_titles_and_not_by_ngrams(spark, tmp_path):
+    """Some rows a title are written; the queries that need more postings have them made (brute force)."""
+    cands = [f"edition {i * 7919 % 6007} of {i}" for i in range(200)]
+    queries = [f"{i * 7919 % 6007} of {i} x" for i in range(0, 200, 4)] + ["edit", "ition 59 editio", "of of 7", "zz"]
+    folder = tmp_path / "index"
+    index = TI.build_index(spark.createDataFrame([(c,) for c in cands], "Name string"), str(folder), whole=False)
+    rows = {p: spark.read.parquet(str(p)).count() for p in [folder / "names", *(folder / "v1").iterdir()] if not p.name.startswith((".", "grams", "words"))}
+    assert sum(rows.values()) < 16 * len(cands) and not (folder / "counts").exists() and not (folder / "v1" / "postings").exists()
+    got, want = _answers(spark, queries, index), brute_top1(queries, cands)
+    assert {q: v[0] for q, v in got.items()} == {q: v[0] for q, v in want.items()}
+    assert all(abs(got[q][1] - want[q][1]) < 1e-8 for q in queries)
+
+
+def test_a_whole_word_gives_a_near_bound(spark, tmp_path):
+    """Keys share n-grams with very many others: only pairs near the title with the same key are met."""
+    cands = spark.range(1000, 5000).select(F.concat(F.lit("large ring Brand "), F.col("id").cast("string")).alias("t"))
+    index = TI.build_index(cands, str(tmp_path / "index"), "t", whole=False)
+    rows = TI.query_arrays(cands.where("t like '%7'").select(F.regexp_replace("t", "Brand", "hot").alias("t")), index, "t")
+    assert rows.count() == 400 and TI.seeds(rows, index).count() == 400
+    arrays = TI.query_weights(rows.select(F.col("_query").alias("t")), index, "t").groupBy("_query").agg(F.collect_list(F.struct("gram", "weight")).alias("_qw"))
+    near = TI.similarities(TI.seeds(rows, index), arrays, index)
+    assert near.where("substring_index(_query, ' ', -1) = substring_index(_cand, ' ', -1) and _sim > 0.8").count() == 400
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_sketches_bound_similarities(spark, tmp_path, seed):
+    cands, queries = _random_titles(seed, 60), _random_titles(seed + 10, 40)
+    frame = lambda rows: spark.createDataFrame([(c,) for c in rows], "t string")
+    index = TI.build_index(frame(cands), str(tmp_path / "index"), "t")
+    rows = TI.query_arrays(frame(queries), index, "t")
+    arrays = TI.query_weights(frame(queries), index, "t").groupBy("_query").agg(F.collect_list(F.struct("gram", "weight")).alias("_qw"))
+    pairs = rows.select("_query", F.col("_s1").alias("_q1"), F.col("_s2").alias("_q2")).crossJoin(index.table("titles").select("_cand", "_s1", "_s2"))
+    most = {(r[0], r[1]): r[2] for r in pairs.select("_query", "_cand", TI._within(("_q1", "_q2"), ("_s1", "_s2"))).collect()}
+    found = TI.similarities(pairs.select("_query", "_cand"), arrays, index).collect()
+    assert len(found) == len(most) > 1000 and all(r["_sim"] <= most[r["_query"], r["_cand"]] + 1e-9 for r in found)
+
+
+def test_counted_values(spark):
+    rows = spark.createDataFrame([(1, ["b", "a", "b", "b"]), (2, ["c", "a"]), (3, []), (4, ["x"] * 3)], "i int, v array<string>")
+    got = {r.i: sorted(tuple(x) for x in r.c) for r in rows.select("i", counted("v").alias("c")).collect()}
+    assert got == {1: [("a", 1), ("b", 3)], 2: [("a", 1), ("c", 1)], 3: [], 4: [("x", 3)]}
+
+
 def _answers(spark, queries, candidates):
     qdf = spark.createDataFrame(list(enumerate(queries)), "app_id long, name string")
     return {r.name: (r.matched_sales_name, round(1.0 - r.cosine_distance, 9)) for r in M.fuzzy_match(qdf, candidates).collect()}
